@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.operators.ordering import ranks_by_id, running_totals
+from tidemark.operators.ordering import running_totals
+
+# Width of an id block: the most rows a crossing block can return.
+ID_BLOCK = 65_536
 
 
 def _bin_of(rank: Column, n: Column, bins: int) -> Column:
@@ -27,13 +30,21 @@ def calibration_deciles(
 ) -> DataFrame:
     """Calibration per cohort and bin, customers ranked by probability and then id.
 
-    Customers with one probability collapse into a block that spans a range of ranks. A block inside
-    one bin is added whole. Only a block that crosses a bin edge (at most bins - 1 per cohort) goes
-    back to its rows, and those are ranked by id in bounded pieces.
+    Customers with one probability and neighbouring ids collapse into a block that spans a range of
+    ranks. A block inside one bin is added whole. Only the blocks that cross a bin edge (at most
+    bins - 1 per cohort) go back to their rows. Ids are unique whole numbers, so no block holds more
+    than ID_BLOCK rows, however many customers share a probability.
     """
     g = list(cohort)
-    scored = rows.select(*g, customer, F.col(probability).cast("double").alias("p"), F.col(outcome).cast("int").alias("y"))
-    r = running_totals(scored.withColumn("rows", F.lit(1)), g, "p", ["rows", "y"])
+    scored = rows.select(
+        *g,
+        customer,
+        F.floor(F.col(customer) / ID_BLOCK).alias("ids"),
+        F.col(probability).cast("double").alias("p"),
+        F.col(outcome).cast("int").alias("y"),
+    )
+    block = [*g, "p", "ids"]
+    r = running_totals(scored.withColumn("rows", F.lit(1)), g, ["p", "ids"], ["rows", "y"])
     r = r.withColumn("first_bin", _bin_of(F.col("rows_below") + 1, F.col("rows_total"), bins)).withColumn(
         "last_bin", _bin_of(F.col("rows_below") + F.col("rows"), F.col("rows_total"), bins)
     )
@@ -41,16 +52,14 @@ def calibration_deciles(
         *g, F.col("first_bin").alias("risk_decile"), F.col("rows").alias("n"), (F.col("p") * F.col("rows")).alias("sum_p"), F.col("y").alias("pos")
     )
     # At most bins - 1 blocks per cohort, and cohorts follow the calendar.
-    crossing = r.where(F.col("first_bin") < F.col("last_bin")).select(*g, "p", "rows_below", "rows_total")
-    members = scored.join(F.broadcast(crossing), [*g, "p"])
-    members = members.join(
-        F.broadcast(members.groupBy(*g, "p").agg(F.min(customer).alias("id_min"), F.max(customer).alias("id_max"))),
-        [*g, "p"],
+    crossing = F.broadcast(r.where(F.col("first_bin") < F.col("last_bin")).select(*block, "rows_below", "rows_total"))
+    place = F.row_number().over(Window.partitionBy(*block).orderBy(customer))
+    split = (
+        scored.join(crossing, block)
+        .withColumn("rank", F.col("rows_below") + place)
+        .groupBy(*g, _bin_of(F.col("rank"), F.col("rows_total"), bins).alias("risk_decile"))
+        .agg(F.count("*").alias("n"), F.sum("p").alias("sum_p"), F.sum("y").alias("pos"))
     )
-    ranked = ranks_by_id(members, [*g, "p"], customer, "id_min", "id_max")
-    split = ranked.groupBy(
-        *g, _bin_of(F.col("rows_below") + F.col("rank"), F.col("rows_total"), bins).alias("risk_decile")
-    ).agg(F.count("*").alias("n"), F.sum("p").alias("sum_p"), F.sum("y").alias("pos"))
     mean_p, rate = F.col("sum_p") / F.col("n"), F.col("pos") / F.col("n")
     return (
         inside.unionByName(split)

@@ -92,7 +92,7 @@ def probability_metrics(scores: DataFrame, cohort: Sequence[str]) -> DataFrame:
 
 def ranking_metrics(scores: DataFrame, cohort: Sequence[str]) -> DataFrame:
     """Tie-aware ROC-AUC and average precision; both NULL for a single-class cohort."""
-    r = running_totals(scores, cohort, "score", ["pos", "neg"])
+    r = running_totals(scores, cohort, ["score"], ["pos", "neg"])
     pos, neg = F.col("pos"), F.col("neg")
     p_all, n_all = F.max("pos_total"), F.max("neg_total")
     # Scores at or above this one: everything that is not strictly below.

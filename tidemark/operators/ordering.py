@@ -14,17 +14,16 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.numeric import order_cell
 
-ID_CELLS = 4096
 
+def running_totals(df: DataFrame, group: Sequence[str], order: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """One row per (group, order) with each measure's sum, ``<m>_below`` and group ``<m>_total``.
 
-def running_totals(df: DataFrame, group: Sequence[str], value: str, measures: Sequence[str]) -> DataFrame:
-    """One row per (group, value) with each measure's sum, ``<m>_below`` and group ``<m>_total``.
-
-    ``<m>_below`` sums the strictly smaller values.
+    ``<m>_below`` sums everything strictly before the row in the order. The first order column must be
+    numeric: it decides the cell.
     """
     g = list(group)
-    vals = df.groupBy(*g, order_cell(F.col(value)).alias("cell"), value).agg(*[F.sum(m).alias(m) for m in measures])
-    inside = Window.partitionBy(*g, "cell").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    vals = df.groupBy(*g, order_cell(F.col(order[0])).alias("cell"), *order).agg(*[F.sum(m).alias(m) for m in measures])
+    inside = Window.partitionBy(*g, "cell").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     vals = vals.select("*", *[(F.sum(m).over(inside) - F.col(m)).alias(f"{m}_inside") for m in measures])
     totals = vals.groupBy(*g, "cell").agg(*[F.sum(m).alias(f"{m}_cell") for m in measures])
     upto = Window.partitionBy(*g).orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -37,7 +36,7 @@ def running_totals(df: DataFrame, group: Sequence[str], value: str, measures: Se
     )
     return vals.join(offsets, [*g, "cell"]).select(
         *g,
-        value,
+        *order,
         *measures,
         *[(F.col(f"{m}_before") + F.col(f"{m}_inside")).alias(f"{m}_below") for m in measures],
         *[f"{m}_total" for m in measures],
@@ -81,27 +80,3 @@ def _between(at: Column, pos: Column) -> Column:
     """Linear interpolation, anchored at the nearer end so that equal ends give that very value."""
     lo, hi, t = at[F.floor(pos)], at[F.ceil(pos)], pos - F.floor(pos)
     return F.when(t < 0.5, lo + (hi - lo) * t).otherwise(hi - (hi - lo) * (1 - t))
-
-
-def ranks_by_id(df: DataFrame, group: Sequence[str], id_col: str, lo: str, hi: str) -> DataFrame:
-    """1-based ``rank`` of a unique whole-number id inside its group, given the group's id bounds.
-
-    A cell spans 1/4096 of the id range, and ids are unique, so a cell holds no more rows than ids.
-    """
-    g = list(group)
-    width = F.greatest(F.ceil((F.col(hi) - F.col(lo) + 1) / ID_CELLS), F.lit(1))
-    rows = df.withColumn("id_cell", F.floor((F.col(id_col) - F.col(lo)) / width))
-    upto = Window.partitionBy(*g).orderBy("id_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = (
-        rows.groupBy(*g, "id_cell")
-        .agg(F.count("*").alias("rows"))
-        .withColumn("before", F.sum("rows").over(upto) - F.col("rows"))
-        .drop("rows")
-    )
-    inside = Window.partitionBy(*g, "id_cell").orderBy(id_col)
-    return (
-        rows.withColumn("inside", F.row_number().over(inside))
-        .join(offsets, [*g, "id_cell"])
-        .withColumn("rank", F.col("before") + F.col("inside"))
-        .drop("id_cell", "inside", "before")
-    )

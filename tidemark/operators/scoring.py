@@ -36,6 +36,7 @@ def score_projection(
     run_id: str | None = None,
     scored_at: str | None = None,
     plan: SnapshotPlan = SnapshotPlan(),
+    extra: Sequence[str] = (),
 ) -> DataFrame:
     """Prediction rows from ``CustomerID, snapshot_date, churn_probability``. The threshold is inclusive."""
     lit = lambda x: x if isinstance(x, Column) else F.lit(x)
@@ -56,6 +57,7 @@ def score_projection(
         t.alias("threshold_used"),
         F.lit(run_id).cast("string").alias("run_id"),
         F.lit(scored_at).cast("string").alias("scored_at"),
+        *extra,
     )
 
 

@@ -11,6 +11,7 @@ from tidemark.operators.delayed import resolved_predictions
 from tidemark.operators.features import window_days
 from tidemark.operators.quality import monthly_volume
 from tidemark.operators.scoring import score_projection
+from tidemark.params import LABEL
 from tidemark.sources.adapters import EVENT_PLAN, ORDER_PLAN, order_lines, read_table
 
 ROUND = 6
@@ -28,8 +29,9 @@ def portable(df: DataFrame) -> DataFrame:
         elif t in ("integer", "short", "byte"):
             c = c.cast("bigint")
         elif t in ("double", "float"):
-            # + 0.0 turns the negative zero of a rounded difference into zero.
-            c = F.round(c.cast("double"), ROUND) + F.lit(0.0)
+            # Scaled, rounded half to even and scaled back: the same three IEEE operations as in the SQL.
+            # + 0.0 turns a negative zero into zero.
+            c = F.rint(c.cast("double") * F.lit(10.0**ROUND)) / F.lit(10.0**ROUND) + F.lit(0.0)
         out.append(c.alias(f.name))
     return df.select(*out)
 
@@ -76,31 +78,37 @@ def month_starts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def cohort_scores(tx: DataFrame, calendar: DataFrame, horizon: float = 30.0) -> DataFrame:
-    """Every customer present in a feature window with the fixture score recency / (recency + horizon).
+def cohort_scores(tx: DataFrame, calendar: DataFrame, outcome: bool = False) -> DataFrame:
+    """Every customer present in a feature window with the fixture score recency / (recency + 30).
 
     A score without a model, so that every metric of it can be checked exactly; 0.5 without a sale.
     """
-    days = window_days(calendar, outcome=False).select("day", "snapshot_no", "feature_end")
+    days = window_days(calendar, outcome).select("day", "snapshot_no", "role", "feature_end")
     rows = tx.select("CustomerID", day_of(F.col("InvoiceDate")).alias("day"), (F.col("Quantity") > 0).alias("sale"))
-    recency = F.datediff(day_of(F.col("feature_end")), F.col("last_sale"))
+    inside = F.col("role") == "feature"
+    recency = F.datediff(day_of(F.col("feature_end")), F.col("last_sale")).cast("double")
     return (
         rows.join(F.broadcast(days), "day")
         .groupBy("snapshot_no", "CustomerID", "feature_end")
-        .agg(F.max(F.when(F.col("sale"), F.col("day"))).alias("last_sale"))
+        .agg(
+            F.max(F.when(inside & F.col("sale"), F.col("day"))).alias("last_sale"),
+            F.max(inside).alias("present"),
+            F.max(~inside & F.col("sale")).alias("bought_later"),
+        )
+        .where("present")
         .select(
             "snapshot_no",
             "CustomerID",
             day_of(F.col("feature_end")).alias("snapshot_date"),
-            F.coalesce(recency / (recency + F.lit(horizon)), F.lit(0.5)).alias("churn_probability"),
-            recency.cast("double").alias("recency"),
+            F.coalesce(recency / (recency + F.lit(30.0)), F.lit(0.5)).alias("churn_probability"),
+            recency.alias("recency"),
+            (~F.col("bought_later")).cast("int").alias(LABEL),
         )
     )
 
 
-def predictions(spark: SparkSession, sf: str) -> DataFrame:
-    """Official (v2) and shadow (v1) prediction rows of every scorable snapshot, from one scoring pass."""
-    base = cohort_scores(order_lines(spark, sf), scorable(spark, sf))
+def with_roles(base: DataFrame, *extra: str) -> DataFrame:
+    """Prediction rows of an official (v2) and a shadow (v1) score, the latter with a horizon of 60."""
     roles = F.array(
         F.struct(F.lit("official").alias("role"), F.lit("v2").alias("version"), F.lit(30.0).alias("h"), F.lit(0.5).alias("t")),
         F.struct(F.lit("shadow").alias("role"), F.lit("v1").alias("version"), F.lit(60.0).alias("h"), F.lit(0.4).alias("t")),
@@ -117,9 +125,15 @@ def predictions(spark: SparkSession, sf: str) -> DataFrame:
         run_id="run-1",
         scored_at="2002-01-01T00:00:00Z",
         plan=ORDER_PLAN,
+        extra=extra,
     )
 
 
+def predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """Both roles' prediction rows of every scorable snapshot, from one pass."""
+    return with_roles(cohort_scores(order_lines(spark, sf), scorable(spark, sf)))
+
+
 def matured_predictions(spark: SparkSession, sf: str) -> DataFrame:
     """Predictions of the snapshots whose outcome window is covered."""
     return predictions(spark, sf).join(F.broadcast(labelled_dates(spark, sf)), "snapshot_date", "left_semi")
@@ -134,14 +148,19 @@ def labelled_windows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def resolved(spark: SparkSession, sf: str) -> DataFrame:
-    """Matured predictions with their outcome. Both sides are keyed alike and meet in one join."""
-    outcome = lab.outcome_labels(
-        matured_predictions(spark, sf).where(F.col("prediction_role") == "official"),
-        order_lines(spark, sf),
-        ORDER_PLAN,
-        labelled_windows(spark, sf),
-    )
-    return resolved_predictions(matured_predictions(spark, sf), outcome)
+    """Matured predictions joined one to one with their outcome labels."""
+    mature = matured_predictions(spark, sf)
+    cohort = mature.where(F.col("prediction_role") == "official")
+    outcome = lab.outcome_labels(cohort, order_lines(spark, sf), ORDER_PLAN, labelled_windows(spark, sf))
+    return resolved_predictions(mature, outcome)
+
+
+def evaluated(spark: SparkSession, sf: str) -> DataFrame:
+    """Matured predictions with their outcome from one pass over the lines: the input of the metrics.
+
+    Equal to :func:`resolved`, which goes through stored labels and a join.
+    """
+    return with_roles(cohort_scores(order_lines(spark, sf), labelled(spark, sf), outcome=True), LABEL)
 
 
 def month_files(spark: SparkSession, sf: str) -> DataFrame:

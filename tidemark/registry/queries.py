@@ -366,7 +366,7 @@ def history_summary(spark, sf):
 
 
 def _scores(spark, sf):
-    return metrics.score_table(fr.resolved(spark, sf), COHORT, LABEL, threshold=F.col("threshold_used"))
+    return metrics.score_table(fr.evaluated(spark, sf), COHORT, LABEL, threshold=F.col("threshold_used"))
 
 
 @query
@@ -411,12 +411,12 @@ def best_threshold(spark, sf):
 
 @query
 def calibration_deciles(spark, sf):
-    return calibration.calibration_deciles(fr.resolved(spark, sf), COHORT, LABEL)
+    return calibration.calibration_deciles(fr.evaluated(spark, sf), COHORT, LABEL)
 
 
 @query
 def ece(spark, sf):
-    return calibration.expected_calibration_error(calibration.calibration_deciles(fr.resolved(spark, sf), COHORT, LABEL), COHORT)
+    return calibration.expected_calibration_error(calibration.calibration_deciles(fr.evaluated(spark, sf), COHORT, LABEL), COHORT)
 
 
 # --- delayed evaluation -----------------------------------------------------------------------------------
