@@ -12,9 +12,10 @@ from tidemark.params import FEATURES, PSI_POINTS, TEMPORAL_FEATURES, DriftPolicy
 
 
 def long_features(df: DataFrame, keys: Sequence[str], features: Sequence[str] = FEATURES) -> DataFrame:
-    """``keys, feature, value`` with non-finite values as NULL."""
-    wide = df.select(*keys, *[finite(F.col(f)).alias(f) for f in features])
-    return wide.unpivot(list(keys), list(features), "feature", "value")
+    """``keys, feature_no, value`` with non-finite values as NULL; features by position, a cheaper key."""
+    wide = df.select(*keys, *[finite(F.col(f)).alias(f"f{i}") for i, f in enumerate(features)])
+    stack = ", ".join(f"{i}, f{i}" for i in range(len(features)))
+    return wide.select(*keys, F.expr(f"stack({len(features)}, {stack}) as (feature_no, value)"))
 
 
 def consecutive_pairs(df: DataFrame, order: str = "snapshot_no") -> DataFrame:
@@ -39,26 +40,31 @@ def stability_index(
     """
     g = list(group)
     known = rows.where(F.col(value).isNotNull())
-    edges = (
-        quantiles(known.where(F.col("side") == "baseline"), g, value, points)
-        .withColumn("edges", F.array_distinct("q"))
-        .select(*g, "edges", F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0))).alias("inner"))
+    q = quantiles(known.where(F.col("side") == "baseline"), g, value, points)
+    edges = q.select(*g, F.array_distinct("q").alias("edges")).select(
+        *g,
+        (F.size("edges") - 1).alias("bins"),
+        F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0))).alias("inner"),
     )
-    # One row per group: the edges go to the rows, and the rows combine into bins on the map side.
-    binned = known.join(F.broadcast(edges), g).groupBy(
-        *g, "edges", "side", F.size(F.filter("inner", lambda e: e <= F.col(value))).alias("bin")
+    # One row of edges per group goes to the rows; the rows combine into bins on the map side.
+    at_least = [F.coalesce(F.col(value) >= F.get("inner", F.lit(i)), F.lit(False)) for i in range(len(points) - 2)]
+    binned = (
+        known.join(F.broadcast(edges), g)
+        .select(*g, "side", "bins", sum(c.cast("int") for c in at_least).alias("bin"))
+        .groupBy(*g, "side", "bin")
+        .agg(F.count("*").alias("n"), F.max("bins").alias("bins"))
     )
-    counts = binned.agg(F.count("*").alias("n")).groupBy(*g, "edges").agg(
+    counts = binned.groupBy(*g).agg(
+        F.max("bins").alias("bins"),
         *[
             F.map_from_entries(F.collect_list(F.when(F.col("side") == s, F.struct("bin", "n")))).alias(s)
             for s in ("baseline", "current")
-        ]
+        ],
     )
-    return counts.select(*g, _psi(F.col("edges"), F.col("baseline"), F.col("current")).alias("psi"))
+    return counts.select(*g, _psi(F.col("bins"), F.col("baseline"), F.col("current")).alias("psi"))
 
 
-def _psi(edges: Column, base: Column, cur: Column) -> Column:
-    k = F.size(edges) - 1
+def _psi(k: Column, base: Column, cur: Column) -> Column:
     base_n = F.aggregate(F.map_values(base), F.lit(0).cast("bigint"), lambda a, x: a + x)
     cur_n = F.aggregate(F.map_values(cur), F.lit(0).cast("bigint"), lambda a, x: a + x)
 
@@ -68,7 +74,7 @@ def _psi(edges: Column, base: Column, cur: Column) -> Column:
         return (c - b) * F.ln(c / b)
 
     total = F.aggregate(F.sequence(F.lit(0), k - 1), F.lit(0.0), lambda a, i: a + term(i))
-    return F.when((F.size(base) == 0) | (F.size(cur) == 0), None).when(F.size(edges) < 3, 0.0).otherwise(total)
+    return F.when((F.size(base) == 0) | (F.size(cur) == 0), None).when(k < 2, 0.0).otherwise(total)
 
 
 def feature_drift(
@@ -79,13 +85,18 @@ def feature_drift(
 ) -> DataFrame:
     """PSI and drift type per pair and feature. ``rows`` carries ``side`` and the feature columns."""
     keys = [*group, "side"]
-    known = stability_index(long_features(rows, keys, features), [*group, "feature"])
-    names = F.explode(F.array(*[F.lit(f) for f in features])).alias("feature")
-    spine = rows.groupBy(*group).agg(F.countDistinct("side").alias("sides")).where(F.col("sides") == 2)
+    known = stability_index(long_features(rows, keys, features), [*group, "feature_no"])
+    names = F.posexplode(F.array(*[F.lit(f) for f in features])).alias("feature_no", "feature")
+    spine = rows.groupBy(*group).agg((F.min("side") < F.max("side")).alias("paired")).where("paired")
     return (
         spine.select(*group, names)
-        .join(known, [*group, "feature"], "left")
-        .withColumn("drift_type", F.when(F.col("feature").isin(*temporal), "expected_temporal").otherwise("behavioral"))
+        .join(known, [*group, "feature_no"], "left")
+        .select(
+            *group,
+            "feature",
+            "psi",
+            F.when(F.col("feature").isin(*temporal), "expected_temporal").otherwise("behavioral").alias("drift_type"),
+        )
     )
 
 

@@ -56,24 +56,29 @@ def quantiles(df: DataFrame, group: Sequence[str], value: str, points: Sequence[
     whole = Window.partitionBy(*g).orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     pos = F.transform(F.array(*[F.lit(float(p)) for p in points]), lambda p: p * (F.col("n") - 1))
     ranks = F.array_distinct(F.concat(F.transform(pos, lambda p: F.floor(p)), F.transform(pos, lambda p: F.ceil(p))))
-    hits = (
-        per_cell.withColumn("n", F.sum("in_cell").over(whole))
-        .withColumn("before", F.sum("in_cell").over(upto) - F.col("in_cell"))
-        .withColumn("wanted", F.filter(ranks, lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("in_cell"))))
-        .where(F.size("wanted") > 0)
-        .select(*g, "cell", "n", "before", "wanted")
+
+    # The wanted ranks with their cells: at most two per point and group, small enough for every task.
+    cells = per_cell.select(
+        *g,
+        "cell",
+        "in_cell",
+        F.sum("in_cell").over(whole).alias("n"),
+        (F.sum("in_cell").over(upto) - F.col("in_cell")).alias("before"),
     )
-    # At most two cells per point and group: small enough to send to every task.
+    held = F.filter(ranks, lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("in_cell")))
+    wanted = F.broadcast(cells.select(*g, "cell", "n", "before", F.explode(held).alias("rank")))
     inside = Window.partitionBy(*g, "cell").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    at_or_below = F.col("before") + F.col("upto")
     found = (
-        rows.join(F.broadcast(hits), [*g, "cell"])
-        .groupBy(*g, "cell", "n", "before", "wanted", value)
+        rows.join(wanted, [*g, "cell"], "left_semi")
+        .groupBy(*g, "cell", value)
         .agg(F.count("*").alias("copies"))
-        .withColumn("first", F.col("before") + F.sum("copies").over(inside) - F.col("copies"))
-        .withColumn("rank", F.explode(F.filter("wanted", lambda r: (r >= F.col("first")) & (r < F.col("first") + F.col("copies")))))
+        .withColumn("upto", F.sum("copies").over(inside))
+        .join(wanted, [*g, "cell"])
+        .where((F.col("rank") < at_or_below) & (F.col("rank") >= at_or_below - F.col("copies")))
     )
-    at = found.groupBy(*g, "n").agg(F.map_from_entries(F.collect_list(F.struct("rank", value))).alias("at"))
-    return at.withColumn("q", F.transform(pos, lambda p: _between(F.col("at"), p))).select(*g, "n", "q")
+    at = found.groupBy(*g).agg(F.max("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("rank", value))).alias("at"))
+    return at.select(*g, "n", F.transform(pos, lambda p: _between(F.col("at"), p)).alias("q"))
 
 
 def _between(at: Column, pos: Column) -> Column:

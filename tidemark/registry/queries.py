@@ -13,6 +13,7 @@ from tidemark.operators import calibration, delayed, drift, features, governance
 from tidemark.operators.ordering import quantiles
 from tidemark.params import INTERVAL_POINTS, LABEL, SplitPlan
 from tidemark.registry import frames as fr
+from tidemark.session import written
 from tidemark.sources import history, transactions
 from tidemark.sources.adapters import EVENT_PLAN, ORDER_PLAN, event_lines, order_lines, read_table
 
@@ -319,7 +320,7 @@ def psi_single(spark, sf):
 
 
 def _feature_report(spark, sf):
-    rows = features.training_dataset(order_lines(spark, sf), fr.labelled(spark, sf))
+    rows = written(features.training_dataset(order_lines(spark, sf), fr.labelled(spark, sf)), "features")
     return drift.feature_drift(drift.consecutive_pairs(rows))
 
 
@@ -443,13 +444,13 @@ def unevaluated_sets(spark, sf):
 
 @query
 def delayed_evaluation(spark, sf):
-    return delayed.delayed_evaluation(fr.resolved(spark, sf))
+    return delayed.delayed_evaluation(written(fr.resolved(spark, sf), "resolved"))
 
 
 @query
 def delayed_evaluation_stored(spark, sf):
     official = fr.resolved(spark, sf).where(F.col("prediction_role") == "official")
-    return delayed.delayed_evaluation_stored(official)
+    return delayed.delayed_evaluation_stored(written(official, "resolved"))
 
 
 @query

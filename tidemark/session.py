@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int = 8, app: str = "tidemark", memory: str = "12g") -> SparkSession:
@@ -17,8 +18,11 @@ def local_session(cpus: int = 8, app: str = "tidemark", memory: str = "12g") ->
         .config("spark.driver.memory", memory)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cpus))
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Small inputs still use every core of one machine.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .getOrCreate()
     )
@@ -42,8 +46,19 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
-def cut_lineage(df):
-    """Materialise ``df`` in the shared folder, so lost executors cost no recomputation."""
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` in the shared folder, so lost executors cost no recomputation."""
     spark = df.sparkSession
     spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint()
+
+
+def written(df: DataFrame, label: str = "table") -> DataFrame:
+    """``df`` written once as a columnar table in the shared folder and read back.
+
+    For an intermediate result that several branches read: each branch scans only its columns, and
+    a lost executor costs a re-read. The folder is the caller's to expire, as with checkpoints.
+    """
+    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
