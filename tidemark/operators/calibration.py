@@ -12,12 +12,27 @@ from tidemark.operators.ordering import running_totals
 ID_BLOCK = 65_536
 
 
+def cut_points(bins: int) -> list[float]:
+    """Inner quantile points as percentages taken back to fractions: the double values that decide on
+    which side of an edge a rank falls when the edge is a whole number."""
+    return [i * (1.0 / bins) * 100.0 / 100.0 for i in range(1, bins)]
+
+
 def _bin_of(rank: Column, n: Column, bins: int) -> Column:
-    """Bin of a 1-based rank among ``n`` when ranks are cut at equal quantiles, right-closed."""
-    b = F.least(F.lit(bins), n)
-    return F.when(n <= 1, F.lit(1)).otherwise(
-        F.greatest(F.lit(1), F.floor(((rank - 1) * b + n - 2) / F.greatest(n - 1, F.lit(1))))
-    ).cast("int")
+    """Bin of a 1-based rank among ``n`` when the ranks are cut at equal quantiles, right-closed.
+
+    Only the inner edge nearest to the rank can be in doubt; all lower ones lie below it. With fewer
+    ranks than bins every rank is a bin of its own.
+    """
+    if bins < 2:
+        return F.lit(1)
+    nearest = F.rint((rank - 1) * bins / F.greatest(n - 1, F.lit(1))).cast("int")
+    pos = F.get(F.array(*[F.lit(p) for p in cut_points(bins)]), nearest - 1) * (n - 1)
+    lo = F.floor(pos)
+    t = pos - lo
+    edge = F.when(t < 0.5, lo + 1 + t).otherwise(lo + 2 - (1 - t))
+    above = F.greatest(nearest, F.lit(1)) + F.coalesce((rank > edge).cast("int"), F.lit(0))
+    return F.when(n < bins, rank).otherwise(F.least(above, F.lit(bins))).cast("int")
 
 
 def calibration_deciles(

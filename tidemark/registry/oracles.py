@@ -129,7 +129,9 @@ rk AS (
     CASE WHEN max(pp) > 0 AND max(nn) > 0 THEN sum(CAST(pos AS DOUBLE) / pp * tps / (tps + fps)) END AS ap
   FROM h GROUP BY ALL)"""
 CALIB = f"""o AS (SELECT *, row_number() OVER (PARTITION BY {SET} ORDER BY p, CustomerID) AS r, count(*) OVER (PARTITION BY {SET}) AS cnt FROM res),
-b AS (SELECT *, CASE WHEN cnt = 1 THEN 1 ELSE greatest(1, ((r - 1) * least(10, cnt) + cnt - 2) // (cnt - 1)) END AS dec FROM o),
+cut AS (SELECT cnt, list(CASE WHEN pos - floor(pos) < 0.5 THEN floor(pos) + 1 + (pos - floor(pos)) ELSE floor(pos) + 2 - (1 - (pos - floor(pos))) END) AS edges
+  FROM (SELECT cnt, CAST(i AS DOUBLE) * CAST(0.1 AS DOUBLE) * CAST(100 AS DOUBLE) / CAST(100 AS DOUBLE) * (cnt - 1) AS pos FROM (SELECT DISTINCT cnt FROM o), range(1, 10) z(i)) GROUP BY cnt),
+b AS (SELECT o.*, CASE WHEN o.cnt < 10 THEN r ELSE 1 + len(list_filter(edges, lambda w: w < r)) END AS dec FROM o JOIN cut USING (cnt)),
 cal10 AS (SELECT {SET}, dec, count(*) AS n, avg(p) AS mp, avg(y) AS rate, abs(avg(p) - avg(y)) AS gap FROM b GROUP BY ALL),
 e AS (SELECT {SET}, sum(n * gap) / sum(n) AS ece FROM cal10 GROUP BY ALL)"""
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tidemark.sources.transactions import is_missing
+
 MANIFEST = T.StructType(
     [
         T.StructField(n, t)
@@ -23,10 +25,6 @@ MANIFEST = T.StructType(
 )
 
 
-def _missing(e: AnalysisException) -> bool:
-    return any(s in str(e) for s in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"))
-
-
 def evolve(stored: DataFrame, incoming: DataFrame) -> DataFrame:
     """Old and new rows under the old columns followed by the new ones; absent values are NULL."""
     return stored.unionByName(incoming, allowMissingColumns=True)
@@ -42,7 +40,7 @@ def read_history(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.option("mergeSchema", True).parquet(path)
     except AnalysisException as e:
-        if _missing(e):
+        if is_missing(e):
             return None
         raise
 
@@ -59,7 +57,7 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     try:
         return spark.read.schema(MANIFEST).json(path)
     except AnalysisException as e:
-        if _missing(e):
+        if is_missing(e):
             return spark.createDataFrame([], MANIFEST)
         raise
 

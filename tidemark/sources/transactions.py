@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.temporal import month_start
+from tidemark.session import written
 
 # Fixed value: the timestamp layout of the CSV feeds.
 CSV_TIME_FORMAT = "dd-MM-yyyy HH:mm"
@@ -26,6 +27,11 @@ TRANSACTIONS = T.StructType(
 RAW = T.StructType([T.StructField(f.name, T.StringType()) for f in TRANSACTIONS])
 
 
+def is_missing(e: AnalysisException) -> bool:
+    """The table has not been written yet."""
+    return any(s in str(e) for s in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"))
+
+
 def raw_reader(reader):
     """Options shared by the batch and the streaming CSV reader.
 
@@ -92,7 +98,7 @@ def read_curated(spark: SparkSession, path: str) -> DataFrame:
     try:
         return spark.read.parquet(path).drop("invoice_month")
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+        if not is_missing(e):
             raise
         return spark.createDataFrame([], TRANSACTIONS)
 
@@ -112,21 +118,32 @@ def write_curated(df: DataFrame, path: str) -> None:
     )
 
 
-def update_curated(spark: SparkSession, path: str, batch: DataFrame, snapshot_date: str) -> None:
-    """Merge one monthly batch. Only the batch's month is read and rewritten.
+def update_curated(spark: SparkSession, path: str, batch: DataFrame) -> None:
+    """Merge cleaned lines into the store. Only the months they touch are read and rewritten.
 
-    The old month is read and replaced in one job, so the merged rows are materialised first.
+    A month is read and replaced in one go, so the merged rows are written aside first.
     """
-    from tidemark.session import cut_lineage
-
-    month = F.trunc(F.date_sub(F.lit(snapshot_date).cast("date"), 1), "month")
+    month = month_start(F.col("InvoiceDate"))
+    touched = [r.m for r in batch.select(month.alias("m")).distinct().collect()]  # a few months at most
     try:
-        stored = spark.read.parquet(path).where(F.col("invoice_month") == month).drop("invoice_month")
+        stored = spark.read.parquet(path).where(F.col("invoice_month").isin(touched)).drop("invoice_month")
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+        if not is_missing(e):
             raise
         stored = batch.limit(0)
-    write_curated(cut_lineage(curate(stored, batch)), path)
+    write_curated(written(curate(stored, batch), "curate"), path)
+
+
+def recent_months(spark: SparkSession, path: str, months: int) -> DataFrame:
+    """Lines of the last observed months of the store; the months are partitions, the rest is not read."""
+    try:
+        store = spark.read.parquet(path)
+    except AnalysisException as e:
+        if not is_missing(e):
+            raise
+        return spark.createDataFrame([], TRANSACTIONS)
+    newest = store.select("invoice_month").distinct().orderBy(F.desc("invoice_month")).limit(months).collect()
+    return store.where(F.col("invoice_month").isin([r.invoice_month for r in newest])).drop("invoice_month")
 
 
 def point_in_time_union(bootstrap: DataFrame, replay: DataFrame, as_of) -> DataFrame:
