@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.numeric import finite, money, money_units, ratio
 from tidemark.functions.temporal import calendar_days, day_of, elapsed_days, half_of_day, midnight
-from tidemark.params import FEATURES, LABEL
+from tidemark.operators.ordering import quantiles
+from tidemark.params import FEATURES, INTERVAL_POINTS, LABEL
 
 
 def window_days(calendar: DataFrame, outcome: bool = True) -> DataFrame:
@@ -249,3 +250,18 @@ def purchase_intervals(tx: DataFrame) -> DataFrame:
             "avg_days_between_purchases"
         )
     )
+
+
+def interval_summary(tx: DataFrame) -> DataFrame:
+    """One row: percentiles of the customers' mean gaps, the median in months of 30 days, and how many
+    customers bought at all and more than once."""
+    per = purchase_intervals(tx).withColumn("scope", F.lit("all"))
+    q = quantiles(per, ["scope"], "avg_days_between_purchases", INTERVAL_POINTS).select("q", "n")
+    buyers = per.agg(F.count("*").alias("buyers"))
+    both = q.unionByName(buyers, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in ("q", "n", "buyers")])
+    return both.select(
+        *[F.col("q")[i].alias(f"p{round(p * 100)}") for i, p in enumerate(INTERVAL_POINTS)],
+        (F.col("q")[INTERVAL_POINTS.index(0.50)] / 30).alias("median_months"),
+        F.coalesce("n", F.lit(0)).alias("repeat_buyers"),
+        "buyers",
+    )

@@ -10,8 +10,7 @@ from tidemark.functions.numeric import risk_tier
 from tidemark.functions.temporal import day_of, month_start
 from tidemark.operators import calendar as cal
 from tidemark.operators import calibration, delayed, drift, features, governance, labels, lineage, metrics, quality, scoring
-from tidemark.operators.ordering import quantiles
-from tidemark.params import INTERVAL_POINTS, LABEL, SplitPlan
+from tidemark.params import LABEL, SplitPlan
 from tidemark.registry import frames as fr
 from tidemark.session import written
 from tidemark.sources import history, transactions
@@ -255,27 +254,14 @@ def event_scoring_dataset(spark, sf):
     return features.scoring_dataset(event_lines(spark, sf), cal.scoring_calendar(dates, EVENT_PLAN))
 
 
-def _interval_summary(tx):
-    per = features.purchase_intervals(tx).withColumn("whole", F.lit("all"))
-    q = quantiles(per, ["whole"], "avg_days_between_purchases", INTERVAL_POINTS)
-    buyers = per.groupBy("whole").agg(F.count("*").alias("buyers"))
-    names = ["p10", "p25", "p50", "p75", "p90"]
-    return buyers.join(q, "whole").select(
-        *[F.col("q")[i].alias(n) for i, n in enumerate(names)],
-        (F.col("q")[2] / 30).alias("median_months"),
-        F.col("n").alias("repeat_buyers"),
-        "buyers",
-    )
-
-
 @query
 def purchase_interval_summary(spark, sf):
-    return _interval_summary(order_lines(spark, sf))
+    return features.interval_summary(order_lines(spark, sf))
 
 
 @query
 def event_interval_summary(spark, sf):
-    return _interval_summary(event_lines(spark, sf))
+    return features.interval_summary(event_lines(spark, sf))
 
 
 @query
