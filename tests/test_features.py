@@ -126,6 +126,15 @@ def test_partitioning_changes_nothing(spark, lines):
         assert rows_of(features.training_dataset(shuffled, cal), "snapshot_no", "CustomerID") == want
 
 
+def test_earlier_history_gives_only_first_sales(spark, lines):
+    tx = lines(messy(5))
+    cal = snapshot_calendar(spark, PLAN, 2).where("snapshot_no = 2")
+    start = F.lit("2010-03-01").cast("timestamp_ntz")
+    want = rows_of(features.training_dataset(tx, cal), "CustomerID")
+    parted = features.training_dataset(tx.where(F.col("InvoiceDate") >= start), cal, tx.where(F.col("InvoiceDate") < start))
+    assert rows_of(parted, "CustomerID") == want
+
+
 def test_presence_without_sales_stays_in_the_cohort(spark, lines):
     tx = lines([("1", "A", 0, "2010-01-01 08:00", 1.0, 5), ("2", "A", -1, "2010-01-02 08:00", 1.0, 6)])
     rows = rows_of(features.training_dataset(tx, snapshot_calendar(spark, PLAN, 1)), "CustomerID")

@@ -275,7 +275,7 @@ def test_champion_history(spark):
     schema = "model_type string, version string, promoted_at date"
     promoted = spark.createDataFrame([("g", "v1", date(2020, 1, 1)), ("g", "v2", date(2020, 4, 1))], schema)
     when = spark.createDataFrame([(date(2019, 12, 1),), (date(2020, 3, 31),), (date(2020, 4, 1),)], "snapshot_date date")
-    got = rows_of(lineage.champion_asof(when, promoted), "snapshot_date")
+    got = rows_of(lineage.champion_asof(when, promoted, "g"), "snapshot_date")
     assert [(r["official_version"], r["shadow_version"]) for r in got] == [("v1", None), ("v2", "v1")]
 
 

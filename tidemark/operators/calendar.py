@@ -120,15 +120,11 @@ def step_recommendation(coverage: DataFrame, plan: SnapshotPlan, total: int, max
             F.max(F.when(F.col("outcome_end") <= F.col("coverage_end"), F.col("snapshot_no"))), F.lit(0)
         ).alias("available")
     )
-    run = per_step.withColumn("fits", F.col("available") >= total).agg(
-        F.coalesce(F.min(F.when(~F.col("fits"), F.col("step"))) - 1, F.lit(max_step)).alias("run")
-    )
-    # One row on the right, twelve on the left.
-    return per_step.withColumn("k", F.lit(1)).join(F.broadcast(run.withColumn("k", F.lit(1))), "k").select(
-        "step",
-        "available",
-        (F.col("available") >= total).alias("fits"),
-        (F.col("step") == F.greatest(F.col("run"), F.lit(1))).alias("recommended"),
+    fits = F.col("available") >= total
+    all_steps = Window.partitionBy()  # max_step rows
+    run = F.coalesce(F.min(F.when(~fits, F.col("step"))).over(all_steps) - 1, F.lit(max_step))
+    return per_step.select(
+        "step", "available", fits.alias("fits"), (F.col("step") == F.greatest(run, F.lit(1))).alias("recommended")
     )
 
 

@@ -73,11 +73,24 @@ SALE = "items > 0"
 RETURN = "items < 0"
 
 
-def cells(basket: DataFrame) -> DataFrame:
+def first_sales(earlier: DataFrame) -> DataFrame:
+    """History before the first window, as cells: all that matters of it is each customer's first sale."""
+    first = earlier.where(F.col("Quantity") > 0).groupBy("CustomerID").agg(F.min("InvoiceDate").alias("sale_first"))
+    return first.select(
+        "CustomerID",
+        day_of(F.col("sale_first")).alias("day"),
+        half_of_day(F.col("sale_first")).alias("half"),
+        "sale_first",
+        F.col("sale_first").alias("sale_last"),
+    )
+
+
+def cells(basket: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
     """One row per customer and half day, knowing the customer's previous sale and return.
 
     ``<side>_pairs`` counts distinct (invoice, time) pairs; ``prev_<side>`` is the last time before
-    this cell; ``first_sale`` is the first sale up to and including this cell.
+    this cell; ``first_sale`` is the first sale up to and including this cell, or among the ``earlier``
+    lines.
     """
     ts = F.col("InvoiceDate")
     aggs = [F.sum(F.when(F.expr(SALE), F.col("units"))).alias("recent_units")]
@@ -89,6 +102,8 @@ def cells(basket: DataFrame) -> DataFrame:
             F.max(F.when(hit, ts)).alias(f"{side}_last"),
         ]
     cell = basket.groupBy("CustomerID", day_of(ts).alias("day"), half_of_day(ts).alias("half")).agg(*aggs)
+    if earlier is not None:
+        cell = cell.unionByName(first_sales(earlier), allowMissingColumns=True)
     order = Window.partitionBy("CustomerID").orderBy("day", "half")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -143,11 +158,11 @@ def _invoice_measures(basket: DataFrame, days: DataFrame) -> DataFrame:
     )
 
 
-def _measures(tx: DataFrame, calendar: DataFrame, outcome: bool) -> DataFrame:
+def _measures(tx: DataFrame, calendar: DataFrame, outcome: bool, earlier: DataFrame | None = None) -> DataFrame:
     """All measures per (snapshot, customer): both branches share the basket shuffle, one final shuffle."""
     basket = baskets(tx)
     days = window_days(calendar, outcome)
-    both = _cell_measures(cells(basket), days).unionByName(
+    both = _cell_measures(cells(basket, earlier), days).unionByName(
         _invoice_measures(basket, days), allowMissingColumns=True
     )
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
@@ -202,19 +217,23 @@ def _as_rows(m: DataFrame, names, label: bool = False) -> DataFrame:
     return m.select("snapshot_no", "CustomerID", day_of(F.col("feature_end")).alias("snapshot_date"), *cols)
 
 
-def customer_features(tx: DataFrame, calendar: DataFrame) -> DataFrame:
-    """All features of every customer with any line in the feature window, per snapshot."""
-    return _as_rows(_measures(tx, calendar, outcome=False), FEATURES)
+def customer_features(tx: DataFrame, calendar: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+    """All features of every customer with any line in the feature window, per snapshot.
+
+    ``tx`` holds the whole history, or the lines from the first window on, with the lines before it as
+    ``earlier``: those then cost one small aggregation instead of the full reduction.
+    """
+    return _as_rows(_measures(tx, calendar, False, earlier), FEATURES)
 
 
-def training_dataset(tx: DataFrame, calendar: DataFrame) -> DataFrame:
+def training_dataset(tx: DataFrame, calendar: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
     """Features and the inactivity label: 1 when the outcome window holds no sale."""
-    return _as_rows(_measures(tx, calendar, outcome=True), FEATURES, label=True)
+    return _as_rows(_measures(tx, calendar, True, earlier), FEATURES, label=True)
 
 
-def scoring_dataset(tx: DataFrame, calendar: DataFrame) -> DataFrame:
+def scoring_dataset(tx: DataFrame, calendar: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
     """Features per ``as_of`` date. Lines at or after the newest cutoff never enter."""
-    return customer_features(tx, calendar).drop("snapshot_no")
+    return customer_features(tx, calendar, earlier).drop("snapshot_no")
 
 
 def rfm_features(tx: DataFrame, calendar: DataFrame) -> DataFrame:

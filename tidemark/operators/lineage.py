@@ -51,17 +51,27 @@ def champion_spans(promotions: DataFrame) -> DataFrame:
     )
 
 
-def champion_asof(cohorts: DataFrame, promotions: DataFrame) -> DataFrame:
+def champion_asof(cohorts: DataFrame, promotions: DataFrame, model_type: str) -> DataFrame:
     """Official and shadow version of each cohort: the champion at its date and the one before it.
 
-    Promotions and cohorts are both planning tables (a few rows per month of history).
+    Promotions and cohorts are planning tables (a few rows per month of history); they are laid on one
+    time line, a promotion before the cohort of its day.
     """
-    span = F.broadcast(champion_spans(promotions))
-    at = F.col("snapshot_date")
-    hit = (F.col("promoted_at") <= at) & (F.col("replaced_at").isNull() | (F.col("replaced_at") > at))
-    return cohorts.join(span, hit).select(
-        "snapshot_date",
-        "model_type",
-        F.col("version").alias("official_version"),
-        F.when(F.col("replaced_version") != F.col("version"), F.col("replaced_version")).alias("shadow_version"),
+    spans = champion_spans(promotions).where(F.col("model_type") == model_type)
+    line = spans.select(
+        F.col("promoted_at").cast("date").alias("at"), F.lit(0).alias("kind"), F.struct("version", "replaced_version").alias("champion")
+    ).unionByName(
+        cohorts.select(F.col("snapshot_date").cast("date").alias("at"), F.lit(1).alias("kind")), allowMissingColumns=True
+    )
+    sofar = Window.partitionBy(F.lit(model_type)).orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    official, replaced = F.col("champion.version"), F.col("champion.replaced_version")
+    return (
+        line.withColumn("champion", F.last("champion", ignorenulls=True).over(sofar))
+        .where((F.col("kind") == 1) & F.col("champion").isNotNull())
+        .select(
+            F.col("at").alias("snapshot_date"),
+            F.lit(model_type).alias("model_type"),
+            official.alias("official_version"),
+            F.when(replaced != official, replaced).alias("shadow_version"),
+        )
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.numeric import risk_tier
 from tidemark.functions.temporal import midnight, shift
@@ -96,9 +96,14 @@ def hashed_order(*cols: str, seed: int) -> Column:
 def reference_sample(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> DataFrame:
     """``n`` rows in hashed key order: the baseline saved with a model, the same on every rerun.
 
-    Sorting and limiting plans as a per-task top-n followed by a merge of n rows per task.
+    Counting the hash prefixes first (at most 65,536) tells where the n-th row lies, so that the final
+    sort sees little more than the sample, however many tasks hold the rows.
     """
-    return df.withColumn("sample_key", hashed_order(*keys, seed=seed)).orderBy("sample_key", *keys).limit(n)
+    rows = df.withColumn("sample_key", hashed_order(*keys, seed=seed)).withColumn("prefix", F.substring("sample_key", 1, 4))
+    upto = Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("prefix").agg(F.count("*").alias("size"))
+    wanted = sizes.withColumn("before", F.coalesce(F.sum("size").over(upto), F.lit(0))).where(F.col("before") < n).select("prefix")
+    return rows.join(F.broadcast(wanted), "prefix", "left_semi").orderBy("sample_key", *keys).limit(n).drop("prefix")
 
 
 def group_folds(df: DataFrame, k: int, customer: str = "CustomerID", seed: int = 42) -> DataFrame:

@@ -44,6 +44,9 @@ def _labels(spark: SparkSession, ws: Workspace, cohort: DataFrame, current: str,
     """Stored labels of the cohorts, after adding those still missing."""
     stored = ws.table(spark, "labels")
     fresh = cohort if stored is None else cohort.join(stored.select("snapshot_date").distinct(), "snapshot_date", "left_anti")
-    made = written(labels.outcome_labels(fresh, ws.curated(spark), plan, resolved_at=current), "labels")
+    windows = written(labels.outcome_windows(fresh, plan), "windows")
+    first = windows.agg(F.min("outcome_start")).first()[0]
+    sales = ws.curated(spark, since=first, before=current)
+    made = written(labels.outcome_labels(fresh, sales, plan, windows, resolved_at=current), "labels")
     made.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(ws.path("labels"))
     return ws.table(spark, "labels")

@@ -29,7 +29,9 @@ def split_rows(spark, ws: Workspace, known: DataFrame, plan: SnapshotPlan, split
     """Features and labels of the rolling split, written once: every fit and evaluation reads it."""
     calendar = cal.labelled_calendar(known, plan)
     parts = cal.rolling_split(calendar, split)
-    rows = features.training_dataset(ws.curated(spark), calendar.join(F.broadcast(parts), "snapshot_no", "left_semi"))
+    wanted = calendar.join(F.broadcast(parts), "snapshot_no", "left_semi")
+    window, earlier = ws.feature_inputs(spark, wanted)
+    rows = features.training_dataset(window, wanted, earlier)
     return written(rows.join(F.broadcast(parts), "snapshot_no"), "split")
 
 

@@ -14,10 +14,16 @@ from tidemark.sources import history
 KEYS = ["snapshot_date", "CustomerID"]
 
 
+def cohort_features(spark: SparkSession, ws: Workspace, snapshot_date: str, plan: SnapshotPlan) -> DataFrame:
+    dates = spark.range(0, 1, 1, 1).select(F.lit(snapshot_date).cast("date").alias("as_of"))
+    calendar = scoring_calendar(dates, plan)
+    window, earlier = ws.feature_inputs(spark, calendar)
+    return features.scoring_dataset(window, calendar, earlier)
+
+
 def feature_table(spark: SparkSession, ws: Workspace, snapshot_date: str, plan: SnapshotPlan) -> DataFrame:
     """Features of the customers active before ``snapshot_date``; stored before anything reads them."""
-    dates = spark.range(0, 1, 1, 1).select(F.lit(snapshot_date).cast("date").alias("as_of"))
-    rows = written(features.scoring_dataset(ws.curated(spark), scoring_calendar(dates, plan)), "scoring")
+    rows = written(cohort_features(spark, ws, snapshot_date, plan), "scoring")
     if rows.isEmpty():
         raise RuntimeError(f"no active customers before {snapshot_date}")
     history.write_feature_snapshot(rows, ws.path("features"))
@@ -110,8 +116,7 @@ def backfill_shadow(
     previous = version_meta(spark, ws, version)["replaced_version"]
     if not previous or previous == version:
         raise RuntimeError(f"no model preceded {version}")
-    dates = spark.range(0, 1, 1, 1).select(F.lit(snapshot_date).cast("date").alias("as_of"))
-    rows = features.scoring_dataset(ws.curated(spark), scoring_calendar(dates, plan))
+    rows = cohort_features(spark, ws, snapshot_date, plan)
     shadow = score_with(spark, ws, rows, version_meta(spark, ws, previous), "shadow", run_id, plan)
     history.write_predictions(shadow, ws.path("predictions"))
     return shadow

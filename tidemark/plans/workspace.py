@@ -18,8 +18,13 @@ class Workspace:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def curated(self, spark: SparkSession) -> DataFrame:
-        return read_curated(spark, self.path("curated"))
+    def curated(self, spark: SparkSession, since=None, before=None) -> DataFrame:
+        return read_curated(spark, self.path("curated"), since, before)
+
+    def feature_inputs(self, spark: SparkSession, calendar: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Lines from the first window of ``calendar`` on, and the lines before it."""
+        start = calendar.agg(F.min("feature_start")).first()[0]
+        return self.curated(spark, since=start), self.curated(spark, before=start)
 
     def manifest(self, spark: SparkSession) -> DataFrame:
         return history.read_manifest(spark, self.path("manifest"))

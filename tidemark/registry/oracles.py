@@ -336,6 +336,7 @@ feature_query("customer_features", TX, order_cal("fe"), FEATURE_NAMES)
 feature_query("training_dataset", TX, order_cal("oe"), FEATURE_NAMES, label=True)
 feature_query("event_training_dataset", EV, EVENT_CAL, FEATURE_NAMES, label=True)
 feature_query("scoring_dataset", TX, ASOF_ORDERS, FEATURE_NAMES, number=False)
+feature_query("windowed_scoring", TX, ASOF_ORDERS, FEATURE_NAMES, "WHERE snapshot_date >= TIMESTAMP '2001-07-01'", number=False)
 feature_query("event_scoring_dataset", EV, ASOF_EVENTS, FEATURE_NAMES, number=False)
 
 INTERVAL = """pr AS (SELECT DISTINCT cust, invoice, d FROM tx WHERE qty > 0),
@@ -548,3 +549,29 @@ ca AS (SELECT CAST(fe AS DATE) AS sd, (SELECT max(v) FROM pm WHERE month <= fe)
     "snapshot_date:d=sd; model_type:s='gbt'; official_version:s=v1; shadow_version:s=(SELECT max(v) FROM pm WHERE v < v1)",
     "FROM ca WHERE v1 IS NOT NULL",
 )
+
+# --- stored tables
+TEXT_LINE = LINE.replace("Invoice:i", "Invoice:s").replace("StockCode:i", "StockCode:s")
+add("csv_scan", TX, TEXT_LINE, "FROM tx")
+add("curated_store", TX, LINE, "FROM (SELECT DISTINCT invoice, stock, qty, d, price, cust FROM tx)")
+add("streamed_store", TX, TEXT_LINE, "FROM (SELECT DISTINCT invoice, stock, qty, d, price, cust FROM tx)")
+add(
+    "prediction_sink", SCORED,
+    f"{KEY}; CustomerID:i; churn_probability:f=p; predicted_churn:i; risk_tier:s={TIER.format('p')}",
+    "FROM pred",
+)
+add(
+    "execution_history", SCORED,
+    "snapshot_date:d; execution_id:s='20020102T000000Z-b'; CustomerID:i; churn_probability:f=p",
+    "FROM pred WHERE prediction_role = 'shadow'",
+)
+feature_query("feature_snapshot", TX, order_cal("fe"), FEATURE_NAMES)
+add(
+    "manifest_log", FILES,
+    "source_file:s; sha256:s; snapshot_date:d=sd; status:s; raw_rows:i; recorded_at:s=strftime(sd, '%Y-%m-%d') || 'T01:00:00Z'",
+    "FROM ma",
+)
+add(
+    "report_sinks", f"{TX}, {MONTHLY}, fm AS (SELECT unnest(['json', 'csv', 'parquet']) AS format)",
+    "month:d; tx_count:i; customer_count:i; revenue:f; format:s", "FROM mv, fm",
+)

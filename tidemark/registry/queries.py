@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -9,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.functions.numeric import risk_tier
 from tidemark.functions.temporal import day_of, month_start
 from tidemark.operators import calendar as cal
-from tidemark.operators import calibration, delayed, drift, features, governance, labels, lineage, metrics, quality, scoring
+from tidemark.operators import calibration, delayed, drift, features, governance, labels, lineage, metrics, models, quality, scoring
 from tidemark.params import LABEL, SplitPlan
 from tidemark.registry import frames as fr
-from tidemark.session import written
+from tidemark.session import shared_dir, written
 from tidemark.sources import history, transactions
+from tidemark.streaming import ingest as streaming
 from tidemark.sources.adapters import EVENT_PLAN, ORDER_PLAN, event_lines, order_lines, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -248,6 +250,15 @@ def scoring_dataset(spark, sf):
     return features.scoring_dataset(order_lines(spark, sf), calendar)
 
 
+@query
+def windowed_scoring(spark, sf):
+    """The newest two scoring dates from the lines of their windows; older lines give only first sales."""
+    tx, d = order_lines(spark, sf), F.col("InvoiceDate")
+    dates = fr.month_starts(spark, sf).where(F.col("as_of") >= day("2001-07-01"))
+    start = moment("2001-02-01")
+    return features.scoring_dataset(tx.where(d >= start), cal.scoring_calendar(dates, ORDER_PLAN), tx.where(d < start))
+
+
 @query
 def event_scoring_dataset(spark, sf):
     dates = read_table(spark, sf, "events").select(day_of(F.col("ts")).alias("as_of")).distinct()
@@ -529,6 +540,152 @@ def latest_execution(spark, sf):
 @query
 def champion_asof(spark, sf):
     cohorts = fr.scorable(spark, sf).select(day_of(F.col("feature_end")).alias("snapshot_date"))
-    return lineage.champion_asof(cohorts, fr.promotions(spark, sf))
+    return lineage.champion_asof(cohorts, fr.promotions(spark, sf), "gbt")
+
+
+
+
+# --- stored tables: written to the shared folder and read back -------------------------------------------
+
+
+def _folder(spark, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _csv_drop(spark, sf) -> str:
+    """The order lines as a delivered CSV folder."""
+    path = _folder(spark, "drop")
+    when = F.date_format("InvoiceDate", transactions.CSV_TIME_FORMAT)
+    order_lines(spark, sf).withColumn("InvoiceDate", when).write.option("header", True).csv(path)
+    return path
+
+
+@query
+def csv_scan(spark, sf):
+    return transactions.scan_transactions(spark, _csv_drop(spark, sf))
+
+
+@query
+def curated_store(spark, sf):
+    """Two overlapping batches merged month by month."""
+    store, tx, d = _folder(spark, "store"), order_lines(spark, sf), F.col("InvoiceDate")
+    transactions.update_curated(spark, store, tx.where(d < moment("2001-05-01")))
+    transactions.update_curated(spark, store, tx.where(d >= moment("2001-02-01")))
+    return transactions.read_curated(spark, store)
+
+
+@query
+def streamed_store(spark, sf):
+    """The CSV folder loaded as a stream, and loaded again without effect."""
+    drop, store, state = _csv_drop(spark, sf), _folder(spark, "store"), _folder(spark, "state")
+    for _ in range(2):
+        streaming.stream_transactions(spark, drop, store, _folder(spark, "quarantine"), state).awaitTermination()
+    return transactions.read_curated(spark, store)
+
+
+@query
+def prediction_sink(spark, sf):
+    path = _folder(spark, "predictions")
+    history.write_predictions(fr.predictions(spark, sf), path)
+    cols = (*COHORT, "CustomerID", "churn_probability", "predicted_churn", "risk_tier")
+    return history.read_history(spark, path).select(*cols)
+
+
+@query
+def execution_history(spark, sf):
+    """Two executions of every cohort side by side; the newest is read back."""
+    path, p = _folder(spark, "executions"), fr.predictions(spark, sf)
+    history.write_execution(p.where(F.col("prediction_role") == "official"), path, "20020101T000000Z-a")
+    history.write_execution(p.where(F.col("prediction_role") == "shadow"), path, "20020102T000000Z-b")
+    return lineage.latest_execution(history.read_history(spark, path)).select(
+        "snapshot_date", "execution_id", "CustomerID", "churn_probability"
+    )
+
+
+@query
+def feature_snapshot(spark, sf):
+    path = _folder(spark, "features")
+    history.write_feature_snapshot(features.customer_features(order_lines(spark, sf), fr.scorable(spark, sf)), path)
+    return history.read_history(spark, path)
+
+
+@query
+def manifest_log(spark, sf):
+    path = _folder(spark, "manifest")
+    history.append_manifest(fr.month_manifest(spark, sf), path)
+    return history.read_manifest(spark, path).select("source_file", "sha256", "snapshot_date", "status", "raw_rows", "recorded_at")
+
+
+@query
+def report_sinks(spark, sf):
+    """The monthly volume written as JSON, CSV and parquet, read back and stacked."""
+    m, out = quality.monthly_volume(order_lines(spark, sf)), []
+    for fmt in ("json", "csv", "parquet"):
+        path = _folder(spark, fmt)
+        history.write_report(m, path, fmt)
+        reader = spark.read.schema(m.schema)
+        df = (reader.option("header", True) if fmt == "csv" else reader).format(fmt).load(path)
+        out.append(df.withColumn("format", F.lit(fmt)))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+@query
+def file_inventory(spark, sf):
+    """Size and content hash of the files of a delivered folder."""
+    files = history.file_inventory(spark, _csv_drop(spark, sf), "*.csv")
+    return files.select(F.element_at(F.split("source_file", "/"), -1).alias("file"), "bytes", "sha256")
+
+
+# --- models: no SQL restates a fit, so these are checked by their row counts and the unit tests -------------
+
+
+def _split(spark, sf):
+    return written(split_dataset(spark, sf), "split")
 
 
+@query
+def forest_importance(spark, sf):
+    """Importance of the frozen random forest fitted on the rolling training snapshots."""
+    rows = _split(spark, sf).where(F.col("split") == "train")
+    return models.feature_importance(models.fit(models.production_candidate("random_forest")[0], rows))
+
+
+@query
+def logistic_scores(spark, sf):
+    rows = _split(spark, sf)
+    model = models.fit(models.logistic_regression(), rows.where(F.col("split") == "train"))
+    return models.probabilities(model, rows.where(F.col("split") == "val"), ["snapshot_no", "CustomerID"])
+
+
+@query
+def boosted_scores(spark, sf):
+    """Scores of a short boosting run, with absent features kept visible to the trees."""
+    rows = _split(spark, sf)
+    params = {**models.FROZEN["gradient_boosting"], "n_estimators": 10}
+    model = models.fit(models.gradient_boosting(**params), rows.where(F.col("split") == "train"))
+    return models.probabilities(model, rows.where(F.col("split") == "val"), ["snapshot_no", "CustomerID"])
+
+
+@query
+def forward_validation(spark, sf):
+    rows = _split(spark, sf).where(F.col("split") == "train")
+    folds = models.forward_validation(models.random_forest(n_estimators=20), rows)
+    return spark.createDataFrame(
+        [(",".join(map(str, f["train_snapshots"])), f["validation_snapshot"], f["roc_auc"]) for f in folds],
+        "train_snapshots string, validation_snapshot int, roc_auc double",
+    )
+
+
+@query
+def model_comparison(spark, sf):
+    """A forest and a logistic challenger on the validation cohort, each at its own best threshold."""
+    rows = _split(spark, sf)
+    train, val = rows.where(F.col("split") == "train"), rows.where(F.col("split") == "val")
+    parts = [
+        models.probabilities(models.fit(p, train), val, ["CustomerID", LABEL]).withColumn("model", F.lit(name))
+        for name, p in (("forest", models.random_forest(n_estimators=20)), ("logistic", models.logistic_regression()))
+    ]
+    scored = written(parts[0].unionByName(parts[1]), "scored")
+    best = metrics.best_threshold(metrics.threshold_sweep(metrics.score_table(scored, ["model"], LABEL), ["model"]), ["model"])
+    scores = metrics.score_table(scored.join(F.broadcast(best), "model"), ["model"], LABEL, threshold=F.col("best_threshold"))
+    return metrics.model_evaluation(scores, ["model"])

@@ -93,14 +93,23 @@ def curate(history: DataFrame, batch: DataFrame) -> DataFrame:
     return history.unionByName(batch, allowMissingColumns=True).dropDuplicates()
 
 
-def read_curated(spark: SparkSession, path: str) -> DataFrame:
-    """The curated store, or an empty table of its schema before the first write."""
+def read_curated(spark: SparkSession, path: str, since=None, before=None) -> DataFrame:
+    """The curated store, or an empty table of its schema before the first write.
+
+    ``since`` and ``before`` (times) cut the lines, and the months that are read at all.
+    """
     try:
-        return spark.read.parquet(path).drop("invoice_month")
+        store = spark.read.parquet(path)
     except AnalysisException as e:
         if not is_missing(e):
             raise
         return spark.createDataFrame([], TRANSACTIONS)
+    month = F.col("invoice_month")
+    if since is not None:
+        store = store.where((month >= F.trunc(F.lit(since).cast("date"), "month")) & (F.col("InvoiceDate") >= F.lit(since).cast("timestamp_ntz")))
+    if before is not None:
+        store = store.where((month <= F.lit(before).cast("date")) & (F.col("InvoiceDate") < F.lit(before).cast("timestamp_ntz")))
+    return store.drop("invoice_month")
 
 
 def write_curated(df: DataFrame, path: str) -> None:
