@@ -90,8 +90,9 @@ def delayed_evaluation(resolved: DataFrame, cohort: Sequence[str] = COHORT, bins
     ece = expected_calibration_error(calibration_deciles(resolved, cohort, LABEL, bins=bins), cohort)
     return (
         c.select(*cohort, F.col("n").alias("n_resolved"), *[v.alias(k) for k, v in m.items()])
-        .join(ranking_metrics(scores, cohort), list(cohort))
-        .join(ece, list(cohort))
+        # One row per prediction set on every side.
+        .join(F.broadcast(ranking_metrics(scores, cohort)), list(cohort))
+        .join(F.broadcast(ece), list(cohort))
     )
 
 
@@ -119,8 +120,8 @@ def delayed_evaluation_stored(resolved: DataFrame, cohort: Sequence[str] = ("sna
     names = ("accuracy", "precision", "recall", "f1", "brier_score", "mean_churn_probability", "actual_churn_rate", "predicted_churn_rate")
     return (
         c.select(*cohort, F.col("n").alias("customers_evaluated"), "tn", "fp", "fn", "tp", *[m[k].alias(k) for k in names])
-        .join(ranking_metrics(scores, cohort), list(cohort))
-        .join(lineage, list(cohort))
+        .join(F.broadcast(ranking_metrics(scores, cohort)), list(cohort))
+        .join(F.broadcast(lineage), list(cohort))
     )
 
 

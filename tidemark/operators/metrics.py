@@ -120,7 +120,7 @@ def model_evaluation(scores: DataFrame, cohort: Sequence[str]) -> DataFrame:
     c = class_counts(scores, cohort)
     m = class_metrics(c)
     flat = c.select(*cohort, "n", "tn", "fp", "fn", "tp", *[v.alias(k) for k, v in m.items()])
-    return flat.join(ranking_metrics(scores, cohort), list(cohort))
+    return flat.join(F.broadcast(ranking_metrics(scores, cohort)), list(cohort))  # one row per cohort
 
 
 def threshold_sweep(scores: DataFrame, cohort: Sequence[str], thresholds: Sequence[float] = SWEEP_THRESHOLDS) -> DataFrame:

@@ -8,6 +8,8 @@ happens inside single cells, after equal values have collapsed. The groups are p
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -57,7 +59,13 @@ def quantiles(df: DataFrame, group: Sequence[str], value: str, points: Sequence[
     pos = F.transform(F.array(*[F.lit(float(p)) for p in points]), lambda p: p * (F.col("n") - 1))
     ranks = F.array_distinct(F.concat(F.transform(pos, lambda p: F.floor(p)), F.transform(pos, lambda p: F.ceil(p))))
 
-    # The wanted ranks with their cells: at most two per point and group, small enough for every task.
+
+    def holds(first: Column, count: Column) -> Column:
+        """Does [first, first + count) hold a wanted rank? Plain comparisons, as it is asked of many rows."""
+        at_point = [F.lit(float(p)) * (F.col("n") - 1) for p in points]
+        return functools.reduce(operator.or_, [(F.floor(x) < first + count) & (F.ceil(x) >= first) for x in at_point])
+
+    # The cells that hold a wanted rank: at most two per point and group, small enough for every task.
     cells = per_cell.select(
         *g,
         "cell",
@@ -65,17 +73,16 @@ def quantiles(df: DataFrame, group: Sequence[str], value: str, points: Sequence[
         F.sum("in_cell").over(whole).alias("n"),
         (F.sum("in_cell").over(upto) - F.col("in_cell")).alias("before"),
     )
-    held = F.filter(ranks, lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("in_cell")))
-    wanted = F.broadcast(cells.select(*g, "cell", "n", "before", F.explode(held).alias("rank")))
+    wanted = cells.where(holds(F.col("before"), F.col("in_cell"))).drop("in_cell")
     inside = Window.partitionBy(*g, "cell").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    at_or_below = F.col("before") + F.col("upto")
+    copies = F.col("copies")
     found = (
-        rows.join(wanted, [*g, "cell"], "left_semi")
+        rows.join(F.broadcast(wanted), [*g, "cell"])
         .groupBy(*g, "cell", value)
-        .agg(F.count("*").alias("copies"))
-        .withColumn("upto", F.sum("copies").over(inside))
-        .join(wanted, [*g, "cell"])
-        .where((F.col("rank") < at_or_below) & (F.col("rank") >= at_or_below - F.col("copies")))
+        .agg(F.count("*").alias("copies"), F.max("n").alias("n"), F.max("before").alias("before"))
+        .withColumn("first", F.col("before") + F.sum("copies").over(inside) - copies)
+        .where(holds(F.col("first"), copies))
+        .withColumn("rank", F.explode(F.filter(ranks, lambda r: (r >= F.col("first")) & (r < F.col("first") + copies))))
     )
     at = found.groupBy(*g).agg(F.max("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("rank", value))).alias("at"))
     return at.select(*g, "n", F.transform(pos, lambda p: _between(F.col("at"), p)).alias("q"))

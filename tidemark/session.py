@@ -21,6 +21,8 @@ def local_session(cpus: int = 8, app: str = "tidemark", memory: str = "12g") ->
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Repeated queries keep their compiled code.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         # Small inputs still use every core of one machine.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
