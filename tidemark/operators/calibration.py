@@ -18,20 +18,27 @@ def cut_points(bins: int) -> list[float]:
     return [i * (1.0 / bins) * 100.0 / 100.0 for i in range(1, bins)]
 
 
-def _bin_of(rank: Column, n: Column, bins: int) -> Column:
+def _edges(n: Column, bins: int) -> Column:
+    """Inner edges between the ranks 1..n, interpolated from the nearer rank."""
+
+    def edge(point: Column) -> Column:
+        pos = point * (n - 1)
+        lo = F.floor(pos)
+        t = pos - lo
+        return F.when(t < 0.5, lo + 1 + t).otherwise(lo + 2 - (1 - t))
+
+    points = F.array(*[F.lit(p) for p in cut_points(bins)]).cast("array<double>")
+    return F.transform(points, edge)
+
+
+def _bin_of(rank: Column, n: Column, edges: Column, bins: int) -> Column:
     """Bin of a 1-based rank among ``n`` when the ranks are cut at equal quantiles, right-closed.
 
     Only the inner edge nearest to the rank can be in doubt; all lower ones lie below it. With fewer
     ranks than bins every rank is a bin of its own.
     """
-    if bins < 2:
-        return F.lit(1)
     nearest = F.rint((rank - 1) * bins / F.greatest(n - 1, F.lit(1))).cast("int")
-    pos = F.get(F.array(*[F.lit(p) for p in cut_points(bins)]), nearest - 1) * (n - 1)
-    lo = F.floor(pos)
-    t = pos - lo
-    edge = F.when(t < 0.5, lo + 1 + t).otherwise(lo + 2 - (1 - t))
-    above = F.greatest(nearest, F.lit(1)) + F.coalesce((rank > edge).cast("int"), F.lit(0))
+    above = F.greatest(nearest, F.lit(1)) + F.coalesce((rank > F.get(edges, nearest - 1)).cast("int"), F.lit(0))
     return F.when(n < bins, rank).otherwise(F.least(above, F.lit(bins))).cast("int")
 
 
@@ -60,19 +67,28 @@ def calibration_deciles(
     )
     block = [*g, "p", "ids"]
     r = running_totals(scored.withColumn("rows", F.lit(1)), g, ["p", "ids"], ["rows", "y"])
-    r = r.withColumn("first_bin", _bin_of(F.col("rows_below") + 1, F.col("rows_total"), bins)).withColumn(
-        "last_bin", _bin_of(F.col("rows_below") + F.col("rows"), F.col("rows_total"), bins)
+    # The edges depend on the size of the cohort alone: one small row per cohort.
+    sizes = scored.groupBy(*g).agg(F.count("*").alias("n_all")).withColumn("edges", _edges(F.col("n_all"), bins))
+    where = lambda rank: _bin_of(rank, F.col("n_all"), F.col("edges"), bins)
+    r = r.join(F.broadcast(sizes), g).select(
+        *block,
+        "rows",
+        "y",
+        "rows_below",
+        where(F.col("rows_below") + 1).alias("first_bin"),
+        where(F.col("rows_below") + F.col("rows")).alias("last_bin"),
     )
     inside = r.where(F.col("first_bin") == F.col("last_bin")).select(
         *g, F.col("first_bin").alias("risk_decile"), F.col("rows").alias("n"), (F.col("p") * F.col("rows")).alias("sum_p"), F.col("y").alias("pos")
     )
     # At most bins - 1 blocks per cohort, and cohorts follow the calendar.
-    crossing = F.broadcast(r.where(F.col("first_bin") < F.col("last_bin")).select(*block, "rows_below", "rows_total"))
+    crossing = F.broadcast(r.where(F.col("first_bin") < F.col("last_bin")).select(*block, "rows_below"))
     place = F.row_number().over(Window.partitionBy(*block).orderBy(customer))
     split = (
         scored.join(crossing, block)
         .withColumn("rank", F.col("rows_below") + place)
-        .groupBy(*g, _bin_of(F.col("rank"), F.col("rows_total"), bins).alias("risk_decile"))
+        .join(F.broadcast(sizes), g)
+        .groupBy(*g, where(F.col("rank")).alias("risk_decile"))
         .agg(F.count("*").alias("n"), F.sum("p").alias("sum_p"), F.sum("y").alias("pos"))
     )
     mean_p, rate = F.col("sum_p") / F.col("n"), F.col("pos") / F.col("n")
