@@ -12,9 +12,9 @@ from tidemark.operators import models
 from tidemark.params import LABEL, SnapshotPlan, SplitPlan
 from tidemark.plans.alerts import evaluate_alerts
 from tidemark.plans.evaluate import resolve_matured
-from tidemark.plans.ingest import bootstrap_store, ingest_batch
+from tidemark.plans.ingest import bootstrap_store, ingest_batch, reconstruct_history
 from tidemark.plans.retrain import retrain
-from tidemark.plans.score import backfill_shadow, monthly_score
+from tidemark.plans.score import backfill_shadow, monthly_run, monthly_score
 from tidemark.plans.workspace import Workspace
 
 PLAN = SnapshotPlan(start=date(2009, 12, 1), feature=2, outcome=1, step=1)
@@ -95,10 +95,26 @@ def test_life_of_a_model(spark, tmp_path):
     assert len(alerts) == 2 and all(a.overall_status for a in alerts)
 
     with pytest.raises(RuntimeError):
-        backfill_shadow(spark, ws, "2010-07-01", "random_forest", "b", PLAN)  # v1 replaced nothing
-    assert backfill_shadow(spark, ws, "2010-08-01", "random_forest", "b", PLAN).count() > 30
+        backfill_shadow(spark, ws, "2010-07-01", "b", PLAN)  # v1 replaced nothing
+    assert backfill_shadow(spark, ws, "2010-08-01", "b", PLAN, "2010-09-01").count() > 30
     assert ws.champion(spark, "random_forest", "2010-07-15").version == "v1"
 
+    month = monthly_run(spark, ws, path(2010, 9), "2010-10-01", "random_forest", "run-3", PLAN)
+    assert month["new_ingestion"] and month["prediction_sets_evaluated"] == 0 and month["active_customers"] > 30
+
+
+def test_history_from_two_feeds(spark, tmp_path):
+    for y, m in ((2010, 1), (2010, 2)):
+        (tmp_path / f"{m}").mkdir()
+        (tmp_path / f"{m}" / "lines.csv").write_text(month_csv(y, m))
+    old, new = str(tmp_path / "1"), str(tmp_path / "2")
+    clean = reconstruct_history(spark, old, new, "2010-02-15")
+    assert clean.agg(F.max("InvoiceDate")).first()[0] < datetime(2010, 2, 15)
+    with pytest.raises(ValueError, match="overlap"):
+        reconstruct_history(spark, new, old, "2010-03-01")
+    with pytest.raises(ValueError, match="replay"):
+        reconstruct_history(spark, old, new, "2010-02-01", whole_bootstrap=True)
+
 
 @pytest.fixture(scope="module")
 def panel(spark):

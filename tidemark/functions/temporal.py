@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import date, datetime
+
 from pyspark.sql import Column, functions as F
 
 
+def moment(when: datetime | date | str) -> Column:
+    """A literal wall-clock time. Passed as text: a Python datetime would go through the machine's zone."""
+    return F.lit(when if isinstance(when, str) else when.isoformat()).cast("timestamp_ntz")
+
+
 def day_of(ts: Column) -> Column:
     return ts.cast("date")
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tidemark.functions.temporal import day_of, midnight, month_index, shift
+from tidemark.functions.temporal import day_of, midnight, moment, month_index, shift
 from tidemark.params import SnapshotPlan, SplitPlan
 
 
@@ -19,7 +19,7 @@ def coverage_of(tx: DataFrame) -> DataFrame:
 
 def known_coverage(spark: SparkSession, coverage_end) -> DataFrame:
     """A declared boundary as the one-row table the calendars take. It costs no scan of the facts."""
-    return spark.range(0, 1, 1, 1).select(F.lit(coverage_end).cast("timestamp_ntz").alias("coverage_end"))
+    return spark.range(0, 1, 1, 1).select(moment(coverage_end).alias("coverage_end"))
 
 
 def manifest_coverage(manifest: DataFrame, tx: DataFrame) -> DataFrame:
@@ -145,9 +145,14 @@ def rolling_split(calendar: DataFrame, split: SplitPlan, end_snapshot: int | Non
 
 
 def fixed_split(calendar: DataFrame, split: SplitPlan) -> DataFrame:
-    """``snapshot_no, split`` counted from snapshot 1."""
+    """``snapshot_no, split`` counted from snapshot 1; empty when there are too few snapshots."""
     pos = F.col("snapshot_no") - 1
-    return calendar.where(pos < split.total).select("snapshot_no", _split_name(pos, split).alias("split"))
+    known = F.max("snapshot_no").over(Window.partitionBy())
+    return (
+        calendar.select("snapshot_no", known.alias("known"))
+        .where((pos < split.total) & (F.col("known") >= split.total))
+        .select("snapshot_no", _split_name(pos, split).alias("split"))
+    )
 
 
 def _split_name(pos: Column, split: SplitPlan) -> Column:

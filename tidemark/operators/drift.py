@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.numeric import finite
 from tidemark.operators.ordering import quantiles
@@ -115,6 +115,15 @@ def drift_rollup(report: DataFrame, group: Sequence[str] = ("pair",), temporal:
     )
 
 
+def top_drift(report: DataFrame, n: int = 5, group: Sequence[str] = ("pair",)) -> DataFrame:
+    """The ``n`` features that drifted most, per pair; an unknown index ranks last, ties go by name.
+
+    A report has one row per feature, so a pair is a handful of rows.
+    """
+    place = F.row_number().over(Window.partitionBy(*group).orderBy(F.desc_nulls_last("psi"), "feature"))
+    return report.withColumn("place", place).where(F.col("place") <= n)
+
+
 def drift_status(psi: Column, policy: DriftPolicy = DriftPolicy()) -> Column:
     return (
         F.when(psi.isNull(), "NOT_AVAILABLE")

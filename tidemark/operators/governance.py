@@ -50,11 +50,6 @@ def promotion_decision(pairs: DataFrame, policy: GuardrailPolicy = GuardrailPoli
     )
 
 
-def first_promotion(challengers: DataFrame) -> DataFrame:
-    """A challenger without a champion is promoted as it is."""
-    return challengers.withColumn("promote", F.lit(True)).withColumn("reason", F.lit("no_champion"))
-
-
 def resolve_reference(metadata: DataFrame, sources: Sequence[str] = ("test_metrics", "validation_metrics", "metrics")) -> DataFrame:
     """The first metric struct that has any of the reference metrics, with its name."""
 

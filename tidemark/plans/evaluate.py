@@ -29,6 +29,7 @@ def resolve_matured(spark: SparkSession, ws: Workspace, current: str, plan: Snap
     outcome = _labels(spark, ws, todo, current, plan)
     resolved = written(delayed.resolved_predictions(todo, outcome), "resolved")
     delayed.require_unique(resolved, [*delayed.COHORT, "CustomerID"])
+    history.write_predictions(resolved, ws.path("evaluated"))
     metrics = delayed.delayed_evaluation(resolved)
     metrics = metrics.unionByName(delayed.unevaluable_sets(sets, metrics), allowMissingColumns=True)
     metrics = written(metrics.withColumn("evaluated_at", F.lit(current)), "metrics")

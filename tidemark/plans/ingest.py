@@ -10,7 +10,14 @@ from tidemark.params import QualityPolicy
 from tidemark.plans.workspace import Workspace
 from tidemark.session import written
 from tidemark.sources import history
-from tidemark.sources.transactions import clean_transactions, recent_months, scan_transactions, update_curated
+from tidemark.sources.transactions import (
+    clean_transactions,
+    point_in_time_union,
+    recent_months,
+    require_disjoint,
+    scan_transactions,
+    update_curated,
+)
 
 
 def _record(spark: SparkSession, ws: Workspace, files: DataFrame, **fields) -> None:
@@ -54,3 +61,20 @@ def bootstrap_store(spark: SparkSession, ws: Workspace, sources: list[str], poli
     raw = scan_transactions(spark, sources)
     quality.require_quality(quality.structural_quality(raw, policy))
     update_curated(spark, ws.path("curated"), clean_transactions(raw))
+
+
+def reconstruct_history(
+    spark: SparkSession,
+    bootstrap: str | list[str],
+    replay: str | list[str],
+    as_of: str,
+    whole_bootstrap: bool = False,
+    policy: QualityPolicy = QualityPolicy(),
+) -> DataFrame:
+    """Clean history strictly before ``as_of`` from two CSV feeds, for runs that keep no store."""
+    cut = F.lit(as_of).cast("timestamp_ntz")
+    old, new = scan_transactions(spark, bootstrap), scan_transactions(spark, replay)
+    require_disjoint(old, new, cut, whole_bootstrap)
+    raw = point_in_time_union(old, new, cut)
+    quality.require_quality(quality.structural_quality(raw, policy))
+    return clean_transactions(raw)

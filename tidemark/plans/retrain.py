@@ -96,7 +96,9 @@ def retrain(
     tested = evaluate(models.probabilities(model, part["test"], ["CustomerID", LABEL]), threshold)
     models.save_model(model, ws.path("models"), version)
     sample = scoring.reference_sample(part["train"], DriftPolicy().baseline_rows, ["snapshot_date", "CustomerID"])
+    sample = written(sample, "sample")
     history.write_report(sample, ws.path(f"baselines/features/{version}"))
+    history.write_report(models.probabilities(model, sample, []), ws.path(f"baselines/training_scores/{version}"))
     history.write_report(val.select("churn_probability"), ws.path(f"baselines/scores/{version}"))
     history.write_report(sweep, ws.path(f"reports/{version}/threshold_sweep"), "csv")
     if hasattr(model.stages[-1], "featureImportances"):

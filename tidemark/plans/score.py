@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.operators import drift, features, models, scoring
+from tidemark.operators import delayed, drift, features, models, scoring
 from tidemark.operators.calendar import scoring_calendar
 from tidemark.params import SnapshotPlan
+from tidemark.plans.evaluate import resolve_matured
+from tidemark.plans.ingest import ingest_batch
 from tidemark.plans.workspace import Workspace
 from tidemark.session import written
 from tidemark.sources import history
@@ -104,9 +106,17 @@ def monitoring_row(spark, ws: Workspace, rows: DataFrame, official: DataFrame, m
 
 
 def backfill_shadow(
-    spark: SparkSession, ws: Workspace, snapshot_date: str, model_type: str, run_id: str, plan: SnapshotPlan = SnapshotPlan()
+    spark: SparkSession,
+    ws: Workspace,
+    snapshot_date: str,
+    run_id: str,
+    plan: SnapshotPlan = SnapshotPlan(),
+    coverage: str | None = None,
 ) -> DataFrame:
-    """Score a past cohort with the model that its official champion had replaced."""
+    """Score a past cohort with the model that its official champion had replaced.
+
+    With ``coverage`` (the data-through date) the new set is evaluated at once if it is mature.
+    """
     stored = ws.table(spark, "predictions").where(
         (F.col("snapshot_date") == F.lit(snapshot_date).cast("date")) & (F.col("prediction_role") == "official")
     )
@@ -117,6 +127,21 @@ def backfill_shadow(
     if not previous or previous == version:
         raise RuntimeError(f"no model preceded {version}")
     rows = cohort_features(spark, ws, snapshot_date, plan)
-    shadow = score_with(spark, ws, rows, version_meta(spark, ws, previous), "shadow", run_id, plan)
+    shadow = written(score_with(spark, ws, rows, version_meta(spark, ws, previous), "shadow", run_id, plan), "shadow")
     history.write_predictions(shadow, ws.path("predictions"))
+    if coverage is not None:
+        resolve_matured(spark, ws, coverage, plan)
     return shadow
+
+
+def monthly_run(
+    spark: SparkSession, ws: Workspace, source: str, snapshot_date: str, model_type: str, run_id: str, plan: SnapshotPlan = SnapshotPlan()
+) -> dict:
+    """One month: load the batch, score the cohort, evaluate what has matured. Returns the run summary."""
+    loaded = ingest_batch(spark, ws, source, snapshot_date)
+    row = monthly_score(spark, ws, snapshot_date, model_type, run_id, plan).first().asDict()
+    resolved = resolve_matured(spark, ws, snapshot_date, plan)
+    counts = {"prediction_sets_evaluated": 0, "cohorts_evaluated": 0}
+    if resolved is not None:
+        counts = delayed.resolved_rollup(resolved).first().asDict()
+    return {"new_ingestion": loaded, **row, **counts}

@@ -288,6 +288,7 @@ add(
     "fold:i=v.n - 1; role:s=CASE WHEN t.n = v.n THEN 'validate' ELSE 'train' END; snapshot_no:i=t.n",
     "FROM cal v JOIN cal t ON t.n <= v.n WHERE v.n >= 2",
 )
+add("fixed_split", f"{TX}, {ORDER_OE}", "snapshot_no:i=n; split:s=CASE WHEN n <= 3 THEN 'train' WHEN n <= 5 THEN 'val' ELSE 'test' END", "FROM cal WHERE n <= 6")
 MONTHS = "mo AS (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS a FROM orders)"
 add(
     "cadence_gates", MONTHS,
@@ -388,6 +389,10 @@ rep AS (SELECT x.pair, x.feature, psi, CASE WHEN x.feature = 'tenure_days' THEN
 roll AS (SELECT pair, max(psi) AS mx, max(psi) FILTER (drift_type = 'behavioral') AS mb, max(psi) FILTER (feature = 'tenure_days') AS mt FROM rep GROUP BY pair)"""
 )
 add("feature_drift", DRIFT, "pair:i; feature:s; psi:f; drift_type:s", "FROM rep")
+add(
+    "top_drift", DRIFT + ", tp AS (SELECT *, row_number() OVER (PARTITION BY pair ORDER BY psi DESC NULLS LAST, feature) AS place FROM rep)",
+    "pair:i; feature:s; psi:f; drift_type:s; place:i", "FROM tp WHERE place <= 5",
+)
 add("drift_rollup", DRIFT, "pair:i; max_feature_psi:f=mx; max_behavioral_feature_psi:f=mb; temporal_psi_tenure_days:f=mt", "FROM roll")
 
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.numeric import risk_tier
-from tidemark.functions.temporal import day_of, month_start
+from tidemark.functions.temporal import day_of, moment, month_start
 from tidemark.operators import calendar as cal
 from tidemark.operators import calibration, delayed, drift, features, governance, labels, lineage, metrics, models, quality, scoring
 from tidemark.params import LABEL, SplitPlan
@@ -34,10 +34,6 @@ def day(text: str):
     return F.lit(text).cast("date")
 
 
-def moment(text: str):
-    return F.lit(text).cast("timestamp_ntz")
-
-
 # --- sources and cleaning -------------------------------------------------------------------------
 
 
@@ -174,6 +170,11 @@ def rolling_split(spark, sf):
     return cal.rolling_split(cal.labelled_calendar(cal.coverage_of(order_lines(spark, sf)), ORDER_PLAN), SPLIT)
 
 
+@query
+def fixed_split(spark, sf):
+    return cal.fixed_split(cal.labelled_calendar(cal.coverage_of(order_lines(spark, sf)), ORDER_PLAN), SplitPlan(3, 2, 1))
+
+
 @query
 def forward_folds(spark, sf):
     return cal.forward_folds(cal.labelled_calendar(cal.coverage_of(order_lines(spark, sf)), ORDER_PLAN))
@@ -326,6 +327,11 @@ def feature_drift(spark, sf):
     return _feature_report(spark, sf)
 
 
+@query
+def top_drift(spark, sf):
+    return drift.top_drift(_feature_report(spark, sf))
+
+
 @query
 def drift_rollup(spark, sf):
     return drift.drift_rollup(_feature_report(spark, sf))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.functions.temporal import month_start
+from tidemark.functions.temporal import day_of, moment, month_start
 from tidemark.session import written
 
 # Fixed value: the timestamp layout of the CSV feeds.
@@ -106,9 +106,9 @@ def read_curated(spark: SparkSession, path: str, since=None, before=None) -> Dat
         return spark.createDataFrame([], TRANSACTIONS)
     month = F.col("invoice_month")
     if since is not None:
-        store = store.where((month >= F.trunc(F.lit(since).cast("date"), "month")) & (F.col("InvoiceDate") >= F.lit(since).cast("timestamp_ntz")))
+        store = store.where((month >= month_start(moment(since))) & (F.col("InvoiceDate") >= moment(since)))
     if before is not None:
-        store = store.where((month <= F.lit(before).cast("date")) & (F.col("InvoiceDate") < F.lit(before).cast("timestamp_ntz")))
+        store = store.where((month <= day_of(moment(before))) & (F.col("InvoiceDate") < moment(before)))
     return store.drop("invoice_month")
 
 
@@ -172,11 +172,18 @@ def feed_overlap(bootstrap: DataFrame, replay: DataFrame) -> DataFrame:
     )
 
 
-def require_disjoint(bootstrap: DataFrame, replay: DataFrame, as_of=None) -> None:
-    """Refuse to double-count: every bootstrap line must precede every replay line."""
+def require_disjoint(bootstrap: DataFrame, replay: DataFrame, as_of=None, whole_bootstrap: bool = False) -> None:
+    """Refuse to double-count: every bootstrap line must precede every replay line.
+
+    With ``as_of`` only the lines before it count. ``whole_bootstrap`` is the stricter rule of
+    retraining: the bootstrap is judged uncut, and some replay line must exist.
+    """
     if as_of is not None:
         known = F.col("InvoiceDate") < as_of
-        bootstrap, replay = bootstrap.where(known), replay.where(known)
+        replay = replay.where(known)
+        bootstrap = bootstrap if whole_bootstrap else bootstrap.where(known)
     row = feed_overlap(bootstrap, replay).first()
+    if whole_bootstrap and row.replay_min is None:
+        raise ValueError("no replay lines before the cutoff")
     if row.overlaps:
         raise ValueError(f"feeds overlap: bootstrap ends {row.bootstrap_max}, replay starts {row.replay_min}")
