@@ -10,7 +10,7 @@ import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
-from tidemark.functions.numeric import order_cell
+from tidemark.functions.numeric import BAND_DENSITY, CELL_DENSITY, order_cell
 from tidemark.operators.calibration import calibration_deciles, expected_calibration_error
 from tidemark.operators.ordering import quantiles, running_totals
 
@@ -42,8 +42,12 @@ def test_order_cell_never_decreases(spark):
     rng = random.Random(5)
     v = sorted([rng.uniform(-1e6, 1e6) for _ in range(3000)] + [rng.uniform(-1, 1) for _ in range(3000)] + [0.0, -0.0])
     df = spark.createDataFrame([(i, x) for i, x in enumerate(v)], "i int, v double")
-    cells = [r.c for r in df.orderBy("i").select(order_cell(F.col("v")).alias("c")).collect()]
-    assert cells == sorted(cells)
+    for density in (BAND_DENSITY, CELL_DENSITY):
+        cells = [r.c for r in df.orderBy("i").select(order_cell(F.col("v"), density).alias("c")).collect()]
+        assert cells == sorted(cells)
+    # Band 0 lies on both sides of zero, the others hold CELL_DENSITY / BAND_DENSITY cells.
+    per = df.select(order_cell(F.col("v"), CELL_DENSITY).alias("c"), order_cell(F.col("v"), BAND_DENSITY).alias("b")).distinct()
+    assert per.groupBy("b").agg(F.max("c") - F.min("c")).agg(F.max("(max(c) - min(c))")).first()[0] <= 2 * CELL_DENSITY // BAND_DENSITY
 
 
 def test_running_totals(spark):

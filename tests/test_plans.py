@@ -45,8 +45,8 @@ def test_no_row_multiplication_or_cross_join(spark, name):
 def test_windows_are_partitioned(spark, name):
     """No window over facts runs in a single task: each names its partition columns.
 
-    The cells of a single group may be ordered in one task: their number is bounded by the value range.
+    The bands of a single group may be ordered in one task: their number is bounded by the value range.
     """
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     for spec in re.findall(r"windowspecdefinition\(([^()]*)", plan):
-        assert spec.startswith("cell#") or not re.match(r"[\w#]+ (ASC|DESC)", spec.strip()), spec
+        assert spec.startswith("band#") or not re.match(r"[\w#]+ (ASC|DESC)", spec.strip()), spec

@@ -8,8 +8,9 @@ from tidemark.params import RISK_EDGES, RISK_LABELS
 
 # Amounts are summed as whole ten-thousandths: exact, and equal under any partitioning or retry.
 MONEY_SCALE = 10_000
-# Cells per unit of log1p; see order_cell.
-CELL_DENSITY = 8192
+# Bands and cells per unit of log1p; see order_cell. A band has 16,384 cells.
+BAND_DENSITY = 1 << 10
+CELL_DENSITY = 1 << 24
 
 
 def money_units(amount: Column) -> Column:
@@ -31,15 +32,15 @@ def finite(x: Column) -> Column:
     return F.when(~F.isnan(d) & (F.abs(d) < F.lit(float("inf"))), d)
 
 
-def order_cell(x: Column) -> Column:
+def order_cell(x: Column, density: int) -> Column:
     """A whole number that never decreases as ``x`` grows: the bucket of distributed ordering.
 
-    It depends on the value alone (no sampled ranges), so every branch of a plan and every retried
-    task agrees on it. Cells are equally wide on the log scale, which suits probabilities as well as
-    heavy-tailed amounts; the cells of one group number at most CELL_DENSITY * ln(1 + max|x|) each way.
+    It depends on the value alone (no sampled ranges). Cells are equally wide on the log scale, which
+    suits probabilities as well as heavy-tailed amounts; the cells of one group number at most
+    density * ln(1 + max|x|) each way.
     """
     d = x.cast("double")
-    return (F.signum(d) * F.floor(F.log1p(F.abs(d)) * CELL_DENSITY)).cast("bigint")
+    return (F.signum(d) * F.floor(F.log1p(F.abs(d)) * density)).cast("bigint")
 
 
 def risk_tier(p: Column) -> Column:

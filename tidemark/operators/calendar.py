@@ -89,7 +89,7 @@ def scoring_calendar(dates: DataFrame, plan: SnapshotPlan) -> DataFrame:
     """Trailing feature windows of arbitrary ``as_of`` dates; no outcome."""
     end = midnight(F.col("as_of"))
     start = shift(end, -plan.feature, plan.unit)
-    return dates.select(
+    return dates.select("as_of").distinct().select(
         F.date_format("as_of", "yyyyMMdd").cast("int").alias("snapshot_no"),
         start.alias("feature_start"),
         end.alias("feature_end"),

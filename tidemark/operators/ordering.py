@@ -1,9 +1,13 @@
 """Exact order statistics and running totals without putting a group into one task.
 
-A value's cell (functions.numeric.order_cell) depends on the value alone. Cell totals are combined on
-the map side and number a few thousand per group, so ordering *cells* is bounded; ordering *values*
-happens inside single cells, after equal values have collapsed. The groups are planning keys
-(snapshot, feature, model version, role): their number follows the calendar, not the facts.
+Values fall into *bands* and bands into *cells* (functions.numeric.order_cell at two densities). Both
+depend on the value alone, so every branch of a plan and every retried task agrees on them. Equal
+values collapse first, on the map side. Then three bounded orderings replace one unbounded one: the
+bands of a group, the cells of a band, and the values of a cell, the only one that sees the data and
+at a relative width below 1e-7. A band that holds a third of all rows spreads over its cells.
+
+The groups are planning keys (snapshot, feature, model version, role): their number follows the
+calendar, not the facts.
 """
 
 from __future__ import annotations
@@ -14,75 +18,97 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.functions.numeric import order_cell
+from tidemark.functions.numeric import BAND_DENSITY, CELL_DENSITY, order_cell
+
+
+def _upto(keys: Sequence[str], *order: str) -> Window:
+    return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def _whole(keys: Sequence[str], *order: str) -> Window:
+    return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
+def _by_cell(df: DataFrame, keys: Sequence[str], order: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """Running totals of groups that each lie within one band."""
+    k, mine = list(keys), [*keys, "cell"]
+    cell = order_cell(F.col(order[0]), CELL_DENSITY).alias("cell")
+    vals = df.groupBy(*k, cell, *order).agg(*[F.sum(m).alias(m) for m in measures])
+    vals = vals.select("*", *[(F.sum(m).over(_upto(mine, *order)) - F.col(m)).alias(f"{m}_inside") for m in measures])
+    totals = vals.groupBy(*mine).agg(*[F.sum(m).alias(f"{m}_cell") for m in measures])
+    offsets = totals.select(
+        *mine,
+        *[(F.sum(f"{m}_cell").over(_upto(k, "cell")) - F.col(f"{m}_cell")).alias(f"{m}_before") for m in measures],
+        *[F.sum(f"{m}_cell").over(_whole(k, "cell")).alias(f"{m}_total") for m in measures],
+    )
+    return vals.join(offsets, mine).select(
+        *k,
+        *order,
+        *measures,
+        *[(F.col(f"{m}_before") + F.col(f"{m}_inside")).alias(f"{m}_below") for m in measures],
+        *[f"{m}_total" for m in measures],
+    )
 
 
 def running_totals(df: DataFrame, group: Sequence[str], order: Sequence[str], measures: Sequence[str]) -> DataFrame:
     """One row per (group, order) with each measure's sum, ``<m>_below`` and group ``<m>_total``.
 
     ``<m>_below`` sums everything strictly before the row in the order. The first order column must be
-    numeric: it decides the cell.
+    numeric: it decides the band and the cell.
     """
     g = list(group)
-    vals = df.groupBy(*g, order_cell(F.col(order[0])).alias("cell"), *order).agg(*[F.sum(m).alias(m) for m in measures])
-    inside = Window.partitionBy(*g, "cell").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    vals = vals.select("*", *[(F.sum(m).over(inside) - F.col(m)).alias(f"{m}_inside") for m in measures])
-    totals = vals.groupBy(*g, "cell").agg(*[F.sum(m).alias(f"{m}_cell") for m in measures])
-    upto = Window.partitionBy(*g).orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*g).orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    offsets = totals.select(
+    banded = df.withColumn("band", order_cell(F.col(order[0]), BAND_DENSITY))
+    inner = _by_cell(banded, [*g, "band"], order, measures)
+    sums = inner.groupBy(*g, "band").agg(*[F.max(f"{m}_total").alias(f"{m}_band") for m in measures])
+    bands = sums.select(
         *g,
-        "cell",
-        *[(F.sum(f"{m}_cell").over(upto) - F.col(f"{m}_cell")).alias(f"{m}_before") for m in measures],
-        *[F.sum(f"{m}_cell").over(whole).alias(f"{m}_total") for m in measures],
+        "band",
+        *[(F.sum(f"{m}_band").over(_upto(g, "band")) - F.col(f"{m}_band")).alias(f"{m}_earlier") for m in measures],
+        *[F.sum(f"{m}_band").over(_whole(g, "band")).alias(f"{m}_all") for m in measures],
     )
-    return vals.join(offsets, [*g, "cell"]).select(
+    # A thousand bands per e-fold of the values and per group, however many rows there are.
+    return inner.join(F.broadcast(bands), [*g, "band"]).select(
         *g,
         *order,
         *measures,
-        *[(F.col(f"{m}_before") + F.col(f"{m}_inside")).alias(f"{m}_below") for m in measures],
-        *[f"{m}_total" for m in measures],
+        *[(F.col(f"{m}_earlier") + F.col(f"{m}_below")).alias(f"{m}_below") for m in measures],
+        *[F.col(f"{m}_all").alias(f"{m}_total") for m in measures],
     )
 
 
 def quantiles(df: DataFrame, group: Sequence[str], value: str, points: Sequence[float]) -> DataFrame:
     """Exact linear-interpolation quantiles: one row per group with ``n`` and an array ``q``.
 
-    First pass: rows per cell, which tells the cells that hold the wanted ranks. Second pass: the
-    values of those cells only. NULL values do not count; a group without values has no row.
+    First pass: rows per band, which tells the bands that hold the wanted ranks. Second pass: the
+    values of those bands only. NULL values do not count; a group without values has no row.
     """
     g = list(group)
-    rows = df.where(F.col(value).isNotNull()).withColumn("cell", order_cell(F.col(value)))
-    per_cell = rows.groupBy(*g, "cell").agg(F.count("*").alias("in_cell"))
-    upto = Window.partitionBy(*g).orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*g).orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = df.where(F.col(value).isNotNull()).withColumn("band", order_cell(F.col(value), BAND_DENSITY))
+    per_band = rows.groupBy(*g, "band").agg(F.count("*").alias("size"))
     pos = F.transform(F.array(*[F.lit(float(p)) for p in points]), lambda p: p * (F.col("n") - 1))
     ranks = F.array_distinct(F.concat(F.transform(pos, lambda p: F.floor(p)), F.transform(pos, lambda p: F.ceil(p))))
 
-
     def holds(first: Column, count: Column) -> Column:
         """Does [first, first + count) hold a wanted rank? Plain comparisons, as it is asked of many rows."""
         at_point = [F.lit(float(p)) * (F.col("n") - 1) for p in points]
         return functools.reduce(operator.or_, [(F.floor(x) < first + count) & (F.ceil(x) >= first) for x in at_point])
 
-    # The cells that hold a wanted rank: at most two per point and group, small enough for every task.
-    cells = per_cell.select(
+    # The bands that hold a wanted rank: at most two per point and group, small enough for every task.
+    wanted = per_band.select(
         *g,
-        "cell",
-        "in_cell",
-        F.sum("in_cell").over(whole).alias("n"),
-        (F.sum("in_cell").over(upto) - F.col("in_cell")).alias("before"),
-    )
-    wanted = cells.where(holds(F.col("before"), F.col("in_cell"))).drop("in_cell")
-    inside = Window.partitionBy(*g, "cell").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    copies = F.col("copies")
+        "band",
+        "size",
+        F.sum("size").over(_whole(g, "band")).alias("n"),
+        (F.sum("size").over(_upto(g, "band")) - F.col("size")).alias("before"),
+    ).where(holds(F.col("before"), F.col("size")))
+    wanted = F.broadcast(wanted.drop("size"))
+    copies, first = F.col("copies"), F.col("first")
+    inside = _by_cell(rows.join(wanted, [*g, "band"], "left_semi").withColumn("copies", F.lit(1)), [*g, "band"], [value], ["copies"])
     found = (
-        rows.join(F.broadcast(wanted), [*g, "cell"])
-        .groupBy(*g, "cell", value)
-        .agg(F.count("*").alias("copies"), F.max("n").alias("n"), F.max("before").alias("before"))
-        .withColumn("first", F.col("before") + F.sum("copies").over(inside) - copies)
-        .where(holds(F.col("first"), copies))
-        .withColumn("rank", F.explode(F.filter(ranks, lambda r: (r >= F.col("first")) & (r < F.col("first") + copies))))
+        inside.join(wanted, [*g, "band"])
+        .withColumn("first", F.col("before") + F.col("copies_below"))
+        .where(holds(first, copies))
+        .withColumn("rank", F.explode(F.filter(ranks, lambda r: (r >= first) & (r < first + copies))))
     )
     at = found.groupBy(*g).agg(F.max("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("rank", value))).alias("at"))
     return at.select(*g, "n", F.transform(pos, lambda p: _between(F.col("at"), p)).alias("q"))
