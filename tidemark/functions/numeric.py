@@ -49,7 +49,3 @@ def risk_tier(p: Column) -> Column:
     for edge, name in zip(RISK_EDGES[1:-1], RISK_LABELS):
         out = out.when(p <= edge, F.lit(name))
     return out.otherwise(F.lit(RISK_LABELS[-1]))
-
-
-def decimals(x: Column, digits: int = 9) -> Column:
-    return F.round(x, digits)

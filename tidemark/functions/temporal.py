@@ -32,11 +32,6 @@ def elapsed_days(earlier: Column, later: Column) -> Column:
     return F.date_part(F.lit("DAY"), later - earlier)
 
 
-def calendar_days(earlier: Column, later: Column) -> Column:
-    """Difference of the calendar dates, whatever the times of day."""
-    return F.datediff(day_of(later), day_of(earlier))
-
-
 def month_start(ts: Column) -> Column:
     return F.trunc(day_of(ts), "month")
 

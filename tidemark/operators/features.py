@@ -16,8 +16,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.functions.numeric import finite, money, money_units, ratio
-from tidemark.functions.temporal import calendar_days, day_of, elapsed_days, half_of_day, midnight
+from tidemark.functions.numeric import MONEY_SCALE, finite, money_units
+from tidemark.functions.temporal import day_of, elapsed_days, half_of_day
 from tidemark.operators.ordering import quantiles
 from tidemark.params import FEATURES, INTERVAL_POINTS, LABEL
 
@@ -92,16 +92,16 @@ def cells(basket: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
     this cell; ``first_sale`` is the first sale up to and including this cell, or among the ``earlier``
     lines.
     """
-    ts = F.col("InvoiceDate")
-    aggs = [F.sum(F.when(F.expr(SALE), F.col("units"))).alias("recent_units")]
-    for side, hit in (("sale", F.expr(SALE)), ("return", F.expr(RETURN))):
+    aggs = [f"sum(case when {SALE} then units end) as recent_units"]
+    for side, hit in (("sale", SALE), ("return", RETURN)):
         aggs += [
-            F.sum(F.when(hit, F.col("items"))).alias(f"{side}_items"),
-            F.count_if(hit).alias(f"{side}_pairs"),
-            F.min(F.when(hit, ts)).alias(f"{side}_first"),
-            F.max(F.when(hit, ts)).alias(f"{side}_last"),
+            f"sum(case when {hit} then items end) as {side}_items",
+            f"count_if({hit}) as {side}_pairs",
+            f"min(case when {hit} then InvoiceDate end) as {side}_first",
+            f"max(case when {hit} then InvoiceDate end) as {side}_last",
         ]
-    cell = basket.groupBy("CustomerID", day_of(ts).alias("day"), half_of_day(ts).alias("half")).agg(*aggs)
+    ts = F.col("InvoiceDate")
+    cell = basket.groupBy("CustomerID", day_of(ts).alias("day"), half_of_day(ts).alias("half")).agg(*map(F.expr, aggs))
     if earlier is not None:
         cell = cell.unionByName(first_sales(earlier), allowMissingColumns=True)
     order = Window.partitionBy("CustomerID").orderBy("day", "half")
@@ -116,25 +116,24 @@ def cells(basket: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
 
 def _cell_measures(cell: DataFrame, days: DataFrame) -> DataFrame:
     """Cells in windows, reduced to the measures that add up per (snapshot, customer)."""
-    rows = cell.join(F.broadcast(days), "day")
-    feature = F.col("role") == "feature"
-    at = midnight(F.col("day")) + F.make_dt_interval(hours=F.col("half") * 12)
-    recent = feature & (at >= F.col("midpoint"))
+    feature = "role = 'feature'"
+    at = "(cast(day as timestamp_ntz) + make_dt_interval(0, half * 12))"
 
-    def gap(side: str):
-        prev, first = F.col(f"prev_{side}"), F.col(f"{side}_first")
-        return F.when(feature & (prev >= F.col("feature_start")), elapsed_days(prev, first))
+    def gap(side: str) -> str:
+        """Elapsed days since the previous purchase, if that lies in the window too."""
+        days_between = f"extract(DAY from {side}_first - prev_{side})"
+        return f"case when {feature} and prev_{side} >= feature_start then {days_between} end as {side}_gap"
 
-    return rows.select(
+    plain = ("feature_end", "sale_items", "sale_pairs", "return_items", "return_pairs", "first_sale")
+    return cell.join(F.broadcast(days), "day").selectExpr(
         "snapshot_no",
         "CustomerID",
-        F.when(feature, F.col("feature_end")).alias("feature_end"),
-        F.when(recent, F.col("recent_units")).alias("recent_units"),
-        *[F.when(feature, F.col(c)).alias(c) for c in ("sale_items", "sale_pairs", "return_items", "return_pairs", "first_sale")],
-        gap("sale").alias("sale_gap"),
-        gap("return").alias("return_gap"),
-        F.when(feature & F.col("sale_last").isNotNull(), F.col("day")).alias("last_sale_day"),
-        ((F.col("role") == "outcome") & F.col("sale_last").isNotNull()).alias("bought_later"),
+        *[f"case when {feature} then {c} end as {c}" for c in plain],
+        f"case when {feature} and {at} >= midpoint then recent_units end as recent_units",
+        gap("sale"),
+        gap("return"),
+        f"case when {feature} and sale_last is not null then day end as last_sale_day",
+        "role = 'outcome' and sale_last is not null as bought_later",
     )
 
 
@@ -142,20 +141,16 @@ def _invoice_measures(basket: DataFrame, days: DataFrame) -> DataFrame:
     """Amounts and distinct invoices: one row per (snapshot, customer, invoice) says what it adds."""
     rows = basket.withColumn("day", day_of(F.col("InvoiceDate")))
     rows = rows.join(F.broadcast(days.where(F.col("role") == "feature")), "day")
-    recent = F.col("InvoiceDate") >= F.col("midpoint")
-    counted = lambda hit: F.max(hit & F.col("Invoice").isNotNull()).cast("bigint")
-    return (
-        rows.groupBy("snapshot_no", "CustomerID", "Invoice")
-        .agg(
-            F.sum(F.when(F.expr(SALE), F.col("units"))).alias("sale_units"),
-            F.sum(F.when(F.expr(RETURN), F.col("units"))).alias("return_units"),
-            counted(F.expr(SALE)).alias("sale_txs"),
-            counted(F.expr(RETURN)).alias("return_txs"),
-            counted(F.expr(SALE) & recent).alias("recent_txs"),
-            counted(F.expr(SALE) & ~recent).alias("early_txs"),
-        )
-        .drop("Invoice")
+    counted = lambda hit: f"cast(max({hit} and Invoice is not null) as bigint)"
+    aggs = (
+        f"sum(case when {SALE} then units end) as sale_units",
+        f"sum(case when {RETURN} then units end) as return_units",
+        f"{counted(SALE)} as sale_txs",
+        f"{counted(RETURN)} as return_txs",
+        f"{counted(SALE + ' and InvoiceDate >= midpoint')} as recent_txs",
+        f"{counted(SALE + ' and InvoiceDate < midpoint')} as early_txs",
     )
+    return rows.groupBy("snapshot_no", "CustomerID", "Invoice").agg(*map(F.expr, aggs)).drop("Invoice")
 
 
 def _measures(tx: DataFrame, calendar: DataFrame, outcome: bool, earlier: DataFrame | None = None) -> DataFrame:
@@ -165,56 +160,53 @@ def _measures(tx: DataFrame, calendar: DataFrame, outcome: bool, earlier: DataFr
     both = _cell_measures(cells(basket, earlier), days).unionByName(
         _invoice_measures(basket, days), allowMissingColumns=True
     )
-    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
     sums = (
         "sale_units", "sale_items", "sale_pairs", "sale_gap", "return_units", "return_items", "return_pairs",
         "return_gap", "recent_units", "sale_txs", "return_txs", "recent_txs", "early_txs",
     )
-    return (
-        both.groupBy("snapshot_no", "CustomerID")
-        .agg(
-            *[total(c) for c in sums],
-            F.max("feature_end").alias("feature_end"),
-            F.max("last_sale_day").alias("last_sale_day"),
-            F.min("first_sale").alias("first_sale"),
-            F.coalesce(F.max("bought_later"), F.lit(False)).alias("bought_later"),
-        )
-        # Present only through the outcome window: not in the cohort.
-        .where(F.col("feature_end").isNotNull())
+    aggs = (
+        *[f"coalesce(sum({c}), 0L) as {c}" for c in sums],
+        "max(feature_end) as feature_end",
+        "max(last_sale_day) as last_sale_day",
+        "min(first_sale) as first_sale",
+        "coalesce(max(bought_later), false) as bought_later",
     )
+    # Without a feature end the customer came only in the outcome window and is not in the cohort.
+    return both.groupBy("snapshot_no", "CustomerID").agg(*map(F.expr, aggs)).where("feature_end is not null")
 
 
-def _feature_columns(m: DataFrame) -> dict:
-    c = F.col
-    pairs_mean = lambda side: F.when(
-        c(f"{side}_pairs") > 1, c(f"{side}_gap").cast("double") / (c(f"{side}_pairs") - 1)
-    )
-    early = c("sale_units") - c("recent_units")
-    revenue_sum, tx_sum = c("sale_units"), c("recent_txs") + c("early_txs")
-    return {
-        "total_sales_revenue": money(c("sale_units")),
-        "total_items_purchased": F.abs(c("sale_items")),
-        "total_sale_txs": c("sale_txs"),
-        "avg_sale_days": pairs_mean("sale"),
-        "recency": calendar_days(c("last_sale_day"), c("feature_end")),
-        "total_return_amount": money(c("return_units")),
-        "total_items_returned": F.abs(c("return_items")),
-        "total_return_txs": c("return_txs"),
-        "avg_return_days": F.coalesce(pairs_mean("return"), F.lit(0.0)),
-        "tenure_days": F.when(c("first_sale") < c("feature_end"), elapsed_days(c("first_sale"), c("feature_end"))),
-        "recent_revenue": money(c("recent_units")),
-        "revenue_momentum": F.when(revenue_sum > 0, ratio(c("recent_units") - early, revenue_sum)).otherwise(0.0),
-        "recent_tx_count": c("recent_txs"),
-        "tx_count_momentum": F.when(tx_sum > 0, ratio(c("recent_txs") - c("early_txs"), tx_sum)).otherwise(0.0),
-    }
+def _money(units: str) -> str:
+    return f"cast({units} as double) / {MONEY_SCALE}D"
+
+
+def _mean_gap(side: str) -> str:
+    return f"case when {side}_pairs > 1 then cast({side}_gap as double) / ({side}_pairs - 1) end"
+
+
+COLUMNS = {
+    "total_sales_revenue": _money("sale_units"),
+    "total_items_purchased": "abs(sale_items)",
+    "total_sale_txs": "sale_txs",
+    "avg_sale_days": _mean_gap("sale"),
+    "recency": "datediff(cast(feature_end as date), last_sale_day)",
+    "total_return_amount": _money("return_units"),
+    "total_items_returned": "abs(return_items)",
+    "total_return_txs": "return_txs",
+    "avg_return_days": f"coalesce({_mean_gap('return')}, 0D)",
+    "tenure_days": "case when first_sale < feature_end then extract(DAY from feature_end - first_sale) end",
+    "recent_revenue": _money("recent_units"),
+    # Recent minus early, where early is the rest of the window.
+    "revenue_momentum": "case when sale_units > 0 then cast(2 * recent_units - sale_units as double) / sale_units else 0D end",
+    "recent_tx_count": "recent_txs",
+    "tx_count_momentum": "case when recent_txs + early_txs > 0 then cast(recent_txs - early_txs as double) / (recent_txs + early_txs) else 0D end",
+}
 
 
 def _as_rows(m: DataFrame, names, label: bool = False) -> DataFrame:
-    made = _feature_columns(m)
-    cols = [made[n].cast("double").alias(n) for n in names]
+    cols = [f"cast({COLUMNS[n]} as double) as {n}" for n in names]
     if label:
-        cols.append((~F.col("bought_later")).cast("int").alias(LABEL))
-    return m.select("snapshot_no", "CustomerID", day_of(F.col("feature_end")).alias("snapshot_date"), *cols)
+        cols.append(f"cast(not bought_later as int) as {LABEL}")
+    return m.selectExpr("snapshot_no", "CustomerID", "cast(feature_end as date) as snapshot_date", *cols)
 
 
 def customer_features(tx: DataFrame, calendar: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
