@@ -32,27 +32,24 @@ def local_session(cpus: int = 8, app: str = "tidemark", memory: str = "12g") ->
     return spark
 
 
+_FALLBACK: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder for checkpoints and working tables.
 
     A cluster names it in ``spark.checkpoint.dir``. Only a local master may fall back to a fresh
-    temporary folder, since no other machine has to read it.
+    temporary folder, one per application, since no other machine has to read it.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    made = tempfile.mkdtemp(prefix="tidemark-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` in the shared folder, so lost executors cost no recomputation."""
-    spark = df.sparkSession
-    spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint()
+    app = spark.sparkContext.applicationId
+    if app not in _FALLBACK:
+        _FALLBACK[app] = tempfile.mkdtemp(prefix="tidemark-", dir=os.environ.get("TMPDIR", "/tmp"))
+    return _FALLBACK[app]
 
 
 def written(df: DataFrame, label: str = "table") -> DataFrame:
