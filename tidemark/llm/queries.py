@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+from tidemark.llm.decontam import OP2_SQL, op2_decontam
+from tidemark.llm.packing import op9_packing
 from tidemark.llm.simhash import op6_simhash
+from tidemark.llm.warc import OP4_SQL, op4_warc
 
 QUERIES = {
+    "op2_decontam": op2_decontam,
+    "op4_warc": op4_warc,
     "op6_simhash": op6_simhash,
+    "op9_packing": op9_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_decontam": OP2_SQL,
+    "op4_warc": OP4_SQL,
+}
