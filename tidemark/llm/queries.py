@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 from tidemark.llm.decontam import OP2_SQL, op2_decontam
+from tidemark.llm.ordinal import op10_ordinal
 from tidemark.llm.packing import op9_packing
+from tidemark.llm.rules import op8_rules
 from tidemark.llm.simhash import op6_simhash
+from tidemark.llm.toxicity import op5_toxicity
 from tidemark.llm.warc import OP4_SQL, op4_warc
 
 QUERIES = {
     "op2_decontam": op2_decontam,
     "op4_warc": op4_warc,
+    "op5_toxicity": op5_toxicity,
     "op6_simhash": op6_simhash,
+    "op8_rules": op8_rules,
     "op9_packing": op9_packing,
+    "op10_ordinal": op10_ordinal,
 }
 
 ORACLES: dict[str, str] = {
