@@ -12,11 +12,13 @@ are ignored; an empty table gives no piece. The file of the tokenizer is a param
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
 from collections.abc import Iterator
 from itertools import accumulate, chain
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,29 @@ _PLAIN = re.compile(rf"[\t\n\r\x20-\x7e{_LETTERS}]*")
 _PIECES = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[0-9]+| ?[!-/:-@\[-`{{-~]+|\s+(?!\S)|\s+")
 
 
+LONG_PIECE = 200  # characters of a piece above which the tokenizer's own algorithm is faster
+
+
+def _merger(path: str):
+    """Byte-pair merging of one piece by the vocabulary of the file, or None if its merges are not in the order of its ids.
+
+    It gives the ids that the tokenizer gives for a piece, without an object for every piece.
+    """
+    import tiktoken
+
+    model = json.loads(Path(path).read_text())["model"]
+    vocab = model.get("vocab", {})
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model.get("merges", [])]
+    if model.get("type") != "BPE" or any(vocab.get(a + b) != 256 + i for i, (a, b) in enumerate(merges)):
+        return None
+    # The printable stand-ins of bytes: those that print stand for themselves, the others follow 256 in order.
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
+    ranks = {bytes(byte_of[c] for c in token): i for token, i in vocab.items() if i < 256 + len(merges)}
+    core = tiktoken.Encoding("pieces", pat_str=r"\s+|\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe
+    return core.encode_single_piece
+
+
 class Encoder:
     """Ids of texts by a byte-level tokenizer file; equal pieces of plain text are encoded once."""
 
@@ -44,6 +69,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merge = _merger(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.forget()
 
@@ -54,7 +80,10 @@ class Encoder:
         self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def learn(self, pieces: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch(pieces, add_special_tokens=False)]
+        if self.merge is None:
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        else:
+            found = [self.merge(p.encode()) if len(p) <= LONG_PIECE else self.tokenizer.encode(p, add_special_tokens=False).ids for p in pieces]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         flat = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
         while self.used + len(flat) > len(self.ids):
@@ -94,19 +123,20 @@ class Encoder:
 
 
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
-    """``(part, before, doc_id, n, ids)``: ids as little-endian 32-bit numbers, ``before`` the ids of the partition ahead of them."""
+    """``(part, before, doc_id, n, ids)``: ids as little-endian numbers of 16 bits if the vocabulary allows, else 32; ``before`` the ids of the partition ahead of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before, encoder = TaskContext.get().partitionId(), 0, None
         for batch in batches:
             encoder = encoder or Encoder(tokenizer)
+            kind = "<u2" if max(encoder.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
             for piece in slices(batch, limit=2 << 20):
                 ids = [np.append(x, np.uint32(end_id)) for x in encoder.encode([t or "" for t in piece.column("text").to_pylist()])]
                 n = np.array([len(x) for x in ids], np.int64)
                 at = before + np.cumsum(n) - n
                 before += int(n.sum())
                 yield pa.record_batch(
-                    [pa.array(np.full(len(n), part, np.int32)), pa.array(at), piece.column("doc_id"), pa.array(n), pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())],
+                    [pa.array(np.full(len(n), part, np.int32)), pa.array(at), piece.column("doc_id"), pa.array(n), pa.array([x.astype(kind).tobytes() for x in ids], pa.binary())],
                     names=["part", "before", "doc_id", "n", "ids"],
                 )
 
@@ -116,10 +146,9 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFram
 
 def cut(tokens: DataFrame, length: int = SEQUENCE, with_ids: bool = False) -> DataFrame:
     """Boundary records: one row for each piece of a document in a sequence; ``with_ids`` adds the piece's ids."""
+    # One number for each partition of the first pass goes out with the tasks.
     totals = sorted((r.part, r.n) for r in tokens.groupBy("part").agg(F.sum("n").alias("n")).collect())
-    firsts = accumulate((n for _, n in totals), initial=0)
-    spark = tokens.sparkSession
-    base = spark.createDataFrame([(part, first) for (part, _), first in zip(totals, firsts)], "part int, base long")
+    base = dict(zip((part for part, _ in totals), accumulate((n for _, n in totals), initial=0)))
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + (", ids binary" if with_ids else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,8 +156,9 @@ def cut(tokens: DataFrame, length: int = SEQUENCE, with_ids: bool = False) -> Da
         for batch in batches:
             for rows in slices(batch, "ids"):
                 out: list[list] = [[] for _ in names]
-                for doc, n, at, blob in zip(*(rows.column(c).to_pylist() for c in ("doc_id", "n", "at", "ids"))):
-                    view, start = memoryview(blob), 0
+                for part, before, doc, n, blob in zip(*(rows.column(c).to_pylist() for c in ("part", "before", "doc_id", "n", "ids"))):
+                    at, start = base[part] + before, 0
+                    view = memoryview(np.frombuffer(blob, f"<u{len(blob) // n}").astype("<u4")).cast("B")
                     while start < n:
                         sequence, offset = divmod(at + start, length)
                         size = min(length - offset, n - start)
@@ -138,8 +168,7 @@ def cut(tokens: DataFrame, length: int = SEQUENCE, with_ids: bool = False) -> Da
                         start += size
                 yield pa.record_batch([pa.array(v, pa.binary() if c == "ids" else pa.int64()) for c, v in zip(names, out)], names=names)
 
-    placed = tokens.join(base, "part").select("doc_id", "n", (F.col("base") + F.col("before")).alias("at"), "ids")
-    return placed.mapInArrow(run, schema)
+    return tokens.mapInArrow(run, schema)
 
 
 def pack(docs: DataFrame, tokenizer: str | None = None, length: int = SEQUENCE, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
