@@ -29,8 +29,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.common import new_path, table
 
-SHARD_BYTES = 8 << 20  # of payload
-ROLL_BYTES = 32 << 20  # of a compressed file
+SHARD_BYTES = 32 << 20  # of payload
+ROLL_BYTES = 16 << 20  # of a compressed file
+READERS = 10_000  # tasks that read archives at most
 REVISIT_BYTES = 100
 DATE = "2020-01-01T00:00:00Z"
 
@@ -250,7 +251,8 @@ def read_archives(manifest: DataFrame, root: str, payloads: bool = True) -> Data
                 if rows:
                     yield pa.record_batch([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], names=names)
 
-    return manifest.select("name", "records").repartition("name").mapInArrow(run, _RECORD)
+    files = manifest.select("name", "records")
+    return files.repartition(max(1, min(files.count(), READERS)), "name").mapInArrow(run, _RECORD)
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
