@@ -5,6 +5,7 @@ from __future__ import annotations
 from tidemark.llm.decontam import OP2_SQL, op2_decontam
 from tidemark.llm.ordinal import op10_ordinal
 from tidemark.llm.packing import op9_packing
+from tidemark.llm.privacy import op7_privacy
 from tidemark.llm.rules import op8_rules
 from tidemark.llm.simhash import op6_simhash
 from tidemark.llm.toxicity import op5_toxicity
@@ -15,6 +16,7 @@ QUERIES = {
     "op4_warc": op4_warc,
     "op5_toxicity": op5_toxicity,
     "op6_simhash": op6_simhash,
+    "op7_privacy": op7_privacy,
     "op8_rules": op8_rules,
     "op9_packing": op9_packing,
     "op10_ordinal": op10_ordinal,
