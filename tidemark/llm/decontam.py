@@ -77,7 +77,7 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, gram: int = GR
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
-    """A row for each document: ``doc_id, n_words, n_hit, items, spans``; spans are (start, size) in words."""
+    """A row for each document: ``doc_id, version`` (a hash of the text), ``n_words, n_hit, items, spans``; spans are (start, size) in words."""
     known = stored(benchmark_windows(benchmark, window, gram), "benchmark-windows")
     sizes = {r.size: r.n for r in known.groupBy("size").agg(F.count("*").alias("n")).collect()}
     short = sorted(s for s in sizes if s < window)
@@ -112,9 +112,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
     near = by_row.where(F.size("starts") > 0).join(texts, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("version") == F.col("v")))
     words = F.transform(split_words(F.col("text")), lowered)
     same = F.filter("starts", lambda s: (s["start"] >= 0) & (F.slice(F.col("words"), F.greatest(s["start"], F.lit(0)) + 1, s["size"]) == s["words"]))
-    checked = near.withColumn("words", words).select("doc_id", "n_words", same.alias("hits"))
+    checked = near.withColumn("words", words).select("doc_id", "version", "n_words", same.alias("hits"))
     checked = checked.select(
         "doc_id",
+        "version",
         "n_words",
         F.size(F.array_distinct(F.flatten(F.transform("hits", lambda s: F.sequence(s["start"], s["start"] + s["size"] - 1))))).cast("long").alias("n_hit"),
         F.array_distinct(F.flatten(F.transform("hits", lambda s: s["items"]))).alias("items"),
@@ -122,11 +123,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
     )
     item, span = checked.schema["items"].dataType, checked.schema["spans"].dataType
     clean = by_row.where(F.size("starts") == 0).select(
-        "doc_id", "n_words", F.lit(0).cast("long").alias("n_hit"), F.array().cast(item).alias("items"), F.array().cast(span).alias("spans"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")
+        "doc_id", "version", "n_words", F.lit(0).cast("long").alias("n_hit"), F.array().cast(item).alias("items"), F.array().cast(span).alias("spans"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")
     )
     return checked.unionByName(clean.drop("copy"))
 
 
+def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``docs`` without the documents that hold a window of the benchmark."""
+    hit = contamination(docs, benchmark).where("n_hit > 0").select(F.col("doc_id").alias("hit_id"), F.col("version").alias("hit_version")).distinct()
+    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("hit_version")), "left_anti")
+
+
 def op2_decontam(spark, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     ids = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.llm.common import LOWER, UPPER, components, signed, slices, stored
 
@@ -54,17 +54,22 @@ def text_fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(2 * ones > len(h), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``(doc_id, fp)`` of every document; ``fp`` holds the 64 bits as a long."""
+def row_key():
+    """Tells rows apart by id and text; rows that agree in both are interchangeable."""
+    return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("-")))
+
+
+def fingerprints(docs: DataFrame, shingle: int = 3, keyed: bool = False) -> DataFrame:
+    """``(doc_id, fp)`` of every document; ``fp`` holds the 64 bits as a long. ``keyed`` adds ``key``, see ``row_key``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 fp = np.array([text_fingerprint(t, shingle) for t in part.column("text").to_pylist()], np.uint64)
-                yield pa.record_batch([part.column("doc_id"), pa.array(signed(fp))], names=["doc_id", "fp"])
+                yield pa.record_batch([part.column("doc_id"), pa.array(signed(fp)), *[part.column("key")] * keyed], names=["doc_id", "fp", "key"][: 2 + keyed])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[row_key().alias("key")] * keyed)
+    return rows.mapInArrow(run, "doc_id long, fp long" + ", key string" * keyed)
 
 
 # --- partitions and thresholds -------------------------------------------------------------------------------------
@@ -257,15 +262,29 @@ def fingerprint_links(distinct: DataFrame, max_distance: int = 3) -> DataFrame:
     return dealt.mapInArrow(lambda batches: _links_in_order(batches, max_distance), "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 3) -> DataFrame:
-    """One row per document: ``doc_id``, ``fp`` and ``component_id``, the smallest doc_id reachable over links."""
-    fps = stored(fingerprints(docs, shingle), "simhash-fp")
+def near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 3, keyed: bool = False) -> DataFrame:
+    """One row per document: ``doc_id``, ``fp``, ``component_id`` (the smallest doc_id reachable over links) and ``component``.
+
+    ``keyed`` adds ``key``, see ``row_key``.
+    """
+    fps = stored(fingerprints(docs, shingle, keyed), "simhash-fp")
     distinct = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
     roots = components(fingerprint_links(distinct.select("fp"), max_distance), "simhash-links")
     named = distinct.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    ids = stored(named.join(smallest, "root").select("fp", "component_id"), "simhash-ids")
-    return fps.join(ids, "fp").select("doc_id", "fp", "component_id")
+    ids = stored(named.join(smallest, "root").select("fp", "component_id", F.col("root").alias("component")), "simhash-ids")
+    return fps.join(ids, "fp").select("doc_id", "fp", "component_id", "component", *["key"] * keyed)
+
+
+def without_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 3) -> DataFrame:
+    """``docs`` with one document of each component: that of the smallest id (a null id only if there is no other)."""
+    found = near_duplicates(docs, shingle, max_distance, keyed=True)
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key")).alias("best")
+    kept = found.groupBy("component").agg(best).select(F.col("best.key").alias("kept_key"))
+    rows = docs.withColumn("kept_key", row_key()).join(kept, "kept_key", "left_semi")
+    # Of rows that agree in id and text one is enough; the join has already brought them together.
+    first = rows.withColumn("kept_place", F.row_number().over(Window.partitionBy("kept_key").orderBy(F.lit(0))))
+    return first.where("kept_place = 1").drop("kept_key", "kept_place")
 
 
 def op6_simhash(spark, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm.common import slices, table, words_of
 from tidemark.llm.labelled import held_out, labelled_sample, with_labels
@@ -218,9 +218,9 @@ def _scored(x: np.ndarray, fit) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(((x - mean) / spread) @ w[:-1] + w[-1], -30, 30)))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
-    """``docs`` as ``(doc_id, score)``: the likelihood of label 1 between 0 and 1."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id``, the columns of ``keep`` and ``score``: the likelihood of label 1 between 0 and 1."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[c for c in keep if c not in ("doc_id", "text")])
     model = character_model(character_counts(rows))
     train = with_labels(rows, labelled_sample(labels, ["toxic"], train_rows)).select("doc_id", "text", "toxic")
     half = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(2))
@@ -242,13 +242,16 @@ def toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -
     x = np.column_stack([held.column(f"x{i}").to_numpy() for i in range(SUMMARY)])
     fit = logistic(x, y) if len(y) and 0 < y.sum() < len(y) else (np.zeros(SUMMARY), np.ones(SUMMARY), np.append(np.zeros(SUMMARY), _logit(y)))
 
+    passed = list(dict.fromkeys(["doc_id", *keep]))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = _Reader(model, strongest)
         for batch in batches:
             for part in slices(batch):
-                yield pa.record_batch([part.column("doc_id"), pa.array(_scored(_summaries(read, part.column("text")), fit))], names=["doc_id", "score"])
+                score = pa.array(_scored(_summaries(read, part.column("text")), fit))
+                yield pa.record_batch([*[part.column(c) for c in passed], score], names=[*passed, "score"])
 
-    return rows.mapInArrow(run, "doc_id long, score double")
+    return rows.mapInArrow(run, T.StructType([*[rows.schema[c] for c in passed], T.StructField("score", T.DoubleType())]))
 
 
 def _logit(y: np.ndarray) -> float:
