@@ -6,13 +6,17 @@ from tidemark.llm.decontam import OP2_SQL, op2_decontam
 from tidemark.llm.ordinal import op10_ordinal
 from tidemark.llm.packing import op9_packing
 from tidemark.llm.privacy import op7_privacy
+from tidemark.llm.recompression import op1_recompression
 from tidemark.llm.rules import op8_rules
 from tidemark.llm.simhash import op6_simhash
+from tidemark.llm.suffixes import op3_suffixes
 from tidemark.llm.toxicity import op5_toxicity
 from tidemark.llm.warc import OP4_SQL, op4_warc
 
 QUERIES = {
+    "op1_recompression": op1_recompression,
     "op2_decontam": op2_decontam,
+    "op3_suffixes": op3_suffixes,
     "op4_warc": op4_warc,
     "op5_toxicity": op5_toxicity,
     "op6_simhash": op6_simhash,
