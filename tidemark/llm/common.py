@@ -66,14 +66,6 @@ def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return coded.dictionary, coded.indices.to_numpy().astype(np.int64), keep[offsets]
 
 
-def word_hashes(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent 64-bit hashes of each word."""
-    both = [xxhash.xxh3_128_intdigest(w) for w in words.cast(pa.large_binary()).to_pylist()]
-    low = np.fromiter((x & 0xFFFFFFFFFFFFFFFF for x in both), np.uint64, len(both))
-    high = np.fromiter((x >> 64 for x in both), np.uint64, len(both))
-    return low, high
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit values (the finaliser of splitmix64)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -101,6 +93,24 @@ class Rolling:
         return mixed((self.sums[stop] - self.sums[start]) * self.inverse[start] + (stop - start).astype(np.uint64))
 
 
+#: Two independent 64-bit values for each byte.
+BYTES = mixed(np.arange(1, 513, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(2, 256)
+LONG_WORD = 64
+
+
+def word_hashes(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of each word, by the polynomials above; words too long for them one by one."""
+    words = words.cast(pa.large_string())
+    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]] if len(words) else np.zeros(0, np.uint8)
+    offsets = offsets - offsets[0] if len(words) else np.zeros(1, np.int64)
+    low, high = (Rolling(BYTES[lane][data], lane).of(offsets[:-1], offsets[1:]) for lane in (0, 1))
+    for i in np.flatnonzero(np.diff(offsets) > LONG_WORD):
+        digest = xxhash.xxh3_128_intdigest(data[offsets[i] : offsets[i + 1]].tobytes())
+        low[i], high[i] = digest & 0xFFFFFFFFFFFFFFFF, digest >> 64
+    return low, high
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64).view(np.int64)
 

@@ -24,12 +24,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import Rolling, mixed, table
+from tidemark.llm.common import BYTES, Rolling, mixed, table
 from tidemark.llm.repeats import Scheme, remove_repeats
 
 WINDOW = 100
 SAMPLE = 32  # bytes of a sampled suffix that are looked at to choose it; a power of two
-_BYTE = mixed(np.arange(1, 513, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(2, 256)
 
 
 def _buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -98,7 +97,7 @@ class Suffixes(Scheme):
 
     def units(self, texts):
         data, starts = _buffer(texts)
-        return _BYTE[0][data], _BYTE[1][data], starts
+        return BYTES[0][data], BYTES[1][data], starts
 
     def anchors(self, units, starts, rolling: Rolling):
         w, q, n = self.window, SAMPLE, len(units)
