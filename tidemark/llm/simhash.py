@@ -66,10 +66,11 @@ def fingerprints(docs: DataFrame, shingle: int = 3, keyed: bool = False) -> Data
         for batch in batches:
             for part in slices(batch):
                 fp = np.array([text_fingerprint(t, shingle) for t in part.column("text").to_pylist()], np.uint64)
-                yield pa.record_batch([part.column("doc_id"), pa.array(signed(fp)), *[part.column("key")] * keyed], names=["doc_id", "fp", "key"][: 2 + keyed])
+                names = ["doc_id", "fp", "key"] if keyed else ["doc_id", "fp"]
+                yield pa.record_batch([pa.array(signed(fp)) if c == "fp" else part.column(c) for c in names], names=names)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[row_key().alias("key")] * keyed)
-    return rows.mapInArrow(run, "doc_id long, fp long" + ", key string" * keyed)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *([row_key().alias("key")] if keyed else []))
+    return rows.mapInArrow(run, "doc_id long, fp long" + (", key string" if keyed else ""))
 
 
 # --- partitions and thresholds -------------------------------------------------------------------------------------
@@ -273,7 +274,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 3, ke
     named = distinct.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
     ids = stored(named.join(smallest, "root").select("fp", "component_id", F.col("root").alias("component")), "simhash-ids")
-    return fps.join(ids, "fp").select("doc_id", "fp", "component_id", "component", *["key"] * keyed)
+    return fps.join(ids, "fp").select("doc_id", "fp", "component_id", "component", *(["key"] if keyed else []))
 
 
 def without_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 3) -> DataFrame:
