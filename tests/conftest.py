@@ -23,7 +23,7 @@ def spark():
 
 def line(invoice, stock, qty, when, price, customer):
     ts = when if isinstance(when, datetime) else datetime.fromisoformat(when)
-    return (invoice, stock, qty, ts, price, customer)
+    return (invoice, stock, float(qty), ts, price, customer)
 
 
 @pytest.fixture(scope="session")

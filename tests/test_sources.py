@@ -8,6 +8,7 @@ import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
+from tidemark.operators.quality import structural_quality
 from tidemark.sources import history
 from tidemark.sources import transactions as T
 from tidemark.streaming.ingest import stream_transactions
@@ -40,9 +41,26 @@ def test_csv_errors(spark, drops):
     (drops / "empty").mkdir()
     with pytest.raises(ValueError):
         T.scan_transactions(spark, str(drops / "empty"))
-    (drops / "bad.csv").write_text(HEAD + "1,A,1,2010-01-10,1.0,1\n")
+    (drops / "bad.csv").write_text(HEAD + "1,A,1,2010-01-10,1.0,1\n2,A,x,10-01-2010 10:00,1.0,1\n")
     with pytest.raises(Exception):
         T.scan_transactions(spark, str(drops / "bad.csv")).collect()
+    checks = {r.check_name: r for r in structural_quality(T.scan_raw(spark, str(drops / "bad.csv"))).collect()}
+    assert checks["date_not_parsed"].observed == checks["quantity_not_numeric"].observed == 1 and not checks["date_not_parsed"].passed
+    (drops / "short.csv").write_text("Invoice,StockCode,Quantity,InvoiceDate,Price\n1,A,1,10-01-2010 10:00,1.0\n")
+    short = T.scan_raw(spark, str(drops / "short.csv"))
+    assert [(r.check_name, r.passed) for r in structural_quality(short).collect()] == [("missing_columns", False)]
+    with pytest.raises(ValueError, match="CustomerID"):
+        T.scan_transactions(spark, str(drops / "short.csv"))
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(HEAD + "1,A,1.7,10-01-2010 10:00,0.00004,1\n")
+    (tmp_path / "b.csv").write_text('\ufeffCountry,CustomerID,Price,InvoiceDate,Quantity,StockCode,Invoice,Description\nUK,2,1.5,11-01-2010 10:00,3,B,2,"a, b"\n')
+    rows = rows_of(T.scan_transactions(spark, str(tmp_path)), "Invoice")
+    assert [(r["Invoice"], r["Quantity"], r["Price"], r["CustomerID"], r["Country"], r["Description"]) for r in rows] == [
+        ("1", 1.7, 0.00004, 1, None, None),
+        ("2", 3.0, 1.5, 2, "UK", "a, b"),
+    ]
 
 
 def test_clean(spark, drops):
@@ -64,13 +82,25 @@ def test_curated_store(spark, drops):
     T.update_curated(spark, store, clean)
     T.update_curated(spark, store, clean.where("Invoice = '200'"))
     assert T.read_curated(spark, store).count() == 3
-    kept = sorted(p.name for p in (drops / "store").iterdir() if p.is_dir())
-    assert kept == ["invoice_month=2010-01-01", "invoice_month=2010-02-01"]
-    january = (drops / "store" / kept[0]).stat().st_mtime_ns
-    T.update_curated(spark, store, clean.where("Invoice = '200'").withColumn("Invoice", F.lit("201")))
-    assert (drops / "store" / kept[0]).stat().st_mtime_ns == january  # an untouched month is not rewritten
+    before = {x.invoice_month: x.load for x in T.current_loads(spark, store)}
+    assert sorted(before) == ["m2010-01", "m2010-02"]
+    assert T.update_curated(spark, store, clean.where("Invoice = '200'").withColumn("Invoice", F.lit("201"))) == ["m2010-02"]
+    after = {x.invoice_month: x.load for x in T.current_loads(spark, store)}
+    assert after["m2010-01"] == before["m2010-01"] and after["m2010-02"] != before["m2010-02"]  # an untouched month is not rewritten
     assert T.read_curated(spark, store).count() == 4
     assert T.recent_months(spark, store, 1).count() == 2
+    assert T.drop_superseded(spark, store) == 2 and T.drop_superseded(spark, store) >= 0
+    assert T.read_curated(spark, store, since="2010-02-01").count() == 2 and T.read_curated(spark, store, before="2010-02-01").count() == 2
+
+
+def test_store_keeps_lines_without_a_time_and_new_columns(spark, lines, tmp_path):
+    store = str(tmp_path / "store")
+    untimed = lambda i: lines([(i, "A", 1, "2010-01-01 10:00", 1.0, 1)]).withColumn("InvoiceDate", F.lit(None).cast("timestamp_ntz"))
+    timed = lambda i: lines([(i, "A", 1, "2010-01-01 10:00", 1.0, 1)])
+    T.update_curated(spark, store, untimed("1").unionByName(timed("2")))
+    T.update_curated(spark, store, untimed("3").unionByName(timed("4")).withColumn("Country", F.lit("UK")))
+    got = {r.Invoice: r.Country for r in T.read_curated(spark, store).collect()}
+    assert got == {"1": None, "2": None, "3": "UK", "4": "UK"}
 
 
 def test_point_in_time_union(lines):
@@ -109,8 +139,11 @@ def test_manifest(spark, tmp_path):
 def test_file_inventory(spark, drops):
     import hashlib
 
-    got = {r.source_file.rsplit("/", 1)[-1]: r.sha256 for r in history.file_inventory(spark, str(drops / "in"), "*.csv").collect()}
-    assert got == {"jan.csv": hashlib.sha256((HEAD + JAN).encode()).hexdigest()}
+    got = {r.source_file.rsplit("/", 1)[-1]: r for r in history.file_inventory(spark, str(drops / "in"), "*.csv").collect()}
+    text = (HEAD + JAN).splitlines()
+    total = sum(int(hashlib.sha256(x.encode()).hexdigest()[:15], 16) for x in text)
+    assert set(got) == {"jan.csv"} and got["jan.csv"].bytes == len(HEAD + JAN) and got["jan.csv"].lines == len(text)
+    assert got["jan.csv"].sha256 == hashlib.sha256(f"{len(text)}:{total}".encode()).hexdigest()
 
 
 def test_sinks(spark, tmp_path):
@@ -125,7 +158,11 @@ def test_sinks(spark, tmp_path):
     runs = str(tmp_path / "runs")
     for execution in ("20200101T000000Z-a", "20200102T000000Z-b"):
         history.write_execution(df, runs, execution)
+    history.write_execution(df, runs, "20200102T000000Z-b")
+    history.write_feature_snapshot(df, str(tmp_path / "features"))
+    history.write_feature_snapshot(df, str(tmp_path / "features"))
     assert spark.read.parquet(runs).select("execution_id").distinct().count() == 2
+    assert spark.read.parquet(runs).count() == 4 and spark.read.parquet(str(tmp_path / "features")).count() == 2  # reruns replace
     for fmt in ("csv", "json", "parquet"):
         history.write_report(df, str(tmp_path / fmt), fmt)
     history.log_run(df.limit(1), str(tmp_path / "log"))

@@ -6,19 +6,20 @@ from pyspark.sql import Column, functions as F
 
 from tidemark.params import RISK_EDGES, RISK_LABELS
 
-# Amounts are summed as whole ten-thousandths: exact, and equal under any partitioning or retry.
-MONEY_SCALE = 10_000
-# Bands and cells per unit of log1p; see order_cell. A band has 16,384 cells.
-BAND_DENSITY = 1 << 10
-CELL_DENSITY = 1 << 24
+# Decimal places at which amounts are summed: sums are exact, and equal under any partitioning or retry.
+MONEY_PLACES = 12
+# Bands and cells per doubling of the value; see order_cell. A band has 16,384 cells.
+BAND_DENSITY = 1 << 7
+CELL_DENSITY = 1 << 21
 
 
-def money_units(amount: Column) -> Column:
-    return F.floor(amount.cast("double") * MONEY_SCALE + 0.5).cast("bigint")
+def money_units(amount: Column, places: int = MONEY_PLACES) -> Column:
+    """An amount as a decimal that sums exactly, up to 10^26 at twelve places."""
+    return amount.cast("double").cast(f"decimal({min(38, places + 16)}, {places})")
 
 
 def money(units: Column) -> Column:
-    return units.cast("double") / F.lit(float(MONEY_SCALE))
+    return units.cast("double")
 
 
 def ratio(num: Column, den: Column) -> Column:
@@ -35,12 +36,13 @@ def finite(x: Column) -> Column:
 def order_cell(x: Column, density: int) -> Column:
     """A whole number that never decreases as ``x`` grows: the bucket of distributed ordering.
 
-    It depends on the value alone (no sampled ranges). Cells are equally wide on the log scale, which
-    suits probabilities as well as heavy-tailed amounts; the cells of one group number at most
-    density * ln(1 + max|x|) each way.
+    It depends on the value alone (no sampled ranges). Cells are equally wide on the log scale down to
+    the smallest double, which suits probabilities of any size as well as heavy-tailed amounts; zero has a
+    cell of its own. A doubling of the value has ``density`` cells.
     """
     d = x.cast("double")
-    return (F.signum(d) * F.floor(F.log1p(F.abs(d)) * density)).cast("bigint")
+    size = F.when(d != 0, F.floor((F.log2(F.abs(d)) + 1075) * density)).otherwise(0)
+    return (F.signum(d) * size).cast("bigint")
 
 
 def risk_tier(p: Column) -> Column:

@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.operators.ordering import running_totals
+from tidemark.session import written
 
-# Width of an id block: the most rows a crossing block can return.
-ID_BLOCK = 65_536
+def id_place(df: DataFrame, column: str) -> Column:
+    """A number that grows with the id: the id itself, or for text what follows the beginning that all ids share."""
+    if df.schema[column].dataType.typeName() != "string":
+        return F.col(column).cast("double")
+    ends = df.agg(F.min(column), F.max(column)).first()
+    shared = len(os.path.commonprefix([x or "" for x in ends]))
+    rest = F.rpad(F.substring(F.col(column), shared + 1, 6).cast("binary"), 6, b"\0")
+    return F.conv(F.hex(rest), 16, 10).cast("double")
 
 
 def cut_points(bins: int) -> list[float]:
@@ -52,29 +60,28 @@ def calibration_deciles(
 ) -> DataFrame:
     """Calibration per cohort and bin, customers ranked by probability and then id.
 
-    Customers with one probability and neighbouring ids collapse into a block that spans a range of
-    ranks. A block inside one bin is added whole. Only the blocks that cross a bin edge (at most
-    bins - 1 per cohort) go back to their rows. Ids are unique whole numbers, so no block holds more
-    than ID_BLOCK rows, however many customers share a probability.
+    Customers with one probability form a block that spans a range of ranks. A block inside one bin is added whole.
+    Only the blocks that cross a bin edge (at most bins - 1 per cohort) go back to their rows, which are ranked by
+    id in bands and cells of ids, so no task orders a whole block, however ids are spread and however many
+    customers share a probability. Ids are numbers or texts and unique in their cohort.
     """
     g = list(cohort)
-    scored = rows.select(
-        *g,
-        customer,
-        F.floor(F.col(customer) / ID_BLOCK).alias("ids"),
-        F.col(probability).cast("double").alias("p"),
-        F.col(outcome).cast("int").alias("y"),
+    scored = written(
+        rows.select(*g, F.col(customer).alias("id"), F.col(probability).cast("double").alias("p"), F.col(outcome).cast("int").alias("y")), "calibration"
     )
-    block = [*g, "p", "ids"]
-    r = running_totals(scored.withColumn("rows", F.lit(1)), g, ["p", "ids"], ["rows", "y"])
-    # The edges depend on the size of the cohort alone: one small row per cohort.
-    sizes = scored.groupBy(*g).agg(F.count("*").alias("n_all")).withColumn("edges", _edges(F.col("n_all"), bins))
+    scored = scored.withColumn("rows", F.lit(1))
+    r = running_totals(scored, g, ["p"], ["rows", "y"]).withColumn("n_all", F.col("rows_total"))
+    # The edges depend on the size of the cohort alone.
+    r = r.withColumn("edges", _edges(F.col("n_all"), bins))
     where = lambda rank: _bin_of(rank, F.col("n_all"), F.col("edges"), bins)
-    r = r.join(F.broadcast(sizes), g).select(
-        *block,
+    r = r.select(
+        *g,
+        "p",
         "rows",
         "y",
         "rows_below",
+        "n_all",
+        "edges",
         where(F.col("rows_below") + 1).alias("first_bin"),
         where(F.col("rows_below") + F.col("rows")).alias("last_bin"),
     )
@@ -82,12 +89,12 @@ def calibration_deciles(
         *g, F.col("first_bin").alias("risk_decile"), F.col("rows").alias("n"), (F.col("p") * F.col("rows")).alias("sum_p"), F.col("y").alias("pos")
     )
     # At most bins - 1 blocks per cohort, and cohorts follow the calendar.
-    crossing = F.broadcast(r.where(F.col("first_bin") < F.col("last_bin")).select(*block, "rows_below"))
-    place = F.row_number().over(Window.partitionBy(*block).orderBy(customer))
+    crossing = F.broadcast(r.where(F.col("first_bin") < F.col("last_bin")).select(*g, "p", F.col("rows_below").alias("block_below"), "n_all", "edges"))
+    tied = scored.join(crossing.select(*g, "p"), [*g, "p"], "left_semi")
+    placed = running_totals(tied.withColumn("place", id_place(tied, "id")), [*g, "p"], ["place", "id"], ["rows", "y"])
     split = (
-        scored.join(crossing, block)
-        .withColumn("rank", F.col("rows_below") + place)
-        .join(F.broadcast(sizes), g)
+        placed.join(crossing, [*g, "p"])
+        .withColumn("rank", F.col("block_below") + F.col("rows_below") + 1)
         .groupBy(*g, where(F.col("rank")).alias("risk_decile"))
         .agg(F.count("*").alias("n"), F.sum("p").alias("sum_p"), F.sum("y").alias("pos"))
     )

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.functions.numeric import MONEY_SCALE, finite, money_units
+from tidemark.functions.numeric import finite, money_units
 from tidemark.functions.temporal import day_of, elapsed_days, half_of_day
 from tidemark.operators.ordering import quantiles
 from tidemark.params import FEATURES, INTERVAL_POINTS, LABEL
@@ -176,7 +176,7 @@ def _measures(tx: DataFrame, calendar: DataFrame, outcome: bool, earlier: DataFr
 
 
 def _money(units: str) -> str:
-    return f"cast({units} as double) / {MONEY_SCALE}D"
+    return f"cast({units} as double)"
 
 
 def _mean_gap(side: str) -> str:
@@ -196,7 +196,7 @@ COLUMNS = {
     "tenure_days": "case when first_sale < feature_end then extract(DAY from feature_end - first_sale) end",
     "recent_revenue": _money("recent_units"),
     # Recent minus early, where early is the rest of the window.
-    "revenue_momentum": "case when sale_units > 0 then cast(2 * recent_units - sale_units as double) / sale_units else 0D end",
+    "revenue_momentum": "case when sale_units > 0 then 2 * cast(recent_units as double) / cast(sale_units as double) - 1 else 0D end",
     "recent_tx_count": "recent_txs",
     "tx_count_momentum": "case when recent_txs + early_txs > 0 then cast(recent_txs - early_txs as double) / (recent_txs + early_txs) else 0D end",
 }

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemark.functions.numeric import finite, money, money_units
 from tidemark.functions.temporal import midnight, month_start, shift
 from tidemark.params import QualityPolicy
-from tidemark.sources.transactions import REQUIRED
+from tidemark.sources.transactions import REQUIRED, parsed_time
 
 
 def missing_columns(df: DataFrame) -> list[str]:
@@ -31,8 +31,14 @@ def structural_quality(df: DataFrame, policy: QualityPolicy = QualityPolicy()) -
     text = lambda c: F.col(c).cast("string")
     bad_number = lambda c: F.count_if(F.col(c).isNotNull() & text(c).try_cast("double").isNull())
     # Copies collapse before the shuffle; NULLs compare equal, as they do for row duplicates.
+    # A feed as text may hold times that do not parse; any other type than text and time is no time at all.
+    kind = df.schema["InvoiceDate"].dataType.typeName()
+    bad_time = F.count_if(F.col("InvoiceDate").isNotNull() & parsed_time().isNull()) if kind == "string" else F.lit(0)
+    if kind not in ("string", "timestamp", "timestamp_ntz"):
+        bad_time = F.count("*")
     lines = df.groupBy("Invoice", "StockCode", "Quantity", "InvoiceDate").agg(
         F.count("*").alias("rows"),
+        bad_time.cast("long").alias("bad_time"),
         F.count_if(F.col("CustomerID").isNull()).alias("no_customer"),
         bad_number("Quantity").alias("bad_quantity"),
         bad_number("Price").alias("bad_price"),
@@ -40,14 +46,13 @@ def structural_quality(df: DataFrame, policy: QualityPolicy = QualityPolicy()) -
     t = lines.agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
         F.count("*").alias("distinct_lines"),
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("no_customer", "bad_quantity", "bad_price")],
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("no_customer", "bad_time", "bad_quantity", "bad_price")],
     )
     rows = F.col("rows")
     share = lambda c: F.when(rows > 0, c.cast("double") / rows).otherwise(0.0)
-    is_time = isinstance_of_time(df)
     found = [
         ("empty_file", F.when(rows == 0, 1.0).otherwise(0.0), 0.0),
-        ("date_not_parsed", F.lit(0.0 if is_time else 1.0), 0.0),
+        ("date_not_parsed", F.col("bad_time").cast("double"), 0.0),
         ("quantity_not_numeric", F.col("bad_quantity").cast("double"), 0.0),
         ("price_not_numeric", F.col("bad_price").cast("double"), 0.0),
         ("null_customer_fraction", share(F.col("no_customer")), policy.max_null_customer),
@@ -59,10 +64,6 @@ def structural_quality(df: DataFrame, policy: QualityPolicy = QualityPolicy()) -
     return t.select(F.inline(checks)).withColumn("passed", F.col("observed") <= F.col("limit_value"))
 
 
-def isinstance_of_time(df: DataFrame) -> bool:
-    return df.schema["InvoiceDate"].dataType.typeName() in ("timestamp", "timestamp_ntz")
-
-
 def require_quality(checks: DataFrame) -> None:
     """Raise with the failed checks. The check table has a handful of rows."""
     failed = [r.asDict() for r in checks.where(~F.col("passed")).collect()]
@@ -103,7 +104,7 @@ def monthly_volume(tx: DataFrame) -> DataFrame:
     ).unionByName(
         customers.select(
             "month", F.lit(0).alias("tx"), F.col("CustomerID").isNotNull().cast("int").alias("customer"),
-            F.lit(None).cast("bigint").alias("units"),
+            F.lit(None).cast(customers.schema["units"].dataType).alias("units"),
         )
     )
     return parts.groupBy("month").agg(

@@ -93,12 +93,14 @@ def hashed_order(*cols: str, seed: int) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in cols]))
 
 
-def reference_sample(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> DataFrame:
+def reference_sample(df: DataFrame, n: int | None, keys: Sequence[str], seed: int = 42) -> DataFrame:
     """``n`` rows in hashed key order: the baseline saved with a model, the same on every rerun.
 
     Counting the hash prefixes first (at most 65,536) tells where the n-th row lies, so that the final
-    sort sees little more than the sample, however many tasks hold the rows.
+    sort sees little more than the sample, however many tasks hold the rows. Without ``n`` all rows stay.
     """
+    if n is None:
+        return df
     rows = df.withColumn("sample_key", hashed_order(*keys, seed=seed)).withColumn("prefix", F.substring("sample_key", 1, 4))
     upto = Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
     sizes = rows.groupBy("prefix").agg(F.count("*").alias("size"))

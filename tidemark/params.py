@@ -88,7 +88,8 @@ class QualityPolicy:
 class DriftPolicy:
     warning: float = 0.10
     critical: float = 0.25
-    baseline_rows: int = 2000
+    #: Rows of the stored drift baseline; None keeps the whole cohort.
+    baseline_rows: int | None = None
 
 
 @dataclass(frozen=True)

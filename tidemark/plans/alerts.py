@@ -13,7 +13,12 @@ from tidemark.sources import history
 
 def evaluate_alerts(spark: SparkSession, ws: Workspace, reference_model: str, policy: AlertPolicy = AlertPolicy()) -> DataFrame:
     """Signals of every monitored run; alerts never stop a pipeline."""
-    runs = ws.table(spark, "monitoring").select("snapshot_date", "prediction_psi", "max_behavioral_feature_psi")
+    # A run may lack the summary of its drift; then the stored drift rows give it. Reruns of a date are one run.
+    latest = F.max_by(F.struct("prediction_psi", "max_behavioral_feature_psi"), "run_id").alias("run")
+    runs = ws.table(spark, "monitoring").groupBy("snapshot_date").agg(latest).select("snapshot_date", "run.*")
+    report = ws.table(spark, "drift")
+    if report is not None:
+        runs = governance.behavioral_psi(runs, report, "snapshot_date")
     done = ws.table(spark, "performance")
     empty = spark.createDataFrame([], "snapshot_date date, model_lineage string, roc_auc double, recall double, brier_score double")
     delayed = empty if done is None else done.where(F.col("prediction_role") == "official").select(

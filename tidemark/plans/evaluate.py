@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.operators import calibration, delayed, labels
+from tidemark.operators import calibration, delayed, labels, quality
 from tidemark.params import LABEL, SnapshotPlan
 from tidemark.plans.workspace import Workspace
 from tidemark.session import written
@@ -26,6 +26,12 @@ def resolve_matured(spark: SparkSession, ws: Workspace, current: str, plan: Snap
         return None
     # A set is a row per cohort and model: a planning table.
     todo = mature.join(F.broadcast(sets), list(delayed.COHORT), "left_semi")
+    # A table of counts, a row per cohort.
+    broken = quality.prediction_quality(todo.withColumn("cohort", F.concat_ws(" ", *delayed.COHORT)), "cohort").where(~F.col("passed"))
+    bad = [r.asDict() for r in broken.collect()]
+    if bad:
+        history.log_event(spark, ws.path("run_log"), stage="evaluate", status="FAILED", error=f"prediction tables break their rules: {bad}")
+        raise ValueError(f"prediction tables break their rules: {bad}")
     outcome = _labels(spark, ws, todo, current, plan)
     resolved = written(delayed.resolved_predictions(todo, outcome), "resolved")
     delayed.require_unique(resolved, [*delayed.COHORT, "CustomerID"])
@@ -44,10 +50,16 @@ def resolve_matured(spark: SparkSession, ws: Workspace, current: str, plan: Snap
 def _labels(spark: SparkSession, ws: Workspace, cohort: DataFrame, current: str, plan: SnapshotPlan) -> DataFrame:
     """Stored labels of the cohorts, after adding those still missing."""
     stored = ws.table(spark, "labels")
-    fresh = cohort if stored is None else cohort.join(stored.select("snapshot_date").distinct(), "snapshot_date", "left_anti")
+    keys = list(labels.KEYS)
+    fresh = cohort if stored is None else cohort.join(stored.select(*keys), keys, "left_anti")
     windows = written(labels.outcome_windows(fresh, plan), "windows")
     first = windows.agg(F.min("outcome_start")).first()[0]
+    if first is None:  # every customer has a label
+        return stored
     sales = ws.curated(spark, since=first, before=current)
-    made = written(labels.outcome_labels(fresh, sales, plan, windows, resolved_at=current), "labels")
+    made = labels.outcome_labels(fresh, sales, plan, windows, resolved_at=current)
+    if stored is not None:  # a date's rows are replaced together
+        made = labels.upsert_labels(stored.join(F.broadcast(windows.select("snapshot_date")), "snapshot_date", "left_semi").select(*made.columns), made)
+    made = written(made, "labels")
     made.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(ws.path("labels"))
     return ws.table(spark, "labels")

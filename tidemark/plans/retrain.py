@@ -65,6 +65,7 @@ def retrain(
     meta = ws.champion(spark, model_type)
     ready, known = readiness(spark, ws, meta, plan, split, force)
     if ready.retrain_skipped:
+        history.log_event(spark, ws.path("run_log"), stage="retrain", status="SKIPPED", version=version, model_type=model_type, reason=ready.reason)
         return {"retrain_skipped": True, "reason": ready.reason, "promote": False, "available": ready.available}
     rows = split_rows(spark, ws, known, plan, split)
     part = {s: rows.where(F.col("split") == s) for s in ("train", "val", "test")}
@@ -92,6 +93,10 @@ def retrain(
     result = {**decision, "challenger": challenger, "champion": champion, "threshold": threshold, "retrain_skipped": False}
     numbers = cal.split_numbers(int(ready.available), split)
     if not decision["promote"]:
+        history.log_event(
+            spark, ws.path("run_log"), stage="retrain", status="BLOCKED", version=version, model_type=model_type, reason=decision["reason"],
+            challenger=challenger, champion=champion,
+        )
         return result
     tested = evaluate(models.probabilities(model, part["test"], ["CustomerID", LABEL]), threshold)
     models.save_model(model, ws.path("models"), version)

@@ -59,7 +59,15 @@ def monthly_score(
     run_id: str,
     plan: SnapshotPlan = SnapshotPlan(),
 ) -> DataFrame:
-    """Score the cohort of ``snapshot_date`` and append a monitoring row, which is returned."""
+    """Score the cohort of ``snapshot_date`` and append a monitoring row, which is returned. A failure is logged and raised."""
+    try:
+        return _monthly_score(spark, ws, snapshot_date, model_type, run_id, plan)
+    except Exception as e:
+        history.log_event(spark, ws.path("run_log"), stage="monthly_score", status="FAILED", snapshot_date=snapshot_date, run_id=run_id, error=str(e))
+        raise
+
+
+def _monthly_score(spark: SparkSession, ws: Workspace, snapshot_date: str, model_type: str, run_id: str, plan: SnapshotPlan) -> DataFrame:
     meta = ws.champion(spark, model_type)
     if meta is None:
         raise RuntimeError("no champion model")
@@ -86,7 +94,7 @@ def _shadow(spark, ws: Workspace, rows: DataFrame, meta, run_id: str, plan: Snap
         history.write_predictions(shadow, ws.path("predictions"))
         return None
     except Exception as e:
-        return str(e)[:500]
+        return str(e)
 
 
 def monitoring_row(spark, ws: Workspace, rows: DataFrame, official: DataFrame, meta, snapshot_date: str) -> DataFrame:

@@ -10,15 +10,15 @@ ORACLES: dict[str, str] = {}
 
 TX = """tx AS (
   SELECT o_orderkey AS invoice, l_partkey AS stock,
-         CAST(CASE WHEN l_returnflag = 'R' THEN -l_quantity ELSE l_quantity END AS INTEGER) AS qty,
+         CASE WHEN l_returnflag = 'R' THEN -l_quantity ELSE l_quantity END AS qty,
          o_orderdate AS d, l_extendedprice / l_quantity AS price, o_custkey AS cust,
-         CAST(floor(l_extendedprice * 10000 + 0.5) AS BIGINT) AS u
+         l_extendedprice AS u
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 EV = """tx AS (
   SELECT event_id AS invoice, event_type AS stock,
-         CASE event_type WHEN 'purchase' THEN 1 WHEN 'error' THEN -1 ELSE 0 END AS qty,
+         CAST(CASE event_type WHEN 'purchase' THEN 1 WHEN 'error' THEN -1 ELSE 0 END AS DOUBLE) AS qty,
          ts AS d, value AS price, user_id AS cust,
-         CAST(floor(CASE WHEN event_type IN ('purchase', 'error') THEN value ELSE 0 END * 10000 + 0.5) AS BIGINT) AS u
+         CASE WHEN event_type IN ('purchase', 'error') THEN value ELSE 0 END AS u
   FROM events)"""
 RAW = (
     TX
@@ -71,12 +71,12 @@ gap AS (SELECT n, cust, avg(g) FILTER (s > 0) AS sale_gap, avg(g) FILTER (s < 0)
 first_sale AS (SELECT cust, min(d) AS d0 FROM tx WHERE qty > 0 GROUP BY cust),
 feat AS (
   SELECT s.n AS snapshot_no, s.cust AS CustomerID, s.fe AS snapshot_date,
-    coalesce(su, 0) / 10000.0 AS total_sales_revenue, abs(coalesce(si, 0)) AS total_items_purchased,
+    coalesce(su, 0) AS total_sales_revenue, abs(coalesce(si, 0)) AS total_items_purchased,
     coalesce(st, 0) AS total_sale_txs, sale_gap AS avg_sale_days, date_diff('day', last_sale, CAST(fe AS DATE)) AS recency,
-    coalesce(ru, 0) / 10000.0 AS total_return_amount, abs(coalesce(ri, 0)) AS total_items_returned,
+    coalesce(ru, 0) AS total_return_amount, abs(coalesce(ri, 0)) AS total_items_returned,
     coalesce(rt, 0) AS total_return_txs, coalesce(return_gap, 0) AS avg_return_days,
     CASE WHEN d0 < fe THEN date_sub('day', d0, fe) END AS tenure_days,
-    coalesce(recent_u, 0) / 10000.0 AS recent_revenue,
+    coalesce(recent_u, 0) AS recent_revenue,
     CASE WHEN coalesce(su, 0) > 0 THEN (coalesce(recent_u, 0) - coalesce(early_u, 0)) / CAST(su AS DOUBLE) ELSE 0 END AS revenue_momentum,
     recent_t AS recent_tx_count,
     CASE WHEN recent_t + early_t > 0 THEN (recent_t - early_t) / CAST(recent_t + early_t AS DOUBLE) ELSE 0 END AS tx_count_momentum,
@@ -181,8 +181,8 @@ def add(name: str, ctes: str, cols: str, tail: str) -> None:
     ORACLES[name] = out(ctes, cols, tail)
 
 
-LINE = "Invoice:i=invoice; StockCode:i=stock; Quantity:i=qty; InvoiceDate:t=d; Price:f=price; CustomerID:i=cust"
-MONTHLY = "mv AS (SELECT CAST(date_trunc('month', d) AS DATE) AS month, count(DISTINCT invoice) AS tx_count, count(DISTINCT cust) AS customer_count, sum(sign(qty) * u) / 10000.0 AS revenue FROM tx GROUP BY 1)"
+LINE = "Invoice:i=invoice; StockCode:i=stock; Quantity:f=qty; InvoiceDate:t=d; Price:f=price; CustomerID:i=cust"
+MONTHLY = "mv AS (SELECT CAST(date_trunc('month', d) AS DATE) AS month, count(DISTINCT invoice) AS tx_count, count(DISTINCT cust) AS customer_count, sum(sign(qty) * u) AS revenue FROM tx GROUP BY 1)"
 LONG = "lg AS (SELECT month, 'tx_count' AS metric, CAST(tx_count AS DOUBLE) AS value FROM mv UNION ALL SELECT month, 'customer_count', CAST(customer_count AS DOUBLE) FROM mv UNION ALL SELECT month, 'revenue', CAST(revenue AS DOUBLE) FROM mv)"
 
 # --- sources and cleaning
@@ -251,7 +251,7 @@ z AS (SELECT *, (value - mean) / std AS z FROM tr)""",
 )
 add(
     "volume_check", f"""{TX.replace('tx AS', 'al AS')}, tx AS (SELECT * FROM al WHERE d < TIMESTAMP '2001-07-01'), {MONTHLY}, {LONG}, {BASE},
-nw AS (SELECT count(DISTINCT invoice) AS a, count(DISTINCT cust) AS b, sum(sign(qty) * u) / 10000.0 AS c FROM al WHERE d >= TIMESTAMP '2001-07-01'),
+nw AS (SELECT count(DISTINCT invoice) AS a, count(DISTINCT cust) AS b, sum(sign(qty) * u) AS c FROM al WHERE d >= TIMESTAMP '2001-07-01'),
 ob AS (SELECT 'tx_count' AS metric, CAST(a AS DOUBLE) AS value FROM nw UNION ALL SELECT 'customer_count', CAST(b AS DOUBLE) FROM nw UNION ALL SELECT 'revenue', CAST(c AS DOUBLE) FROM nw),
 z AS (SELECT metric, value, mean, std, (value - mean) / std AS z FROM ob JOIN bl USING (metric))""",
     f"metric:s; value:f; mean:f; std:f; z_score:f=z; {SEV}",
@@ -311,12 +311,12 @@ MEMBER = """mb AS (
   UNION ALL SELECT c.n, 'outcome', t.* FROM tx t JOIN cal c ON t.d >= c.fe AND t.d < c.oe)"""
 add(
     "snapshot_membership", f"{TX}, {order_cal('oe')}, {MEMBER}",
-    "snapshot_no:i=n; role:s; Invoice:i=invoice; StockCode:i=stock; Quantity:i=qty; InvoiceDate:t=d; CustomerID:i=cust",
+    "snapshot_no:i=n; role:s; Invoice:i=invoice; StockCode:i=stock; Quantity:f=qty; InvoiceDate:t=d; CustomerID:i=cust",
     "FROM mb",
 )
 add(
     "feature_outcome_split", f"{TX}, {order_cal('oe')}, {MEMBER}",
-    "snapshot_no:i=n; role:s; CustomerID:i=cust; lines:i=count(*); quantity:i=sum(qty)",
+    "snapshot_no:i=n; role:s; CustomerID:i=cust; lines:i=count(*); quantity:f=sum(qty)",
     "FROM mb GROUP BY n, role, cust",
 )
 
@@ -570,6 +570,12 @@ add(
     "snapshot_date:d; execution_id:s='20020102T000000Z-b'; CustomerID:i; churn_probability:f=p",
     "FROM pred WHERE prediction_role = 'shadow'",
 )
+add(
+    "file_inventory",
+    "ln AS (SELECT sha256(l_orderkey || '|' || l_linenumber || '|' || l_partkey) AS h FROM lineitem)",
+    "lines:i=count(*); line_sum:s=CAST(sum(CAST(('0x' || substr(h, 1, 15)) AS UBIGINT)) AS DECIMAL(38, 0))",
+    "FROM ln",
+)
 feature_query("feature_snapshot", TX, order_cal("fe"), FEATURE_NAMES)
 add(
     "manifest_log", FILES,

@@ -562,13 +562,17 @@ def _csv_drop(spark, sf) -> str:
     """The order lines as a delivered CSV folder."""
     path = _folder(spark, "drop")
     when = F.date_format("InvoiceDate", transactions.CSV_TIME_FORMAT)
-    order_lines(spark, sf).withColumn("InvoiceDate", when).write.option("header", True).csv(path)
+    lines, early = order_lines(spark, sf), F.col("InvoiceDate") < moment("1998-01-01")
+    write = lambda df, name: df.withColumn("InvoiceDate", when).write.option("header", True).csv(f"{path}/{name}")
+    write(lines.where(early), "early")
+    # Later files have the columns in another order, and one more.
+    write(lines.where(~early).withColumn("Country", F.lit("X, Y")).select("Country", *reversed(LINE)), "late")
     return path
 
 
 @query
 def csv_scan(spark, sf):
-    return transactions.scan_transactions(spark, _csv_drop(spark, sf))
+    return transactions.scan_transactions(spark, _csv_drop(spark, sf)).select(*LINE)
 
 
 @query
@@ -586,7 +590,7 @@ def streamed_store(spark, sf):
     drop, store, state = _csv_drop(spark, sf), _folder(spark, "store"), _folder(spark, "state")
     for _ in range(2):
         streaming.stream_transactions(spark, drop, store, _folder(spark, "quarantine"), state).awaitTermination()
-    return transactions.read_curated(spark, store)
+    return transactions.read_curated(spark, store).select(*LINE)
 
 
 @query
@@ -637,9 +641,12 @@ def report_sinks(spark, sf):
 
 @query
 def file_inventory(spark, sf):
-    """Size and content hash of the files of a delivered folder."""
-    files = history.file_inventory(spark, _csv_drop(spark, sf), "*.csv")
-    return files.select(F.element_at(F.split("source_file", "/"), -1).alias("file"), "bytes", "sha256")
+    """Lines and sums of line hashes of the files of a delivered folder, added up over the files."""
+    path = _folder(spark, "files")
+    keys = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    keys.select(F.concat_ws("|", *[c.cast("string") for c in map(F.col, keys.columns)]).alias("value")).write.text(path)
+    files = history.file_inventory(spark, path, "*.txt")
+    return files.agg(F.sum("lines").alias("lines"), F.sum("line_sum").cast("string").alias("line_sum"))
 
 
 # --- models: no SQL restates a fit, so these are checked by their row counts and the unit tests -------------
@@ -665,17 +672,16 @@ def logistic_scores(spark, sf):
 
 @query
 def boosted_scores(spark, sf):
-    """Scores of a short boosting run, with absent features kept visible to the trees."""
+    """Scores of the frozen boosted trees, with absent features kept visible to the trees."""
     rows = _split(spark, sf)
-    params = {**models.FROZEN["gradient_boosting"], "n_estimators": 10}
-    model = models.fit(models.gradient_boosting(**params), rows.where(F.col("split") == "train"))
+    model = models.fit(models.production_candidate("gradient_boosting")[0], rows.where(F.col("split") == "train"))
     return models.probabilities(model, rows.where(F.col("split") == "val"), ["snapshot_no", "CustomerID"])
 
 
 @query
 def forward_validation(spark, sf):
     rows = _split(spark, sf).where(F.col("split") == "train")
-    folds = models.forward_validation(models.random_forest(n_estimators=20), rows)
+    folds = models.forward_validation(models.production_candidate("random_forest")[0], rows)
     return spark.createDataFrame(
         [(",".join(map(str, f["train_snapshots"])), f["validation_snapshot"], f["roc_auc"]) for f in folds],
         "train_snapshots string, validation_snapshot int, roc_auc double",
@@ -689,7 +695,7 @@ def model_comparison(spark, sf):
     train, val = rows.where(F.col("split") == "train"), rows.where(F.col("split") == "val")
     parts = [
         models.probabilities(models.fit(p, train), val, ["CustomerID", LABEL]).withColumn("model", F.lit(name))
-        for name, p in (("forest", models.random_forest(n_estimators=20)), ("logistic", models.logistic_regression()))
+        for name, p in (("forest", models.production_candidate("random_forest")[0]), ("logistic", models.logistic_regression()))
     ]
     scored = written(parts[0].unionByName(parts[1]), "scored")
     best = metrics.best_threshold(metrics.threshold_sweep(metrics.score_table(scored, ["model"], LABEL), ["model"]), ["model"])

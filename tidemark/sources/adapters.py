@@ -38,7 +38,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("o_orderkey").alias("Invoice"),
         F.col("l_partkey").alias("StockCode"),
-        (sign * F.col("l_quantity")).cast("int").alias("Quantity"),
+        (sign * F.col("l_quantity")).alias("Quantity"),
         F.col("o_orderdate").cast("timestamp_ntz").alias("InvoiceDate"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("Price"),
         F.col("o_custkey").alias("CustomerID"),
@@ -51,7 +51,7 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events").select(
         F.col("event_id").alias("Invoice"),
         kind.alias("StockCode"),
-        F.when(kind == "purchase", 1).when(kind == "error", -1).otherwise(0).alias("Quantity"),
+        F.when(kind == "purchase", 1.0).when(kind == "error", -1.0).otherwise(0.0).alias("Quantity"),
         F.col("ts").cast("timestamp_ntz").alias("InvoiceDate"),
         F.col("value").alias("Price"),
         F.col("user_id").alias("CustomerID"),

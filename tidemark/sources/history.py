@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.sources.transactions import is_missing
 
@@ -69,15 +69,32 @@ def log_run(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
+def log_event(spark: SparkSession, path: str, **fields) -> None:
+    """Append one record of what a plan did or why it did not."""
+    text = {k: v if v is None else str(v) for k, v in fields.items()}
+    log_run(spark.createDataFrame([text], ", ".join(f"{k} string" for k in text)), path)
+
+
 def file_inventory(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """Content hash and size per file, hashed where the file is read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
+    """Size, number of lines and content hash of each text file of any size.
+
+    Files are read in splits. The hash is over the number of lines and the sum of the lines' own hashes, so it
+    does not depend on how a file is split; files that hold the same lines in another order count as equal.
+    """
+    lines = (
+        spark.read.option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", True)
-        .load(path)
-        .select(F.col("path").alias("source_file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+        .text(path)
+        .select(F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_size").alias("bytes"), line_hash(F.col("value")).alias("h"))
     )
+    files = lines.groupBy("source_file").agg(F.max("bytes").alias("bytes"), F.count("*").alias("lines"), F.sum("h").alias("line_sum"))
+    content = F.concat_ws(":", F.col("lines").cast("string"), F.col("line_sum").cast("string"))
+    return files.select("source_file", "bytes", "lines", "line_sum", F.sha2(content, 256).alias("sha256"))
+
+
+def line_hash(line: Column) -> Column:
+    """The first 60 bits of a line's SHA-256, as a number that adds up exactly."""
+    return F.conv(F.substring(F.sha2(line.cast("binary"), 256), 1, 15), 16, 10).cast("decimal(20, 0)")
 
 
 def write_predictions(df: DataFrame, path: str) -> None:
@@ -85,7 +102,11 @@ def write_predictions(df: DataFrame, path: str) -> None:
 
     A cohort of any size is split over several files instead of funnelling into one task.
     """
-    keys = ["snapshot_date", "prediction_role", "model_version"]
+    _replace(df, path, ["snapshot_date", "prediction_role", "model_version"])
+
+
+def _replace(df: DataFrame, path: str, keys: list[str]) -> None:
+    """Write ``df`` over the partitions that it has rows of, in files of even size."""
     (
         df.hint("rebalance", *[F.col(k) for k in keys])
         .write.mode("overwrite")
@@ -96,13 +117,13 @@ def write_predictions(df: DataFrame, path: str) -> None:
 
 
 def write_execution(df: DataFrame, path: str, execution_id: str) -> None:
-    """Append one execution's rows under its own folder; earlier executions stay untouched."""
-    df.withColumn("execution_id", F.lit(execution_id)).write.mode("append").partitionBy("snapshot_date", "execution_id").parquet(path)
+    """One execution's rows under its own folder; earlier executions stay untouched, a rerun replaces its own."""
+    _replace(df.withColumn("execution_id", F.lit(execution_id)), path, ["snapshot_date", "execution_id"])
 
 
 def write_feature_snapshot(df: DataFrame, path: str) -> None:
-    """The features as scored, for audits and later drift baselines."""
-    df.write.mode("append").partitionBy("snapshot_date").parquet(path)
+    """The features as scored, for audits and later drift baselines. A rerun replaces the cohort's rows."""
+    _replace(df, path, ["snapshot_date"])
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "parquet") -> None:

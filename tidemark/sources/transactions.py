@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.functions.temporal import day_of, moment, month_start
-from tidemark.session import written
+from tidemark.functions.temporal import moment, month_start
 
 # Fixed value: the timestamp layout of the CSV feeds.
 CSV_TIME_FORMAT = "dd-MM-yyyy HH:mm"
@@ -17,14 +19,17 @@ TRANSACTIONS = T.StructType(
     [
         T.StructField("Invoice", T.StringType()),
         T.StructField("StockCode", T.StringType()),
-        T.StructField("Quantity", T.IntegerType()),
+        T.StructField("Quantity", T.DoubleType()),
         T.StructField("InvoiceDate", T.TimestampNTZType()),
         T.StructField("Price", T.DoubleType()),
         T.StructField("CustomerID", T.LongType()),
     ]
 )
-# Every CSV column arrives as text; casts happen once, in parse_raw.
-RAW = T.StructType([T.StructField(f.name, T.StringType()) for f in TRANSACTIONS])
+
+# Columns a CSV file may have. Cells are read by place as text; names come from each file's own header.
+MAX_COLUMNS = 64
+_CELLS = [f"cell_{i}" for i in range(MAX_COLUMNS)]
+_BY_PLACE = T.StructType([T.StructField(c, T.StringType()) for c in _CELLS])
 
 
 def is_missing(e: AnalysisException) -> bool:
@@ -32,37 +37,87 @@ def is_missing(e: AnalysisException) -> bool:
     return any(s in str(e) for s in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"))
 
 
-def raw_reader(reader):
+def cell_reader(reader):
     """Options shared by the batch and the streaming CSV reader.
 
     The files of a folder tree are found recursively, whatever the case of the suffix.
     """
     return (
-        reader.schema(RAW)
-        .option("header", True)
-        .option("enforceSchema", False)
+        reader.schema(_BY_PLACE)
+        .option("header", False)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.[cC][sS][vV]")
     )
 
 
+def with_origin(cells: DataFrame) -> DataFrame:
+    """Cells with the file they come from; a header can only be in the part of a file that starts at its first byte."""
+    return cells.select("*", F.col("_metadata.file_path").alias("file"), (F.col("_metadata.file_block_start") == 0).alias("from_start"))
+
+
+def _is_header() -> Column:
+    """A line of a file's first part that names at least two of the required columns."""
+    named = F.array_intersect(F.transform(F.array(*_CELLS), _name), F.array(*[F.lit(c) for c in REQUIRED]))
+    return F.col("from_start") & (F.size(named) >= 2)
+
+
+def _name(cell: Column) -> Column:
+    return F.trim(F.regexp_replace(cell, "\ufeff", ""))
+
+
+def by_header(cells: DataFrame) -> DataFrame:
+    """Text columns under the names of each file's own header, in whatever order and with whatever further columns.
+
+    A column is present if every file has it or if it is not a required one; so ``structural_quality`` sees what is
+    missing. Only the distinct headers reach the driver.
+    """
+    names = F.transform(F.array(*_CELLS), _name)
+    headers = cells.where(_is_header()).select("file", names.alias("header")).dropDuplicates(["file"])
+    layouts = [r.header for r in headers.select("header").distinct().collect()]
+    if not layouts:
+        raise ValueError("no CSV files found, or none with a header")
+    known = [c for c in REQUIRED if all(c in x for x in layouts)]
+    known += sorted({c for x in layouts for c in x if c and c not in REQUIRED})
+    lines = cells.where(~_is_header())
+    if len(layouts) == 1:
+        return lines.select(*[F.col(_CELLS[layouts[0].index(c)]).alias(c) for c in known])
+    both = lines.join(headers, "file")
+    place = lambda c: F.array_position("header", F.lit(c)).cast("int")
+    return both.select(*[F.when(place(c) > 0, F.get(F.array(*_CELLS), place(c) - 1)).alias(c) for c in known])
+
+
+def scan_raw(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Lines of one or more CSV files or folders as text. No order is imposed; no result depends on one."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    if not paths:
+        raise ValueError("no transaction files were supplied")
+    return by_header(with_origin(cell_reader(spark.read).csv(paths)))
+
+
+def parsed_time(strict: bool = False) -> Column:
+    if strict:
+        return F.to_timestamp_ntz("InvoiceDate", F.lit(CSV_TIME_FORMAT))
+    return F.expr(f"cast(try_to_timestamp(InvoiceDate, '{CSV_TIME_FORMAT}') as timestamp_ntz)")
+
+
 def parse_raw(raw: DataFrame, strict: bool = True) -> DataFrame:
     """Text columns to the transaction schema.
 
     ``strict`` fails on a malformed time or number, as a batch load must; otherwise it becomes NULL.
     Customer ids may be written as ``17850.0``.
     """
+    missing = sorted(set(REQUIRED) - set(raw.columns))
+    if missing:
+        raise ValueError(f"missing columns: {missing}")
     if strict:
-        when = F.to_timestamp_ntz("InvoiceDate", F.lit(CSV_TIME_FORMAT))
         number = lambda c, t: F.col(c).cast("double").cast(t)
     else:
-        when = F.expr(f"cast(try_to_timestamp(InvoiceDate, '{CSV_TIME_FORMAT}') as timestamp_ntz)")
         number = lambda c, t: F.expr(f"try_cast(try_cast({c} as double) as {t})")
     return raw.select(
         "Invoice",
         "StockCode",
-        number("Quantity", "int").alias("Quantity"),
-        when.alias("InvoiceDate"),
+        number("Quantity", "double").alias("Quantity"),
+        parsed_time(strict).alias("InvoiceDate"),
         number("Price", "double").alias("Price"),
         number("CustomerID", "bigint").alias("CustomerID"),
         *[c for c in raw.columns if c not in REQUIRED],
@@ -70,14 +125,8 @@ def parse_raw(raw: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def scan_transactions(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Lines of one or more CSV files or folders. No order is imposed; no result depends on one."""
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    if not paths:
-        raise ValueError("no transaction files were supplied")
-    raw = raw_reader(spark.read).csv(paths)
-    if not raw.inputFiles():
-        raise ValueError(f"no CSV files found under {paths}")
-    return parse_raw(raw)
+    """Lines of one or more CSV files or folders under the transaction schema, further columns as text."""
+    return parse_raw(scan_raw(spark, paths))
 
 
 def clean_transactions(tx: DataFrame) -> DataFrame:
@@ -93,66 +142,104 @@ def curate(history: DataFrame, batch: DataFrame) -> DataFrame:
     return history.unionByName(batch, allowMissingColumns=True).dropDuplicates()
 
 
-def read_curated(spark: SparkSession, path: str, since=None, before=None) -> DataFrame:
-    """The curated store, or an empty table of its schema before the first write.
+# --- the curated store ----------------------------------------------------------------------------------------------
+#
+# ``lines/invoice_month=<key>/load=<id>`` holds the lines of a month as one load left them, ``commits`` says which load
+# is the newest of each month. A load becomes visible by one appended record, so a reader sees a month before or after
+# it and never in between, and a failed load leaves nothing but files that nobody reads.
 
-    ``since`` and ``before`` (times) cut the lines, and the months that are read at all.
-    """
+COMMITS = T.StructType([T.StructField(n, T.StringType()) for n in ("invoice_month", "load", "columns")] + [T.StructField("seq", T.LongType())])
+UNKNOWN_MONTH = "unknown"
+
+
+def month_key(when: Column) -> Column:
+    """Text, so that no reader takes it for another type; lines without a time have a month of their own."""
+    return F.coalesce(F.date_format(month_start(when), "'m'yyyy-MM"), F.lit(UNKNOWN_MONTH))
+
+
+def _commits(spark: SparkSession, path: str) -> DataFrame:
     try:
-        store = spark.read.parquet(path)
+        return spark.read.schema(COMMITS).json(f"{path}/commits")
     except AnalysisException as e:
         if not is_missing(e):
             raise
+        return spark.createDataFrame([], COMMITS)
+
+
+def current_loads(spark: SparkSession, path: str) -> list:
+    """The newest load of each month: as many rows as the store has months."""
+    newest = F.max_by(F.struct("load", "columns", "seq"), "seq").alias("newest")
+    return _commits(spark, path).groupBy("invoice_month").agg(newest).select("invoice_month", "newest.*").orderBy("invoice_month").collect()
+
+
+def _lines(spark: SparkSession, path: str, loads: list) -> DataFrame:
+    if not loads:
         return spark.createDataFrame([], TRANSACTIONS)
-    month = F.col("invoice_month")
+    columns: dict[str, T.StructField] = {}
+    for text in dict.fromkeys(x.columns for x in loads):
+        for field in T.StructType.fromJson(json.loads(text)).fields:
+            columns.setdefault(field.name, field)
+    folders = [f"{path}/lines/invoice_month={x.invoice_month}/load={x.load}" for x in loads]
+    return spark.read.schema(T.StructType(list(columns.values()))).parquet(*folders)
+
+
+def read_curated(spark: SparkSession, path: str, since=None, before=None) -> DataFrame:
+    """The curated store, or an empty table of its schema before the first write.
+
+    ``since`` and ``before`` (times) cut the lines, and the months that are read at all.
+    """
+    loads = current_loads(spark, path)
     if since is not None:
-        store = store.where((month >= month_start(moment(since))) & (F.col("InvoiceDate") >= moment(since)))
+        loads = [x for x in loads if x.invoice_month != UNKNOWN_MONTH and x.invoice_month >= f"m{str(since)[:7]}"]
     if before is not None:
-        store = store.where((month <= day_of(moment(before))) & (F.col("InvoiceDate") < moment(before)))
-    return store.drop("invoice_month")
+        loads = [x for x in loads if x.invoice_month != UNKNOWN_MONTH and x.invoice_month <= f"m{str(before)[:7]}"]
+    lines, when = _lines(spark, path, loads), F.col("InvoiceDate")
+    if since is not None:
+        lines = lines.where(when >= moment(since))
+    if before is not None:
+        lines = lines.where(when < moment(before))
+    return lines
 
 
-def write_curated(df: DataFrame, path: str) -> None:
-    """Replace the months present in ``df``.
+def update_curated(spark: SparkSession, path: str, batch: DataFrame) -> list[str]:
+    """Merge cleaned lines into the store and return the months they touch; only those are read and written anew.
 
     Rebalancing splits a month that is too large for one task and merges the small ones.
     """
+    months = sorted(r.m for r in batch.select(month_key(F.col("InvoiceDate")).alias("m")).distinct().collect())  # a few at most
+    if not months:
+        return []
+    loads = current_loads(spark, path)
+    kept = [x for x in loads if x.invoice_month in months]
+    merged = curate(_lines(spark, path, kept), batch) if kept else batch.dropDuplicates()
+    load = uuid.uuid4().hex
     (
-        df.withColumn("invoice_month", month_start(F.col("InvoiceDate")))
+        merged.withColumns({"invoice_month": month_key(F.col("InvoiceDate")), "load": F.lit(load)})
         .hint("rebalance", F.col("invoice_month"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("invoice_month")
-        .parquet(path)
+        .write.mode("append")
+        .partitionBy("invoice_month", "load")
+        .parquet(f"{path}/lines")
     )
+    seq = max((x.seq for x in loads), default=0) + 1
+    done = [(m, load, merged.schema.json(), seq) for m in months]
+    spark.createDataFrame(done, COMMITS).coalesce(1).write.mode("append").json(f"{path}/commits")
+    return months
 
 
-def update_curated(spark: SparkSession, path: str, batch: DataFrame) -> None:
-    """Merge cleaned lines into the store. Only the months they touch are read and rewritten.
-
-    A month is read and replaced in one go, so the merged rows are written aside first.
-    """
-    month = month_start(F.col("InvoiceDate"))
-    touched = [r.m for r in batch.select(month.alias("m")).distinct().collect()]  # a few months at most
-    try:
-        stored = spark.read.parquet(path).where(F.col("invoice_month").isin(touched)).drop("invoice_month")
-    except AnalysisException as e:
-        if not is_missing(e):
-            raise
-        stored = batch.limit(0)
-    write_curated(written(curate(stored, batch), "curate"), path)
+def drop_superseded(spark: SparkSession, path: str) -> int:
+    """Delete the loads that newer ones have replaced, once no reader needs them; returns how many."""
+    current = {(x.invoice_month, x.load) for x in current_loads(spark, path)}
+    old = [r for r in _commits(spark, path).select("invoice_month", "load").distinct().collect() if (r.invoice_month, r.load) not in current]
+    for r in old:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/lines/invoice_month={r.invoice_month}/load={r.load}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return len(old)
 
 
 def recent_months(spark: SparkSession, path: str, months: int) -> DataFrame:
-    """Lines of the last observed months of the store; the months are partitions, the rest is not read."""
-    try:
-        store = spark.read.parquet(path)
-    except AnalysisException as e:
-        if not is_missing(e):
-            raise
-        return spark.createDataFrame([], TRANSACTIONS)
-    newest = store.select("invoice_month").distinct().orderBy(F.desc("invoice_month")).limit(months).collect()
-    return store.where(F.col("invoice_month").isin([r.invoice_month for r in newest])).drop("invoice_month")
+    """Lines of the last observed months of the store; nothing else is read."""
+    loads = [x for x in current_loads(spark, path) if x.invoice_month != UNKNOWN_MONTH]
+    return _lines(spark, path, sorted(loads, key=lambda x: x.invoice_month)[-months:])
 
 
 def point_in_time_union(bootstrap: DataFrame, replay: DataFrame, as_of) -> DataFrame:
