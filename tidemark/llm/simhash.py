@@ -142,7 +142,7 @@ def signatures_of(width: int, threshold: int) -> list[int]:
 
 def plan(n: int, distances: np.ndarray, max_distance: int) -> list[tuple[list[int], int]]:
     """Partitions (as lists of blocks) and their thresholds, cheapest by estimated signatures and candidates."""
-    best, cost = None, float("inf")
+    best, cost, n = None, float("inf"), max(n, 2)
     count = len(distances)
     for m in range(1, min(count, max_distance + 1) + 1):
         edges = [round(i * count / m) for i in range(m + 1)]
