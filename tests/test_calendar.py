@@ -39,10 +39,10 @@ def test_step_recommendation_stops_at_the_first_misfit(spark):
 
 @pytest.mark.parametrize(
     "latest,want",
-    [(6, [[1, 2, 3], [4, 5], [6]]), (7, [[2, 3, 4], [5, 6], [7]]), (8, [[3, 4, 5], [6, 7], [8]])],
+    [(7, [[1, 2, 3, 4], [5], [6, 7]]), (9, [[3, 4, 5, 6], [7], [8, 9]]), (13, [[7, 8, 9, 10], [11], [12, 13]])],
 )
 def test_rolling_split(spark, latest, want):
-    split = SplitPlan(3, 2, 1)
+    split = SplitPlan(4, 1, 2)
     assert list(cal.split_numbers(latest, split).values()) == want
     rows = rows_of(cal.rolling_split(cal.snapshot_calendar(spark, PLAN, latest), split), "snapshot_no")
     got = {s: [r["snapshot_no"] for r in rows if r["split"] == s] for s in ("train", "val", "test")}
@@ -97,4 +97,4 @@ def test_coverage_prefers_the_manifest(spark, small):
     some = spark.createDataFrame([("SUCCESS", "2010-07-01"), ("FAILED", "2010-09-01")], schema)
     assert cal.manifest_coverage(some, small).first().coverage_end == datetime(2010, 7, 1)
     none = spark.createDataFrame([], schema)
-    assert cal.manifest_coverage(none, small).first().coverage_end == datetime(2010, 6, 5, 10)
+    assert cal.manifest_coverage(none, small).first().coverage_end == datetime(2010, 7, 31, 23, 30)

@@ -21,11 +21,19 @@ def test_small_goldens(spark, small):
     rows = rows_of(features.training_dataset(small, snapshot_calendar(spark, PLAN, 1)), "CustomerID")
     one, two = rows
     assert (one[LABEL], two[LABEL]) == (1, 0)  # a return alone is not activity
-    assert one["total_sales_revenue"] == 20 and one["total_items_purchased"] == 2 and one["total_sale_txs"] == 1
-    assert one["avg_sale_days"] is None and one["recency"] == 142 and one["tenure_days"] == 141
-    assert one["total_return_amount"] == one["total_items_returned"] == one["total_return_txs"] == one["avg_return_days"] == 0
-    assert one["recent_revenue"] == 0 and one["revenue_momentum"] == -1 and one["tx_count_momentum"] == -1
-    assert two["total_sales_revenue"] == 15 and two["recency"] == 106 and two["tenure_days"] == 105
+    assert one["total_sales_revenue"] == 35.75 and one["total_items_purchased"] == 4 and one["total_sale_txs"] == 2
+    assert one["avg_sale_days"] == 69 and one["recency"] == 59 and one["tenure_days"] == 127
+    assert one["total_return_amount"] == 22.25 and one["total_items_returned"] == one["total_return_txs"] == 1 and one["avg_return_days"] == 0
+    assert one["recent_revenue"] == 22.25 and one["revenue_momentum"] == pytest.approx(8.75 / 35.75) and one["tx_count_momentum"] == 0
+    assert two["total_sales_revenue"] == two["recent_revenue"] == 18 and two["recency"] == 63 and two["tenure_days"] == 62
+    assert two["avg_sale_days"] is None and two["revenue_momentum"] == two["tx_count_momentum"] == two["recent_tx_count"] == 1
+
+
+def test_small_amounts_and_fractions_count(spark, lines):
+    tx = lines([(str(i), "A", 0.5, "2010-01-05 10:00", 0.00008, 1) for i in range(3)] + [("9", "A", 1, "2010-01-06 10:00", 3e15, 1)])
+    row = features.customer_features(tx.where("Invoice <> '9'"), snapshot_calendar(spark, PLAN, 1)).first()
+    assert row.total_sales_revenue == pytest.approx(0.00012, abs=1e-15) and row.total_items_purchased == 1.5
+    assert features.customer_features(tx, snapshot_calendar(spark, PLAN, 1)).first().total_sales_revenue == 3e15
 
 
 def test_midpoint_of_window(spark):
@@ -42,7 +50,7 @@ def test_training_and_scoring_agree(spark, small):
 
 def test_future_lines_change_nothing(spark, small, lines):
     cal = snapshot_calendar(spark, PLAN, 1)
-    later = lines([("999", "Z", 50, "2010-05-01 00:00", 9.0, 1), ("998", "Z", -7, "2010-07-01 09:00", 3.0, 2)])
+    later = lines([("999", "Z", 50, "2010-05-01 00:00", 9.0, 31), ("998", "Z", -7, "2010-07-01 09:00", 3.0, 58)])
     before = rows_of(features.customer_features(small, cal), "CustomerID")
     assert rows_of(features.customer_features(small.unionByName(later), cal), "CustomerID") == before
 

@@ -11,7 +11,7 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import risk_tier
-from tidemark.operators import delayed, drift, governance, labels, lineage, metrics, quality, scoring
+from tidemark.operators import calibration, delayed, drift, governance, labels, lineage, metrics, quality, scoring
 from tidemark.params import LABEL, GuardrailPolicy, SnapshotPlan
 
 
@@ -45,13 +45,14 @@ def test_psi_edge_cases(spark):
 
 
 def test_drift_report_separates_temporal_features(spark):
-    base = spark.createDataFrame([(float(t), float(r)) for t, r in zip((10, 20, 30, 40), (1, 2, 3, 4))], "tenure_days double, recency double")
-    cur = base.withColumn("tenure_days", F.col("tenure_days") + 90)
+    old = {"tenure_days": [5.0, 26.0, 66.0, 201.0, 410.0, 37.0], "recency": [12.0, 7.0, 30.0, 3.0, 18.0, 51.0]}
+    new = {"tenure_days": [64.0, 390.0, 512.0, 230.0, 488.0, 71.0], "recency": [3.0, 51.0, 18.0, 12.0, 7.0, 30.0]}
+    base, cur = (spark.createDataFrame(list(zip(*x.values())), "tenure_days double, recency double") for x in (old, new))
     side = lambda df, s: df.withColumn("side", F.lit(s)).withColumn("pair", F.lit(1))
     report = drift.feature_drift(side(base, "baseline").unionByName(side(cur, "current")), features=["tenure_days", "recency"])
     rows = {r.feature: r for r in report.collect()}
     assert rows["tenure_days"].drift_type == "expected_temporal" and rows["recency"].drift_type == "behavioral"
-    assert rows["tenure_days"].psi == pytest.approx(0.344880, abs=1e-6) and rows["recency"].psi == 0
+    assert rows["tenure_days"].psi == pytest.approx(psi_reference(old["tenure_days"], new["tenure_days"]), abs=1e-12) and rows["recency"].psi == 0
     roll = drift.drift_rollup(report).first()
     assert roll.max_behavioral_feature_psi == 0 and roll.temporal_psi_tenure_days == roll.max_feature_psi
 
@@ -73,10 +74,29 @@ def cohort(spark, pairs):
 
 
 def test_delayed_metrics_golden(spark):
-    got = delayed.delayed_evaluation(cohort(spark, [(0.1, 0), (0.8, 1), (0.2, 0), (0.9, 1)]), bins=2).first()
-    assert got.n_resolved == 4 and got.roc_auc == got.accuracy == got.f1 == 1
-    assert got.brier_score == pytest.approx(0.025) and got.ece == pytest.approx(0.15)
-    assert got.mean_churn_probability == pytest.approx(0.5)
+    got = delayed.delayed_evaluation(cohort(spark, [(0.15, 0), (0.35, 1), (0.6, 0), (0.65, 1), (0.95, 1)]), bins=2).first()
+    assert got.n_resolved == 5 and got.roc_auc == pytest.approx(5 / 6) and got.accuracy == 0.6 and got.f1 == pytest.approx(2 / 3)
+    # Bins of three and two: gaps 1/30 and 1/5.
+    assert got.brier_score == pytest.approx(0.186) and got.ece == pytest.approx(0.1)
+    assert got.mean_churn_probability == pytest.approx(0.54)
+
+
+@pytest.mark.parametrize("ids", ["dense", "sparse", "text"])
+def test_calibration_of_tied_scores(spark, ids):
+    """Few distinct scores: blocks of equal ones cross bin edges and are split by id, whatever the ids look like."""
+    rng = random.Random(ids)
+    name = {"dense": lambda i: i, "sparse": lambda i: i * 100_003 + 7, "text": lambda i: f"customer-{i:05d}"}[ids]
+    data = [(name(i), rng.choice([0.2, 0.2, 0.2, 0.7, rng.random()]), rng.randint(0, 1)) for i in range(700)]
+    df = spark.createDataFrame([("g", *x) for x in data], f"g string, CustomerID {'string' if ids == 'text' else 'long'}, churn_probability double, y int")
+    got = {r.risk_decile: (r.n, r.mean_predicted_probability, r.actual_churn_rate) for r in calibration.calibration_deciles(df.repartition(5), ["g"], "y").collect()}
+    ranked = sorted(data, key=lambda x: (x[1], x[0]))
+    edges = np.quantile(np.arange(1, 701), np.linspace(0, 1, 11)[1:-1])
+    bins = {}
+    for rank, (_, p, y) in enumerate(ranked, 1):
+        bins.setdefault(1 + int((edges < rank).sum()), []).append((p, y))
+    assert {b: v[0] for b, v in got.items()} == {b: len(v) for b, v in bins.items()}
+    for b, v in bins.items():
+        assert got[b][1:] == pytest.approx(tuple(np.mean(v, axis=0)))
 
 
 def test_single_class_has_no_ranking_metrics(spark):

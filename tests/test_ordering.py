@@ -45,7 +45,10 @@ def test_order_cell_never_decreases(spark):
     for density in (BAND_DENSITY, CELL_DENSITY):
         cells = [r.c for r in df.orderBy("i").select(order_cell(F.col("v"), density).alias("c")).collect()]
         assert cells == sorted(cells)
-    # Band 0 lies on both sides of zero, the others hold CELL_DENSITY / BAND_DENSITY cells.
+    tiny = spark.range(100_000).select((F.col("id") * 5e-13 + 1e-13).alias("v"))
+    cells = tiny.groupBy(order_cell(F.col("v"), CELL_DENSITY).alias("c")).count()
+    assert cells.agg(F.max("count")).first()[0] <= 2 and cells.count() > 90_000
+    # A band holds CELL_DENSITY / BAND_DENSITY cells.
     per = df.select(order_cell(F.col("v"), CELL_DENSITY).alias("c"), order_cell(F.col("v"), BAND_DENSITY).alias("b")).distinct()
     assert per.groupBy("b").agg(F.max("c") - F.min("c")).agg(F.max("(max(c) - min(c))")).first()[0] <= 2 * CELL_DENSITY // BAND_DENSITY
 
