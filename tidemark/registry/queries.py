@@ -288,7 +288,12 @@ def split_dataset(spark, sf):
     split = cal.rolling_split(calendar, SPLIT)
     # Only the split's windows are computed: the calendar is cut before the features.
     wanted = calendar.join(F.broadcast(split), "snapshot_no")
-    rows = features.training_dataset(order_lines(spark, sf), wanted.drop("split"))
+    # Lines before the first window only tell each customer's first sale.
+    start, tx = wanted.agg(F.min("feature_start")).first()[0], order_lines(spark, sf)
+    if start is None:
+        start = "0001-01-01"
+    since = F.col("InvoiceDate") >= moment(start)
+    rows = features.training_dataset(tx.where(since), wanted.drop("split"), tx.where(~since))
     return rows.join(F.broadcast(split), "snapshot_no")
 
 
@@ -369,8 +374,12 @@ def history_summary(spark, sf):
     return scoring.history_summary(raw, transactions.clean_transactions(raw))
 
 
+def _score_rows(rows):
+    return metrics.score_table(rows, COHORT, LABEL, threshold=F.col("threshold_used"))
+
+
 def _scores(spark, sf):
-    return metrics.score_table(fr.evaluated(spark, sf), COHORT, LABEL, threshold=F.col("threshold_used"))
+    return _score_rows(fr.evaluated(spark, sf))
 
 
 @query
@@ -475,34 +484,54 @@ def shadow_comparison(spark, sf):
 # --- governance and lineage ---------------------------------------------------------------------------------
 
 
-def _role(df, role, prefix):
-    cols = [F.col(m).alias(f"{prefix}_{m}") for m in ("roc_auc", "recall", "brier_score")]
-    return df.where(F.col("prediction_role") == role).select("snapshot_date", *cols)
+def _by_role(df, **prefixes):
+    """One row a cohort with the metrics of each role under the role's prefix: one grouping, no self-join."""
+    pick = lambda role, m: F.max(F.when(F.col("prediction_role") == role, F.col(m)))
+    cols = [pick(role, m).alias(f"{prefix}{m}") for role, prefix in prefixes.items() for m in ("roc_auc", "recall", "brier_score")]
+    return df.groupBy("snapshot_date").agg(*cols)
 
 
 @query
 def promotion_decision(spark, sf):
-    e = _evaluated(spark, sf)
-    pairs = _role(e, "official", "challenger").join(_role(e, "shadow", "champion"), "snapshot_date")
-    return governance.promotion_decision(pairs)
+    return governance.promotion_decision(_by_role(_evaluated(spark, sf), official="challenger_", shadow="champion_"))
+
+
+@query
+def reference_metrics(spark, sf):
+    """Reference metrics of every cohort: the official ones as test metrics in even years, else the shadow's."""
+    e = _by_role(_evaluated(spark, sf), official="t_", shadow="m_")
+    even = F.year("snapshot_date") % 2 == 0
+    pick = lambda p, on: F.struct(*[F.when(on, F.col(p + m)).alias(m) for m in governance.REFERENCE_METRICS])
+    known = e.select("snapshot_date", pick("t_", even).alias("test_metrics"), pick("m_", F.lit(True)).alias("metrics"))
+    return governance.resolve_reference(known).drop("test_metrics", "metrics")
+
+
+@query
+def behavioral_psi(spark, sf):
+    """The behavioral drift of every pair: from the run's summary for even pairs, else from the drift rows."""
+    report = written(_feature_report(spark, sf), "report")
+    direct = F.when(F.col("pair") % 2 == 0, F.col("max_behavioral_feature_psi"))
+    summary = drift.drift_rollup(report).select("pair", direct.alias("max_behavioral_feature_psi"))
+    return governance.behavioral_psi(summary, report, "pair")
 
 
 def _alerts(spark, sf):
     """Monitoring rows per official cohort: score drift, feature drift and delayed metrics, referenced to
     the shadow model of the same cohort; cohorts of odd years are scored by a model of other lineage."""
-    psi = drift.prediction_drift(
-        drift.consecutive_pairs(fr.cohort_scores(order_lines(spark, sf), fr.labelled(spark, sf))), ["pair"]
-    )
+    # Drift and evaluation each give a small table; they meet by grouping their rows on the date.
+    scored = written(fr.cohort_scores(order_lines(spark, sf), fr.labelled(spark, sf), outcome=True), "cohorts")
+    psi = drift.prediction_drift(drift.consecutive_pairs(scored), ["pair"])
     roll = drift.drift_rollup(_feature_report(spark, sf)).select("pair", "max_behavioral_feature_psi")
     dates = fr.labelled(spark, sf).select(F.col("snapshot_no").alias("pair"), day_of(F.col("feature_end")).alias("snapshot_date"))
-    e = _evaluated(spark, sf)
-    delayed_rows = e.where(F.col("prediction_role") == "official").select("snapshot_date", "roc_auc", "recall", "brier_score")
+    evaluated = _by_role(metrics.model_evaluation(_score_rows(fr.with_roles(scored, LABEL)), COHORT), official="", shadow="reference_")
+    facts = (
+        dates.join(F.broadcast(psi.select("pair", "prediction_psi").unionByName(roll, allowMissingColumns=True)), "pair", "left")
+        .drop("pair")
+        .unionByName(evaluated, allowMissingColumns=True)
+    )
     runs = (
-        F.broadcast(dates)
-        .join(psi, "pair", "left")
-        .join(roll, "pair", "left")
-        .join(delayed_rows, "snapshot_date", "left")
-        .join(_role(e, "shadow", "reference"), "snapshot_date", "left")
+        facts.groupBy("snapshot_date")
+        .agg(*[F.max(c).alias(c) for c in facts.columns if c != "snapshot_date"])
         .withColumn("evaluated", F.col("recall").isNotNull())
         .withColumn("model_lineage", F.when(F.year("snapshot_date") % 2 == 1, "other:1").otherwise("v2"))
         .withColumn("reference_model", F.lit("v2"))
@@ -688,6 +717,14 @@ def forward_validation(spark, sf):
     )
 
 
+@query
+def grid_search(spark, sf):
+    """Forward-validated search over a few points of the forest's grid."""
+    rows = _split(spark, sf).where(F.col("split") == "train")
+    grid = {"n_estimators": [200], "max_depth": [4, 8], "min_samples_leaf": [5, 20], "max_features": ["sqrt"], "max_samples": [0.8]}
+    return models.tune("random_forest", rows, grid, parallelism=4)[2]
+
+
 @query
 def model_comparison(spark, sf):
     """A forest and a logistic challenger on the validation cohort, each at its own best threshold."""
