@@ -78,16 +78,22 @@ class Rolling:
 
     BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
+    _powers: dict[tuple[int, bool], np.ndarray] = {}
+
+    @classmethod
+    def powers(cls, lane: int, inverse: bool, n: int) -> np.ndarray:
+        """1, b, b^2, ...; kept for the longest sequence so far."""
+        if len(cls._powers.get((lane, inverse), ())) < n:
+            out = np.full(n, pow(cls.BASES[lane], -1, 1 << 64) if inverse else cls.BASES[lane], np.uint64)
+            out[0] = 1
+            cls._powers[lane, inverse] = np.multiply.accumulate(out)
+        return cls._powers[lane, inverse][:n]
+
     def __init__(self, units: np.ndarray, lane: int):
-        base = self.BASES[lane]
         n = len(units)
-        powers = np.full(n + 1, base, np.uint64)
-        powers[0] = 1
-        self.powers = np.multiply.accumulate(powers)
-        inverse = np.full(n + 1, pow(base, -1, 1 << 64), np.uint64)
-        inverse[0] = 1
-        self.inverse = np.multiply.accumulate(inverse)
-        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(units * self.powers[:n], dtype=np.uint64)])
+        self.inverse = self.powers(lane, True, n + 1)
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(units * self.powers(lane, False, n + 1)[:n], dtype=np.uint64, out=self.sums[1:])
 
     def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         return mixed((self.sums[stop] - self.sums[start]) * self.inverse[start] + (stop - start).astype(np.uint64))
@@ -98,17 +104,16 @@ BYTES = mixed(np.arange(1, 513, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 LONG_WORD = 64
 
 
-def word_hashes(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent 64-bit hashes of each word, by the polynomials above; words too long for them one by one."""
+def word_hashes(words: pa.Array, lane: int) -> np.ndarray:
+    """A 64-bit hash of each word, by the polynomials above; words too long for them one by one. Lanes are independent."""
     words = words.cast(pa.large_string())
     offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
     data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]] if len(words) else np.zeros(0, np.uint8)
     offsets = offsets - offsets[0] if len(words) else np.zeros(1, np.int64)
-    low, high = (Rolling(BYTES[lane][data], lane).of(offsets[:-1], offsets[1:]) for lane in (0, 1))
+    out = Rolling(BYTES[lane][data], lane).of(offsets[:-1], offsets[1:])
     for i in np.flatnonzero(np.diff(offsets) > LONG_WORD):
-        digest = xxhash.xxh3_128_intdigest(data[offsets[i] : offsets[i + 1]].tobytes())
-        low[i], high[i] = digest & 0xFFFFFFFFFFFFFFFF, digest >> 64
-    return low, high
+        out[i] = (xxhash.xxh3_128_intdigest(data[offsets[i] : offsets[i + 1]].tobytes()) >> (64 * lane)) & 0xFFFFFFFFFFFFFFFF
+    return out
 
 
 def signed(x: np.ndarray) -> np.ndarray:

@@ -108,8 +108,11 @@ class Recompression(Scheme):
 
     def units(self, texts):
         words, codes, starts = words_of(texts)
-        low, high = word_hashes(words)
-        return (low[codes], high[codes], starts) if len(words) else (np.zeros(0, np.uint64), np.zeros(0, np.uint64), starts)
+
+        def lane(k: int) -> np.ndarray:
+            return word_hashes(words, k)[codes] if len(words) else np.zeros(0, np.uint64)
+
+        return lane, starts
 
     def anchors(self, units, starts, rolling: Rolling):
         w = self.window

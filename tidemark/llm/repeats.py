@@ -14,7 +14,7 @@ that share an anchor form a run; a run has the anchor's key and a hash of its co
 
 A hot passage is one entry a slice, whatever number of documents hold it, so neither buckets nor slices grow with it;
 the number of buckets follows the bytes of text, and entries spread over them by hash. Everything between the steps is
-a written table in the shared folder. A slice is read three times and its runs are worked out anew each time, which is
+a written table in the shared folder or follows from such tables. A slice is read three times and its runs are worked out anew each time, which is
 cheaper than to store them.
 
 Documents that share an id count as different documents of which neither is smaller. A document without an id neither
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.llm.common import Rolling, slices, stored
 
 BUCKET_BYTES = 8 << 20  # of entries in a bucket, about
-ENTRY_BYTES = 24
+ENTRY_BYTES = 14
 NAMELESS = np.iinfo(np.int64).max
 
 
@@ -54,8 +54,8 @@ class Scheme:
     slice_bytes: int
     gap_bytes: int  # of text for each run, about
 
-    def units(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Two 64-bit hashes of each unit, and where each text's units start (n + 1 places)."""
+    def units(self, texts: pa.Array) -> tuple[Callable[[int], np.ndarray], np.ndarray]:
+        """A function that gives the units' 64-bit hashes of lane 0 or 1, and where each text's units start (n + 1 places)."""
         raise NotImplementedError
 
     def anchors(self, units: np.ndarray, starts: np.ndarray, rolling: Rolling) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -79,9 +79,11 @@ class Slice:
     def __init__(self, scheme: Scheme, ids: pa.Array, texts: pa.Array):
         self.scheme, self.texts = scheme, texts
         self.ids = np.array([NAMELESS if x is None else x for x in ids.to_pylist()], np.int64)
-        self.low, self.high, self.starts = scheme.units(texts)
-        rolling = Rolling(self.low, 0)
-        first, count, key = scheme.anchors(self.low, self.starts, rolling)
+        self.lane, self.starts = scheme.units(texts)
+        units = self.lane(0)
+        self.size = len(units)
+        rolling = Rolling(units, 0)
+        first, count, key = scheme.anchors(units, self.starts, rolling)
         document = np.searchsorted(self.starts, first, "right") - 1
         named = self.ids[document] != NAMELESS
         first, count, key, document = first[named], count[named], key[named], document[named]
@@ -94,12 +96,15 @@ class Slice:
         order = np.lexsort((r.first, self.ids[r.document], r.context, r.key))
         return order[_changes(r.key[order], r.context[order])]
 
-    def windows(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Place, two hashes and document of every window of the given runs."""
+    def windows(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Place, first hash and document of every window of the given runs."""
         r, w = self.runs, self.scheme.window
         count = r.count[runs]
         place = np.repeat(r.first[runs] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
-        return place, self.rolling.of(place, place + w), Rolling(self.high, 1).of(place, place + w), np.repeat(r.document[runs], count)
+        return place, self.rolling.of(place, place + w), np.repeat(r.document[runs], count)
+
+    def second_hash(self, place: np.ndarray) -> np.ndarray:
+        return Rolling(self.lane(1), 1).of(place, place + self.scheme.window)
 
 
 def _changes(*columns: np.ndarray) -> np.ndarray:
@@ -118,7 +123,13 @@ def _unpacked(data: bytes, kind) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
 
 
-def _dealt(number: int, a: np.ndarray, b: np.ndarray, ids: np.ndarray, buckets: int) -> Iterator[tuple]:
+#: How entries store their two hashes. A bucket is a range of the first hash's upper half. Of a context's key the lower
+#: half is enough beside it, as it only brings contexts together that are then compared by their own 64 bits; windows
+#: are compared by 96 bits.
+CONTEXTS, WINDOWS = ("<u4", "<u8"), ("<u8", "<u4")
+
+
+def _dealt(number: int, a: np.ndarray, b: np.ndarray, ids: np.ndarray, buckets: int, kinds: tuple[str, str]) -> Iterator[tuple]:
     """Entries of one slice as rows ``(slice, bucket, a, b, ids)``; buckets are ranges of ``a``."""
     order = np.argsort(a, kind="stable")
     a, b, ids = a[order], b[order], ids[order]
@@ -126,7 +137,7 @@ def _dealt(number: int, a: np.ndarray, b: np.ndarray, ids: np.ndarray, buckets:
     edges = np.searchsorted(bucket, np.arange(buckets + 1).astype(np.uint64))
     for k in np.flatnonzero(edges[1:] > edges[:-1]):
         part = slice(edges[k], edges[k + 1])
-        yield number, int(k), a[part].tobytes(), b[part].tobytes(), _packed(ids[part])
+        yield number, int(k), a[part].astype(kinds[0]).tobytes(), b[part].astype(kinds[1]).tobytes(), _packed(ids[part])
 
 
 _ENTRIES = "slice long, bucket int, a binary, b binary, ids binary"
@@ -139,10 +150,10 @@ def _rows(rows: list[tuple], names: list[str], kinds: list) -> pa.Table:
     return pa.Table.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=names)
 
 
-def _gathered(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _gathered(group: pa.Table, kinds: tuple[str, str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """All entries of a bucket: a, b, ids and the slice of each."""
-    a = [np.frombuffer(x, np.uint64) for x in group.column("a").to_pylist()]
-    b = [np.frombuffer(x, np.uint64) for x in group.column("b").to_pylist()]
+    a = [np.frombuffer(x, kinds[0]) for x in group.column("a").to_pylist()]
+    b = [np.frombuffer(x, kinds[1]) for x in group.column("b").to_pylist()]
     ids = [_unpacked(x, np.int64) for x in group.column("ids").to_pylist()]
     numbers = np.repeat(np.array(group.column("slice").to_pylist(), np.int64), [len(x) for x in a])
     return np.concatenate(a), np.concatenate(b), np.concatenate(ids), numbers
@@ -162,7 +173,7 @@ def _answers(numbers: np.ndarray, a: np.ndarray, first: np.ndarray, opened: np.n
 
 def _context_answers(same_document: bool) -> Callable[[pa.Table], pa.Table]:
     def run(group: pa.Table) -> pa.Table:
-        key, context, ids, numbers = _gathered(group)
+        key, context, ids, numbers = _gathered(group, CONTEXTS)
         order = np.lexsort((ids, context, key))
         key, context, ids, numbers = key[order], context[order], ids[order], numbers[order]
         head = _changes(key, context)
@@ -183,7 +194,7 @@ def _context_answers(same_document: bool) -> Callable[[pa.Table], pa.Table]:
 
 
 def _window_answers(group: pa.Table) -> pa.Table:
-    a, b, ids, numbers = _gathered(group)
+    a, b, ids, numbers = _gathered(group, WINDOWS)
     order = np.lexsort((ids, b, a))
     a, b, ids, numbers = a[order], b[order], ids[order], numbers[order]
     head = _changes(a, b)
@@ -248,10 +259,10 @@ def _slices(docs: DataFrame, scheme: Scheme, buckets: int) -> DataFrame:
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, part.schema) as writer:
                     writer.write_batch(part)
-                body = zstandard.ZstdCompressor(level=3).compress(sink.getvalue())
+                body = zstandard.ZstdCompressor(level=5).compress(sink.getvalue())
                 own = Slice(scheme, part.column("doc_id"), part.column("text"))
                 chosen, r = own.entries(), own.runs
-                rows = [(*x, None) for x in _dealt(number, r.key[chosen], r.context[chosen], own.ids[r.document[chosen]], buckets)]
+                rows = [(*x, None) for x in _dealt(number, r.key[chosen], r.context[chosen], own.ids[r.document[chosen]], buckets, CONTEXTS)]
                 yield from _rows([*rows, (number, -1, None, None, None, body)], [*_ENTRY_NAMES, "body"], [*_ENTRY_KINDS, pa.binary()]).to_batches()
                 number += 1
 
@@ -272,15 +283,16 @@ def remove_repeats(docs: DataFrame, scheme: Scheme) -> DataFrame:
         rows: list[tuple] = []
         if body.num_rows:
             own = _read_slice(scheme, body)
-            place, a, b, document = own.windows(np.flatnonzero(_Judged(own, answers).open))
+            place, a, document = own.windows(np.flatnonzero(_Judged(own, answers).open))
             group = scheme.window_groups(own.texts, place, a)
             order = np.lexsort((own.ids[document], group))
             one = order[_changes(group[order])]
-            rows = list(_dealt(body.column("slice")[0].as_py(), a[one], b[one], own.ids[document[one]], buckets))
+            b = own.second_hash(place[one]) if len(one) else a
+            rows = list(_dealt(body.column("slice")[0].as_py(), a[one], b, own.ids[document[one]], buckets, WINDOWS))
         return _rows(rows, _ENTRY_NAMES, _ENTRY_KINDS)
 
     opened = contexts.groupBy("slice").agg(F.count("*").alias("n")).select("slice")
-    windows = stored(bodies.join(opened, "slice", "left_semi").groupBy("slice").cogroup(contexts.groupBy("slice")).applyInArrow(give_out, _ENTRIES), "window-entries")
+    windows = bodies.join(opened, "slice", "left_semi").groupBy("slice").cogroup(contexts.groupBy("slice")).applyInArrow(give_out, _ENTRIES)
     told = windows.groupBy("bucket").applyInArrow(_window_answers, _ANSWER)
     answers = contexts.withColumn("windows", F.lit(False)).unionByName(told.withColumn("windows", F.lit(True)))
 
@@ -292,11 +304,11 @@ def remove_repeats(docs: DataFrame, scheme: Scheme) -> DataFrame:
         of_windows = answers.column("windows")
         judged = _Judged(own, answers.filter(pc.invert(of_windows)))
         r, w = own.runs, scheme.window
-        covered = np.zeros(len(own.low) + 1, np.int64)
+        covered = np.zeros(own.size + 1, np.int32)
         whole = np.flatnonzero(judged.whole)
         np.add.at(covered, r.first[whole], 1)
         np.add.at(covered, r.first[whole] + r.count[whole] - 1 + w, -1)
-        place, a, _, document = own.windows(np.flatnonzero(judged.open))
+        place, a, document = own.windows(np.flatnonzero(judged.open))
         if len(place):
             known = _lookup(_told(answers.filter(of_windows))[0], a)[1]
             group, ids = scheme.window_groups(own.texts, place, a), own.ids[document]

@@ -1,6 +1,6 @@
 """Substring dedup by an enhanced suffix array and its tree of common-prefix intervals.
 
-The suffixes of the whole corpus are compared in two steps. A sample of suffixes, the least of all 32-byte strings in each
+The suffixes of the whole corpus are compared in two steps. A sample of suffixes, the least of all 24-byte strings in each
 window of 100 bytes, sorts windows into groups that share a long prefix around the same place (see ``repeats``); it is
 chosen by content, so equal windows are sampled alike. What shares a sampled suffix, but not its whole context, is
 decided on an enhanced suffix array: suffixes in order with the common prefix of neighbours, scanned with a stack into
@@ -22,37 +22,65 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from tidemark.llm.common import BYTES, Rolling, mixed, table
 from tidemark.llm.repeats import Scheme, remove_repeats
 
 WINDOW = 100
-SAMPLE = 32  # bytes of a sampled suffix that are looked at to choose it; a power of two
+SAMPLE = 24  # bytes of a sampled suffix that are looked at to choose it
 
 
 def _buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts side by side, and where each starts."""
-    raw = [(t or "").encode() for t in texts.to_pylist()]
-    starts = np.concatenate([[0], np.cumsum([len(x) for x in raw], dtype=np.int64)])
-    return np.frombuffer(b"".join(raw), np.uint8), starts
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    return data, offsets - offsets[0]
 
 
 class SuffixArray:
-    """Suffixes at ``places`` of ``data``, in order of their first ``depth`` bytes, with common prefixes of neighbours."""
+    """Suffixes at ``places`` of ``data``, in order of their first ``depth`` bytes, with common prefixes of neighbours.
+
+    Suffixes are ordered by eight bytes at a time, and only those that still agree with another go on.
+    """
 
     def __init__(self, data: np.ndarray, places: np.ndarray, depth: int):
-        padded = np.concatenate([data, np.zeros(depth, np.uint8)])
-        heads = np.lib.stride_tricks.sliding_window_view(padded, depth)[places]
-        # Eight bytes at a time, most significant first; a stable sort per word from the last to the first.
-        words = np.ascontiguousarray(np.pad(heads, ((0, 0), (0, -depth % 8)))).view(">u8").astype(np.uint64)
-        self.order = np.lexsort(words.T[::-1]) if len(places) else np.zeros(0, np.int64)
-        self.data, self.places, self.depth = data, places[self.order], depth
-        heads = heads[self.order]
-        self.common = np.zeros(len(places), np.int64)  # with the suffix before
-        if len(places) > 1:
+        padded = np.concatenate([data, np.zeros(depth + 16, np.uint8)])
+        eight = np.empty(len(data) + depth, np.uint64)  # the eight bytes from each place on
+        for k in range(8):
+            part = padded[k : k + (len(eight) - k + 7) // 8 * 8].view(">u8")
+            eight[k::8] = part[: len(eight[k::8])]
+        order, number = np.arange(len(places)), np.zeros(len(places), np.int64)
+        head = np.zeros(len(places), bool)
+        head[:1] = True
+        for at in range(0, depth, 8):
+            alone = head & np.append(head[1:], True)
+            tied = np.flatnonzero(~alone)
+            if not len(tied):
+                break
+            key = eight[places[order[tied]] + at]
+            if depth - at < 8:
+                key = key >> np.uint64(8 * (8 - depth + at))
+            number[tied] = np.cumsum(head)[tied]
+            sort = np.lexsort((key, number[tied]))
+            order[tied] = order[tied[sort]]
+            key = key[sort]
+            differs = np.ones(len(tied), bool)
+            differs[1:] = (key[1:] != key[:-1]) | (np.diff(tied) != 1)
+            head[tied] |= differs
+        self.data, self.order, self.places, self.depth, self.head, self._padded = data, order, places[order], depth, head, padded
+
+    @property
+    def common(self) -> np.ndarray:
+        """Common prefix of each suffix with the one before it in order."""
+        out = np.zeros(len(self.places), np.int64)
+        if len(out) > 1:
+            heads = np.lib.stride_tricks.sliding_window_view(self._padded, self.depth)[self.places]
             differ = heads[1:] != heads[:-1]
-            self.common[1:] = np.where(differ.any(axis=1), differ.argmax(axis=1), depth)
+            out[1:] = np.where(differ.any(axis=1), differ.argmax(axis=1), self.depth)
+        return out
 
     def intervals(self, shortest: int) -> list[tuple[int, int, int]]:
         """``(prefix, first, last)`` of every interval of the tree whose common prefix is ``shortest`` bytes or more."""
@@ -67,9 +95,9 @@ class SuffixArray:
                 stack.append((common[i], first))
         return out
 
-    def groups(self, shortest: int) -> np.ndarray:
-        """For each place as given: the number of the outermost interval of prefix ``shortest`` it is in; alone, its own."""
-        number = np.cumsum(self.common < shortest) - 1
+    def groups(self) -> np.ndarray:
+        """For each place as given: the number of the interval whose suffixes agree in all of ``depth``; alone, its own."""
+        number = np.cumsum(self.head) - 1
         out = np.empty(len(number), np.int64)
         out[self.order] = number
         return out
@@ -92,12 +120,12 @@ class SuffixArray:
 
 
 class Suffixes(Scheme):
-    window, same_document, slice_bytes, gap_bytes = WINDOW, True, 2 << 20, 34
+    window, same_document, slice_bytes, gap_bytes = WINDOW, True, 2 << 20, 37
     columns = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
     def units(self, texts):
         data, starts = _buffer(texts)
-        return BYTES[0][data], BYTES[1][data], starts
+        return (lambda lane: BYTES[lane][data]), starts
 
     def anchors(self, units, starts, rolling: Rolling):
         w, q, n = self.window, SAMPLE, len(units)
@@ -108,13 +136,12 @@ class Suffixes(Scheme):
         place = np.flatnonzero(np.cumsum(bounds)[:n] > 0)
         if not len(place):
             return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)
-        # Hashes of SAMPLE bytes by doubling; the least of each window by doubling, with its place in the low half.
-        h, size = units, 1
-        while size < q:
-            h = (h[:-size] * np.uint64(0xD1342543DE82EF95 + 2 * size)) ^ (h[size:] >> np.uint64(7)) + h[size:]
-            size *= 2
-        order = h * np.uint64(0x9E3779B97F4A7C15)
-        order = ((order ^ (order >> np.uint64(29))) & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(h)).astype(np.uint64)
+        # Hashes of SAMPLE bytes; the least of each window by doubling, with its place in the low half.
+        order = (rolling.sums[q:] - rolling.sums[:-q]) * rolling.inverse[: n - q + 1]
+        order ^= order >> np.uint64(32)
+        order *= np.uint64(0xBF58476D1CE4E5B9)
+        order &= np.uint64(0xFFFFFFFF00000000)
+        order |= np.arange(len(order), dtype=np.uint64)
         span, size = w - q + 1, 1
         while 2 * size <= span:
             order = np.minimum(order[:-size], order[size:])
@@ -128,7 +155,7 @@ class Suffixes(Scheme):
         return place[at], np.diff(np.append(at, len(place))), mixed(rolling.of(anchor[at], anchor[at] + q))
 
     def window_groups(self, texts, places, hashes):
-        return SuffixArray(_buffer(texts)[0], places, self.window).groups(self.window)
+        return SuffixArray(_buffer(texts)[0], places, self.window).groups()
 
     def result(self, texts, starts, removed):
         data, _ = _buffer(texts)
