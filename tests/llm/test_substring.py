@@ -12,13 +12,20 @@ from tidemark.llm import recompression, suffixes
 from tidemark.llm.repeats import remove_repeats
 
 
-@pytest.mark.parametrize("parts, slice_bytes", [(1, None), (6, 2000)])
+@pytest.mark.parametrize("parts, slice_bytes, together", [(1, None, 4096), (6, 2000, 4096), (6, 2000, 3), (3, 5000, 0)])
 @pytest.mark.parametrize("scheme, brute", [(recompression.Recompression, cases.kept_words), (suffixes.Suffixes, cases.kept_bytes)])
-def test_against_brute_force(spark, scheme, brute, parts, slice_bytes):
+def test_against_brute_force(spark, scheme, brute, parts, slice_bytes, together):
     own = scheme()
+    own.together = min(own.together, together)
     own.slice_bytes = slice_bytes or own.slice_bytes
-    got = remove_repeats(cases.frame(spark, parts=parts), own).collect()
-    assert sorted(map(tuple, got), key=str) == brute(cases.documents())
+    got = []
+    for r in remove_repeats(cases.frame(spark, parts=parts), own).collect():
+        spans, kept = [tuple(s) for s in r.spans], r.kept if isinstance(r.kept, str) else bytes(r.kept)
+        assert all(a < b for a, b in spans) and all(b < c for (_, b), (c, _) in zip(spans, spans[1:]))
+        lost = sum(b - a for a, b in spans)
+        n_spans = [len(spans)] * (scheme is suffixes.Suffixes)
+        got.append((r.doc_id, r.n_units, lost, *n_spans, cases.sha(kept.encode() if isinstance(kept, str) else kept)))
+    assert sorted(got, key=str) == brute(cases.documents())
 
 
 @pytest.mark.parametrize("scheme", [recompression.Recompression, suffixes.Suffixes])

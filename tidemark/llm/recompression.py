@@ -15,14 +15,12 @@ empty table gives an empty result. A task holds the text of one slice, or of one
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.common import Rolling, mixed, table, word_hashes, words_of
-from tidemark.llm.repeats import Scheme, remove_repeats
+from tidemark.llm.repeats import Scheme, remove_repeats, removed_units
 
 WINDOW = 50
 #: Steps of recompression: "runs" or a round of "pairs"; windows take anchors from the levels after these steps, best first.
@@ -104,7 +102,7 @@ def _least(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray
 
 class Recompression(Scheme):
     window, same_document, slice_bytes, gap_bytes = WINDOW, False, 4 << 20, 70
-    columns = "n_words long, n_removed long, kept_sha256 string"
+    kept_type = "string"
 
     def units(self, texts):
         words, codes, starts = words_of(texts)
@@ -151,18 +149,17 @@ class Recompression(Scheme):
         at = np.flatnonzero(head)
         return place[at], np.diff(np.append(at, len(place))), np.concatenate(keys)[anchor[at]]
 
-    def result(self, texts, starts, removed):
-        lost = np.concatenate([[0], np.cumsum(removed)])
-        n_removed = lost[starts[1:]] - lost[starts[:-1]]
-        digests = []
+    def kept(self, texts, starts, removed):
+        """The words left, joined by single spaces."""
+        out = []
         for i, text in enumerate(texts.to_pylist()):
-            words = (text or "").encode().split()
-            if n_removed[i]:
-                gone = removed[starts[i] : starts[i + 1]].tolist()
-                words = [x for x, out in zip(words, gone) if not out]
-            digests.append(hashlib.sha256(b" ".join(words)).hexdigest())
-        return [pa.array(np.diff(starts)), pa.array(n_removed), pa.array(digests)]
+            words, gone = (text or "").encode().split(), removed[starts[i] : starts[i + 1]]
+            if gone.any():
+                words = [x for x, lost in zip(words, gone.tolist()) if not lost]
+            out.append(b" ".join(words))
+        return pa.array(out, pa.string())
 
 
 def op1_recompression(spark, sf_dir: str) -> DataFrame:
-    return remove_repeats(table(spark, sf_dir, "documents"), Recompression())
+    found = remove_repeats(table(spark, sf_dir, "documents"), Recompression())
+    return found.select("doc_id", F.col("n_units").alias("n_words"), removed_units().alias("n_removed"), F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))

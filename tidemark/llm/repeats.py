@@ -7,10 +7,12 @@ that share an anchor form a run; a run has the anchor's key and a hash of its co
 1. Documents are written as slices (some MB of text each, compressed) with the runs of each slice: one entry for each
    distinct (key, context), dealt into buckets by key. Runs that a slice repeats are combined before they are shuffled.
 2. Each bucket learns which contexts also occur in a smaller document, and which keys occur in several contexts.
-3. Contexts of the first kind are repeated as a whole. Of the others with shared keys, the first occurrences give out
-   their windows one by one, as 128-bit hashes, again combined inside the slice and dealt into buckets by hash.
-4. Each bucket tells the slices which of these windows occur in a smaller document.
-5. Each slice works out its documents' repeated windows from both answers and from itself.
+3. Contexts of the first kind are repeated as a whole. Of the others with shared keys, the first occurrences are open:
+   they give out their units, dealt into buckets by key, where the scheme compares them (``compare``). Contexts of a key
+   with more than ``together`` of them, or all if the scheme does not compare, give out their windows one by one
+   instead, as 96-bit hashes, combined inside the slice and dealt into buckets by hash: no key gathers.
+4. Each bucket tells the slices which of the windows are repeated.
+5. Each slice works out its documents' repeated windows from the answers and from itself.
 
 A hot passage is one entry a slice, whatever number of documents hold it, so neither buckets nor slices grow with it;
 the number of buckets follows the bytes of text, and entries spread over them by hash. Everything between the steps is
@@ -27,10 +29,9 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import Rolling, slices, stored
 
@@ -53,6 +54,7 @@ class Scheme:
     same_document: bool
     slice_bytes: int
     gap_bytes: int  # of text for each run, about
+    together: int = 0  # contexts of a key that are compared in one task
 
     def units(self, texts: pa.Array) -> tuple[Callable[[int], np.ndarray], np.ndarray]:
         """A function that gives the units' 64-bit hashes of lane 0 or 1, and where each text's units start (n + 1 places)."""
@@ -62,15 +64,19 @@ class Scheme:
         """Per run of windows: the first window, the number of windows, the anchor's key."""
         raise NotImplementedError
 
-    def window_groups(self, texts: pa.Array, places: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-        """A number for each of the windows at ``places``, equal for windows of equal content."""
-        return np.unique(hashes, return_inverse=True)[1]
+    def cut_out(self, texts: pa.Array, first: np.ndarray, stop: np.ndarray) -> list[bytes]:
+        """The units of contexts, as bytes."""
+        raise NotImplementedError
+
+    def compare(self, contexts: dict[str, np.ndarray | list]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Stretches that are repeated: context, offset in it and length. ``contexts`` has columns as ``_OPEN`` below."""
+        raise NotImplementedError
 
-    def result(self, texts: pa.Array, starts: np.ndarray, removed: np.ndarray) -> list[pa.Array]:
-        """Columns of the result, given which units are removed."""
+    def kept(self, texts: pa.Array, starts: np.ndarray, removed: np.ndarray) -> pa.Array:
+        """What is left of each text, given which units are removed."""
         raise NotImplementedError
 
-    columns: str  # of ``result``
+    kept_type: str  # of ``kept``, for Spark
 
 
 class Slice:
@@ -115,6 +121,21 @@ def _changes(*columns: np.ndarray) -> np.ndarray:
     return out
 
 
+def _bucket(a: np.ndarray, buckets: int) -> np.ndarray:
+    return (((a >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+
+
+def _framed(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as writer:
+        writer.write_batch(batch)
+    return zstandard.ZstdCompressor(level=5).compress(sink.getvalue())
+
+
+def _unframed(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(data)).read_all()
+
+
 def _packed(x: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x).tobytes())
 
@@ -133,8 +154,7 @@ def _dealt(number: int, a: np.ndarray, b: np.ndarray, ids: np.ndarray, buckets:
     """Entries of one slice as rows ``(slice, bucket, a, b, ids)``; buckets are ranges of ``a``."""
     order = np.argsort(a, kind="stable")
     a, b, ids = a[order], b[order], ids[order]
-    bucket = ((a >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-    edges = np.searchsorted(bucket, np.arange(buckets + 1).astype(np.uint64))
+    edges = np.searchsorted(_bucket(a, buckets), np.arange(buckets + 1))
     for k in np.flatnonzero(edges[1:] > edges[:-1]):
         part = slice(edges[k], edges[k + 1])
         yield number, int(k), a[part].astype(kinds[0]).tobytes(), b[part].astype(kinds[1]).tobytes(), _packed(ids[part])
@@ -159,6 +179,9 @@ def _gathered(group: pa.Table, kinds: tuple[str, str]) -> tuple[np.ndarray, np.n
     return np.concatenate(a), np.concatenate(b), np.concatenate(ids), numbers
 
 
+#: Open contexts: where they are, how many windows they have, their document's row in the slice and its id, their units.
+_OPEN = pa.schema([("key", pa.uint64()), ("place", pa.int64()), ("count", pa.int64()), ("row", pa.int64()), ("id", pa.int64()), ("units", pa.binary())])
+
 _ANSWER = "slice long, a binary, first binary, open binary"
 _ANSWER_KINDS = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
 
@@ -171,7 +194,7 @@ def _answers(numbers: np.ndarray, a: np.ndarray, first: np.ndarray, opened: np.n
     return _rows(rows, ["slice", "a", "first", "open"], _ANSWER_KINDS)
 
 
-def _context_answers(same_document: bool) -> Callable[[pa.Table], pa.Table]:
+def _context_answers(same_document: bool, together: int) -> Callable[[pa.Table], pa.Table]:
     def run(group: pa.Table) -> pa.Table:
         key, context, ids, numbers = _gathered(group, CONTEXTS)
         order = np.lexsort((ids, context, key))
@@ -186,8 +209,9 @@ def _context_answers(same_document: bool) -> Callable[[pa.Table], pa.Table]:
         several = contexts > 1
         if not same_document and len(starts):
             several &= np.maximum.reduceat(first, starts) > np.minimum.reduceat(first, starts)
-        opened = several[key_of][which] & (ids == first[which])
-        told = opened | (ids > first[which])
+        how = np.where(several, np.where(contexts <= together, 1, 2), 0).astype(np.int8)
+        opened = np.where(ids == first[which], how[key_of][which], np.int8(0)) if len(which) else np.zeros(0, np.int8)
+        told = (opened > 0) | (ids > first[which])
         return _answers(numbers[told], context[told], first[which][told], opened[told])
 
     return run
@@ -200,22 +224,21 @@ def _window_answers(group: pa.Table) -> pa.Table:
     head = _changes(a, b)
     first = ids[head][np.cumsum(head) - 1]
     told = ids > first
-    return _answers(numbers[told], a[told], first[told], np.zeros(int(told.sum()), bool))
+    return _answers(numbers[told], a[told], first[told], np.zeros(int(told.sum()), np.int8))
 
 
 def _read_slice(scheme: Scheme, table: pa.Table) -> Slice:
-    body = zstandard.ZstdDecompressor().decompress(table.column("body")[0].as_py())
-    batch = pa.ipc.open_stream(body).read_all().combine_chunks()
-    return Slice(scheme, *(batch.column(c).combine_chunks() if isinstance(batch.column(c), pa.ChunkedArray) else batch.column(c) for c in ("doc_id", "text")))
+    rows = _unframed(table.column("body")[0].as_py())
+    return Slice(scheme, *(rows.column(c).combine_chunks() for c in ("doc_id", "text")))
 
 
 def _told(answers: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All answers to a slice, sorted by hash."""
     if not answers.num_rows:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int8)
     a = np.concatenate([np.frombuffer(x, np.uint64) for x in answers.column("a").to_pylist()])
     first = np.concatenate([_unpacked(x, np.int64) for x in answers.column("first").to_pylist()])
-    opened = np.concatenate([np.frombuffer(x, bool) for x in answers.column("open").to_pylist()])
+    opened = np.concatenate([np.frombuffer(x, np.int8) for x in answers.column("open").to_pylist()])
     order = np.argsort(a, kind="stable")
     return a[order], first[order], opened[order]
 
@@ -229,7 +252,7 @@ def _lookup(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 class _Judged:
-    """A slice's runs after the first answers: repeated as a whole, or open and to be judged window by window."""
+    """A slice's runs after the first answers: repeated as a whole, or open (1: to be compared, 2: to be judged window by window)."""
 
     def __init__(self, own: Slice, answers: pa.Table):
         contexts, first, opened = _told(answers)
@@ -246,7 +269,7 @@ class _Judged:
         row_head[order] = _changes(r.key[order], r.context[order], r.document[order])
         if own.scheme.same_document:
             self.whole |= ~row_head
-        self.open = known & (opened[at] if len(opened) else False) & ~self.whole & row_head
+        self.open = np.where(known & ~self.whole & row_head, opened[at] if len(opened) else 0, 0)
 
 
 def _slices(docs: DataFrame, scheme: Scheme, buckets: int) -> DataFrame:
@@ -256,10 +279,7 @@ def _slices(docs: DataFrame, scheme: Scheme, buckets: int) -> DataFrame:
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
             for part in slices(batch, limit=scheme.slice_bytes):
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, part.schema) as writer:
-                    writer.write_batch(part)
-                body = zstandard.ZstdCompressor(level=5).compress(sink.getvalue())
+                body = _framed(part)
                 own = Slice(scheme, part.column("doc_id"), part.column("text"))
                 chosen, r = own.entries(), own.runs
                 rows = [(*x, None) for x in _dealt(number, r.key[chosen], r.context[chosen], own.ids[r.document[chosen]], buckets, CONTEXTS)]
@@ -270,48 +290,99 @@ def _slices(docs: DataFrame, scheme: Scheme, buckets: int) -> DataFrame:
     return rows.mapInArrow(run, _ENTRIES + ", body binary")
 
 
+def _spans(starts: np.ndarray, removed: np.ndarray) -> pa.Array:
+    """Per text the stretches of removed units, counted from its start."""
+    edge = np.zeros(len(removed) + 1, bool)
+    edge[starts] = True
+    before = np.concatenate([[False], removed])
+    after = np.concatenate([removed, [False]])
+    begin = np.flatnonzero(after & (~before | edge))
+    stop = np.flatnonzero(before & (~after | edge))
+    text = np.searchsorted(starts, begin, "right") - 1
+    pairs = pa.StructArray.from_arrays([pa.array(begin - starts[text]), pa.array(stop - starts[text])], ["start", "stop"])
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(len(starts))), pa.int32()), pairs)
+
+
 def remove_repeats(docs: DataFrame, scheme: Scheme) -> DataFrame:
-    """``doc_id`` and the scheme's result columns for every document, all repeated windows removed."""
+    """Every document without its repeated windows.
+
+    Columns: ``doc_id``, ``n_units``, the removed ``spans`` (start, stop) in units, and what is ``kept``.
+    """
     size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     buckets = max(8, size // scheme.gap_bytes * ENTRY_BYTES // BUCKET_BYTES)
     written = stored(_slices(docs, scheme, buckets), "slices")
     entries = written.where("bucket >= 0").select(*_ENTRY_NAMES)
     bodies = written.where("bucket = -1").select("slice", "body")
-    contexts = stored(entries.groupBy("bucket").applyInArrow(_context_answers(scheme.same_document), _ANSWER), "context-answers")
+    contexts = stored(entries.groupBy("bucket").applyInArrow(_context_answers(scheme.same_document, scheme.together), _ANSWER), "context-answers")
+
+    given_names, given_kinds = [*_ENTRY_NAMES, "open"], [*_ENTRY_KINDS, pa.binary()]
 
     def give_out(body: pa.Table, answers: pa.Table) -> pa.Table:
         rows: list[tuple] = []
         if body.num_rows:
-            own = _read_slice(scheme, body)
-            place, a, document = own.windows(np.flatnonzero(_Judged(own, answers).open))
-            group = scheme.window_groups(own.texts, place, a)
-            order = np.lexsort((own.ids[document], group))
-            one = order[_changes(group[order])]
+            number, own = body.column("slice")[0].as_py(), _read_slice(scheme, body)
+            how, r = _Judged(own, answers).open, own.runs
+            place, a, document = own.windows(np.flatnonzero(how == 2))
+            order = np.lexsort((own.ids[document], a))
+            one = order[_changes(a[order])]
             b = own.second_hash(place[one]) if len(one) else a
-            rows = list(_dealt(body.column("slice")[0].as_py(), a[one], b, own.ids[document[one]], buckets, WINDOWS))
-        return _rows(rows, _ENTRY_NAMES, _ENTRY_KINDS)
-
-    opened = contexts.groupBy("slice").agg(F.count("*").alias("n")).select("slice")
-    windows = bodies.join(opened, "slice", "left_semi").groupBy("slice").cogroup(contexts.groupBy("slice")).applyInArrow(give_out, _ENTRIES)
-    told = windows.groupBy("bucket").applyInArrow(_window_answers, _ANSWER)
-    answers = contexts.withColumn("windows", F.lit(False)).unionByName(told.withColumn("windows", F.lit(True)))
-
-    names = ["doc_id", *[c.split()[0] for c in scheme.columns.split(", ")]]
-    result = "doc_id long, " + scheme.columns
+            rows = [(*x, None) for x in _dealt(number, a[one], b, own.ids[document[one]], buckets, WINDOWS)]
+            chosen = np.flatnonzero(how == 1)
+            chosen = chosen[np.argsort(r.key[chosen], kind="stable")]
+            bucket = _bucket(r.key[chosen], buckets)
+            for part in np.split(chosen, np.flatnonzero(_changes(bucket))[1:]) if len(chosen) else []:
+                units = scheme.cut_out(own.texts, r.first[part], r.first[part] + r.count[part] - 1 + scheme.window)
+                columns = [r.key[part], r.first[part], r.count[part], r.document[part], own.ids[r.document[part]], pa.array(units, pa.binary())]
+                rows.append((number, int(_bucket(r.key[part[:1]], buckets)[0]), None, None, None, _framed(pa.record_batch([pa.array(c) for c in columns], schema=_OPEN))))
+        return _rows(rows, given_names, given_kinds)
+
+    def compare(group: pa.Table) -> pa.Table:
+        numbers = group.column("slice").to_pylist()
+        parts = [_unframed(x) for x in group.column("open").to_pylist()]
+        whole = pa.concat_tables(parts)
+        columns = {c: whole.column(c).to_numpy() if c != "units" else whole.column(c).to_pylist() for c in _OPEN.names}
+        columns["slice"] = np.repeat(np.array(numbers, np.int64), [p.num_rows for p in parts])
+        found = list(scheme.compare(columns)) if whole.num_rows else []
+        rows = []
+        if found:
+            context, offset, length = (np.concatenate(c) for c in zip(*found))
+            first, of = columns["place"][context] + offset, columns["slice"][context]
+            order = np.argsort(of, kind="stable")
+            for part in np.split(order, np.flatnonzero(_changes(of[order]))[1:]):
+                rows.append((int(of[part[0]]), _packed(first[part]), _packed(length[part])))
+        return _rows(rows, ["slice", "first", "length"], [pa.int64(), pa.binary(), pa.binary()])
+
+    given = bodies.join(contexts.select("slice").distinct(), "slice", "left_semi").groupBy("slice").cogroup(contexts.groupBy("slice"))
+    given = stored(given.applyInArrow(give_out, _ENTRIES + ", open binary"), "open-contexts")
+    windows = given.where("open is null").select(*_ENTRY_NAMES).groupBy("bucket").applyInArrow(_window_answers, _ANSWER)
+    stretches = given.where("open is not null").select("slice", "bucket", "open").groupBy("bucket").applyInArrow(compare, "slice long, first binary, length binary")
+    answers = (
+        contexts.withColumn("kind", F.lit(0))
+        .unionByName(windows.withColumn("kind", F.lit(1)))
+        .unionByName(stretches.withColumn("kind", F.lit(2)), allowMissingColumns=True)
+    )
+
+    names = ["doc_id", "n_units", "spans", "kept"]
+    result = f"doc_id long, n_units long, spans array<struct<start: long, stop: long>>, kept {scheme.kept_type}"
 
     def finish(body: pa.Table, answers: pa.Table) -> pa.Table:
         own = _read_slice(scheme, body)
-        of_windows = answers.column("windows")
-        judged = _Judged(own, answers.filter(pc.invert(of_windows)))
+        kind = answers.column("kind").to_numpy()
+        told = [answers.filter(pa.array(kind == k)) for k in range(3)]
+        judged = _Judged(own, told[0])
         r, w = own.runs, scheme.window
         covered = np.zeros(own.size + 1, np.int32)
         whole = np.flatnonzero(judged.whole)
         np.add.at(covered, r.first[whole], 1)
         np.add.at(covered, r.first[whole] + r.count[whole] - 1 + w, -1)
-        place, a, document = own.windows(np.flatnonzero(judged.open))
+        for first, length in zip(told[2].column("first").to_pylist(), told[2].column("length").to_pylist()):
+            first, length = _unpacked(first, np.int64), _unpacked(length, np.int64)
+            np.add.at(covered, first, 1)
+            np.add.at(covered, first + length, -1)
+        place, a, document = own.windows(np.flatnonzero(judged.open == 2))
         if len(place):
-            known = _lookup(_told(answers.filter(of_windows))[0], a)[1]
-            group, ids = scheme.window_groups(own.texts, place, a), own.ids[document]
+            known = _lookup(_told(told[1])[0], a)[1]
+            group, ids = np.unique(a, return_inverse=True)[1], own.ids[document]
             least = np.full(int(group.max()) + 1, NAMELESS)
             np.minimum.at(least, group, ids)
             repeated = known | (ids > least[group])
@@ -324,6 +395,10 @@ def remove_repeats(docs: DataFrame, scheme: Scheme) -> DataFrame:
             np.add.at(covered, place[repeated] + w, -1)
         removed = np.cumsum(covered)[:-1] > 0
         ids = pa.array([None if x == NAMELESS else int(x) for x in own.ids.tolist()], pa.int64())
-        return pa.Table.from_arrays([ids, *scheme.result(own.texts, own.starts, removed)], names=names)
+        return pa.Table.from_arrays([ids, pa.array(np.diff(own.starts)), _spans(own.starts, removed), scheme.kept(own.texts, own.starts, removed)], names=names)
 
     return bodies.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(finish, result)
+
+
+def removed_units() -> Column:
+    return F.coalesce(F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"]), F.lit(0).cast("long"))

@@ -2,13 +2,12 @@
 
 The suffixes of the whole corpus are compared in two steps. A sample of suffixes, the least of all 24-byte strings in each
 window of 100 bytes, sorts windows into groups that share a long prefix around the same place (see ``repeats``); it is
-chosen by content, so equal windows are sampled alike. What shares a sampled suffix, but not its whole context, is
-decided on an enhanced suffix array: suffixes in order with the common prefix of neighbours, scanned with a stack into
-intervals. An interval of common prefix 100 or more holds all occurrences of a repeat, neighbours or not. Tasks build
-the arrays for their slices; equal intervals of different slices meet by a 128-bit hash of their prefix.
-
-``SuffixArray.maximal_repeats`` gives the groups themselves, tested for diversity to the left: an interval whose suffixes
-all follow the same byte is part of a longer repeat and is not reported.
+chosen by content, so equal windows are sampled alike. The places that share a sampled suffix, but not their whole
+context, are decided on an enhanced suffix array: suffixes in order with the common prefix of neighbours, scanned with
+a stack into intervals. An interval of common prefix 100 or more holds all occurrences of a repeat, neighbours or not;
+if its suffixes do not all follow the same byte the repeat is maximal, and all occurrences but the earliest are
+removed. Tasks build the arrays for ranges of sampled suffixes. A sampled suffix with more than ``TOGETHER`` different
+contexts is too much for one array: its windows are compared by hash instead, which spreads them.
 
 Defined results: null, empty and short texts have no window and lose nothing; rows that share an id count as different
 documents of which neither is earlier, so repeated rows of one id keep their text; a null id neither gives nor loses;
@@ -18,17 +17,18 @@ if that is longer.
 
 from __future__ import annotations
 
-import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.common import BYTES, Rolling, mixed, table
-from tidemark.llm.repeats import Scheme, remove_repeats
+from tidemark.llm.repeats import Scheme, remove_repeats, removed_units
 
 WINDOW = 100
+TOGETHER = 4096  # contexts of a sampled suffix that one array takes
 SAMPLE = 24  # bytes of a sampled suffix that are looked at to choose it
 
 
@@ -46,7 +46,8 @@ class SuffixArray:
     Suffixes are ordered by eight bytes at a time, and only those that still agree with another go on.
     """
 
-    def __init__(self, data: np.ndarray, places: np.ndarray, depth: int):
+    def __init__(self, data: np.ndarray, places: np.ndarray, depth: int, length: np.ndarray | None = None):
+        """``length``: how long each suffix is, if it ends before ``depth`` bytes."""
         padded = np.concatenate([data, np.zeros(depth + 16, np.uint8)])
         eight = np.empty(len(data) + depth, np.uint64)  # the eight bytes from each place on
         for k in range(8):
@@ -70,37 +71,59 @@ class SuffixArray:
             differs = np.ones(len(tied), bool)
             differs[1:] = (key[1:] != key[:-1]) | (np.diff(tied) != 1)
             head[tied] |= differs
-        self.data, self.order, self.places, self.depth, self.head, self._padded = data, order, places[order], depth, head, padded
-
-    @property
-    def common(self) -> np.ndarray:
-        """Common prefix of each suffix with the one before it in order."""
-        out = np.zeros(len(self.places), np.int64)
-        if len(out) > 1:
-            heads = np.lib.stride_tricks.sliding_window_view(self._padded, self.depth)[self.places]
-            differ = heads[1:] != heads[:-1]
-            out[1:] = np.where(differ.any(axis=1), differ.argmax(axis=1), self.depth)
-        return out
-
-    def intervals(self, shortest: int) -> list[tuple[int, int, int]]:
-        """``(prefix, first, last)`` of every interval of the tree whose common prefix is ``shortest`` bytes or more."""
+        self.data, self.order, self.places, self.depth = data, order, places[order], depth
+        length = np.full(len(places), depth) if length is None else length[order]
+        #: Common prefix of each suffix with the one before it in order.
+        self.common = np.zeros(len(places), np.int64)
+        view = np.lib.stride_tricks.sliding_window_view(padded, depth)
+        for at in range(1, len(places), 1 << 15):
+            stop = min(at + (1 << 15), len(places))
+            differ = view[self.places[at:stop]] != view[self.places[at - 1 : stop - 1]]
+            same = np.where(differ.any(axis=1), differ.argmax(axis=1), depth)
+            self.common[at:stop] = np.minimum(same, np.minimum(length[at:stop], length[at - 1 : stop - 1]))
+
+    def intervals(self, shortest: int, start: int = 0, stop: int | None = None) -> list[tuple[int, int, int]]:
+        """``(prefix, first, last)`` of every interval of the tree whose common prefix is ``shortest`` bytes or more.
+
+        Among the suffixes from ``start`` to before ``stop``, which must not share such a prefix with those around.
+        """
         out, stack = [], []  # the stack holds (prefix, first) of open intervals
-        common = [*self.common.tolist(), 0]
+        common = [*self.common[start:stop].tolist(), 0]
         for i in range(1, len(common)):
             first = i - 1
             while stack and stack[-1][0] > common[i]:
                 prefix, first = stack.pop()
-                out.append((prefix, first, i - 1))
+                out.append((prefix, start + first, start + i - 1))
             if common[i] >= shortest and (not stack or stack[-1][0] < common[i]):
                 stack.append((common[i], first))
         return out
 
-    def groups(self) -> np.ndarray:
-        """For each place as given: the number of the interval whose suffixes agree in all of ``depth``; alone, its own."""
-        number = np.cumsum(self.head) - 1
-        out = np.empty(len(number), np.int64)
-        out[self.order] = number
-        return out
+    def diverse_intervals(self, shortest: int, left: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Prefix, first and last of the intervals whose suffixes do not all follow one byte, some at a time.
+
+        ``left`` has the byte before each suffix in order, -1 where there is none. An interval without diversity is part
+        of a longer repeat, whose interval starts one byte before.
+        """
+        # Whether left bytes differ within a stretch: some neighbour pair differs, or some byte is absent.
+        change = np.zeros(len(left) + 1, np.int64)
+        change[1:-1] = np.cumsum(left[1:] != left[:-1]) if len(left) > 1 else 0
+        change[-1:] = change[-2:-1] if len(left) > 1 else 0
+        absent = np.concatenate([[0], np.cumsum(left == -1)])
+        # Intervals of two suffixes, by far the most, need no stack.
+        deep = np.append(self.common >= shortest, False)
+        deep[0] = False
+        pairs = np.flatnonzero(deep[:-1] & ~np.concatenate([[False], deep[:-2]]) & ~deep[1:])
+        rest = deep[:-1].copy()
+        rest[pairs] = False
+        found = [(self.common[pairs], pairs - 1, pairs)]
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], rest.astype(np.int8), [0]]))).reshape(-1, 2)
+        more = [x for a, b in edges for x in self.intervals(shortest, int(a) - 1, int(b))]
+        if more:
+            found.append(tuple(np.array(c, np.int64) for c in zip(*more)))
+        for prefix, first, last in found:
+            diverse = (change[last] > change[first]) | (absent[last + 1] > absent[first])
+            if diverse.any():
+                yield prefix[diverse], first[diverse], last[diverse]
 
     def maximal_repeats(self, shortest: int, left: np.ndarray | None = None) -> list[tuple[int, list[int]]]:
         """Length and all places of each repeat that no common byte extends to either side.
@@ -111,17 +134,14 @@ class SuffixArray:
             left = np.where(self.places > 0, self.data[np.maximum(self.places - 1, 0)].astype(np.int64), -1)
         else:
             left = left[self.order]
-        out = []
-        for prefix, first, last in self.intervals(shortest):
-            before = left[first : last + 1]
-            if (before == -1).any() or (before != before[0]).any():
-                out.append((prefix, sorted(self.places[first : last + 1].tolist())))
-        return out
+        return [
+            (int(n), sorted(self.places[a : b + 1].tolist())) for found in self.diverse_intervals(shortest, left) for n, a, b in zip(*found)
+        ]
 
 
 class Suffixes(Scheme):
-    window, same_document, slice_bytes, gap_bytes = WINDOW, True, 2 << 20, 37
-    columns = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    window, same_document, slice_bytes, gap_bytes, together = WINDOW, True, 2 << 20, 37, TOGETHER
+    kept_type = "binary"
 
     def units(self, texts):
         data, starts = _buffer(texts)
@@ -154,23 +174,53 @@ class Suffixes(Scheme):
         at = np.flatnonzero(head)
         return place[at], np.diff(np.append(at, len(place))), mixed(rolling.of(anchor[at], anchor[at] + q))
 
-    def window_groups(self, texts, places, hashes):
-        return SuffixArray(_buffer(texts)[0], places, self.window).groups()
-
-    def result(self, texts, starts, removed):
+    def cut_out(self, texts, first, stop):
+        data, _ = _buffer(texts)
+        whole = data.tobytes()
+        return [whole[a:b] for a, b in zip(first.tolist(), stop.tolist())]
+
+    def compare(self, contexts):
+        """Intervals of an enhanced suffix array over all contexts; every occurrence but the earliest is repeated."""
+        w, count = self.window, contexts["count"]
+        # What no text holds stands between contexts, so no common prefix goes on from one into the next.
+        gap = b"\xff" * int(count.max())
+        data = np.frombuffer(gap.join(contexts["units"]) + gap, np.uint8)
+        size = count - 1 + w
+        base = np.cumsum(size + len(gap)) - size - len(gap)
+        owner = np.repeat(np.arange(len(count)), count)
+        offset = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+        array = SuffixArray(data, base[owner] + offset, w + len(gap) - 1, (size[owner] - offset))
+        owner, offset = owner[array.order], offset[array.order]
+        ids, document = contexts["id"][owner], contexts["slice"][owner] * (1 << 20) + contexts["row"][owner]
+        place = contexts["place"][owner] + offset
+        left = np.where(offset > 0, data[np.maximum(array.places - 1, 0)].astype(np.int64), -1)
+        for prefix, first, last in array.diverse_intervals(w, left):
+            # By interval: the smallest id, and in each document of that id the first place.
+            sizes = last - first + 1
+            group = np.repeat(np.arange(len(sizes)), sizes)
+            at = np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+            order = np.lexsort((place[at], document[at], ids[at], group))
+            at, group = at[order], group[order]
+            head = np.ones(len(at), bool)
+            head[1:] = group[1:] != group[:-1]
+            least = ids[at][head][np.cumsum(head) - 1]
+            own_head = head.copy()
+            own_head[1:] |= document[at][1:] != document[at][:-1]
+            repeated = (ids[at] > least) | ~own_head
+            yield owner[at][repeated], offset[at][repeated], prefix[group][repeated]
+
+    def kept(self, texts, starts, removed):
+        """The bytes left."""
         data, _ = _buffer(texts)
-        lost = np.concatenate([[0], np.cumsum(removed)])
-        begins = removed.copy()
-        begins[1:] &= ~removed[:-1]
-        inner = starts[:-1][np.diff(starts) > 0]
-        begins[inner] = removed[inner]
-        spans = np.concatenate([[0], np.cumsum(begins)])
-        digests = []
+        out = []
         for a, b in zip(starts[:-1], starts[1:]):
-            part = data[a:b]
-            digests.append(hashlib.sha256(part[~removed[a:b]].tobytes() if lost[b] > lost[a] else part.tobytes()).hexdigest())
-        return [pa.array(np.diff(starts)), pa.array(lost[starts[1:]] - lost[starts[:-1]]), pa.array(spans[starts[1:]] - spans[starts[:-1]]), pa.array(digests)]
+            gone = removed[a:b]
+            out.append((data[a:b][~gone] if gone.any() else data[a:b]).tobytes())
+        return pa.array(out, pa.binary())
 
 
 def op3_suffixes(spark, sf_dir: str) -> DataFrame:
-    return remove_repeats(table(spark, sf_dir, "documents"), Suffixes())
+    found = remove_repeats(table(spark, sf_dir, "documents"), Suffixes())
+    return found.select(
+        "doc_id", F.col("n_units").alias("n_bytes"), removed_units().alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
