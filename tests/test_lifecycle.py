@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import shutil
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -16,6 +17,7 @@ from tidemark.plans.ingest import bootstrap_store, ingest_batch, reconstruct_his
 from tidemark.plans.retrain import retrain
 from tidemark.plans.score import backfill_shadow, monthly_run, monthly_score
 from tidemark.plans.workspace import Workspace
+from tidemark.sources import history
 
 PLAN = SnapshotPlan(start=date(2009, 12, 1), feature=2, outcome=1, step=1)
 SPLIT = SplitPlan(2, 1, 1)
@@ -72,6 +74,8 @@ def test_life_of_a_model(spark, tmp_path):
     assert [(str(r.snapshot_date), r.prediction_role) for r in metrics] == [("2010-07-01", "official")]
     assert metrics[0].n_resolved == row.active_customers and metrics[0].ece is not None
     assert resolve_matured(spark, ws, "2010-08-01", PLAN) is None
+    log = {(r.stage, r.status) for r in spark.read.json(ws.path("run_log")).select("stage", "status").collect()}
+    assert {("retrain", "SKIPPED"), ("ingest", "FAILED")} <= log and spark.read.json(ws.path("run_log")).where("run_id = 'run-1'").count() == 1
 
     second = retrain(spark, ws, "v2", "random_forest", date(2010, 8, 1), plan=PLAN, split=SPLIT, candidate=small_forest())
     assert not second["retrain_skipped"] and second["champion"] is not None
@@ -93,6 +97,21 @@ def test_life_of_a_model(spark, tmp_path):
 
     alerts = evaluate_alerts(spark, ws, "v2").collect()
     assert len(alerts) == 2 and all(a.overall_status for a in alerts)
+    # A later set of a labelled date with a customer not seen before: that customer gets a label, the others keep theirs.
+    labels_before = {(r.snapshot_date, r.CustomerID): r.resolved_at for r in ws.table(spark, "labels").collect()}
+    set_ = ws.table(spark, "predictions").where("snapshot_date = '2010-08-01' and prediction_role = 'shadow'")
+    late = set_.limit(1).withColumn("CustomerID", F.lit(9999).cast("long")).withColumn("model_version", F.lit("v0"))
+    history.write_predictions(set_.withColumn("model_version", F.lit("v0")).unionByName(late), ws.path("predictions"))
+    again = resolve_matured(spark, ws, "2010-09-01", PLAN).collect()
+    assert [(r.model_version, r.n_resolved) for r in again] == [("v0", set_.count() + 1)]
+    labels_after = {(r.snapshot_date, r.CustomerID): r.resolved_at for r in ws.table(spark, "labels").collect()}
+    assert labels_after.items() > labels_before.items() and (date(2010, 8, 1), 9999) in labels_after
+    # Broken prediction tables are refused and logged.
+    history.write_predictions(late.withColumn("churn_probability", F.lit(1.5)).withColumn("model_version", F.lit("bad")), ws.path("predictions"))
+    with pytest.raises(ValueError, match="rules"):
+        resolve_matured(spark, ws, "2010-09-01", PLAN)
+    assert spark.read.json(ws.path("run_log")).where("stage = 'evaluate' and status = 'FAILED'").count() == 1
+    shutil.rmtree(tmp_path / "ws" / "predictions" / "snapshot_date=2010-08-01" / "prediction_role=shadow" / "model_version=bad")
 
     with pytest.raises(RuntimeError):
         backfill_shadow(spark, ws, "2010-07-01", "b", PLAN)  # v1 replaced nothing

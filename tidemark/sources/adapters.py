@@ -28,9 +28,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as transactions; a returned line has a negative quantity."""
-    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+def order_lines(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
+    """Order lines as transactions, with further columns of the order; a returned line has a negative quantity."""
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", *extra)
     lines = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag"
     )
@@ -42,6 +42,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").cast("timestamp_ntz").alias("InvoiceDate"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("Price"),
         F.col("o_custkey").alias("CustomerID"),
+        *extra,
     )
 
 
