@@ -29,6 +29,7 @@ from tidemark.llm.repeats import Scheme, remove_repeats, removed_units
 
 WINDOW = 100
 TOGETHER = 4096  # contexts of a sampled suffix that one array takes
+ARRAY = 1 << 17  # suffixes of an array, about, unless one sampled suffix has more
 SAMPLE = 24  # bytes of a sampled suffix that are looked at to choose it
 
 
@@ -180,7 +181,22 @@ class Suffixes(Scheme):
         return [whole[a:b] for a, b in zip(first.tolist(), stop.tolist())]
 
     def compare(self, contexts):
-        """Intervals of an enhanced suffix array over all contexts; every occurrence but the earliest is repeated."""
+        """An enhanced suffix array for every few keys, whose contexts stay together."""
+        order = np.argsort(contexts["key"], kind="stable")
+        key, count = contexts["key"][order], contexts["count"][order]
+        heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        before = np.cumsum(count) - count
+        at = 0
+        while at < len(heads):
+            stop = max(at + 1, int(np.searchsorted(before[heads], before[heads[at]] + ARRAY)))
+            part = order[heads[at] : heads[stop] if stop < len(heads) else len(order)]
+            few = {c: v[part] if isinstance(v, np.ndarray) else [v[i] for i in part] for c, v in contexts.items()}
+            for context, offset, length in self._compare(few):
+                yield part[context], offset, length
+            at = stop
+
+    def _compare(self, contexts):
+        """Intervals of an enhanced suffix array over contexts; every occurrence but the earliest is repeated."""
         w, count = self.window, contexts["count"]
         # What no text holds stands between contexts, so no common prefix goes on from one into the next.
         gap = b"\xff" * int(count.max())
