@@ -12,11 +12,11 @@ from tidemark.llm import recompression, suffixes
 from tidemark.llm.repeats import remove_repeats
 
 
-@pytest.mark.parametrize("parts, slice_bytes, together", [(1, None, 4096), (6, 2000, 4096), (6, 2000, 3), (3, 5000, 0)])
+@pytest.mark.parametrize("parts, slice_bytes, together, scattered", [(1, None, 4096, 50_000), (6, 2000, 4096, 50_000), (6, 2000, 3, 50_000), (3, 5000, 0, 4), (3, 9000, 4096, 2)])
 @pytest.mark.parametrize("scheme, brute", [(recompression.Recompression, cases.kept_words), (suffixes.Suffixes, cases.kept_bytes)])
-def test_against_brute_force(spark, scheme, brute, parts, slice_bytes, together):
+def test_against_brute_force(spark, scheme, brute, parts, slice_bytes, together, scattered):
     own = scheme()
-    own.together = min(own.together, together)
+    own.together, own.scattered = min(own.together, together), scattered
     own.slice_bytes = slice_bytes or own.slice_bytes
     got = []
     for r in remove_repeats(cases.frame(spark, parts=parts), own).collect():

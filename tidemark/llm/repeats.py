@@ -14,8 +14,10 @@ that share an anchor form a run; a run has the anchor's key and a hash of its co
 4. Each bucket tells the slices which of the windows are repeated.
 5. Each slice works out its documents' repeated windows from the answers and from itself.
 
-A hot passage is one entry a slice, whatever number of documents hold it, so neither buckets nor slices grow with it;
-the number of buckets follows the bytes of text, and entries spread over them by hash. Everything between the steps is
+A hot passage is one entry a slice, whatever number of documents hold it. Around its ends, though, each document may
+give the same key another context; keys with more than ``scattered`` entries are found beforehand by counting, and
+their entries are dealt by context instead of by key, so that no bucket holds more of a key than that, or than one entry
+for each slice. The number of buckets follows the bytes of text, and entries spread over them by hash. Everything between the steps is
 a written table in the shared folder or follows from such tables. A slice is read three times and its runs are worked out anew each time, which is
 cheaper than to store them.
 
@@ -55,6 +57,7 @@ class Scheme:
     slice_bytes: int
     gap_bytes: int  # of text for each run, about
     together: int = 0  # contexts of a key that are compared in one task
+    scattered: int = 50_000  # entries of a key from which on they are dealt by context
 
     def units(self, texts: pa.Array) -> tuple[Callable[[int], np.ndarray], np.ndarray]:
         """A function that gives the units' 64-bit hashes of lane 0 or 1, and where each text's units start (n + 1 places)."""
@@ -227,6 +230,47 @@ def _window_answers(group: pa.Table) -> pa.Table:
     return _answers(numbers[told], a[told], first[told], np.zeros(int(told.sum()), np.int8))
 
 
+def _scattered_answers(group: pa.Table) -> pa.Table:
+    """Of contexts of keys with very many: repeated ones, and first occurrences, which are to be judged window by window."""
+    key, context, ids, numbers = _gathered(group, CONTEXTS)
+    order = np.lexsort((ids, context, key))
+    key, context, ids, numbers = key[order], context[order], ids[order], numbers[order]
+    first = ids[_changes(key, context)][np.cumsum(_changes(key, context)) - 1]
+    return _answers(numbers, context, first, np.where(ids == first, 2, 0).astype(np.int8))
+
+
+def _hot_keys(entries: DataFrame, scattered: int) -> DataFrame:
+    """``(bucket, hot)``: the keys of a bucket that have more than ``scattered`` entries, among those that any slice repeats."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for bucket, a in zip(batch.column("bucket").to_pylist(), batch.column("a").to_pylist()):
+                key, n = np.unique(np.frombuffer(a, CONTEXTS[0]), return_counts=True)
+                rows += [(bucket, int(k), int(m)) for k, m in zip(key[n > 1], n[n > 1])]
+            yield from _rows(rows, ["bucket", "key", "n"], [pa.int32(), pa.int64(), pa.int64()]).to_batches()
+
+    counts = entries.select("bucket", "a").mapInArrow(count, "bucket int, key long, n long").groupBy("bucket", "key").agg(F.sum("n").alias("n"))
+    return counts.where(F.col("n") > scattered).groupBy("bucket").agg(F.collect_list("key").alias("hot"))
+
+
+def _scatter(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Entries of hot keys leave their bucket for one that their context decides, beyond the ordinary buckets."""
+    for batch in batches:
+        rows = []
+        for number, bucket, a, b, ids, hot in zip(*(batch.column(c).to_pylist() for c in [*_ENTRY_NAMES, "hot"])):
+            if hot is None:
+                rows.append((number, bucket, a, b, ids))
+                continue
+            key, context, own = np.frombuffer(a, CONTEXTS[0]), np.frombuffer(b, CONTEXTS[1]), _unpacked(ids, np.int64)
+            moved = np.isin(key, np.array(hot, np.int64).astype(np.uint32))
+            to = np.where(moved, buckets + _bucket(context, buckets), bucket)
+            for k in np.unique(to):
+                part = to == k
+                rows.append((number, int(k), key[part].tobytes(), context[part].tobytes(), _packed(own[part])))
+        yield from _rows(rows, _ENTRY_NAMES, _ENTRY_KINDS).to_batches()
+
+
 def _read_slice(scheme: Scheme, table: pa.Table) -> Slice:
     rows = _unframed(table.column("body")[0].as_py())
     return Slice(scheme, *(rows.column(c).combine_chunks() for c in ("doc_id", "text")))
@@ -313,7 +357,15 @@ def remove_repeats(docs: DataFrame, scheme: Scheme) -> DataFrame:
     written = stored(_slices(docs, scheme, buckets), "slices")
     entries = written.where("bucket >= 0").select(*_ENTRY_NAMES)
     bodies = written.where("bucket = -1").select("slice", "body")
-    contexts = stored(entries.groupBy("bucket").applyInArrow(_context_answers(scheme.same_document, scheme.together), _ANSWER), "context-answers")
+    hot = stored(_hot_keys(entries, scheme.scattered), "hot-keys")
+    if not hot.isEmpty():
+        entries = entries.join(hot, "bucket", "left").mapInArrow(lambda batches: _scatter(batches, buckets), _ENTRIES)
+    by_key = _context_answers(scheme.same_document, scheme.together)
+
+    def answer(group: pa.Table) -> pa.Table:
+        return by_key(group) if group.column("bucket")[0].as_py() < buckets else _scattered_answers(group)
+
+    contexts = stored(entries.groupBy("bucket").applyInArrow(answer, _ANSWER), "context-answers")
 
     given_names, given_kinds = [*_ENTRY_NAMES, "open"], [*_ENTRY_KINDS, pa.binary()]
 
