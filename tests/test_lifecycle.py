@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 import shutil
 from datetime import date, datetime, timedelta
@@ -17,6 +18,7 @@ from tidemark.plans.ingest import bootstrap_store, ingest_batch, reconstruct_his
 from tidemark.plans.retrain import retrain
 from tidemark.plans.score import backfill_shadow, monthly_run, monthly_score
 from tidemark.plans.workspace import Workspace
+from tidemark.session import shared_dir
 from tidemark.sources import history
 
 PLAN = SnapshotPlan(start=date(2009, 12, 1), feature=2, outcome=1, step=1)
@@ -118,8 +120,10 @@ def test_life_of_a_model(spark, tmp_path):
     assert backfill_shadow(spark, ws, "2010-08-01", "b", PLAN, "2010-09-01").count() > 30
     assert ws.champion(spark, "random_forest", "2010-07-15").version == "v1"
 
+    made = set(os.listdir(shared_dir(spark).removeprefix("file://")))
     month = monthly_run(spark, ws, path(2010, 9), "2010-10-01", "random_forest", "run-3", PLAN)
     assert month["new_ingestion"] and month["prediction_sets_evaluated"] == 0 and month["active_customers"] > 30
+    assert set(os.listdir(shared_dir(spark).removeprefix("file://"))) <= made  # plans delete their working tables
 
 
 def test_history_from_two_feeds(spark, tmp_path):

@@ -7,10 +7,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.operators import governance
 from tidemark.params import AlertPolicy
 from tidemark.plans.workspace import Workspace
-from tidemark.session import written
+from tidemark.session import owns_scratch, small, written
 from tidemark.sources import history
 
 
+@owns_scratch
 def evaluate_alerts(spark: SparkSession, ws: Workspace, reference_model: str, policy: AlertPolicy = AlertPolicy()) -> DataFrame:
     """Signals of every monitored run; alerts never stop a pipeline."""
     # A run may lack the summary of its drift; then the stored drift rows give it. Reruns of a date are one run.
@@ -40,4 +41,4 @@ def evaluate_alerts(spark: SparkSession, ws: Workspace, reference_model: str, po
     history.write_report(signals, ws.path("reports/alert_signals"), "csv")
     rollup = governance.alert_rollup(signals)
     history.write_report(rollup, ws.path("reports/alert_summary"), "json")
-    return rollup
+    return small(rollup)

@@ -7,10 +7,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.operators import calibration, delayed, labels, quality
 from tidemark.params import LABEL, SnapshotPlan
 from tidemark.plans.workspace import Workspace
-from tidemark.session import written
+from tidemark.session import owns_scratch, small, written
 from tidemark.sources import history
 
 
+@owns_scratch
 def resolve_matured(spark: SparkSession, ws: Workspace, current: str, plan: SnapshotPlan = SnapshotPlan()) -> DataFrame | None:
     """Evaluate every matured prediction set not evaluated before. Returns the new rows, or None."""
     predictions = ws.table(spark, "predictions")
@@ -44,7 +45,7 @@ def resolve_matured(spark: SparkSession, ws: Workspace, current: str, plan: Snap
     compared = ws.table(spark, "shadow_comparison")
     comparison = delayed.shadow_comparison(ws.table(spark, "performance"), compared)
     history.append_history(written(comparison, "comparison"), ws.path("shadow_comparison"))
-    return metrics
+    return small(metrics)
 
 
 def _labels(spark: SparkSession, ws: Workspace, cohort: DataFrame, current: str, plan: SnapshotPlan) -> DataFrame:

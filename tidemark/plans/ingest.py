@@ -8,7 +8,7 @@ from tidemark.operators import quality
 from tidemark.operators.lineage import new_ingestions
 from tidemark.params import QualityPolicy
 from tidemark.plans.workspace import Workspace
-from tidemark.session import written
+from tidemark.session import owns_scratch, written
 from tidemark.sources import history
 from tidemark.sources.transactions import (
     clean_transactions,
@@ -28,6 +28,7 @@ def _record(spark: SparkSession, ws: Workspace, files: DataFrame, **fields) -> N
     history.append_manifest(files, ws.path("manifest"))
 
 
+@owns_scratch
 def ingest_batch(
     spark: SparkSession, ws: Workspace, source: str, snapshot_date: str, policy: QualityPolicy = QualityPolicy()
 ) -> bool:
@@ -66,6 +67,7 @@ def ingest_batch(
     return True
 
 
+@owns_scratch
 def bootstrap_store(spark: SparkSession, ws: Workspace, sources: list[str], policy: QualityPolicy = QualityPolicy()) -> None:
     """First load of the whole history. No manifest record: coverage falls back to the last event."""
     text = written(scan_raw(spark, sources), "bootstrap-text")

@@ -9,7 +9,7 @@ from tidemark.operators import calendar as cal
 from tidemark.operators import features, governance, metrics, models, scoring
 from tidemark.params import LABEL, DriftPolicy, GuardrailPolicy, SnapshotPlan, SplitPlan
 from tidemark.plans.workspace import Workspace
-from tidemark.session import written
+from tidemark.session import owns_scratch, written
 from tidemark.sources import history
 
 ROLE = ["role"]
@@ -42,6 +42,7 @@ def evaluate(scored: DataFrame, threshold: float) -> dict:
     return {**row, "threshold": float(threshold)}
 
 
+@owns_scratch
 def retrain(
     spark: SparkSession,
     ws: Workspace,

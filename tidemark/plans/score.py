@@ -10,7 +10,7 @@ from tidemark.params import SnapshotPlan
 from tidemark.plans.evaluate import resolve_matured
 from tidemark.plans.ingest import ingest_batch
 from tidemark.plans.workspace import Workspace
-from tidemark.session import written
+from tidemark.session import owns_scratch, small, written
 from tidemark.sources import history
 
 KEYS = ["snapshot_date", "CustomerID"]
@@ -51,6 +51,7 @@ def version_meta(spark, ws: Workspace, version: str) -> dict:
     return ws.table(spark, "versions").where(F.col("version") == version).first().asDict()
 
 
+@owns_scratch
 def monthly_score(
     spark: SparkSession,
     ws: Workspace,
@@ -81,7 +82,7 @@ def _monthly_score(spark: SparkSession, ws: Workspace, snapshot_date: str, model
     row = written(row, "monitoring")
     history.append_history(row, ws.path("monitoring"))
     history.log_run(row.withColumn("stage", F.lit("monthly_score")), ws.path("run_log"))
-    return row
+    return small(row)
 
 
 def _shadow(spark, ws: Workspace, rows: DataFrame, meta, run_id: str, plan: SnapshotPlan) -> str | None:
@@ -113,6 +114,7 @@ def monitoring_row(spark, ws: Workspace, rows: DataFrame, official: DataFrame, m
     return summary.join(F.broadcast(drift.drift_rollup(report)), "pair", "left").join(F.broadcast(psi), "pair", "left").drop("pair")
 
 
+@owns_scratch
 def backfill_shadow(
     spark: SparkSession,
     ws: Workspace,
@@ -139,7 +141,8 @@ def backfill_shadow(
     history.write_predictions(shadow, ws.path("predictions"))
     if coverage is not None:
         resolve_matured(spark, ws, coverage, plan)
-    return shadow
+    mine = (F.col("snapshot_date") == F.lit(snapshot_date).cast("date")) & (F.col("prediction_role") == "shadow") & (F.col("model_version") == previous)
+    return ws.table(spark, "predictions").where(mine)
 
 
 def monthly_run(

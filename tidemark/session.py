@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,12 +54,52 @@ def shared_dir(spark: SparkSession) -> str:
     return _FALLBACK[app]
 
 
+_OWNED: list[list[str]] = []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared storage, whatever file system holds it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Owner of the working tables made inside: they are deleted at its end, so no result may still read them."""
+    paths: list[str] = []
+    _OWNED.append(paths)
+    try:
+        yield
+    finally:
+        _OWNED[:] = [x for x in _OWNED if x is not paths]
+        for path in paths:
+            delete(spark, path)
+
+
+def owns_scratch(plan):
+    """A plan (its first argument is the session) that deletes its working tables when it ends or fails."""
+
+    @functools.wraps(plan)
+    def run(spark: SparkSession, *args, **options):
+        with scratch(spark):
+            return plan(spark, *args, **options)
+
+    return run
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A result of a few rows, freed from the tables it was computed from."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
 def written(df: DataFrame, label: str = "table") -> DataFrame:
     """``df`` written once as a columnar table in the shared folder and read back.
 
     For an intermediate result that several branches read: each branch scans only its columns, and
-    a lost executor costs a re-read. The folder is the caller's to expire, as with checkpoints.
+    a lost executor costs a re-read. Inside ``scratch`` the folder goes with it; else it is the caller's to expire.
     """
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    if _OWNED:
+        _OWNED[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

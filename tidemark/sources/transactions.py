@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.temporal import moment, month_start
+from tidemark.session import delete
 
 # Fixed value: the timestamp layout of the CSV feeds.
 CSV_TIME_FORMAT = "dd-MM-yyyy HH:mm"
@@ -231,8 +232,7 @@ def drop_superseded(spark: SparkSession, path: str) -> int:
     current = {(x.invoice_month, x.load) for x in current_loads(spark, path)}
     old = [r for r in _commits(spark, path).select("invoice_month", "load").distinct().collect() if (r.invoice_month, r.load) not in current]
     for r in old:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/lines/invoice_month={r.invoice_month}/load={r.load}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        delete(spark, f"{path}/lines/invoice_month={r.invoice_month}/load={r.load}")
     return len(old)
 
 
