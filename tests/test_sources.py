@@ -46,6 +46,9 @@ def test_csv_errors(spark, drops):
         T.scan_transactions(spark, str(drops / "bad.csv")).collect()
     checks = {r.check_name: r for r in structural_quality(T.scan_raw(spark, str(drops / "bad.csv"))).collect()}
     assert checks["date_not_parsed"].observed == checks["quantity_not_numeric"].observed == 1 and not checks["date_not_parsed"].passed
+    (drops / "wide.csv").write_text(HEAD.strip() + "".join(f",c{i}" for i in range(60)) + "\n")
+    with pytest.raises(ValueError, match="columns"):
+        T.scan_raw(spark, str(drops / "wide.csv"))
     (drops / "short.csv").write_text("Invoice,StockCode,Quantity,InvoiceDate,Price\n1,A,1,10-01-2010 10:00,1.0\n")
     short = T.scan_raw(spark, str(drops / "short.csv"))
     assert [(r.check_name, r.passed) for r in structural_quality(short).collect()] == [("missing_columns", False)]

@@ -27,9 +27,10 @@ TRANSACTIONS = T.StructType(
     ]
 )
 
-# Columns a CSV file may have. Cells are read by place as text; names come from each file's own header.
+# Columns a CSV file may have; one with more is refused. Cells are read by place as text; names come from each file's
+# own header.
 MAX_COLUMNS = 64
-_CELLS = [f"cell_{i}" for i in range(MAX_COLUMNS)]
+_CELLS = [f"cell_{i}" for i in range(MAX_COLUMNS + 1)]
 _BY_PLACE = T.StructType([T.StructField(c, T.StringType()) for c in _CELLS])
 
 
@@ -77,6 +78,8 @@ def by_header(cells: DataFrame) -> DataFrame:
     layouts = [r.header for r in headers.select("header").distinct().collect()]
     if not layouts:
         raise ValueError("no CSV files found, or none with a header")
+    if any(x[-1] is not None for x in layouts):
+        raise ValueError(f"a CSV file has more than {MAX_COLUMNS} columns")
     known = [c for c in REQUIRED if all(c in x for x in layouts)]
     known += sorted({c for x in layouts for c in x if c and c not in REQUIRED})
     lines = cells.where(~_is_header())
