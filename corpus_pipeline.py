@@ -3,6 +3,10 @@ personal data is masked, and what is left is packed into sequences.
 
 Every stage takes the documents that the one before it kept and, but for the last, returns the same columns. A document
 is rejected as toxic at a score of 0.5 or more. Masked texts get a new ``n_chars``; all other rows pass as they are.
+
+Defined results: columns beyond those of documents are left out; nulls in any column pass through, a null text counting
+as empty where a stage reads it; null, empty and wordless texts are one near-duplicate group and are neither toxic nor
+contaminated; rows that repeat id and text are one document after the second stage; empty tables give empty results.
 """
 
 from __future__ import annotations

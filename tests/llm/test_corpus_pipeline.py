@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import cases
 import pytest
 from cases import base_spans, contaminated, fingerprint, linked
 from compare import mismatch, oracle_connection
@@ -55,5 +56,22 @@ def test_stages(spark):
         docs, before = out, after
 
 
+def test_odd_documents(spark):
+    """Nulls in every column, repeated rows, extra columns with the operators' own names, and no rows at all."""
+    rows = [*cases.documents(), (None, None, None, None, None), (900, "plain", None, None, None), (900, "plain", None, None, None), (901, "a@b.c " * 3000, None, "s", 7)]
+    for docs in (cases.frame(spark, rows), cases.frame(spark, [])):
+        empty = docs.isEmpty()
+        for name, stage in corpus_pipeline.STAGES:
+            before, docs = docs, stored(stage(spark, docs, SF), f"odd-{name}")
+            if name != "packing":
+                assert docs.columns == list(corpus_pipeline.COLUMNS)
+                assert docs.count() <= before.count()
+        assert docs.isEmpty() == empty
+        if not empty:
+            kept = {r.doc_id: r for r in before.collect()}
+            assert kept[900].text == "plain" and kept[900].n_chars is None and kept[901].text == "[EMAIL] " * 3000
+            assert sum(r.text in (None, "") for r in before.collect()) == 1 and docs.select("doc_id").distinct().count() == before.select("doc_id").distinct().count()
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
