@@ -207,7 +207,8 @@ class Suffixes(Scheme):
         offset = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
         array = SuffixArray(data, base[owner] + offset, w + len(gap) - 1, (size[owner] - offset))
         owner, offset = owner[array.order], offset[array.order]
-        ids, document = contexts["id"][owner], contexts["slice"][owner] * (1 << 20) + contexts["row"][owner]
+        documents = np.unique(np.stack([contexts["slice"], contexts["row"]]), axis=1, return_inverse=True)[1].ravel()
+        ids, document = contexts["id"][owner], documents[owner]
         place = contexts["place"][owner] + offset
         left = np.where(offset > 0, data[np.maximum(array.places - 1, 0)].astype(np.int64), -1)
         for prefix, first, last in array.diverse_intervals(w, left):
