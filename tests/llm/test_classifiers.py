@@ -5,6 +5,7 @@ import zlib
 
 import cases
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import ordinal, rules, toxicity
@@ -39,6 +40,20 @@ def test_spelling_is_restored(spark):
         assert toxicity.restored(disguised, model) == plain
 
 
+def test_spaced_runs_end_with_their_document(spark):
+    rows, _ = corpus()
+    model = toxicity.character_model(toxicity.character_counts(cases.frame(spark, rows)))
+
+    def read(texts):
+        values, codes, starts = toxicity._Reader(model, lambda word: word)(pa.array(texts))
+        return [[values[c] for c in codes[a:b] if c >= 0] for a, b in zip(starts[:-1], starts[1:])]
+
+    texts = ["s t u p i d river", "vitamin c", "s t u p i d", "i d i o t", "", None, "m o r o n", "x !", "s t u p i d"]
+    alone = [read([t])[0] for t in texts]
+    assert read(texts) == alone and read(texts[::-1]) == alone[::-1]
+    assert str(alone[2]).count("stupid") == 1 and "idiot" in str(alone[3]) and "moron" in str(alone[6])
+
+
 def test_toxicity_held_out(spark):
     rows, labels = corpus()
     extra = [(None, rows[1][1], "en", "src", 0), (5000, None, "en", "src", 0), (5001, "", "en", "src", 0), (5002, "word " * 200_000, "en", "src", 0), rows[1]]

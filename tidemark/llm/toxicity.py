@@ -130,16 +130,19 @@ class _Reader:
         # Runs of four or more single letters are read as one spaced-out word each.
         lengths = pc.utf8_length(words).to_numpy(zero_copy_only=False) if len(words) else np.zeros(0, np.int64)
         alone = (lengths == 1) & np.array([w.isalpha() or w in LOOKALIKE for w in names], bool) if len(words) else np.zeros(0, bool)
-        single = np.concatenate([[False], alone[codes] if len(codes) else np.zeros(0, bool), [False]])
-        edges = np.flatnonzero(single[1:] != single[:-1]).reshape(-1, 2)
-        for a, b in edges[(edges[:, 1] - edges[:, 0]) >= 4]:
-            document = np.searchsorted(starts, a, "right") - 1
-            b = min(b, starts[document + 1])
-            if b - a >= 4:
-                whole = "".join(names[c] for c in codes[a : min(b, a + 40)])
-                codes[a:b] = -1
-                codes[a] = len(values)
-                values.append(self.worth(restore(whole, self.model)))
+        single = alone[codes] if len(codes) else np.zeros(0, bool)
+        # A run ends with its document, so that no score depends on the neighbours.
+        first, last = np.zeros(len(codes), bool), np.zeros(len(codes), bool)
+        filled = np.diff(starts) > 0
+        first[starts[:-1][filled]] = last[starts[1:][filled] - 1] = True
+        begins = np.flatnonzero(single & (first | ~np.concatenate([[False], single[:-1]])))
+        ends = np.flatnonzero(single & (last | ~np.concatenate([single[1:], [False]]))) + 1
+        long = ends - begins >= 4
+        for a, b in zip(begins[long].tolist(), ends[long].tolist()):
+            whole = "".join(names[c] for c in codes[a : min(b, a + 40)])
+            codes[a:b] = -1
+            codes[a] = len(values)
+            values.append(self.worth(restore(whole, self.model)))
         return values, codes, starts
 
     def of(self, word: str):
