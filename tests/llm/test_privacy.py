@@ -34,6 +34,13 @@ def test_masking(found):
     assert masked["a@b.c"] == "[EMAIL]" and masked[None] is None and masked[""] == "" and masked["😀 4111 1111 1111 1111 x"] == "😀 [CARD] x"
 
 
+def test_secrets_are_masked_to_their_end(spark):
+    tokens = [("aB3x" * 200)[:n] for n in (6, 40, 199, 200, 201, 303, 500)] + ["aB3x" * 75 + "/4111111111111111/" + "yZ9w" * 50, "k7Qp" * 50_000]
+    rows = [(i, f"login token={t} end", "en", "src", 0) for i, t in enumerate(tokens)]
+    out = privacy.personal_data(cases.frame(spark, rows), keep=("text",)).withColumn("masked", privacy.redacted(privacy.F.col("text"), "spans")).collect()
+    assert {r.masked for r in out} == {"login [SECRET] end"}
+
+
 def test_reliable_labelers_outweigh_others():
     # Votes of the first two agree; the third is noise.
     patterns = [(0, "11-1-", 400), (0, "00-0-", 300), (0, "110--", 40), (0, "111--", 40), (0, "000--", 30), (0, "001--", 30)]

@@ -5,8 +5,9 @@ candidates: shape and checksum rules, gazetteers (domains, calling codes, issuer
 the text before. Nobody labels a row: expectation-maximisation over the counts of vote patterns (two hidden classes,
 each labeler with its own hit and false-alarm rate, each kind with its own share) estimates how reliable the labelers
 are, and its posteriors train the final classifier, a logistic regression on features of the span. What it accepts and
-no base span touches is added. Vote patterns and features are small fixed sets, so the fits read a bounded table of
-counts whatever the corpus; candidates never leave their document's row.
+no base span touches is added; an accepted secret, which reaches to the end of its value, is added whatever it touches.
+Vote patterns and features are small fixed sets, so the fits read a bounded table of counts whatever the corpus;
+candidates never leave their document's row.
 
 Defined results: null and empty texts have no spans; texts of any length and with any characters are scanned whole
 (positions are code points); repeated rows give one row each; extra columns are ignored; an empty table gives an empty
@@ -36,7 +37,7 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 # Wider proposals: (kind, cheap test, pattern).
 EMAIL_SPELT = r"(?i)\b[a-z0-9._%+-]{1,64}+\s?[\[({]\s?at\s?[\])}]\s?[a-z0-9-]{1,64}+(?:\s?(?:[\[({]\s?dot\s?[\])}]|\.)\s?[a-z0-9-]{1,64}+){1,5}+"
 PHONE_LOOSE = r"(?<![0-9.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9-])"
-SECRET = r"(?i)\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?[a-z0-9+/_.-]{6,200}+[\"']?"
+SECRET = r"(?i)\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?[a-z0-9+/_.-]{6,}+[\"']?"
 KEY = r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 
@@ -283,7 +284,9 @@ def personal_data(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     base, wide = spans_of(F.col("body"))
     rows = docs.select("doc_id", *keep, text.alias("body")).select("doc_id", *keep, base.alias("base"), wide.alias("wide"))
-    apart = F.filter("wide", lambda w: ~F.exists("base", lambda b: (w["start"] < b["end"]) & (b["start"] < w["end"])))
+    # A secret is one value whatever is inside it: digits of a token that look like a card do not save the rest.
+    touched = lambda w: F.exists("base", lambda b: (w["start"] < b["end"]) & (b["start"] < w["end"]))
+    apart = F.filter("wide", lambda w: _kind_is(w, "secret") | ~touched(w))
     rows = rows.select("doc_id", *keep, _voted(F.col("base")).alias("base"), _voted(apart).alias("wide"))
     rows = stored(rows, "personal-spans")
 
