@@ -45,7 +45,7 @@ def test_spaced_runs_end_with_their_document(spark):
     model = toxicity.character_model(toxicity.character_counts(cases.frame(spark, rows)))
 
     def read(texts):
-        values, codes, starts = toxicity._Reader(model, lambda word: word)(pa.array(texts))
+        values, codes, starts = toxicity._Reader(model, lambda words: words)(pa.array(texts))
         return [[values[c] for c in codes[a:b] if c >= 0] for a, b in zip(starts[:-1], starts[1:])]
 
     texts = ["s t u p i d river", "vitamin c", "s t u p i d", "i d i o t", "", None, "m o r o n", "x !", "s t u p i d"]
@@ -54,6 +54,23 @@ def test_spaced_runs_end_with_their_document(spark):
     assert str(alone[2]).count("stupid") == 1 and "idiot" in str(alone[3]) and "moron" in str(alone[6])
 
 
+def test_spaced_text_is_read_whole(spark):
+    rows, labels = corpus()
+    model = toxicity.character_model(toxicity.character_counts(cases.frame(spark, rows)))
+
+    def read(text):
+        return [w for words in toxicity._Reader(model, lambda words: words)(pa.array([text]))[0] for w in words]
+
+    spaced = " ".join("thequietrivermorninggardenwindowsummer")
+    assert "stupid" in read("a s t u p i d") and "moron" in read("y o u m 0 r o n")
+    for copies in (2, 40, 400):
+        assert "idiot" in read(f"{' '.join([spaced] * copies)} i d i o t {spaced}")
+        assert read(" ".join([spaced + " m o r o n"] * copies)).count("moron") == copies
+    extra = [(6000, "a s t u p i d " + rows[0][1], "en", "src", 0), (6001, f"{spaced} {spaced} s t u p i d {rows[0][1]}", "en", "src", 0), (6002, f"{spaced} {spaced} {rows[0][1]}", "en", "src", 0)]
+    score = {r.doc_id: r.score for r in toxicity.toxicity(cases.frame(spark, rows + extra), spark.createDataFrame(labels, LABELS)).collect()}
+    assert score[6000] > 0.5 and score[6001] > 0.5 and score[6002] < 0.5
+
+
 def test_toxicity_held_out(spark):
     rows, labels = corpus()
     extra = [(None, rows[1][1], "en", "src", 0), (5000, None, "en", "src", 0), (5001, "", "en", "src", 0), (5002, "word " * 200_000, "en", "src", 0), rows[1]]

@@ -33,6 +33,10 @@ REMEMBERED = 400_000
 #: Signs that stand for letters in disguised spelling, and the cost of each kind of disguise.
 LOOKALIKE = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e"}
 SWAP, DROP, COLLAPSE, KEEP_SIGN = -1.0, -0.7, -0.7, -4.0
+#: How much less likely than the best (in log odds) a way to place breaks in spaced-out text may be for its words to count.
+NEAR = 8.0
+#: Letters of a spaced-out run that are read together, so that memory is bounded, and how many the next stretch repeats.
+STRETCH, OVERLAP = 4096, 256
 SEPARATORS = "._-*~'`/\\ "
 EDGES = ".,;:!?\"'()[]{}<>*#%&$|-_~`"
 
@@ -77,27 +81,85 @@ def character_model(counts: np.ndarray) -> np.ndarray:
     return np.log(p3).astype(np.float32)
 
 
-def restore(word: str, model: np.ndarray) -> str:
-    """The likeliest spelling behind ``word`` (lower case): Viterbi over the last two letters of the lattice's paths."""
-    paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+def decoded(word: str, model: np.ndarray, apart: bool = False, collapse: bool = True) -> tuple[str, list[int]]:
+    """The likeliest spelling behind ``word`` (lower case), and the place in ``word`` that each of its signs comes from.
+
+    Viterbi over the last two letters of the lattice's paths; with ``apart`` a separator may also end a word, without
+    ``collapse`` repeated letters stay. Paths share their beginnings, so time and memory are linear in the word.
+    """
+    price = model.item
+    paths: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     before = ""
-    for sign in word:
-        grown: dict[tuple[int, int], tuple[float, str]] = {}
-        letters = [(sign, 0.0)] if sign.isalpha() else [(x, SWAP) for x in LOOKALIKE.get(sign, "")]
-        for (a, b), (cost, text) in paths.items():
-            steps = [((b, c := int(_CLASS[min(ord(x), 0x17F)])), cost + price + float(model[a, b, c]), text + x) for x, price in letters]
-            if not sign.isalpha():
-                if sign in SEPARATORS or sign in EDGES:
-                    steps.append(((a, b), cost + DROP, text))
+    for i, sign in enumerate(word):
+        grown: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        alpha = sign.isalpha()
+        letters = [(x, int(_CLASS[min(ord(x), 0x17F)]), 0.0 if alpha else SWAP) for x in (sign if alpha else LOOKALIKE.get(sign, ""))]
+        dropped = not alpha and (sign in SEPARATORS or sign in EDGES)
+        for (a, b), (cost, path) in paths.items():
+            steps = [((b, c), cost + extra + price(a, b, c), x) for x, c, extra in letters]
+            if not alpha:
+                if dropped:
+                    steps.append(((a, b), cost + DROP, ""))
+                    if apart and b:
+                        steps.append(((b, 0), cost + price(a, b, 0), " "))
                 if not letters:
-                    steps.append(((b, 0), cost + KEEP_SIGN, text + sign))
-            elif sign == before and text.endswith(sign):
-                steps.append(((a, b), cost + COLLAPSE, text))
-            for state, total, path in steps:
+                    steps.append(((b, 0), cost + KEEP_SIGN, sign))
+            elif collapse and sign == before and path is not None and path[1] == sign:
+                steps.append(((a, b), cost + COLLAPSE, ""))
+            for state, total, x in steps:
                 if state not in grown or total > grown[state][0]:
-                    grown[state] = (total, path)
+                    grown[state] = (total, (path, x, i) if x else path)
         paths, before = grown or paths, sign
-    return max((cost + float(model[a, b, 0]), text) for (a, b), (cost, text) in paths.items())[1]
+    path = max(((cost + price(a, b, 0), path) for (a, b), (cost, path) in paths.items()), key=lambda x: x[0])[1]
+    text, places = [], []
+    while path is not None:
+        path, x, i = path
+        text.append(x)
+        places.append(i)
+    return "".join(reversed(text)), places[::-1]
+
+
+def restore(word: str, model: np.ndarray) -> str:
+    return decoded(word, model)[0]
+
+
+def words_within(letters: str, model: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Begin and end of each word of ``letters`` (without breaks) in any reading at most ``NEAR`` less likely than the best.
+
+    A reading is a way to place breaks; it costs what the character model says, a break being a character.
+    """
+    n, price = len(letters), model.item
+    c = [0, *(int(_CLASS[min(ord(x), 0x17F)]) for x in letters), 0]  # c[i + 1] is letter i
+
+    # into[i]: a word begins with letter i, after letter i - 1; second[i]: letter i is its second; over[i]: letter i goes
+    # on after two of its own; done[i] and lone[i]: it ends after letter i, as one of several letters or the only one.
+    into = [price(c[i], 0, c[i + 1]) for i in range(n)]
+    second = [price(0, c[i], c[i + 1]) for i in range(n)]
+    over = [price(c[i - 1] if i else 0, c[i], c[i + 1]) for i in range(n)]
+    done = [price(c[i], c[i + 1], 0) for i in range(n)]
+    lone = [price(0, c[i + 1], 0) for i in range(n)]
+    # Best cost of what lies before a break at i, and of what lies after one.
+    ahead, inside = [0.0] * (n + 1), -math.inf
+    for i in range(n):  # inside: best cost up to letter i with its word of two or more letters
+        inside = max(inside + over[i], ahead[i - 1] + into[i - 1] + second[i] if i else -math.inf)
+        ahead[i + 1] = max(inside + done[i], ahead[i] + into[i] + lone[i])
+    behind, rest = [0.0] * (n + 1), [-math.inf] * (n + 1)  # rest[i]: best cost after letter i within a word of two or more
+    for i in range(n - 1, -1, -1):
+        rest[i] = max(done[i] + behind[i + 1], over[i + 1] + rest[i + 1] if i + 1 < n else -math.inf)
+        behind[i] = into[i] + max(lone[i] + behind[i + 1], second[i + 1] + rest[i + 1] if i + 1 < n else -math.inf)
+    least = ahead[n] - NEAR
+    for i in range(n):
+        if ahead[i] + behind[i] < least:
+            continue
+        cost = ahead[i] + into[i]
+        if cost + lone[i] + behind[i + 1] >= least:
+            yield i, i + 1
+        for j in range(i + 1, n):
+            cost += second[j] if j == i + 1 else over[j]
+            if cost + rest[j] < least:
+                break
+            if cost + done[j] + behind[j + 1] >= least:
+                yield i, j + 1
 
 
 _DISGUISED = re.compile(r"[^\W\d_][0-9@$!|+(€]+[^\W\d_]|^[0-9@$!|+(€]{1,3}[^\W\d_]{2}|[^\W\d_]{2}[0-9@$]{1,2}$|([^\W\d_])\1\1|^[^\W\d_](?:[._\-*~/][^\W\d_]){3,}")
@@ -111,9 +173,9 @@ def restored(word: str, model: np.ndarray) -> str:
     return plain
 
 
-def _features(word: str) -> list[int]:
-    """Buckets of a restored word: the whole and its beginnings."""
-    names = [word + "$"] + [word[:n] for n in (3, 4, 5, 6) if len(word) > n]
+def _features(words: list[str]) -> list[int]:
+    """Buckets of the readings of a word: the whole of each and its beginnings."""
+    names = {x for word in words for x in (word + "$", *[word[:n] for n in (3, 4, 5, 6) if len(word) > n])}
     return [xxhash.xxh3_64_intdigest(x) % BUCKETS for x in names]
 
 
@@ -127,7 +189,7 @@ class _Reader:
         words, codes, starts = words_of(pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
         names = words.to_pylist()
         values = [self.of(w) for w in names]
-        # Runs of four or more single letters are read as one spaced-out word each.
+        # Runs of four or more single letters are read as spaced-out text.
         lengths = pc.utf8_length(words).to_numpy(zero_copy_only=False) if len(words) else np.zeros(0, np.int64)
         alone = (lengths == 1) & np.array([w.isalpha() or w in LOOKALIKE for w in names], bool) if len(words) else np.zeros(0, bool)
         single = alone[codes] if len(codes) else np.zeros(0, bool)
@@ -139,17 +201,34 @@ class _Reader:
         ends = np.flatnonzero(single & (last | ~np.concatenate([single[1:], [False]]))) + 1
         long = ends - begins >= 4
         for a, b in zip(begins[long].tolist(), ends[long].tolist()):
-            whole = "".join(names[c] for c in codes[a : min(b, a + 40)])
+            run = "".join([names[c] for c in codes[a:b].tolist()])
             codes[a:b] = -1
-            codes[a] = len(values)
-            values.append(self.worth(restore(whole, self.model)))
+            for place, words in self.spaced(run):
+                codes[a + place] = len(values)
+                values.append(self.worth(words))
         return values, codes, starts
 
+    def spaced(self, run: str) -> Iterator[tuple[int, list[str]]]:
+        """Words of a spaced-out run by the place where they begin, whichever way it is broken into words.
+
+        A long run is read in stretches; a word that begins in the middle of an overlap or after it belongs to the next.
+        """
+        for start in range(0, max(1, len(run) - OVERLAP), STRETCH - OVERLAP):
+            stop = start + STRETCH
+            low, high = start + OVERLAP // 2 if start else 0, stop - OVERLAP // 2 if stop < len(run) else len(run)
+            found: dict[int, set[str]] = {}
+            readings = [decoded(run[start:stop], self.model, collapse=collapse) for collapse in (True, False)]
+            for text, places in readings if readings[0] != readings[1] else readings[:1]:
+                for i, j in words_within(text, self.model):
+                    if low <= start + places[i] < high:
+                        found.setdefault(start + places[i], set()).add(text[i:j])
+            yield from ((place, sorted(words)) for place, words in found.items())
+
     def of(self, word: str):
         if word not in self.known:
             if len(self.known) >= REMEMBERED:
                 self.known.clear()
-            self.known[word] = self.worth(restored(word, self.model))
+            self.known[word] = self.worth([restored(word, self.model)])
         return self.known[word]
 
 
@@ -229,8 +308,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, k
     half = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(2))
     worth = _evidence(train.where(half == 0), model)
 
-    def strongest(word: str) -> float:
-        return float(worth[_features(word)].max())
+    def strongest(words: list[str]) -> float:
+        return float(worth[_features(words)].max())
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = _Reader(model, strongest)
