@@ -71,6 +71,27 @@ def test_spaced_text_is_read_whole(spark):
     assert score[6000] > 0.5 and score[6001] > 0.5 and score[6002] < 0.5
 
 
+def test_every_disguise_is_decoded(spark, monkeypatch):
+    rows, labels = corpus()
+    model = toxicity.character_model(toxicity.character_counts(cases.frame(spark, rows)))
+    disguises = {"1d107": "idiot", "1d!07": "idiot", "mo*ron": "moron", "st.upid": "stupid", "stu-pid": "stupid", "st_up_id": "stupid", "i'd'i'o't": "idiot", "stuupid": "stupid"}
+    disguises |= {"iidiiot": "idiot", "st" + "u" * 60 + "pid": "stupid", "the.quiet.garden.has.one.stu.pid.lantern.and.a.window": "stupid", "a.s.t.u.p.i.d": "stupid"}
+    for disguised, plain in disguises.items():
+        assert plain in toxicity.readings(disguised, model), disguised
+    assert toxicity.readings("4111", model) == ["4111"] and "letter" in toxicity.readings("letter,", model)
+    r = random.Random(2)
+    for word in ("".join(r.choice("aabbtteoinr") for _ in range(12)) for _ in range(300)):
+        assert toxicity.squeezed(word, model) == toxicity.decoded(word, model)[0]
+    long = "st0neriver-" * 100
+    whole = toxicity.decoded(long, model)
+    monkeypatch.setattr(toxicity, "STRETCH", 7)
+    assert toxicity.decoded(long, model) == whole
+    monkeypatch.undo()
+    extra = [(6000 + i, f"{w} {rows[0][1]}", "en", "src", 0) for i, w in enumerate(disguises)]
+    score = {x.doc_id: x.score for x in toxicity.toxicity(cases.frame(spark, rows + extra), spark.createDataFrame(labels, LABELS)).collect()}
+    assert all(score[d] > 0.5 for d, *_ in extra)
+
+
 def test_toxicity_held_out(spark):
     rows, labels = corpus()
     extra = [(None, rows[1][1], "en", "src", 0), (5000, None, "en", "src", 0), (5001, "", "en", "src", 0), (5002, "word " * 200_000, "en", "src", 0), rows[1]]

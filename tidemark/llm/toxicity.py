@@ -1,9 +1,11 @@
 """Toxicity of texts after undoing disguised spelling.
 
 A character model (trigrams, counted over all documents) and a channel of look-alike signs, separators inside words,
-spaced-out letters and repeated letters span a lattice over every suspicious word; Viterbi decoding restores the
-likeliest spelling, and the restored text is scored. Scoring is by evidence of restored words and word beginnings
-(log odds against label 1, less one standard error), summarised per document and calibrated by logistic regression.
+spaced-out letters and repeated letters span a lattice over every word that holds a look-alike, an inner separator or a
+repeated letter, however long; numbers stay numbers. Viterbi decoding restores the likeliest spelling, spaced-out runs
+are broken into words in all likely ways, and what is scored is the best of a word's readings, itself among them. Scoring
+is by evidence of words and word beginnings (log odds against label 1, less one standard error), summarised per document
+and calibrated by logistic regression.
 Evidence comes from one half of the training rows, calibration from the other.
 
 Labels are read only from rows outside the held-out fold, at most ``TRAIN_ROWS`` of them. Language, source and id are
@@ -24,7 +26,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemark.llm.common import slices, table, words_of
+from tidemark.llm.common import LONG_WORD, slices, table, words_of
 from tidemark.llm.labelled import held_out, labelled_sample, with_labels
 
 TRAIN_ROWS = 20_000
@@ -39,6 +41,9 @@ NEAR = 8.0
 STRETCH, OVERLAP = 4096, 256
 SEPARATORS = "._-*~'`/\\ "
 EDGES = ".,;:!?\"'()[]{}<>*#%&$|-_~`"
+#: Signs that a disguise may add: all of these, or those that stand for no letter.
+ADDED = frozenset(SEPARATORS + EDGES)
+ADDED_ONLY = ADDED - set(LOOKALIKE)
 
 # Character classes: 0 for whatever is no letter, then a-z, then the letters of Latin-1.
 CLASSES = 64
@@ -46,6 +51,7 @@ _CLASS = np.zeros(0x180, np.uint8)
 _CLASS[ord("a") : ord("z") + 1] = np.arange(1, 27)
 _CLASS[0xDF:0x100] = np.arange(27, 60)
 _CLASS[0x100:] = 60
+_CLASS_OF = _CLASS.tolist()
 
 
 def _classes(text: str) -> np.ndarray:
@@ -81,27 +87,24 @@ def character_model(counts: np.ndarray) -> np.ndarray:
     return np.log(p3).astype(np.float32)
 
 
-def decoded(word: str, model: np.ndarray, apart: bool = False, collapse: bool = True) -> tuple[str, list[int]]:
+def decoded(word: str, model: np.ndarray, collapse: bool = True, added: frozenset[str] = ADDED) -> tuple[str, list[int]]:
     """The likeliest spelling behind ``word`` (lower case), and the place in ``word`` that each of its signs comes from.
 
-    Viterbi over the last two letters of the lattice's paths; with ``apart`` a separator may also end a word, without
-    ``collapse`` repeated letters stay. Paths share their beginnings, so time and memory are linear in the word.
+    Viterbi over the last two letters of the lattice's paths; without ``collapse`` repeated letters stay. Paths share their
+    beginnings, and what all have in common is put aside from time to time: time and memory are linear in the word.
     """
     price = model.item
     paths: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
-    before = ""
+    before, text, places = "", [], []
     for i, sign in enumerate(word):
         grown: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         alpha = sign.isalpha()
-        letters = [(x, int(_CLASS[min(ord(x), 0x17F)]), 0.0 if alpha else SWAP) for x in (sign if alpha else LOOKALIKE.get(sign, ""))]
-        dropped = not alpha and (sign in SEPARATORS or sign in EDGES)
+        letters = [(x, _CLASS_OF[min(ord(x), 0x17F)], 0.0 if alpha else SWAP) for x in (sign if alpha else LOOKALIKE.get(sign, ""))]
         for (a, b), (cost, path) in paths.items():
             steps = [((b, c), cost + extra + price(a, b, c), x) for x, c, extra in letters]
             if not alpha:
-                if dropped:
+                if sign in added:
                     steps.append(((a, b), cost + DROP, ""))
-                    if apart and b:
-                        steps.append(((b, 0), cost + price(a, b, 0), " "))
                 if not letters:
                     steps.append(((b, 0), cost + KEEP_SIGN, sign))
             elif collapse and sign == before and path is not None and path[1] == sign:
@@ -110,13 +113,38 @@ def decoded(word: str, model: np.ndarray, apart: bool = False, collapse: bool =
                 if state not in grown or total > grown[state][0]:
                     grown[state] = (total, (path, x, i) if x else path)
         paths, before = grown or paths, sign
+        if i % STRETCH == STRETCH - 1:
+            paths = _put_aside(paths, text, places)
     path = max(((cost + price(a, b, 0), path) for (a, b), (cost, path) in paths.items()), key=lambda x: x[0])[1]
-    text, places = [], []
+    for _, x, i in _nodes(path):
+        text.append(x)
+        places.append(i)
+    return "".join(text), places
+
+
+def _nodes(path: tuple | None) -> list[tuple]:
+    out = []
     while path is not None:
-        path, x, i = path
+        out.append(path)
+        path = path[0]
+    return out[::-1]
+
+
+def _put_aside(paths: dict, text: list[str], places: list[int]) -> dict:
+    """Move the signs that all ``paths`` begin with to ``text`` and ``places``, but for each path's last one."""
+    chains = [_nodes(path) for _, path in paths.values()]
+    most = min(len(c) for c in chains) - 1
+    same = next((k for k in range(max(most, 0)) if any(c[k] is not chains[0][k] for c in chains)), max(most, 0))
+    for _, x, i in chains[0][:same]:
         text.append(x)
         places.append(i)
-    return "".join(reversed(text)), places[::-1]
+    out = {}
+    for (state, (cost, _)), chain in zip(paths.items(), chains):
+        path = None
+        for _, x, i in chain[same:]:
+            path = (path, x, i)
+        out[state] = (cost, path)
+    return out
 
 
 def restore(word: str, model: np.ndarray) -> str:
@@ -129,7 +157,7 @@ def words_within(letters: str, model: np.ndarray) -> Iterator[tuple[int, int]]:
     A reading is a way to place breaks; it costs what the character model says, a break being a character.
     """
     n, price = len(letters), model.item
-    c = [0, *(int(_CLASS[min(ord(x), 0x17F)]) for x in letters), 0]  # c[i + 1] is letter i
+    c = [0, *(_CLASS_OF[min(ord(x), 0x17F)] for x in letters), 0]  # c[i + 1] is letter i
 
     # into[i]: a word begins with letter i, after letter i - 1; second[i]: letter i is its second; over[i]: letter i goes
     # on after two of its own; done[i] and lone[i]: it ends after letter i, as one of several letters or the only one.
@@ -162,15 +190,74 @@ def words_within(letters: str, model: np.ndarray) -> Iterator[tuple[int, int]]:
                 yield i, j + 1
 
 
-_DISGUISED = re.compile(r"[^\W\d_][0-9@$!|+(€]+[^\W\d_]|^[0-9@$!|+(€]{1,3}[^\W\d_]{2}|[^\W\d_]{2}[0-9@$]{1,2}$|([^\W\d_])\1\1|^[^\W\d_](?:[._\-*~/][^\W\d_]){3,}")
+def spaced(run: str, model: np.ndarray, breaks: set[int] | None = None) -> Iterator[tuple[int, list[str]]]:
+    """Words of spaced-out letters by the place where they begin, whichever way these are broken into words.
+
+    With ``breaks`` words begin at these places only, and end before one. A long run is read in stretches; a word that
+    begins in the middle of an overlap or after it belongs to the next.
+    """
+    for start in range(0, max(1, len(run) - OVERLAP), STRETCH - OVERLAP):
+        stop = min(start + STRETCH, len(run))
+        low, high = start + OVERLAP // 2 if start else 0, stop - OVERLAP // 2 if stop < len(run) else stop
+        found: dict[int, set[str]] = {}
+        texts = [decoded(run[start:stop], model, collapse=collapse) for collapse in (True, False)]
+        for text, places in texts if texts[0] != texts[1] else texts[:1]:
+            at = [start + i for i in places] + [stop]
+            for i, j in words_within(text, model):
+                if low <= at[i] < high and (breaks is None or at[i] in breaks and (at[j] in breaks or at[j] == stop)):
+                    found.setdefault(at[i], set()).add(text[i:j])
+        yield from ((place, sorted(words)) for place, words in found.items())
+
+
+_SIGNS = re.compile("[" + re.escape("".join(LOOKALIKE) + SEPARATORS) + "]")
+_INNER = re.compile("[" + re.escape(SEPARATORS) + "]")
+_REPEATED = re.compile(r"([^\W\d_])\1+")
+_NUMBER = re.compile(r"[\W\d_]+")
+
+
+def squeezed(word: str, model: np.ndarray) -> str:
+    """What ``decoded`` makes of a word of letters only: each run of a letter is decided on its own, as paths meet after it."""
+    price, n = model.item, len(word)
+    kind = lambda i: _CLASS_OF[min(ord(word[i]), 0x17F)] if 0 <= i < n else 0
+
+    def run(found: re.Match) -> str:
+        start, stop = found.span()
+        k, a, b, c = stop - start, kind(start - 1), kind(start), kind(stop)
+        two = price(a, b, b) + price(b, b, c)
+        costs = {1: price(a, b, c) + COLLAPSE * (k - 1), 2: two + COLLAPSE * (k - 2), k: two + (k - 2) * price(b, b, b)}
+        return found[1] * max(costs, key=costs.get)
+
+    return _REPEATED.sub(run, word)
+
+
+def _trimmed(word: str) -> str:
+    """``word`` without marks around it, or nothing if it has no disguise: a number is one as written."""
+    trimmed = word.rstrip(".,;:?!\"')]}").lstrip("\"'([{")
+    if not _SIGNS.search(trimmed):
+        return trimmed if _REPEATED.search(trimmed) else ""
+    return "" if _NUMBER.fullmatch(trimmed) and not any(x in trimmed for x in LOOKALIKE if not x.isdigit()) else trimmed
 
 
 def restored(word: str, model: np.ndarray) -> str:
-    plain = word.strip(EDGES) or word
-    if len(word) <= 40 and _DISGUISED.search(word.rstrip(".,;:?")):
-        trimmed = word.rstrip(".,;:?!\"')]}").lstrip("\"'([{")
-        return restore(trimmed, model) if trimmed else plain
-    return plain
+    """The likeliest spelling behind ``word``, read as one word."""
+    trimmed = _trimmed(word)
+    if not trimmed:
+        return word.strip(EDGES) or word
+    return squeezed(trimmed, model) if trimmed.isalpha() else restore(trimmed, model)
+
+
+def readings(word: str, model: np.ndarray) -> list[str]:
+    """What ``word`` may stand for: itself, its likeliest spelling as one word, the same with a letter for every look-alike,
+    and, if it has separators inside, its parts and whatever likely words these may be joined to."""
+    names, trimmed = [word.strip(EDGES) or word, restored(word, model)], _trimmed(word)
+    if any(x in ADDED for x in trimmed if x in LOOKALIKE):
+        names.append(decoded(trimmed, model, added=ADDED_ONLY)[0])
+    if trimmed and _INNER.search(trimmed):
+        parts = [p for p in _INNER.split(trimmed) if p]
+        names += [restored(p, model) for p in parts] + parts
+        breaks = set(np.cumsum([0, *map(len, parts)]).tolist())
+        names += [w for _, words in spaced("".join(parts), model, breaks) for w in words]
+    return list(dict.fromkeys(names))
 
 
 def _features(words: list[str]) -> list[int]:
@@ -203,32 +290,18 @@ class _Reader:
         for a, b in zip(begins[long].tolist(), ends[long].tolist()):
             run = "".join([names[c] for c in codes[a:b].tolist()])
             codes[a:b] = -1
-            for place, words in self.spaced(run):
+            for place, words in spaced(run, self.model):
                 codes[a + place] = len(values)
                 values.append(self.worth(words))
         return values, codes, starts
 
-    def spaced(self, run: str) -> Iterator[tuple[int, list[str]]]:
-        """Words of a spaced-out run by the place where they begin, whichever way it is broken into words.
-
-        A long run is read in stretches; a word that begins in the middle of an overlap or after it belongs to the next.
-        """
-        for start in range(0, max(1, len(run) - OVERLAP), STRETCH - OVERLAP):
-            stop = start + STRETCH
-            low, high = start + OVERLAP // 2 if start else 0, stop - OVERLAP // 2 if stop < len(run) else len(run)
-            found: dict[int, set[str]] = {}
-            readings = [decoded(run[start:stop], self.model, collapse=collapse) for collapse in (True, False)]
-            for text, places in readings if readings[0] != readings[1] else readings[:1]:
-                for i, j in words_within(text, self.model):
-                    if low <= start + places[i] < high:
-                        found.setdefault(start + places[i], set()).add(text[i:j])
-            yield from ((place, sorted(words)) for place, words in found.items())
-
     def of(self, word: str):
+        if len(word) > LONG_WORD:
+            return self.worth(readings(word, self.model))
         if word not in self.known:
             if len(self.known) >= REMEMBERED:
                 self.known.clear()
-            self.known[word] = self.worth([restored(word, self.model)])
+            self.known[word] = self.worth(readings(word, self.model))
         return self.known[word]
 
 
