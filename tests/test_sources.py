@@ -66,6 +66,25 @@ def test_columns_are_found_by_name(spark, tmp_path):
     ]
 
 
+def test_files_without_a_header(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text(HEAD + "1,A,1,10-01-2010 10:00,1.0,1\n")
+    (tmp_path / "in" / "none.csv").write_text("3,C,1,12-01-2010 10:00,1.0,3\n4,C,1,12-01-2010 10:00,1.0,3\n")
+    with pytest.raises(ValueError, match="none.csv"):  # beside one layout
+        T.scan_raw(spark, str(tmp_path / "in"))
+    (tmp_path / "in" / "b.csv").write_text("CustomerID,Price,InvoiceDate,Quantity,StockCode,Invoice\n2,1.5,11-01-2010 10:00,3,B,2\n")
+    with pytest.raises(ValueError, match="none.csv"):  # beside two
+        T.scan_raw(spark, str(tmp_path / "in"))
+    store, bad, state = (str(tmp_path / n) for n in ("store", "bad", "state"))
+    stream_transactions(spark, str(tmp_path / "in"), store, bad, state).awaitTermination()
+    assert [r["Invoice"] for r in rows_of(T.read_curated(spark, store), "Invoice")] == ["1", "2"]
+    lost = spark.read.parquet(bad).collect()
+    assert sorted((r.cells[0], r.reason, r.file.rsplit("/", 1)[-1]) for r in lost) == [("3", "no_header", "none.csv"), ("4", "no_header", "none.csv")]
+    (tmp_path / "in" / "none2.csv").write_text("5,C,1,12-01-2010 10:00,1.0,3\n")
+    stream_transactions(spark, str(tmp_path / "in"), store, bad, state).awaitTermination()  # nothing but such a file
+    assert spark.read.option("mergeSchema", True).parquet(bad).where("reason = 'no_header'").count() == 3
+
+
 def test_clean(spark, drops):
     clean = T.clean_transactions(T.scan_transactions(spark, str(drops / "in")))
     assert sorted(r.Invoice for r in clean.collect()) == ["100", "101", "200"]

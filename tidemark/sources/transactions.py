@@ -67,17 +67,27 @@ def _name(cell: Column) -> Column:
     return F.trim(F.regexp_replace(cell, "\ufeff", ""))
 
 
+def file_headers(cells: DataFrame) -> DataFrame:
+    """One row a file that has lines: its name and its ``header``, null if no line of it is one."""
+    header = F.when(_is_header(), F.transform(F.array(*_CELLS), _name)).alias("header")
+    return cells.select("file", header).distinct().groupBy("file").agg(F.max("header").alias("header"))
+
+
 def by_header(cells: DataFrame) -> DataFrame:
     """Text columns under the names of each file's own header, in whatever order and with whatever further columns.
 
     A column is present if every file has it or if it is not a required one; so ``structural_quality`` sees what is
-    missing. Only the distinct headers reach the driver.
+    missing. A file without a header is refused, whatever the others have. Only the distinct headers reach the driver.
     """
-    names = F.transform(F.array(*_CELLS), _name)
-    headers = cells.where(_is_header()).select("file", names.alias("header")).dropDuplicates(["file"])
-    layouts = [r.header for r in headers.select("header").distinct().collect()]
+    files = file_headers(cells)
+    found = files.groupBy("header").agg(F.min("file").alias("file"), F.count("*").alias("n")).collect()
+    layouts = [r.header for r in found if r.header is not None]
     if not layouts:
         raise ValueError("no CSV files found, or none with a header")
+    for r in found:
+        if r.header is None:
+            raise ValueError(f"{r.n} CSV files have no header, such as {r.file}")
+    headers = files.where(F.col("header").isNotNull())
     if any(x[-1] is not None for x in layouts):
         raise ValueError(f"a CSV file has more than {MAX_COLUMNS} columns")
     known = [c for c in REQUIRED if all(c in x for x in layouts)]
