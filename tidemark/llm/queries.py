@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from tidemark.llm.bpe import op13_bpe
 from tidemark.llm.decontam import OP2_SQL, op2_decontam
+from tidemark.llm.negatives import OP11_SQL, op11_negatives
 from tidemark.llm.ordinal import op10_ordinal
 from tidemark.llm.packing import op9_packing
+from tidemark.llm.periodic import op12_runs
 from tidemark.llm.privacy import op7_privacy
 from tidemark.llm.recompression import op1_recompression
 from tidemark.llm.rules import op8_rules
@@ -24,9 +27,13 @@ QUERIES = {
     "op8_rules": op8_rules,
     "op9_packing": op9_packing,
     "op10_ordinal": op10_ordinal,
+    "op11_negatives": op11_negatives,
+    "op12_runs": op12_runs,
+    "op13_bpe": op13_bpe,
 }
 
 ORACLES: dict[str, str] = {
     "op2_decontam": OP2_SQL,
     "op4_warc": OP4_SQL,
+    "op11_negatives": OP11_SQL,
 }
