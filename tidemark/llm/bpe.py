@@ -27,6 +27,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -36,7 +37,8 @@ CHUNK = 16_384  # characters
 OVERLAP = 256
 MARGIN = 16
 #: Distinct pre-tokens whose ids a task remembers; beyond it starts afresh. A matter of speed only.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
+DECODED = 500_000  # ids at a time
 
 
 @functools.cache
@@ -48,43 +50,50 @@ def ranks_of(path: str) -> dict[bytes, int]:
 # --- pre-tokens -------------------------------------------------------------------------------------------------------
 
 
-@functools.cache
-def _members(klass: str) -> str:
-    """The code points of a class such as ``\\s`` as ranges for a pattern, by the library itself."""
+def _members(klass: str) -> list[tuple[int, int]]:
+    """The code points of a class such as ``\\s`` as ranges, by the library itself."""
     import tiktoken
 
     probe = tiktoken.Encoding("probe", pat_str=klass, mergeable_ranks={bytes([b]): b for b in range(256)}, special_tokens={})
-    points = np.array([c for c in range(0x110000) if not 0xD800 <= c < 0xE000])
-    found = np.frombuffer(bytes(probe.encode_ordinary("".join(map(chr, points)))).decode().encode("utf-32-le"), "<u4").astype(np.int64)
+    text = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    found = np.frombuffer(bytes(probe.encode_ordinary(text)).decode().encode("utf-32-le"), "<u4").astype(np.int64)
     edges = np.flatnonzero(np.diff(found) != 1)
-    firsts, lasts = found[np.append(0, edges + 1)], found[np.append(edges, len(found) - 1)]
-    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(firsts, lasts))
+    return list(zip(found[np.append(0, edges + 1)].tolist(), found[np.append(edges, len(found) - 1)].tolist()))
+
 
+#: A splitter with a limit serves texts of lower code points only; the lower the limit, the shorter its classes.
+LIMITS = (0x80, 0x10000, 0x110000)
 
-def _below(ranges: str, limit: int) -> str:
-    """Those of the ranges that start before ``limit``."""
-    return "".join(r[0] for r in re.finditer(r"\\U(\w{8})-\\U\w{8}", ranges) if int(r[1], 16) < limit)
+
+@functools.cache
+def splitters(pattern: str) -> tuple[str, ...]:
+    """``pattern`` with its classes written out, one for each of ``LIMITS``. Asked for once, on the driver."""
+    tokens = re.findall(r"\\[pP]\{\w+\}|\\.|.", pattern, re.S)
+    known = {t: _members(t) for t in set(tokens) if re.fullmatch(r"\\(?:[pP]\{\w+\}|[sdwSDW])", t)}
+    out = []
+    for limit in LIMITS:
+        inside, parts = False, []
+        for token in tokens:
+            if token in known:
+                ranges = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in known[token] if a < limit)
+                token = ranges if inside else f"[{ranges}]"
+            elif token in "[]":
+                inside = token == "["
+            parts.append(token)
+        out.append("".join(parts))
+    return tuple(out)
 
 
 @functools.cache
-def splitter(pattern: str, limit: int = 0x110000) -> re.Pattern:
-    """``pattern`` with its classes written out; with a lower ``limit`` it serves texts of code points below that only."""
-    out, inside = [], False
-    for token in re.findall(r"\\[pP]\{\w+\}|\\.|.", pattern, re.S):
-        if re.fullmatch(r"\\(?:[pP]\{\w+\}|[sdwSDW])", token):
-            token = _below(_members(token), limit)
-            token = token if inside else f"[{token}]"
-        elif token in "[]":
-            inside = token == "["
-        out.append(token)
-    return re.compile("".join(out))
-
-
-def _fitting(text: str, pattern: str) -> re.Pattern:
+def _compiled(source: str) -> re.Pattern:
+    return re.compile(source)
+
+
+def fitting(text: str, sources: tuple[str, ...]) -> re.Pattern:
     """The cheapest splitter for the text."""
     if text.isascii():
-        return splitter(pattern, 0x80)
-    return splitter(pattern, 0x10000 if len(text.encode("utf-16-le")) == 2 * len(text) else 0x110000)
+        return _compiled(sources[0])
+    return _compiled(sources[1 if len(text.encode("utf-16-le")) == 2 * len(text) else 2])
 
 
 class Vocabulary:
@@ -152,12 +161,14 @@ def stitched(pieces: DataFrame, pattern: str, overlap: int, label: str = "bpe-ch
     the rest of their document, whose boundaries hold only once those before them do.
     """
 
+    sources = splitters(pattern)
+
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for some in slices(batch):
                 head, tail = [], []
                 for start, text in zip(some.column("start").to_pylist(), some.column("text").to_pylist()):
-                    ends = np.fromiter((m.end() for m in _fitting(text, pattern).finditer(text)), np.int64)
+                    ends = np.fromiter((m.end() for m in fitting(text, sources).finditer(text)), np.int64)
                     sure = ends[ends <= len(text) - MARGIN]
                     head.append(start + np.concatenate([[0], sure[sure <= overlap]]).astype(np.int64))
                     tail.append(start + sure[sure >= len(text) - overlap])
@@ -199,6 +210,7 @@ def stitched(pieces: DataFrame, pattern: str, overlap: int, label: str = "bpe-ch
 def _encoded(pieces: DataFrame, ranks: str, pattern: str, keep: tuple[str, ...]) -> DataFrame:
     """``keep`` and ``ids`` of the stretch of each piece."""
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.select(*keep).schema)
+    sources = splitters(pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = None
@@ -208,7 +220,7 @@ def _encoded(pieces: DataFrame, ranks: str, pattern: str, keep: tuple[str, ...])
                 found = []
                 for start, a, b, text in zip(*(some.column(c).to_pylist() for c in ("start", "from_at", "to_at", "text"))):
                     # What follows the stretch stays in sight of the pattern.
-                    matches, stop = _fitting(text, pattern).finditer(text, a - start), len(text) if b is None else b - start
+                    matches, stop = fitting(text, sources).finditer(text, a - start), len(text) if b is None else b - start
                     found.append([m[0] for m in matches if m.end() <= stop])
                 ids, ends = vocabulary.encode(list(chain.from_iterable(found)))
                 offsets = ends[np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int64)]
@@ -250,16 +262,22 @@ def decode(encoded: DataFrame, ranks: str, keep: tuple[str, ...] = ("doc_id",))
         length = np.array([len(t) for t in tokens], np.int64)
         start, data = np.cumsum(length) - length, np.frombuffer(b"".join(tokens), np.uint8)
         for batch in batches:
-            lists = batch.column("ids")
-            ids, offsets = lists.flatten().to_numpy().astype(np.int64), lists.offsets.to_numpy().astype(np.int64)
-            if len(ids) and not (0 <= ids.min() and ids.max() < len(tokens) and length[ids].all()):
-                raise ValueError("an id is not in the vocabulary")
-            out = []
-            for a, b in zip(offsets[:-1] - offsets[0], offsets[1:] - offsets[0]):
-                own = ids[a:b]
-                ends = np.cumsum(length[own])
-                out.append(data[np.repeat(start[own] - ends + length[own], length[own]) + np.arange(ends[-1] if len(own) else 0)].tobytes())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(out, pa.binary())], names=[*keep, "data"])
+            # A few rows at a time: their ids and bytes take several times the room of the batch.
+            ends = np.cumsum(pc.list_value_length(batch.column("ids")).to_numpy())
+            cuts = [0]
+            while cuts[-1] < batch.num_rows:
+                done = ends[cuts[-1] - 1] if cuts[-1] else 0
+                cuts.append(max(cuts[-1] + 1, int(np.searchsorted(ends, done + DECODED, "right"))))
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                some = batch.slice(a, b - a)
+                own = some.column("ids").flatten().to_numpy()
+                if len(own) and not (0 <= own.min() and own.max() < len(tokens) and length[own].all()):
+                    raise ValueError("an id is not in the vocabulary")
+                stops = np.cumsum(length[own])
+                out = data[np.repeat(start[own] - stops + length[own], length[own]) + np.arange(stops[-1] if len(own) else 0)]
+                edges = np.append(0, stops)[np.append(0, ends[a:b] - (ends[a - 1] if a else 0))]
+                blobs = [out[x:y].tobytes() for x, y in zip(edges[:-1], edges[1:])]
+                yield pa.RecordBatch.from_arrays([*(some.column(c) for c in keep), pa.array(blobs, pa.binary())], names=[*keep, "data"])
 
     return encoded.select(*dict.fromkeys([*keep, "ids"])).mapInArrow(run, f"{types}, data binary")
 
