@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.quality import structural_quality
 from tidemark.sources import history
+from tidemark.sources import store as S
 from tidemark.sources import transactions as T
-from tidemark.streaming.ingest import stream_transactions
+from tidemark.streaming.ingest import stream_deduplicated, stream_transactions
 
 HEAD = "Invoice,StockCode,Quantity,InvoiceDate,Price,CustomerID\n"
 JAN = "100,A,2,10-01-2010 10:00,10.0,1\n100,A,2,10-01-2010 10:00,10.0,1\n101,B,1,31-01-2010 23:59,2.5,17850.0\n102,B,1,05-01-2010 09:30,2.5,\n"
@@ -66,6 +67,22 @@ def test_columns_are_found_by_name(spark, tmp_path):
     ]
 
 
+QUOTED = [("12\"\" ruler, wood", '12" ruler, wood'), ('a, b \"\"c\"\"', 'a, b "c"'), ("two\nlines", "two\nlines"), ("plain", "plain")]
+
+
+def test_quoted_cells(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    head = "Invoice,Description,StockCode,Quantity,InvoiceDate,Price,CustomerID\n"
+    body = "".join(f'{i},"{cell}",A,{i + 1},10-01-2010 10:00,1.5,{i}\n' for i, (cell, _) in enumerate(QUOTED))
+    (tmp_path / "in" / "a.csv").write_text(head + body)
+    want = [(str(i), float(i + 1), 1.5, i, text) for i, (_, text) in enumerate(QUOTED)]
+    of = lambda df: [(r["Invoice"], r["Quantity"], r["Price"], r["CustomerID"], r["Description"]) for r in rows_of(df, "Invoice")]
+    assert of(T.scan_transactions(spark, str(tmp_path / "in"))) == want
+    store, bad, state = (str(tmp_path / n) for n in ("store", "bad", "state"))
+    stream_transactions(spark, str(tmp_path / "in"), store, bad, state).awaitTermination()
+    assert of(S.read_curated(spark, store)) == want and not list((tmp_path / "bad").rglob("*.parquet"))
+
+
 def test_files_without_a_header(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.csv").write_text(HEAD + "1,A,1,10-01-2010 10:00,1.0,1\n")
@@ -77,7 +94,7 @@ def test_files_without_a_header(spark, tmp_path):
         T.scan_raw(spark, str(tmp_path / "in"))
     store, bad, state = (str(tmp_path / n) for n in ("store", "bad", "state"))
     stream_transactions(spark, str(tmp_path / "in"), store, bad, state).awaitTermination()
-    assert [r["Invoice"] for r in rows_of(T.read_curated(spark, store), "Invoice")] == ["1", "2"]
+    assert [r["Invoice"] for r in rows_of(S.read_curated(spark, store), "Invoice")] == ["1", "2"]
     lost = spark.read.parquet(bad).collect()
     assert sorted((r.cells[0], r.reason, r.file.rsplit("/", 1)[-1]) for r in lost) == [("3", "no_header", "none.csv"), ("4", "no_header", "none.csv")]
     (tmp_path / "in" / "none2.csv").write_text("5,C,1,12-01-2010 10:00,1.0,3\n")
@@ -99,29 +116,130 @@ def test_extra_columns_take_part_in_row_identity(lines):
 
 def test_curated_store(spark, drops):
     store = str(drops / "store")
-    assert T.read_curated(spark, store).isEmpty()
+    assert S.read_curated(spark, store).isEmpty() and S.first_sales(spark, store).isEmpty() and S.monthly_volumes(spark, store).isEmpty()
+    assert S.compact_curated(spark, store) == [] and S.drop_superseded(spark, store) == 0
     clean = T.clean_transactions(T.scan_transactions(spark, str(drops / "in")))
-    T.update_curated(spark, store, clean)
-    T.update_curated(spark, store, clean.where("Invoice = '200'"))
-    assert T.read_curated(spark, store).count() == 3
-    before = {x.invoice_month: x.load for x in T.current_loads(spark, store)}
-    assert sorted(before) == ["m2010-01", "m2010-02"]
-    assert T.update_curated(spark, store, clean.where("Invoice = '200'").withColumn("Invoice", F.lit("201"))) == ["m2010-02"]
-    after = {x.invoice_month: x.load for x in T.current_loads(spark, store)}
-    assert after["m2010-01"] == before["m2010-01"] and after["m2010-02"] != before["m2010-02"]  # an untouched month is not rewritten
-    assert T.read_curated(spark, store).count() == 4
-    assert T.recent_months(spark, store, 1).count() == 2
-    assert T.drop_superseded(spark, store) == 2 and T.drop_superseded(spark, store) >= 0
-    assert T.read_curated(spark, store, since="2010-02-01").count() == 2 and T.read_curated(spark, store, before="2010-02-01").count() == 2
+    S.update_curated(spark, store, clean)
+    S.update_curated(spark, store, clean.where("Invoice = '200'"))  # nothing new: nothing is written
+    assert S.read_curated(spark, store).count() == 3 and S.read_curated(spark, store).columns == clean.columns
+    before = [(x.invoice_month, x.load) for x in S.live_loads(spark, store)]
+    assert [m for m, _ in before] == ["first_sales", "m2010-01", "m2010-02"]
+    assert S.update_curated(spark, store, clean.where("Invoice = '200'").withColumn("Invoice", F.lit("201"))) == ["m2010-02"]
+    after = [(x.invoice_month, x.load) for x in S.live_loads(spark, store)]
+    assert set(before) < set(after) and {m for m, _ in set(after) - set(before)} == {"first_sales", "m2010-02"}
+    assert S.read_curated(spark, store).count() == 4
+    assert S.read_curated(spark, store, since="2010-02-01").count() == 2 and S.read_curated(spark, store, before="2010-02-01").count() == 2
+
+
+def size_of(folder) -> int:
+    return sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+
+
+def many(spark, n, start="2010-01-01"):
+    when = F.expr(f"cast('{start}' as timestamp_ntz) + make_interval(0, 0, 0, cast(id % 59 as int), 0, 0, id % 3600)")
+    return spark.range(n).select(
+        F.concat(F.lit("i"), F.col("id") % 977).alias("Invoice"), F.col("id").cast("string").alias("StockCode"), (F.col("id") % 7 - 1).cast("double").alias("Quantity"),
+        when.alias("InvoiceDate"), (F.col("id") % 100 / 8).alias("Price"), (F.col("id") % 501).alias("CustomerID"),
+    )
+
+
+def test_a_late_line_costs_a_small_file_and_volumes_follow(spark, lines, tmp_path):
+    from tidemark.operators.quality import monthly_volume
+
+    store = str(tmp_path / "store")
+
+    def holds():
+        got = S.read_curated(spark, store)
+        volumes = lambda df: [tuple(r.values()) for r in rows_of(df.select("month", "tx_count", "customer_count", "revenue"), "month")]
+        assert volumes(S.monthly_volumes(spark, store)) == volumes(monthly_volume(got))
+        sales = {r.CustomerID: r.first for r in got.where("Quantity > 0").groupBy("CustomerID").agg(F.min("InvoiceDate").alias("first")).collect()}
+        assert {r.CustomerID: r.first_sale for r in S.first_sales(spark, store).collect()} == sales
+        cut = "2010-01-20"
+        assert {r.CustomerID for r in S.first_sales(spark, store, before=cut).collect()} == {c for c, t in sales.items() if t < datetime.fromisoformat(cut)}
+        return sorted(map(tuple, got.collect()))
+
+    S.update_curated(spark, store, many(spark, 20_000))
+    first, bytes_ = holds(), size_of(tmp_path / "store" / "lines")
+    late = [("i1", "late", 1, "2009-12-01 10:00", 1.0, 3), ("i1", "late", 1, "2010-01-05 10:00", 1.0, 9000), ("new", "late", -1, "2010-01-05 10:00", 1.0, 9000)]
+    for row in late:
+        S.update_curated(spark, store, lines([row]))
+    assert size_of(tmp_path / "store" / "lines") - bytes_ < 15_000 < bytes_
+    second = holds()
+    assert len(second) == len(first) + 3
+    reader = S.read_curated(spark, store)
+    assert S.compact_curated(spark, store, max_deltas=2) == ["first_sales", "m2010-01"]
+    S.update_curated(spark, store, lines([("i2", "later", 1, "2010-01-05 10:00", 1.0, 9001)]))
+    assert sorted(map(tuple, reader.collect())) == second  # a reader keeps the version that it began with
+    third = holds()
+    assert len(third) == len(second) + 1
+    assert S.drop_superseded(spark, store) > 3 and holds() == third
+    assert S.update_curated(spark, store, many(spark, 20_000)) and holds() == third  # a replay adds nothing
+    S.compact_curated(spark, store, max_deltas=1)
+    assert holds() == third
+
+
+def test_appended_lines(spark, lines, tmp_path):
+    store = str(tmp_path / "store")
+    S.update_curated(spark, store, many(spark, 500))
+    batch = lines([("x", "a", 1, "2010-01-05 10:00", 1.0, 7), ("y", "a", 1, "2011-01-05 10:00", 1.0, 9002)])
+    for _ in range(2):  # a batch that is added again changes nothing
+        S.append_curated(spark, store, batch, "stream 7")
+    assert S.read_curated(spark, store).count() == 502
+    wanted = rows_of(S.monthly_volumes(spark, store), "month")
+    assert len(wanted) == 3 or len(wanted) == 4
+    assert len(S.compact_curated(spark, store)) == 2  # the two months that were not counted
+    assert rows_of(S.monthly_volumes(spark, store), "month") == wanted and S.read_curated(spark, store).count() == 502
+
+
+def test_a_failed_merge_shows_nothing(spark, lines, tmp_path, monkeypatch):
+    store = str(tmp_path / "store")
+    S.update_curated(spark, store, many(spark, 100))
+    before = sorted(map(tuple, S.read_curated(spark, store).collect()))
+
+    def fails(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(S, "_commit", fails)
+        with pytest.raises(RuntimeError):
+            S.update_curated(spark, store, lines([("x", "a", 1, "2010-01-05 10:00", 1.0, 7)]))
+        with pytest.raises(RuntimeError):
+            S.compact_curated(spark, store, max_deltas=1)
+    assert sorted(map(tuple, S.read_curated(spark, store).collect())) == before
+    S.update_curated(spark, store, lines([("x", "a", 1, "2010-01-05 10:00", 1.0, 7)]))
+    assert S.read_curated(spark, store).count() == 101
+
+
+def test_past_months_are_not_read(spark, tmp_path):
+    """Features of a window, volumes, and a merge into another month read no file of the months before."""
+    import shutil
+
+    from tidemark.plans.workspace import Workspace
+
+    ws = Workspace(str(tmp_path))
+    S.update_curated(spark, ws.path("curated"), many(spark, 1000, "2010-01-01"))
+    S.update_curated(spark, ws.path("curated"), many(spark, 1000, "2010-06-01"))
+    calendar = spark.sql("select timestamp_ntz'2010-06-01' as feature_start")
+    window, earlier = ws.feature_inputs(spark, calendar)
+    assert window.count() == 1000 and earlier.count() == S.first_sales(spark, ws.path("curated"), before="2010-06-01").count() > 400
+    read = "\n".join(df.inputFiles()[0] for df in (window,)) + str(window.inputFiles()) + str(earlier.inputFiles())
+    assert "m2010-01" not in read and "m2010-02" not in read
+    for month in ("m2010-01", "m2010-02"):
+        shutil.copytree(tmp_path / "curated" / "lines" / f"invoice_month={month}", tmp_path / "kept" / month)
+        for f in (tmp_path / "curated" / "lines" / f"invoice_month={month}").rglob("*.parquet"):
+            f.write_bytes(b"unreadable")
+    assert S.monthly_volumes(spark, ws.path("curated")).count() == 4
+    S.update_curated(spark, ws.path("curated"), many(spark, 1100, "2010-06-01"))
+    assert S.read_curated(spark, ws.path("curated"), since="2010-06-01").count() == 1100
 
 
 def test_store_keeps_lines_without_a_time_and_new_columns(spark, lines, tmp_path):
     store = str(tmp_path / "store")
     untimed = lambda i: lines([(i, "A", 1, "2010-01-01 10:00", 1.0, 1)]).withColumn("InvoiceDate", F.lit(None).cast("timestamp_ntz"))
     timed = lambda i: lines([(i, "A", 1, "2010-01-01 10:00", 1.0, 1)])
-    T.update_curated(spark, store, untimed("1").unionByName(timed("2")))
-    T.update_curated(spark, store, untimed("3").unionByName(timed("4")).withColumn("Country", F.lit("UK")))
-    got = {r.Invoice: r.Country for r in T.read_curated(spark, store).collect()}
+    S.update_curated(spark, store, untimed("1").unionByName(timed("2")))
+    S.update_curated(spark, store, untimed("3").unionByName(timed("4")).withColumn("Country", F.lit("UK")))
+    got = {r.Invoice: r.Country for r in S.read_curated(spark, store).collect()}
     assert got == {"1": None, "2": None, "3": "UK", "4": "UK"}
 
 
@@ -197,12 +315,42 @@ def test_streaming_load(spark, drops):
     store, bad, state = (str(drops / n) for n in ("store", "bad", "state"))
     run = lambda: stream_transactions(spark, str(drops / "in"), store, bad, state, "2010-01-05").awaitTermination()
     run()
-    first = rows_of(T.read_curated(spark, store), "Invoice")
+    first = rows_of(S.read_curated(spark, store), "Invoice")
     assert [r["Invoice"] for r in first] == ["100", "101", "200"]
     run()  # nothing new: nothing changes
-    assert rows_of(T.read_curated(spark, store), "Invoice") == first
+    assert rows_of(S.read_curated(spark, store), "Invoice") == first
     (drops / "in" / "more.csv").write_text(HEAD + FEB + "201,A,1,03-02-2010 08:00,1.0,3\n202,A,x,03-02-2010 08:00,1.0,3\n203,A,1,nonsense,1.0,3\n204,A,1,31-12-2009 08:00,1.0,3\n")
     run()
-    assert [r["Invoice"] for r in rows_of(T.read_curated(spark, store), "Invoice")] == ["100", "101", "200", "201"]
+    assert [r["Invoice"] for r in rows_of(S.read_curated(spark, store), "Invoice")] == ["100", "101", "200", "201"]
     reasons = {r.Invoice: r.reason for r in spark.read.parquet(bad).collect()}
     assert reasons == {"202": "bad_quantity", "203": "bad_time", "204": "late"}
+
+
+def test_stream_drops_copies_by_state(spark, drops, monkeypatch):
+    store, bad, state = (str(drops / n) for n in ("store", "bad", "state"))
+
+    def run(**options):
+        stream_deduplicated(spark, str(drops / "in"), store, bad, state, delay="30 days", **options).awaitTermination()
+        return [(r["Invoice"], r["StockCode"]) for r in rows_of(S.read_curated(spark, store), "Invoice", "StockCode")]
+
+    def unread(*_args, **_options):
+        raise AssertionError("the store was read")
+
+    first = [("100", "A"), ("101", "B"), ("200", "A")]
+    with monkeypatch.context() as m:
+        m.setattr(S, "_lines", unread)
+        stream_deduplicated(spark, str(drops / "in"), store, bad, state, delay="30 days").awaitTermination()
+    assert run() == first  # nothing new: nothing changes, on the same checkpoint
+    # Copies, in another column order, beside new lines; one of each behind the watermark (2 January).
+    more = "CustomerID,Price,InvoiceDate,Quantity,StockCode,Invoice,Country\n1,10.0,01-02-2010 00:00,-1,A,200,\n17850.0,2.5,31-01-2010 23:59,1,B,101,\n3,1.0,03-02-2010 08:00,1,A,201,UK\n"
+    late = "4,1.0,02-01-2010 00:00,1,A,90,\n4,1.0,02-01-2010 00:01,1,A,91,\n4,1.0,01-01-1970 00:00,1,A,92,\n4,x,02-02-2010 00:01,1,A,93,\n"
+    (drops / "in" / "more.csv").write_text(more + late)
+    want = sorted([*first, ("201", "A"), ("91", "A")])
+    assert run() == want
+    (drops / "in" / "more2.csv").write_text(HEAD + JAN + FEB + "202,A,1,01-03-2010 08:00,1.0,3\n")
+    assert run() == sorted([*want, ("202", "A")])
+    reasons = sorted((r.Invoice, r.reason) for r in spark.read.parquet(bad).collect())
+    assert reasons == [("90", "behind_watermark"), ("92", "behind_watermark"), ("93", "bad_price")]
+    assert {r.Invoice: r.Country for r in S.read_curated(spark, store).collect()}["201"] == "UK"
+    S.compact_curated(spark, store)
+    assert sum(r.tx_count for r in S.monthly_volumes(spark, store).collect()) == 6

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.lineage import champion_spans
 from tidemark.sources import history
-from tidemark.sources.transactions import read_curated
+from tidemark.sources.store import first_sales, read_curated
 
 
 @dataclass(frozen=True)
@@ -22,9 +22,13 @@ class Workspace:
         return read_curated(spark, self.path("curated"), since, before)
 
     def feature_inputs(self, spark: SparkSession, calendar: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Lines from the first window of ``calendar`` on, and the lines before it."""
+        """Lines from the first window of ``calendar`` on, and the first sales before it as lines: all that features need of those.
+
+        First sales come from the store's state, so no month before the window is read.
+        """
         start = calendar.agg(F.min("feature_start")).first()[0]
-        return self.curated(spark, since=start), self.curated(spark, before=start)
+        sales = first_sales(spark, self.path("curated"), before=start)
+        return self.curated(spark, since=start), sales.select("CustomerID", F.col("first_sale").alias("InvoiceDate"), F.lit(1.0).alias("Quantity"))
 
     def manifest(self, spark: SparkSession) -> DataFrame:
         return history.read_manifest(spark, self.path("manifest"))

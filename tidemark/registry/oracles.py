@@ -566,6 +566,14 @@ ca AS (SELECT CAST(fe AS DATE) AS sd, (SELECT max(v) FROM pm WHERE month <= fe)
 TEXT_LINE = LINE.replace("Invoice:i", "Invoice:s").replace("StockCode:i", "StockCode:s")
 add("csv_scan", TX, TEXT_LINE, "FROM tx")
 add("curated_store", TX, LINE, "FROM (SELECT DISTINCT invoice, stock, qty, d, price, cust FROM tx)")
+add("compacted_store", TX, LINE, "FROM (SELECT DISTINCT invoice, stock, qty, d, price, cust FROM tx)")
+ONCE = TX.replace("tx AS (", "lines AS (", 1) + ",\ntx AS (SELECT DISTINCT * FROM lines)"
+add("logged_volumes", f"{ONCE}, {MONTHLY}", "month:d; tx_count:i; customer_count:i; revenue:f", "FROM mv")
+add(
+    "stored_first_sales", TX, "CustomerID:i=cust; first_sale:t=first",
+    "FROM (SELECT cust, min(d) FILTER (qty > 0) AS first FROM tx GROUP BY 1) WHERE first < TIMESTAMP '2000-01-01'",
+)
+add("deduplicated_stream", TX, TEXT_LINE, "FROM (SELECT DISTINCT invoice, stock, qty, d, price, cust FROM tx)")
 add("streamed_store", TX, TEXT_LINE, "FROM (SELECT DISTINCT invoice, stock, qty, d, price, cust FROM tx)")
 add(
     "prediction_sink", SCORED,

@@ -14,7 +14,7 @@ from tidemark.operators import calibration, delayed, drift, features, governance
 from tidemark.params import LABEL, SplitPlan
 from tidemark.registry import frames as fr
 from tidemark.session import shared_dir, written
-from tidemark.sources import history, transactions
+from tidemark.sources import history, store as curated, transactions
 from tidemark.streaming import ingest as streaming
 from tidemark.sources.adapters import EVENT_PLAN, ORDER_PLAN, event_lines, order_lines, read_table
 
@@ -587,12 +587,12 @@ def _folder(spark, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def _csv_drop(spark, sf) -> str:
-    """The order lines as a delivered CSV folder."""
-    path = _folder(spark, "drop")
+def _csv_drop(spark, sf, path: str | None = None, again: str = "") -> str:
+    """The order lines as a delivered CSV folder; or delivered ``again`` into it."""
+    path = path or _folder(spark, "drop")
     when = F.date_format("InvoiceDate", transactions.CSV_TIME_FORMAT)
     lines, early = order_lines(spark, sf), F.col("InvoiceDate") < moment("1998-01-01")
-    write = lambda df, name: df.withColumn("InvoiceDate", when).write.option("header", True).csv(f"{path}/{name}")
+    write = lambda df, name: df.withColumn("InvoiceDate", when).write.option("header", True).csv(f"{path}/{name}{again}")
     write(lines.where(early), "early")
     # Later files have the columns in another order, and one more.
     write(lines.where(~early).withColumn("Country", F.lit("X, Y")).select("Country", *reversed(LINE)), "late")
@@ -607,10 +607,46 @@ def csv_scan(spark, sf):
 @query
 def curated_store(spark, sf):
     """Two overlapping batches merged month by month."""
+    return curated.read_curated(spark, _overlapping_loads(spark, sf))
+
+
+def _overlapping_loads(spark, sf) -> str:
     store, tx, d = _folder(spark, "store"), order_lines(spark, sf), F.col("InvoiceDate")
-    transactions.update_curated(spark, store, tx.where(d < moment("2001-05-01")))
-    transactions.update_curated(spark, store, tx.where(d >= moment("2001-02-01")))
-    return transactions.read_curated(spark, store)
+    curated.update_curated(spark, store, tx.where(d < moment("2001-05-01")))
+    curated.update_curated(spark, store, tx.where(d >= moment("2001-02-01")))
+    return store
+
+
+@query
+def compacted_store(spark, sf):
+    """The same after compaction, with the replaced files gone."""
+    store = _overlapping_loads(spark, sf)
+    curated.compact_curated(spark, store, max_deltas=2)
+    curated.drop_superseded(spark, store)
+    return curated.read_curated(spark, store)
+
+
+@query
+def logged_volumes(spark, sf):
+    """Monthly volumes from the store's log alone."""
+    return curated.monthly_volumes(spark, _overlapping_loads(spark, sf))
+
+
+@query
+def stored_first_sales(spark, sf):
+    """First sales before a day, from the state that merges keep."""
+    return curated.first_sales(spark, _overlapping_loads(spark, sf), before="2000-01-01")
+
+
+@query
+def deduplicated_stream(spark, sf):
+    """The CSV folder, delivered twice over, loaded as a stream that drops copies by its state."""
+    drop, store, state = _csv_drop(spark, sf), _folder(spark, "store"), _folder(spark, "state")
+    quarantine = _folder(spark, "quarantine")
+    for again in ("-again", "-later"):
+        _csv_drop(spark, sf, drop, again)
+        streaming.stream_deduplicated(spark, drop, store, quarantine, state, delay="3650 days").awaitTermination()
+    return curated.read_curated(spark, store).select(*LINE)
 
 
 @query
@@ -619,7 +655,7 @@ def streamed_store(spark, sf):
     drop, store, state = _csv_drop(spark, sf), _folder(spark, "store"), _folder(spark, "state")
     for _ in range(2):
         streaming.stream_transactions(spark, drop, store, _folder(spark, "quarantine"), state).awaitTermination()
-    return transactions.read_curated(spark, store).select(*LINE)
+    return curated.read_curated(spark, store).select(*LINE)
 
 
 @query

@@ -1,16 +1,10 @@
-"""Transaction sources: CSV drops, the curated store, and the point-in-time union of two feeds."""
+"""Transaction sources: CSV drops, cleaning, and the point-in-time union of two feeds."""
 
 from __future__ import annotations
 
-import json
-import uuid
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.functions.temporal import moment, month_start
-from tidemark.session import delete
-
 # Fixed value: the timestamp layout of the CSV feeds.
 CSV_TIME_FORMAT = "dd-MM-yyyy HH:mm"
 
@@ -47,6 +41,10 @@ def cell_reader(reader):
     return (
         reader.schema(_BY_PLACE)
         .option("header", False)
+        # Cells are quoted as spreadsheets write them: quotes inside are doubled, and a line may break inside a cell.
+        # A file is then read from its start by one task; a feed spreads over its files.
+        .option("escape", '"')
+        .option("multiLine", True)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.[cC][sS][vV]")
     )
@@ -156,105 +154,6 @@ def curate(history: DataFrame, batch: DataFrame) -> DataFrame:
     return history.unionByName(batch, allowMissingColumns=True).dropDuplicates()
 
 
-# --- the curated store ----------------------------------------------------------------------------------------------
-#
-# ``lines/invoice_month=<key>/load=<id>`` holds the lines of a month as one load left them, ``commits`` says which load
-# is the newest of each month. A load becomes visible by one appended record, so a reader sees a month before or after
-# it and never in between, and a failed load leaves nothing but files that nobody reads.
-
-COMMITS = T.StructType([T.StructField(n, T.StringType()) for n in ("invoice_month", "load", "columns")] + [T.StructField("seq", T.LongType())])
-UNKNOWN_MONTH = "unknown"
-
-
-def month_key(when: Column) -> Column:
-    """Text, so that no reader takes it for another type; lines without a time have a month of their own."""
-    return F.coalesce(F.date_format(month_start(when), "'m'yyyy-MM"), F.lit(UNKNOWN_MONTH))
-
-
-def _commits(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(COMMITS).json(f"{path}/commits")
-    except AnalysisException as e:
-        if not is_missing(e):
-            raise
-        return spark.createDataFrame([], COMMITS)
-
-
-def current_loads(spark: SparkSession, path: str) -> list:
-    """The newest load of each month: as many rows as the store has months."""
-    newest = F.max_by(F.struct("load", "columns", "seq"), "seq").alias("newest")
-    return _commits(spark, path).groupBy("invoice_month").agg(newest).select("invoice_month", "newest.*").orderBy("invoice_month").collect()
-
-
-def _lines(spark: SparkSession, path: str, loads: list) -> DataFrame:
-    if not loads:
-        return spark.createDataFrame([], TRANSACTIONS)
-    columns: dict[str, T.StructField] = {}
-    for text in dict.fromkeys(x.columns for x in loads):
-        for field in T.StructType.fromJson(json.loads(text)).fields:
-            columns.setdefault(field.name, field)
-    folders = [f"{path}/lines/invoice_month={x.invoice_month}/load={x.load}" for x in loads]
-    return spark.read.schema(T.StructType(list(columns.values()))).parquet(*folders)
-
-
-def read_curated(spark: SparkSession, path: str, since=None, before=None) -> DataFrame:
-    """The curated store, or an empty table of its schema before the first write.
-
-    ``since`` and ``before`` (times) cut the lines, and the months that are read at all.
-    """
-    loads = current_loads(spark, path)
-    if since is not None:
-        loads = [x for x in loads if x.invoice_month != UNKNOWN_MONTH and x.invoice_month >= f"m{str(since)[:7]}"]
-    if before is not None:
-        loads = [x for x in loads if x.invoice_month != UNKNOWN_MONTH and x.invoice_month <= f"m{str(before)[:7]}"]
-    lines, when = _lines(spark, path, loads), F.col("InvoiceDate")
-    if since is not None:
-        lines = lines.where(when >= moment(since))
-    if before is not None:
-        lines = lines.where(when < moment(before))
-    return lines
-
-
-def update_curated(spark: SparkSession, path: str, batch: DataFrame) -> list[str]:
-    """Merge cleaned lines into the store and return the months they touch; only those are read and written anew.
-
-    Rebalancing splits a month that is too large for one task and merges the small ones.
-    """
-    months = sorted(r.m for r in batch.select(month_key(F.col("InvoiceDate")).alias("m")).distinct().collect())  # a few at most
-    if not months:
-        return []
-    loads = current_loads(spark, path)
-    kept = [x for x in loads if x.invoice_month in months]
-    merged = curate(_lines(spark, path, kept), batch) if kept else batch.dropDuplicates()
-    load = uuid.uuid4().hex
-    (
-        merged.withColumns({"invoice_month": month_key(F.col("InvoiceDate")), "load": F.lit(load)})
-        .hint("rebalance", F.col("invoice_month"))
-        .write.mode("append")
-        .partitionBy("invoice_month", "load")
-        .parquet(f"{path}/lines")
-    )
-    seq = max((x.seq for x in loads), default=0) + 1
-    done = [(m, load, merged.schema.json(), seq) for m in months]
-    spark.createDataFrame(done, COMMITS).coalesce(1).write.mode("append").json(f"{path}/commits")
-    return months
-
-
-def drop_superseded(spark: SparkSession, path: str) -> int:
-    """Delete the loads that newer ones have replaced, once no reader needs them; returns how many."""
-    current = {(x.invoice_month, x.load) for x in current_loads(spark, path)}
-    old = [r for r in _commits(spark, path).select("invoice_month", "load").distinct().collect() if (r.invoice_month, r.load) not in current]
-    for r in old:
-        delete(spark, f"{path}/lines/invoice_month={r.invoice_month}/load={r.load}")
-    return len(old)
-
-
-def recent_months(spark: SparkSession, path: str, months: int) -> DataFrame:
-    """Lines of the last observed months of the store; nothing else is read."""
-    loads = [x for x in current_loads(spark, path) if x.invoice_month != UNKNOWN_MONTH]
-    return _lines(spark, path, sorted(loads, key=lambda x: x.invoice_month)[-months:])
-
-
 def point_in_time_union(bootstrap: DataFrame, replay: DataFrame, as_of) -> DataFrame:
     """Both feeds cut strictly before ``as_of``. The cut reaches the scans."""
     known = F.col("InvoiceDate") < as_of
