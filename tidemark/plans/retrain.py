@@ -107,7 +107,7 @@ def retrain(
     history.write_report(models.probabilities(model, sample, []), ws.path(f"baselines/training_scores/{version}"))
     history.write_report(val.select("churn_probability"), ws.path(f"baselines/scores/{version}"))
     history.write_report(sweep, ws.path(f"reports/{version}/threshold_sweep"), "csv")
-    if hasattr(model.stages[-1], "featureImportances"):
+    if hasattr(model, "importance"):
         history.write_report(models.feature_importance(model), ws.path(f"reports/{version}/feature_importance"), "csv")
     row = models.version_row(
         spark,
