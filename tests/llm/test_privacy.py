@@ -41,6 +41,47 @@ def test_secrets_are_masked_to_their_end(spark):
     assert {r.masked for r in out} == {"login [SECRET] end"}
 
 
+def test_values_are_masked_whole(spark):
+    want = {
+        "login password: s3cretPw!9xQz end": "login [SECRET] end",
+        "api_key: sk_live$abcdef01234567 end": "[SECRET] end",
+        "login token=abcdef0123456789== end": "login [SECRET] end",
+        "login password=P@ssw0rd!2024 end": "login [SECRET] end",
+        "auth {\"token\": \"ab'c!def$0123456789\", \"user\": 1}": "auth {\"[SECRET], \"user\": 1}",
+    }
+    label = "a" * 70
+    want[f"write {label} [at] {label} [dot] com ok"] = "write [EMAIL] ok"
+    want["write john [at] a [dot] b [dot] c [dot] d [dot] e [dot] f [dot] g [dot] h [dot] com ok"] = "write [EMAIL] ok"
+    want["x a@b.com y c@d.org"] = "x [EMAIL] y [EMAIL]"
+    rows = [(i, t, "en", "src", 0) for i, t in enumerate(want)]
+    found = privacy.personal_data(cases.frame(spark, rows), keep=("text",)).withColumn("masked", privacy.redacted(privacy.F.col("text"), "spans"))
+    assert {r.text: r.masked for r in found.collect()} == want
+
+
+def test_long_texts_take_linear_time(spark):
+    import time
+
+    cases.frame(spark, [(1, "a@b.com", "en", "s", 0)]).count()
+    texts = ["k" * 1_000_000 + " x@", "1" * 500_000 + " 1.2.3.4", "ab1@cd.org " * 100_000, "call 444-555-1234 or a@b.com " * 20_000, "é@ " * 200_000]
+    rows = [(i, t, "en", "src", 0) for i, t in enumerate(texts)]
+    start = time.perf_counter()
+    found = privacy.personal_data(cases.frame(spark, rows), keep=("text",)).withColumn("masked", privacy.redacted(privacy.F.col("text"), "spans"))
+    got = {r.doc_id: r for r in found.collect()}
+    assert time.perf_counter() - start < 60
+    places = [[], [(500_001, 1, 500_008)], [(11 * k, 0, 11 * k + 10) for k in range(100_000)], [(29 * k + 21, 0, 29 * k + 28) for k in range(20_000)], []]
+    assert [[tuple(s) for s in got[i].base] for i in range(len(texts))] == places
+    assert len(got[2].spans) == 100_000 and got[2].masked == "[EMAIL] " * 100_000 and len(got[3].spans) == 40_000
+
+
+def test_proposals_beside_base_spans(spark):
+    texts = ["a@b.com444-555-1234", "+1 444-555-1234 and 444-555-1234", "token=a@b.com4111111111111111 end", "444-555-1234" * 3]
+    rows = [(i, t, "en", "src", 0) for i, t in enumerate(texts)]
+    found = cases.frame(spark, rows).select("doc_id", *[c.alias(n) for c, n in zip(privacy.spans_of(privacy.F.col("text")), ("base", "wide"))])
+    for r in found.withColumn("free", privacy.untouched(privacy.F.col("base"), privacy.F.col("wide"))).collect():
+        want = [w for w in r.wide if w.kind == 4 or not any(w.start < b.end and b.start < w.end for b in r.base)]
+        assert sorted(map(tuple, r.free)) == sorted(map(tuple, want)), r.doc_id
+
+
 def test_reliable_labelers_outweigh_others():
     # Votes of the first two agree; the third is noise.
     patterns = [(0, "11-1-", 400), (0, "00-0-", 300), (0, "110--", 40), (0, "111--", 40), (0, "000--", 30), (0, "001--", 30)]

@@ -28,16 +28,25 @@ BASE = 4
 CONTEXT = 40  # characters before a span that cue words are looked for in
 
 #: The base patterns. Repetitions are possessive where nothing that follows could match less.
-EMAIL = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
-IP = r"[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
+# A run of letters or digits is tried once, from its start or from where the match before ended: a later start in it would
+# fail or succeed alike.
+EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
+IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 # Runs of 12 to 19 digits; a run is the longest stretch of digits with single separators.
 CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){11,18}+(?![\x20-]?[0-9])"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
 # Wider proposals: (kind, cheap test, pattern).
-EMAIL_SPELT = r"(?i)\b[a-z0-9._%+-]{1,64}+\s?[\[({]\s?at\s?[\])}]\s?[a-z0-9-]{1,64}+(?:\s?(?:[\[({]\s?dot\s?[\])}]|\.)\s?[a-z0-9-]{1,64}+){1,5}+"
+EMAIL_SPELT = (
+    r"(?i)(?:\G|(?<![a-z0-9._%+-]))[a-z0-9._%+-]++\s?[\[({]\s?at\s?[\])}]\s?[a-z0-9-]++"
+    r"(?:\s?(?:[\[({]\s?dot\s?[\])}]|\.)\s?[a-z0-9-]++)++"
+)
 PHONE_LOOSE = r"(?<![0-9.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9-])"
-SECRET = r"(?i)\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?[a-z0-9+/_.-]{6,}+[\"']?"
+# A value goes to the next white space, or to the closing quote if one opens it, whatever is inside.
+SECRET = (
+    r"(?i)\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}"
+    r"(?:\"[^\s\"]{6,}+\"?+|'[^\s']{6,}+'?+|[^\s\"']\S{5,}+)"
+)
 KEY = r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 
@@ -56,6 +65,38 @@ CUES = {
 UNLIKELY = r"(?i)(?:version|\bv|release|isbn|issn|order|invoice|page|section|chapter|part|sku|\bno|#|\$|€)[.:]?\s?$"
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is worked out once however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+BLOCK = 256
+
+
+def scanned(items: Column, zero: Column, empty: Column, step) -> Column:
+    """What ``step(state, item)`` gives out for each item, where it returns the next state and that.
+
+    Results are gathered in blocks and the blocks put together, so that time is not quadratic in the items.
+    """
+
+    def inner(state: Column, block: Column) -> Column:
+        def one(held: Column, item: Column) -> Column:
+            following, out = step(held["state"], item)
+            return F.struct(following.alias("state"), F.concat(held["out"], F.array(out)).alias("out"))
+
+        return F.aggregate(block, F.struct(state.alias("state"), empty.alias("out")), one)
+
+    def outer(held: Column, block: Column) -> Column:
+        return let(inner(held["state"], block), lambda done: F.struct(done["state"].alias("state"), F.concat(held["outs"], F.array(done["out"])).alias("outs")))
+
+    def whole(all_: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(1), F.size(all_), F.lit(BLOCK)), lambda at: F.slice(all_, at, BLOCK))
+        start = F.struct(zero.alias("state"), F.slice(F.array(empty), 1, 0).alias("outs"))
+        return F.when(F.size(all_) > 0, F.flatten(F.aggregate(blocks, start, outer, lambda held: held["outs"]))).otherwise(empty)
+
+    return let(items, whole)
+
+
 def _found(text: Column, kind: str, pattern: str, test: Column, base: bool) -> Column:
     """Every match from left to right with its place, as structs; texts that fail the cheap ``test`` are not scanned."""
     whole = r"(?s)\G(.*?)(" + pattern + ")"
@@ -63,8 +104,8 @@ def _found(text: Column, kind: str, pattern: str, test: Column, base: bool) -> C
     pairs = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"))
     empty = F.array().cast(_SPANS)
 
-    def step(state: Column, pair: Column) -> Column:
-        start = state["at"] + F.length(pair["gap"])
+    def step(at: Column, pair: Column) -> tuple[Column, Column]:
+        start = at + F.length(pair["gap"])
         end = start + F.length(pair["hit"])
         span = F.struct(
             start.alias("start"),
@@ -74,10 +115,9 @@ def _found(text: Column, kind: str, pattern: str, test: Column, base: bool) -> C
             pair["hit"].alias("hit"),
             F.right(pair["gap"], F.lit(CONTEXT)).alias("before"),
         )
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).cast(_SPANS).alias("spans"))
+        return end, span
 
-    walked = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("spans")), step, lambda s: s["spans"])
-    return F.when(test, walked).otherwise(empty)
+    return F.when(test, scanned(pairs, F.lit(0), empty, step)).otherwise(empty)
 
 
 _SPANS = "array<struct<start:int,kind:int,end:int,base:boolean,hit:string,before:string>>"
@@ -279,15 +319,32 @@ def classifier(cells: list[tuple[int, str, float, float]], rounds: int = 400, ri
     return kinds, weights
 
 
+def untouched(base: Column, wide: Column) -> Column:
+    """The proposals that touch no base span, and all secrets: a secret is one value whatever is inside it, so digits of
+    a token that look like a card do not save the rest."""
+    empty = F.array().cast(_SPANS)
+
+    def free(from_start: bool):
+        # Base spans met so far reach up to ``edge`` (or, from the end, down to it).
+        def step(edge: Column, s: Column) -> tuple[Column, Column]:
+            touches = s["start"] < edge if from_start else s["end"] > edge
+            reach = F.greatest(edge, s["end"]) if from_start else F.least(edge, s["start"])
+            return F.when(s["base"], reach).otherwise(edge), F.when(s["base"] | _kind_is(s, "secret") | ~touches, s)
+
+        return step
+
+    left = scanned(F.array_sort(F.concat(base, wide)), F.lit(-1), empty, free(True))
+    both = scanned(F.reverse(F.filter(left, lambda s: s.isNotNull())), F.lit(2**31 - 1), empty, free(False))
+    kept = F.filter(both, lambda s: s.isNotNull() & ~s["base"])
+    return F.when((F.size(base) > 0) & (F.size(wide) > 0), F.reverse(kept)).otherwise(wide)
+
+
 def personal_data(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id``, the columns of ``keep``, ``base`` and ``spans`` (base and accepted): arrays of (start, kind, end), sorted."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     base, wide = spans_of(F.col("body"))
     rows = docs.select("doc_id", *keep, text.alias("body")).select("doc_id", *keep, base.alias("base"), wide.alias("wide"))
-    # A secret is one value whatever is inside it: digits of a token that look like a card do not save the rest.
-    touched = lambda w: F.exists("base", lambda b: (w["start"] < b["end"]) & (b["start"] < w["end"]))
-    apart = F.filter("wide", lambda w: _kind_is(w, "secret") | ~touched(w))
-    rows = rows.select("doc_id", *keep, _voted(F.col("base")).alias("base"), _voted(apart).alias("wide"))
+    rows = rows.select("doc_id", *keep, _voted(F.col("base")).alias("base"), _voted(untouched(F.col("base"), F.col("wide"))).alias("wide"))
     rows = stored(rows, "personal-spans")
 
     counts = rows.select(F.explode(F.concat("base", "wide")).alias("s")).groupBy("s.kind", "s.votes", "s.features").agg(F.count("*").alias("n")).collect()
@@ -309,7 +366,7 @@ def personal_data(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         "doc_id",
         *keep,
         F.array_sort(F.transform("base", place)).alias("base"),
-        F.array_sort(F.array_distinct(F.transform(F.concat("base", added), place))).alias("spans"),
+        let(F.array_sort(F.transform(F.concat("base", added), place)), lambda all_: F.filter(all_, lambda s, i: (i == 0) | (s != F.get(all_, F.greatest(i - 1, F.lit(0)))))).alias("spans"),
     )
 
 
@@ -322,14 +379,23 @@ def written_spans(spans: str) -> Column:
 def redacted(text: Column, spans: str) -> Column:
     """``text`` with every span replaced by its kind in brackets; overlapping spans become one, under the first's kind."""
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-
-    def step(state: Column, s: Column) -> Column:
-        gap = F.substring(text, state["at"] + 1, F.greatest(s["start"] - state["at"], F.lit(0)))
-        mark = F.when(s["start"] >= state["at"], F.concat(gap, F.element_at(names, s["kind"] + 1))).otherwise(F.lit(""))
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.concat(state["out"], mark).alias("out"))
-
-    done = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step)
-    return F.when(F.size(spans) > 0, F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))).otherwise(text)
+    pieces = "array<struct<start:int,stop:int,mark:string>>"
+
+    def step(at: Column, s: Column) -> tuple[Column, Column]:
+        # What stands before the span, and its mark; a span that overlaps the one before only moves the end.
+        mark = F.when(s["start"] >= at, F.element_at(names, s["kind"] + 1)).otherwise(F.lit(""))
+        piece = F.struct(at.alias("start"), F.greatest(at, s["start"]).alias("stop"), mark.alias("mark"))
+        return F.greatest(at, s["end"]), piece
+
+    def joined(chars: Column) -> Column:
+        part = lambda p: F.concat(F.array_join(F.slice(chars, p["start"] + 1, p["stop"] - p["start"]), ""), p["mark"])
+        end = F.aggregate(spans, F.lit(0), lambda at, s: F.greatest(at, s["end"]))
+        tail = F.struct(end.alias("start"), F.size(chars).alias("stop"), F.lit("").alias("mark"))
+        cut = scanned(F.col(spans), F.lit(0), F.array().cast(pieces), step)
+        return F.array_join(F.transform(F.concat(cut, F.array(tail)), part), "")
+
+    # The text is taken apart once; a substring of it would be counted off from its start each time.
+    return F.when(F.size(spans) > 0, let(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)), joined)).otherwise(text)
 
 
 def op7_privacy(spark, sf_dir: str) -> DataFrame:
