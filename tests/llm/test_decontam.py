@@ -28,6 +28,29 @@ def test_against_brute_force(spark, broadcast_windows):
     assert run(spark, cases.frame(spark), benchmark, broadcast_windows=broadcast_windows) == cases.contaminated(TEXT, items())
 
 
+def test_many_copies_cost_about_one(spark):
+    import time
+
+    w = [f"v{i}" for i in range(200)]
+    benchmark = spark.createDataFrame([(i, " ".join(w[i : i + 60])) for i in range(0, 140, 7)], "item_id long, text string")
+    one = cases.frame(spark, [(1, " ".join(w), "en", "s", 0)])
+    run(spark, one, benchmark)
+    start = time.perf_counter()
+    (row,) = run(spark, one, benchmark)
+    single = time.perf_counter() - start
+    start = time.perf_counter()
+    found = decontam.contamination(one.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(10_000)))).repartition(4), benchmark)
+    ids = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    got = found.groupBy("doc_id", "n_words", "n_hit", F.size("items").cast("long"), F.sha2(ids.cast("binary"), 256), F.col("n_hit") > 0).count().collect()
+    assert [tuple(r) for r in got] == [(*row, 10_000)] and time.perf_counter() - start < 20 * max(single, 1)
+
+
+def test_clashing_names(spark):
+    benchmark = spark.createDataFrame(items(), "item_id long, text string")
+    docs = cases.frame(spark).withColumns({c: F.lit("x") for c in ("hit_id", "hit_version", "own_id", "copies")})
+    assert decontam.without_contaminated(docs, benchmark).count() == decontam.without_contaminated(cases.frame(spark), benchmark).count()
+
+
 def test_empty_tables(spark):
     nothing = spark.createDataFrame([], "item_id long, text string")
     assert run(spark, cases.frame(spark), nothing) == cases.contaminated(TEXT, [])

@@ -89,33 +89,41 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
     hashed = rows.select("doc_id", "version", F.transform(split_words(F.col("text")), lambda w: F.xxhash64(lowered(w))).alias("hashes"))
     grams = F.transform(F.when(F.size("hashes") >= window, _until(F.size("hashes") - gram)).otherwise(_until(F.lit(-1))), lambda i: _run_hash(F.col("hashes"), i, gram))
     placed = hashed.withColumn("grams", grams).withColumn("kept", F.array_distinct(_kept(F.col("hashes"), F.col("grams"), window, gram)))
-    found = F.transform("kept", lambda p: F.struct(p.alias("at"), F.get("grams", p).alias("fp")))
+    none = F.lit(None).cast("long").alias("n")
+    found = F.transform("kept", lambda p: F.struct(p.alias("at"), F.get("grams", p).alias("fp"), none))
     for size in short:
-        found = F.concat(found, F.transform(_until(F.size("hashes") - size), lambda p: F.struct(p.alias("at"), _run_hash(F.col("hashes"), p, size).alias("fp"))))
-    # One row at place -1 carries the number of words, so that texts are split once unless they have hits.
-    count = F.array(F.struct(F.lit(-1).alias("at"), F.size("hashes").cast("long").alias("fp")))
-    exploded = placed.select("doc_id", "version", F.explode(F.concat(count, found)).alias("x")).select("doc_id", "version", "x.at", "x.fp")
+        found = F.concat(found, F.transform(_until(F.size("hashes") - size), lambda p: F.struct(p.alias("at"), _run_hash(F.col("hashes"), p, size).alias("fp"), none)))
+    # One row at place -1 carries the number of words, so that texts are split once unless they have hits. Its
+    # fingerprint means nothing; it spreads such rows where the join is by a shuffle.
+    spread = F.xxhash64("doc_id", "version", F.spark_partition_id())
+    count = F.array(F.struct(F.lit(-1).alias("at"), spread.alias("fp"), F.size("hashes").cast("long").alias("n")))
+    exploded = placed.select("doc_id", "version", F.explode(F.concat(count, found)).alias("x")).select("doc_id", "version", "x.at", "x.fp", "x.n")
     hit = exploded.join(probes, "fp", "left").where("at = -1 or windows is not null")
     starts = F.when(
         F.col("at") >= 0,
         F.transform("windows", lambda w: F.struct((F.col("at") - w["ahead"]).alias("start"), w["size"].alias("size"), w["words"].alias("words"), w["items"].alias("items"))),
     )
+    # Rows that repeat id and text are one from here on, whatever their number: their hits are a set, combined in the tasks first.
     by_row = stored(
         hit.withColumn("starts", starts)
         .groupBy("doc_id", "version")
-        .agg(F.sum(F.when(F.col("at") == -1, 1)).alias("copies"), F.max(F.when(F.col("at") == -1, F.col("fp"))).alias("n_words"), F.flatten(F.collect_list("starts")).alias("starts")),
+        .agg(F.sum(F.when(F.col("at") == -1, 1)).alias("copies"), F.max("n").alias("n_words"), F.flatten(F.collect_set("starts")).alias("starts")),
         "winnow-hits",
     )
 
-    # Extend: the candidate's words against the document's, at that place.
-    texts = rows.select(F.col("doc_id").alias("d"), F.col("version").alias("v"), "text")
-    near = by_row.where(F.size("starts") > 0).join(texts, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("version") == F.col("v")))
+    # Extend: the candidate's words against the document's, at that place; one text for all its copies.
+    match = lambda x: F.col("doc_id").eqNullSafe(F.col(f"{x}_id")) & (F.col("version") == F.col(f"{x}_version"))
+    under = lambda df, x, *more: df.select(F.col("doc_id").alias(f"{x}_id"), F.col("version").alias(f"{x}_version"), *more)
+    hits = by_row.where(F.size("starts") > 0)
+    texts = rows.join(under(hits, "hit"), match("hit"), "left_semi").groupBy("doc_id", "version").agg(F.first("text").alias("text"))
+    near = hits.join(under(texts, "own", "text"), match("own"))
     words = F.transform(split_words(F.col("text")), lowered)
     same = F.filter("starts", lambda s: (s["start"] >= 0) & (F.slice(F.col("words"), F.greatest(s["start"], F.lit(0)) + 1, s["size"]) == s["words"]))
-    checked = near.withColumn("words", words).select("doc_id", "version", "n_words", same.alias("hits"))
+    checked = near.withColumn("words", words).select("doc_id", "version", "copies", "n_words", same.alias("hits"))
     checked = checked.select(
         "doc_id",
         "version",
+        "copies",
         "n_words",
         F.size(F.array_distinct(F.flatten(F.transform("hits", lambda s: F.sequence(s["start"], s["start"] + s["size"] - 1))))).cast("long").alias("n_hit"),
         F.array_distinct(F.flatten(F.transform("hits", lambda s: s["items"]))).alias("items"),
@@ -123,15 +131,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
     )
     item, span = checked.schema["items"].dataType, checked.schema["spans"].dataType
     clean = by_row.where(F.size("starts") == 0).select(
-        "doc_id", "version", "n_words", F.lit(0).cast("long").alias("n_hit"), F.array().cast(item).alias("items"), F.array().cast(span).alias("spans"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")
+        "doc_id", "version", "copies", "n_words", F.lit(0).cast("long").alias("n_hit"), F.array().cast(item).alias("items"), F.array().cast(span).alias("spans")
     )
-    return checked.unionByName(clean.drop("copy"))
+    both = checked.unionByName(clean)
+    return both.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")).drop("copies", "copy")
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that hold a window of the benchmark."""
-    hit = contamination(docs, benchmark).where("n_hit > 0").select(F.col("doc_id").alias("hit_id"), F.col("version").alias("hit_version")).distinct()
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("hit_version")), "left_anti")
+    hit = contamination(docs, benchmark).where("n_hit > 0").select("doc_id", "version").distinct().alias("hit")
+    own = docs.alias("own")  # further columns may have any name
+    same = F.col("own.doc_id").eqNullSafe(F.col("hit.doc_id")) & (F.xxhash64(F.col("own.text").cast("string")) == F.col("hit.version"))
+    return own.join(hit, same, "left_anti")
 
 
 def op2_decontam(spark, sf_dir: str) -> DataFrame:
