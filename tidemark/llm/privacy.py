@@ -71,6 +71,7 @@ def let(value: Column, body) -> Column:
 
 
 BLOCK = 256
+FEW = 16  # spans of a text whose pieces are taken as substrings
 
 
 def scanned(items: Column, zero: Column, empty: Column, step) -> Column:
@@ -388,14 +389,19 @@ def redacted(text: Column, spans: str) -> Column:
         return F.greatest(at, s["end"]), piece
 
     def joined(chars: Column) -> Column:
-        part = lambda p: F.concat(F.array_join(F.slice(chars, p["start"] + 1, p["stop"] - p["start"]), ""), p["mark"])
+        def part(p: Column) -> Column:
+            at, size = p["start"] + 1, p["stop"] - p["start"]
+            return F.concat(F.when(few, F.substring(text, at, size)).otherwise(F.array_join(F.slice(chars, at, size), "")), p["mark"])
+
         end = F.aggregate(spans, F.lit(0), lambda at, s: F.greatest(at, s["end"]))
-        tail = F.struct(end.alias("start"), F.size(chars).alias("stop"), F.lit("").alias("mark"))
+        tail = F.struct(end.alias("start"), F.length(text).alias("stop"), F.lit("").alias("mark"))
         cut = scanned(F.col(spans), F.lit(0), F.array().cast(pieces), step)
         return F.array_join(F.transform(F.concat(cut, F.array(tail)), part), "")
 
-    # The text is taken apart once; a substring of it would be counted off from its start each time.
-    return F.when(F.size(spans) > 0, let(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)), joined)).otherwise(text)
+    # A substring is counted off from the start of the text; with many spans the text is taken apart once instead.
+    few = F.size(spans) <= FEW
+    chars = F.when(few, F.array().cast("array<string>")).otherwise(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)))
+    return F.when(F.size(spans) > 0, let(chars, joined)).otherwise(text)
 
 
 def op7_privacy(spark, sf_dir: str) -> DataFrame:
