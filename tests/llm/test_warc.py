@@ -60,3 +60,28 @@ def test_damage_is_noticed(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     manifest = warc.write_archives(spark.createDataFrame([], "page_id long, url string, html string"), f"file://{tmp_path}/e")
     assert manifest.count() == 0 and warc.read_archives(manifest, f"file://{tmp_path}/e").count() == 0
+
+
+@pytest.mark.parametrize("far", [True, False])
+def test_shards_are_even(spark, tmp_path, far):
+    """An id far off all others, or one id on a third of all pages, leaves shards of about the wanted size."""
+    body = "concat(repeat(hex(id), 100), '')"
+    df = spark.range(20_000).selectExpr("id as page_id", "'u' as url", f"{body} as html")
+    if far:
+        df = df.unionByName(spark.range(1).selectExpr("1000000000000000L as page_id", "'u' as url", "'x' as html"))
+        df = df.unionByName(spark.range(1).selectExpr("-9223372036854775808L as page_id", "'u' as url", "'x' as html"))
+    else:
+        df = df.selectExpr("if(page_id % 3 = 0, 77L, page_id) as page_id", "url", "html")
+    root = f"file://{tmp_path}/s"
+    manifest = warc.write_archives(df, root, 1 << 20, 1 << 30)
+    back = warc.read_archives(manifest, root).collect()
+    assert sorted((r.page_id, r.payload_bytes) for r in back) == sorted(tuple(r) for r in df.selectExpr("page_id", "length(html)").collect())
+    sizes = {}
+    for r in back:
+        sizes[r.file] = sizes.get(r.file, 0) + r.payload_bytes + 600
+    whole = sum(sizes.values())
+    assert abs(len(sizes) - whole / (1 << 20)) <= 1.5 and max(sizes.values()) <= 1.2 * (1 << 20)
+    assert sorted(sizes.values())[1] >= 0.8 * (1 << 20)  # all but the last
+    order = sorted(sizes)
+    for one, two in zip(order, order[1:]):
+        assert max(r.page_id for r in back if r.file == one) <= min(r.page_id for r in back if r.file == two)

@@ -1,7 +1,8 @@
 """A deterministic sharded WARC writer, and a reader that checks what it reads.
 
-Pages are dealt into shards by ranges of their id, whose bounds come from exact byte counts over bins of ids, and are
-sorted inside. Each shard is written as gzip members to files that roll at a compressed size. A file is written under
+Pages are dealt into shards of even size by ranges of their id, and of a hash of the payload where one id has more pages
+than a shard holds. The bounds come from exact byte counts of ranges that are split where they reach over the end of a shard;
+pages are sorted inside a shard. Each shard is written as gzip members to files that roll at a compressed size. A file is written under
 a temporary name, moved to its final name when it is whole, and listed in a manifest which is committed last; readers
 open nothing but what the manifest lists. Names, headers, dates and digests depend on the pages alone, so a repeated
 task writes the same bytes again.
@@ -12,7 +13,7 @@ are shuffled once, and equal payloads meet only as digests.
 
 Defined results: null html is an empty payload; a null url becomes ``urn:page:<id>``; pages with a null id come first,
 are always responses, and are read back with a null id; of rows that repeat an id and a payload of that size the first
-is the response and the others revisit it; extra columns are ignored; an empty table writes an empty manifest.
+is the response and the others revisit it, for which all rows of one id and payload share a shard; extra columns are ignored; an empty table writes an empty manifest.
 """
 
 from __future__ import annotations
@@ -25,11 +26,13 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidemark.llm.common import new_path, table
+from tidemark.llm.common import new_path, stored, table
 
-SHARD_BYTES = 32 << 20  # of payload
+SHARD_BYTES = 32 << 20  # of payload; larger where there would be more than MAX_SHARDS
+MAX_SHARDS = 10_000
+BITS = 6  # of a place, by which a range of places is split at a time
 ROLL_BYTES = 16 << 20  # of a compressed file
 READERS = 10_000  # tasks that read archives at most
 REVISIT_BYTES = 100
@@ -117,40 +120,97 @@ def _manifest_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], names=names)
 
 
-def _sharded(pages: DataFrame, shard_bytes: int) -> tuple[DataFrame, int]:
-    """``pages`` with a column ``shard``: consecutive ranges of ids holding about ``shard_bytes`` of payload each."""
-    size = F.sum(F.col("payload_bytes") + 600).alias("size")
-    whole = pages.agg(F.min("page_id").alias("lo"), F.max("page_id").alias("hi"), size).first()
+def _split(rows: DataFrame, shard_bytes: int) -> tuple[int, list[DataFrame]]:
+    """How the shard of a row follows from its place: the number of shards, and a table for each level of the search.
+
+    ``rows (place_id, place_sub, size)`` are ordered by the two places. A node is a range of places with the same leading bits. While
+    it reaches over the end of a shard and is not small it is split by its next differing bits, the hash of the payload
+    following the id; each round counts the bytes of the children exactly. A shard is then a range of bytes of that order. A
+    round splits one node for each end of a shard at most, so a level has no more than 2^BITS times MAX_SHARDS rows.
+    """
+    whole = rows.agg(F.min("place_id").alias("lo"), F.max("place_id").alias("hi"), F.min("place_sub").alias("lo_sub"), F.max("place_sub").alias("hi_sub"), F.sum("size").alias("size")).first()
     if whole.lo is None or whole.size <= shard_bytes:
-        return pages.withColumn("shard", F.lit(0).cast("long")), 1
-    # Bins far finer than shards; their number follows the number of shards, and one number for each reaches the driver.
-    width = max(1, (whole.hi - whole.lo + 1) // (16 * (whole.size // shard_bytes + 1)))
-    bin_of = F.coalesce(F.floor((F.col("page_id") - F.lit(whole.lo)) / F.lit(width)).cast("long"), F.lit(-1).cast("long"))
-    shard_of, shard, filled = [], 0, 0
-    for r in sorted(pages.groupBy(bin_of.alias("bin")).agg(size).collect()):
-        if filled and filled + r.size > shard_bytes:
-            shard, filled = shard + 1, 0
-        shard_of.append((r.bin, shard))
-        filled += r.size
-    bounds = pages.sparkSession.createDataFrame(shard_of, "bin long, shard long")
-    return pages.withColumn("bin", bin_of).join(F.broadcast(bounds) if len(shard_of) < 100_000 else bounds, "bin").drop("bin"), shard + 1
+        return 1, []
+    shard_bytes = max(shard_bytes, whole.size // MAX_SHARDS)
+    by_id = whole.lo != whole.hi
+    ends = (whole.lo, whole.hi) if by_id else (whole.lo_sub, whole.hi_sub)
+    root = rows.sparkSession.createDataFrame([(0, int(not by_id), max(((ends[0] ^ ends[1]) & (1 << 64) - 1).bit_length() - BITS, 0))], "base long, word int, shift int")
+    levels = [root]
+    shard = lambda x: F.floor(x / F.lit(shard_bytes)).cast("long")
+    shift = lambda lo, hi: F.greatest(F.length(F.bin(F.col(lo).bitwiseXOR(F.col(hi)))) - BITS, F.lit(0)).cast("int")
+    while True:
+        kids = _descend(rows, levels).where("shard is null").groupBy("base", *_NODE).agg(
+            F.min("place_id").alias("lo"), F.max("place_id").alias("hi"), F.min("place_sub").alias("lo_sub"), F.max("place_sub").alias("hi_sub"), F.sum("size").alias("size")
+        )
+        siblings = Window.partitionBy("base").orderBy("prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        kids = kids.withColumn("before", F.col("base") + F.sum("size").over(siblings) - F.col("size"))
+        crosses = shard(F.col("before")) != shard(F.col("before") + F.col("size") - 1)
+        done = ~crosses | (F.col("size") * 16 <= shard_bytes) | ((F.col("lo") == F.col("hi")) & (F.col("lo_sub") == F.col("hi_sub")))
+        kids = kids.select(
+            *_NODE,
+            F.when(done, shard(F.col("before"))).alias("found"),
+            F.when(~done, F.col("before")).alias("next_base"),
+            F.when(~done, (F.col("lo") == F.col("hi")).cast("int")).alias("next_word"),
+            F.when(~done, F.when(F.col("lo") == F.col("hi"), shift("lo_sub", "hi_sub")).otherwise(shift("lo", "hi"))).alias("next_shift"),
+        )
+        levels.append(stored(kids, "warc-level"))
+        if levels[-1].where("found is null").isEmpty():
+            return whole.size // shard_bytes + 1, levels
+
+
+_NODE = ["word", "shift", "of", "prefix"]
+
+
+def _descend(rows: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """``rows`` with the ``shard`` found at one of the levels, or with the node (``base``, ``word``, ``shift``, ``of``, ``prefix``) that is still to be split."""
+    start = levels[0].first()
+    state = {"base": F.lit(start.base).cast("long"), "word": F.lit(start.word), "shift": F.lit(start.shift), "shard": F.lit(None).cast("long")}
+    out = rows.withColumns(state)
+    # The sign bit is turned so that the order of signed places is that of their bits. A node of payloads belongs to one id.
+    node = {
+        "of": F.when(F.col("word") == 1, F.col("place_id")).otherwise(F.lit(0).cast("long")),
+        "prefix": F.expr(f"shiftrightunsigned((CASE WHEN word = 1 THEN place_sub ELSE place_id END) ^ {_SIGN}, shift)"),
+    }
+    for level in levels[1:]:
+        out = out.withColumns(node).join(F.broadcast(level), _NODE, "left").withColumn("shard", F.coalesce("shard", "found"))
+        out = out.drop("base", *_NODE, "found").withColumnsRenamed({"next_base": "base", "next_word": "word", "next_shift": "shift"})
+    return out.withColumns(node)
+
+
+_SIGN = "shiftleft(1L, 63)"
+
+
+def _sharded(rows: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """``rows (place_id, place_sub, ...)`` with their ``shard`` in place of the places."""
+    if not levels:
+        return rows.withColumn("shard", F.lit(0).cast("long")).drop("place_id", "place_sub")
+    return _descend(rows, levels).drop("place_id", "place_sub", "base", *_NODE)
 
 
 def write_archives(pages: DataFrame, root: str, shard_bytes: int = SHARD_BYTES, roll_bytes: int = ROLL_BYTES, revisit_bytes: int = REVISIT_BYTES, date: str = DATE) -> DataFrame:
     """Write ``pages (page_id, url, html)`` below ``root`` and return the committed manifest."""
     spark = pages.sparkSession
     payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("html"), F.octet_length(payload).cast("long").alias("payload_bytes"))
-    digests = rows.where(F.col("payload_bytes") >= revisit_bytes).select("page_id", F.sha2(F.col("html").cast("binary"), 256).alias("digest"))
-    firsts = digests.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1 and refers_to is not null")
-    later = digests.join(firsts, "digest").where("page_id is not null").select("page_id", "digest", "refers_to").distinct()
-
-    shards, count = _sharded(rows, shard_bytes)
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("html"))
+    place_id = F.coalesce(F.col("page_id"), F.lit(-(1 << 63))).alias("place_id")
+    # One pass over the payloads tells sizes and digests; all that follows, but for the writing, reads this table.
+    known = stored(
+        rows.select("page_id", place_id, F.xxhash64("html").alias("place_sub"), (F.octet_length("html") + F.lit(600)).cast("long").alias("size"), F.unhex(F.sha2(F.col("html").cast("binary"), 256)).alias("digest")),
+        "warc-known",
+    )
+    digests = known.where(F.col("size") >= revisit_bytes + 600)
+    firsts = digests.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1 and refers_to is not null").drop("n")
+    later = digests.join(firsts, "digest").where("page_id is not null").select("page_id", "place_id", "place_sub", F.lower(F.hex("digest")).alias("digest"), "refers_to").distinct()
+
+    count, levels = _split(known.select("place_id", "place_sub", "size"), shard_bytes)
     # The small rows need no bytes of their own: their shard is that of the page, found the same way.
-    notes = _same_shards(shards, later)
-    stream = shards.select("shard", "page_id", F.lit(1).alias("kind"), "url", "html", F.lit(None).cast("string").alias("digest"), F.lit(None).cast("long").alias("refers_to"))
-    stream = stream.unionByName(notes.select("shard", "page_id", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"), "digest", "refers_to"))
-    dealt = stream.repartition(count, "shard").sortWithinPartitions(F.col("shard"), F.col("page_id").asc_nulls_first(), "kind", "url", "html")
+    none = lambda kind: F.lit(None).cast(kind)
+    stream = _sharded(rows.select("*", place_id, F.xxhash64("html").alias("place_sub")), levels).select(
+        "shard", "page_id", F.lit(1).alias("kind"), "url", "html", none("string").alias("digest"), none("long").alias("refers_to")
+    )
+    notes = _sharded(later, levels).select("shard", "page_id", F.lit(0).alias("kind"), none("string").alias("url"), none("string").alias("html"), "digest", "refers_to")
+    dealt = stream.unionByName(notes).repartitionById(count, F.col("shard").cast("int"))
+    dealt = dealt.sortWithinPartitions(F.col("shard"), F.col("page_id").asc_nulls_first(), "kind", "url", "html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, known, at = _Files(root, roll_bytes, date), {}, object()
@@ -181,10 +241,6 @@ def write_archives(pages: DataFrame, root: str, shard_bytes: int = SHARD_BYTES,
     return spark.read.schema(_MANIFEST).parquet(f"{root}/manifest")
 
 
-def _same_shards(shards: DataFrame, notes: DataFrame) -> DataFrame:
-    return notes.join(shards.select("page_id", "shard").distinct(), "page_id")
-
-
 def _make(root: str) -> None:
     from pyarrow import fs
 
