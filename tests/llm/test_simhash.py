@@ -71,3 +71,10 @@ def test_one_document_of_each_group_stays(spark):
 
 def test_empty_table(spark):
     assert simhash.near_duplicates(cases.frame(spark, [])).count() == 0
+
+
+def test_kept_documents_carry_any_columns(spark):
+    """Columns named like the operator's own come back as they were."""
+    df = spark.createDataFrame([(1, "a b c d", 7, "x"), (2, "a b c d", 8, "y"), (3, None, 9, "z")], "doc_id long, text string, kept_key int, kept_place string")
+    got = simhash.without_duplicates(df)
+    assert got.columns == df.columns and sorted(map(tuple, got.collect())) == [(1, "a b c d", 7, "x"), (3, None, 9, "z")]

@@ -281,10 +281,11 @@ def without_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 3)
     found = near_duplicates(docs, shingle, max_distance, keyed=True)
     best = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key")).alias("best")
     kept = found.groupBy("component").agg(best).select(F.col("best.key").alias("kept_key"))
-    rows = docs.withColumn("kept_key", row_key()).join(kept, "kept_key", "left_semi")
+    # The document's own columns may have any name, so they travel as one.
+    rows = docs.select(row_key().alias("kept_key"), F.struct("*").alias("own")).join(kept, "kept_key", "left_semi")
     # Of rows that agree in id and text one is enough; the join has already brought them together.
     first = rows.withColumn("kept_place", F.row_number().over(Window.partitionBy("kept_key").orderBy(F.lit(0))))
-    return first.where("kept_place = 1").drop("kept_key", "kept_place")
+    return first.where("kept_place = 1").select("own.*")
 
 
 def op6_simhash(spark, sf_dir: str) -> DataFrame:
