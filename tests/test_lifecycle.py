@@ -43,7 +43,7 @@ def small_forest():
     return models.random_forest(**params), params
 
 
-def test_life_of_a_model(spark, tmp_path):
+def test_life_of_a_model(spark, tmp_path, monkeypatch):
     ws = Workspace(str(tmp_path / "ws"))
     months = [(2009, 12)] + [(2010, m) for m in range(1, 10)]
     for y, m in months:
@@ -92,7 +92,14 @@ def test_life_of_a_model(spark, tmp_path):
     assert roles == {("official", "v2"), ("shadow", "v1")}
 
     assert ingest_batch(spark, ws, path(2010, 8), "2010-09-01")
+    # An evaluation that fails after some of its tables were written is made whole by the next one.
+    with monkeypatch.context() as broken:
+        broken.setattr(history, "append_history", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            resolve_matured(spark, ws, "2010-09-01", PLAN)
     both = resolve_matured(spark, ws, "2010-09-01", PLAN).collect()
+    tables = ws.table(spark, "calibration").groupBy("snapshot_date", "prediction_role").agg(F.count("*").alias("n"), F.countDistinct("risk_decile").alias("bins"))
+    assert {str(r.snapshot_date) for r in tables.collect()} == {"2010-07-01", "2010-08-01"} and all(r.n == r.bins for r in tables.collect())
     assert {r.prediction_role for r in both} == {"official", "shadow"}
     compared = ws.table(spark, "shadow_comparison").collect()
     assert [(r.official_model_version, r.shadow_model_version) for r in compared] == [("v2", "v1")]

@@ -11,8 +11,9 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import risk_tier
-from tidemark.operators import calibration, delayed, drift, governance, labels, lineage, metrics, quality, scoring
+from tidemark.operators import calibration, delayed, drift, governance, labels, lineage, metrics, ordering, quality, scoring
 from tidemark.params import LABEL, GuardrailPolicy, SnapshotPlan
+from tidemark.plans import alerts
 
 
 def psi_reference(base, cur, bins=10):
@@ -81,13 +82,14 @@ def test_delayed_metrics_golden(spark):
     assert got.mean_churn_probability == pytest.approx(0.54)
 
 
-@pytest.mark.parametrize("ids", ["dense", "sparse", "text"])
-def test_calibration_of_tied_scores(spark, ids):
+@pytest.mark.parametrize("ids", ["dense", "sparse", "text", "prefixes"])
+def test_calibration_of_tied_scores(spark, ids, monkeypatch):
     """Few distinct scores: blocks of equal ones cross bin edges and are split by id, whatever the ids look like."""
+    monkeypatch.setattr(ordering.text_ranks, "__defaults__", (20,))
     rng = random.Random(ids)
-    name = {"dense": lambda i: i, "sparse": lambda i: i * 100_003 + 7, "text": lambda i: f"customer-{i:05d}"}[ids]
+    name = {"dense": lambda i: i, "sparse": lambda i: i * 100_003 + 7, "text": lambda i: f"customer-{i:05d}", "prefixes": lambda i: f"{('acct', 'user-of-a-shop')[i % 2]}-{i:05d}"}[ids]
     data = [(name(i), rng.choice([0.2, 0.2, 0.2, 0.7, rng.random()]), rng.randint(0, 1)) for i in range(700)]
-    df = spark.createDataFrame([("g", *x) for x in data], f"g string, CustomerID {'string' if ids == 'text' else 'long'}, churn_probability double, y int")
+    df = spark.createDataFrame([("g", *x) for x in data], f"g string, CustomerID {'string' if ids in ('text', 'prefixes') else 'long'}, churn_probability double, y int")
     got = {r.risk_decile: (r.n, r.mean_predicted_probability, r.actual_churn_rate) for r in calibration.calibration_deciles(df.repartition(5), ["g"], "y").collect()}
     ranked = sorted(data, key=lambda x: (x[1], x[0]))
     edges = np.quantile(np.arange(1, 701), np.linspace(0, 1, 11)[1:-1])
@@ -99,6 +101,30 @@ def test_calibration_of_tied_scores(spark, ids):
         assert got[b][1:] == pytest.approx(tuple(np.mean(v, axis=0)))
 
 
+def test_crowded_texts_are_split(spark):
+    """20,000 ids with two beginnings lie in many cells, and their ranks are those of one sort."""
+    name = F.when(F.col("id") % 2 == 0, F.lit("acct-")).otherwise(F.lit("user-"))
+    df = spark.range(20_000).select(F.lit("g").alias("g"), F.concat(name, F.lpad(F.col("id").cast("string"), 6, "0")).alias("c"))
+    odd = spark.createDataFrame([("g", ""), ("g", None), ("g", "a"), ("g", "acct-"), ("g", "\u00e9\U0001f600"), ("few", "x")], "g string, c string")
+    df = df.unionByName(odd)
+    crowd = ordering.text_ranks(df, ["g"], "c").groupBy("g", "depth", "cell").count().agg(F.max("count")).first()[0]
+    assert crowd <= ordering.TEXT_CELL
+    got = ordering.text_ranks(df.repartition(4), ["g"], "c", 20).collect()
+    assert len({r.cell for r in got}) > 1000
+    for g in ("g", "few"):
+        mine = sorted((r for r in got if r.g == g), key=lambda r: r.rows_below)
+        assert [r.rows_below for r in mine] == list(range(len(mine)))
+        texts = [r.c for r in mine if r.c]
+        assert texts == sorted(texts) and len(mine) - len(texts) == (2 if g == "g" else 0)
+
+
+def test_drift_of_the_last_run_counts_once(spark):
+    rows = [("2020-01-01", "run-1", "a", 0.9), ("2020-01-01", "run-2", "a", 0.1), ("2020-01-01", "run-2", "a", 0.1), ("2020-01-01", "run-2", "b", None), ("2020-02-01", None, "a", 0.3)]
+    df = spark.createDataFrame(rows, "snapshot_date string, run_id string, feature string, psi double")
+    got = alerts.latest_run(df).select("snapshot_date", "run_id", "feature", "psi").collect()
+    assert sorted(map(tuple, got), key=str) == [rows[1], rows[3], rows[4]]
+
+
 def test_single_class_has_no_ranking_metrics(spark):
     got = delayed.delayed_evaluation(cohort(spark, [(0.1, 1), (0.8, 1)])).first()
     assert got.roc_auc is None and got.pr_auc is None and got.recall == 0.5 and got.ece is not None

@@ -354,3 +354,15 @@ def test_stream_drops_copies_by_state(spark, drops, monkeypatch):
     assert {r.Invoice: r.Country for r in S.read_curated(spark, store).collect()}["201"] == "UK"
     S.compact_curated(spark, store)
     assert sum(r.tx_count for r in S.monthly_volumes(spark, store).collect()) == 6
+
+
+def test_metadata_records(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{\n "version": "v1", "threshold": 0.4, "extra": {"x": [1]},\n "test_metrics": {"roc_auc": 0.8, "recall": NaN, "other": "t"}\n}')
+    (tmp_path / "b.json").write_text('[{"version": "v2", "metrics": {}}, {"version": "v3", "snapshot_date": "2020-01-31"}]')
+    (tmp_path / "notes.txt").write_text("no JSON")
+    got = {r.version: r for r in history.read_metadata(spark, str(tmp_path), lines=False).collect()}
+    assert got["v1"].test_metrics.roc_auc == 0.8 and got["v1"].test_metrics.recall is None and got["v1"].metrics is None and got["v1"].threshold == 0.4
+    assert got["v2"].metrics.roc_auc is None and str(got["v3"].snapshot_date) == "2020-01-31" and len(got) == 3
+    (tmp_path / "c.json").write_text('{"version": ')
+    with pytest.raises(Exception):
+        history.read_metadata(spark, str(tmp_path), lines=False).collect()

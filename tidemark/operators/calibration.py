@@ -2,23 +2,13 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.operators.ordering import running_totals
+from tidemark.operators.ordering import running_totals, text_ranks
 from tidemark.session import written
 
-def id_place(df: DataFrame, column: str) -> Column:
-    """A number that grows with the id: the id itself, or for text what follows the beginning that all ids share."""
-    if df.schema[column].dataType.typeName() != "string":
-        return F.col(column).cast("double")
-    ends = df.agg(F.min(column), F.max(column)).first()
-    shared = len(os.path.commonprefix([x or "" for x in ends]))
-    rest = F.rpad(F.substring(F.col(column), shared + 1, 6).cast("binary"), 6, b"\0")
-    return F.conv(F.hex(rest), 16, 10).cast("double")
-
 
 def cut_points(bins: int) -> list[float]:
     """Inner quantile points as percentages taken back to fractions: the double values that decide on
@@ -62,8 +52,8 @@ def calibration_deciles(
 
     Customers with one probability form a block that spans a range of ranks. A block inside one bin is added whole.
     Only the blocks that cross a bin edge (at most bins - 1 per cohort) go back to their rows, which are ranked by
-    id in bands and cells of ids, so no task orders a whole block, however ids are spread and however many
-    customers share a probability. Ids are numbers or texts and unique in their cohort.
+    id in bands and cells of ids (numbers) or by the characters in which ids differ (texts), so no task orders a whole
+    block, however ids are spread and however many customers share a probability. Ids are unique in their cohort.
     """
     g = list(cohort)
     scored = written(
@@ -91,7 +81,10 @@ def calibration_deciles(
     # At most bins - 1 blocks per cohort, and cohorts follow the calendar.
     crossing = F.broadcast(r.where(F.col("first_bin") < F.col("last_bin")).select(*g, "p", F.col("rows_below").alias("block_below"), "n_all", "edges"))
     tied = scored.join(crossing.select(*g, "p"), [*g, "p"], "left_semi")
-    placed = running_totals(tied.withColumn("place", id_place(tied, "id")), [*g, "p"], ["place", "id"], ["rows", "y"])
+    if rows.schema[customer].dataType.typeName() == "string":
+        placed = text_ranks(tied, [*g, "p"], "id")
+    else:
+        placed = running_totals(tied.withColumn("place", F.col("id").cast("double")), [*g, "p"], ["place", "id"], ["rows", "y"])
     split = (
         placed.join(crossing, [*g, "p"])
         .withColumn("rank", F.col("block_below") + F.col("rows_below") + 1)

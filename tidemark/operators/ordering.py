@@ -19,6 +19,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.numeric import BAND_DENSITY, CELL_DENSITY, order_cell
+from tidemark.session import written
+
+#: Characters by which a crowded cell of texts is split at a time, rows that a cell may keep, and cells a round may broadcast.
+TEXT_STEP, TEXT_CELL, TEXT_BROADCAST = 3, 1024, 100_000
 
 
 def _upto(keys: Sequence[str], *order: str) -> Window:
@@ -76,6 +80,46 @@ def running_totals(df: DataFrame, group: Sequence[str], order: Sequence[str], me
     )
 
 
+def text_ranks(df: DataFrame, group: Sequence[str], text: str, most: int = TEXT_CELL) -> DataFrame:
+    """``df`` with ``rows_below``: the rows of the group before this one in the order of ``text``, which is unique in a group.
+
+    A cell (``depth``, ``cell``) is the rows whose first ``depth`` characters are ``cell``. One with more than ``most`` rows
+    is split by the characters that follow the beginning which all its texts share, and so on until each fits or holds
+    one text only. Counts drive the rounds: a common beginning of any length costs none, and rows that lie in
+    cells that fit take part in no further one. Only the rows of a cell are ordered together. NULL comes first.
+    """
+    g = list(group)
+    key = [*g, "depth", "cell"]
+    value = F.coalesce(F.col(text), F.lit(""))
+    rows = written(df.withColumns({"depth": F.lit(0), "cell": F.lit(""), "ahead": F.lit(0).cast("long")}), "text-rows")
+    placed = None
+    while True:
+        cells = rows.groupBy(*key, "ahead").agg(F.min(value).alias("lo"), F.max(value).alias("hi"), F.count("*").alias("size"))
+        before = F.col("ahead") + F.sum("size").over(_upto([*g, "ahead"], "cell")) - F.col("size")
+        cells = written(cells.withColumn("before", before), "text-cells")
+        done = (F.col("size") <= most) | (F.col("lo") == F.col("hi"))
+        split = cells.where(~done).select(*key, (_common("lo", "hi") + TEXT_STEP).alias("next"), "before")
+        waiting = split.count()
+        if 0 < waiting <= TEXT_BROADCAST:  # few cells may hold nearly all rows, so these stay where they are
+            split = F.broadcast(split)
+        rest = rows.join(split.select(*key), key, "left_anti") if waiting else rows
+        fit = rest.drop("ahead").join(cells.where(done).select(*key, "before"), key)
+        placed = fit if placed is None else placed.unionByName(fit)
+        if not waiting:
+            break
+        deeper = rows.drop("ahead").join(split, key).withColumn("cell", value.substr(F.lit(1), F.col("next")))
+        rows = written(deeper.drop("depth").withColumnsRenamed({"next": "depth", "before": "ahead"}), "text-rows")
+    inside = F.row_number().over(Window.partitionBy(*key).orderBy(F.col(text).asc_nulls_first()))
+    return placed.withColumn("rows_below", F.col("before") + inside - 1).drop("before")
+
+
+def _common(a: str, b: str) -> Column:
+    """Length of the beginning that two texts share."""
+    longest = F.least(F.length(a), F.length(b))
+    lengths = F.when(longest > 0, F.sequence(F.lit(1), longest)).otherwise(F.array().cast("array<int>"))
+    return F.size(F.filter(lengths, lambda n: F.col(a).substr(F.lit(1), n) == F.col(b).substr(F.lit(1), n)))
+
+
 def quantiles(df: DataFrame, group: Sequence[str], value: str, points: Sequence[float]) -> DataFrame:
     """Exact linear-interpolation quantiles: one row per group with ``n`` and an array ``q``.
 

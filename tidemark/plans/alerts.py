@@ -11,6 +11,16 @@ from tidemark.session import owns_scratch, small, written
 from tidemark.sources import history
 
 
+def latest_run(report: DataFrame) -> DataFrame:
+    """The drift rows of the last run of each date, a run's row for a feature once. Rows without a run are older ones."""
+    if "run_id" not in report.columns:
+        return report.dropDuplicates(["snapshot_date", "feature"])
+    last = F.max_by(F.struct(*[c for c in report.columns if c not in ("snapshot_date", "feature")]), F.coalesce("run_id", F.lit(""))).alias("last")
+    newest = report.groupBy("snapshot_date").agg(F.max(F.coalesce("run_id", F.lit(""))).alias("newest"))
+    of_run = report.join(F.broadcast(newest), "snapshot_date").where(F.coalesce("run_id", F.lit("")) == F.col("newest")).drop("newest")  # a row per date
+    return of_run.groupBy("snapshot_date", "feature").agg(last).select("snapshot_date", "feature", "last.*")
+
+
 @owns_scratch
 def evaluate_alerts(spark: SparkSession, ws: Workspace, reference_model: str, policy: AlertPolicy = AlertPolicy()) -> DataFrame:
     """Signals of every monitored run; alerts never stop a pipeline."""
@@ -19,6 +29,7 @@ def evaluate_alerts(spark: SparkSession, ws: Workspace, reference_model: str, po
     runs = ws.table(spark, "monitoring").groupBy("snapshot_date").agg(latest).select("snapshot_date", "run.*")
     report = ws.table(spark, "drift")
     if report is not None:
+        report = latest_run(report)
         runs = governance.behavioral_psi(runs, report, "snapshot_date")
     done = ws.table(spark, "performance")
     empty = spark.createDataFrame([], "snapshot_date date, model_lineage string, roc_auc double, recall double, brier_score double")

@@ -40,11 +40,13 @@ def resolve_matured(spark: SparkSession, ws: Workspace, current: str, plan: Snap
     metrics = delayed.delayed_evaluation(resolved)
     metrics = metrics.unionByName(delayed.unevaluable_sets(sets, metrics), allowMissingColumns=True)
     metrics = written(metrics.withColumn("evaluated_at", F.lit(current)), "metrics")
-    history.append_history(metrics, ws.path("performance"))
-    history.append_history(calibration.calibration_deciles(resolved, delayed.COHORT, LABEL), ws.path("calibration"))
+    # A set counts as evaluated once it is in ``performance``, which therefore comes last. What an attempt that failed
+    # left in the other two is replaced or not repeated.
+    history.write_calibration(calibration.calibration_deciles(resolved, delayed.COHORT, LABEL), ws.path("calibration"))
     compared = ws.table(spark, "shadow_comparison")
-    comparison = delayed.shadow_comparison(ws.table(spark, "performance"), compared)
-    history.append_history(written(comparison, "comparison"), ws.path("shadow_comparison"))
+    known = metrics if done is None else history.evolve(done, metrics)
+    history.append_history(written(delayed.shadow_comparison(known, compared), "comparison"), ws.path("shadow_comparison"))
+    history.append_history(metrics, ws.path("performance"))
     return small(metrics)
 
 

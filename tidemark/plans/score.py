@@ -76,9 +76,7 @@ def _monthly_score(spark: SparkSession, ws: Workspace, snapshot_date: str, model
     official = written(score_with(spark, ws, rows, meta, "official", run_id, plan), "official")
     history.write_predictions(official, ws.path("predictions"))
     shadow_error = _shadow(spark, ws, rows, meta, run_id, plan)
-    row = monitoring_row(spark, ws, rows, official, meta, snapshot_date).withColumn("run_id", F.lit(run_id)).withColumn(
-        "shadow_error", F.lit(shadow_error).cast("string")
-    )
+    row = monitoring_row(spark, ws, rows, official, meta, snapshot_date, run_id).withColumn("shadow_error", F.lit(shadow_error).cast("string"))
     row = written(row, "monitoring")
     history.append_history(row, ws.path("monitoring"))
     history.log_run(row.withColumn("stage", F.lit("monthly_score")), ws.path("run_log"))
@@ -98,20 +96,21 @@ def _shadow(spark, ws: Workspace, rows: DataFrame, meta, run_id: str, plan: Snap
         return str(e)
 
 
-def monitoring_row(spark, ws: Workspace, rows: DataFrame, official: DataFrame, meta, snapshot_date: str) -> DataFrame:
+def monitoring_row(spark, ws: Workspace, rows: DataFrame, official: DataFrame, meta, snapshot_date: str, run_id: str) -> DataFrame:
     """Run summary with drift against the samples saved with the model."""
     version, names = meta["version"], list(meta["feature_columns"])
     side = lambda df, s: df.withColumn("side", F.lit(s)).withColumn("pair", F.lit(0))
     base = spark.read.parquet(ws.path(f"baselines/features/{version}")).select(*names)
     report = drift.feature_drift(side(base, "baseline").unionByName(side(rows.select(*names), "current")), features=names)
     report = written(report.withColumn("model_version", F.lit(version)), "drift")
-    history.append_history(report.withColumn("snapshot_date", F.lit(snapshot_date).cast("date")), ws.path("drift"))
+    run = {"snapshot_date": F.lit(snapshot_date).cast("date"), "run_id": F.lit(run_id)}
+    history.append_history(report.withColumns(run), ws.path("drift"))
     reference = spark.read.parquet(ws.path(f"baselines/scores/{version}")).select("churn_probability")
     scores = side(reference, "baseline").unionByName(side(official.select("churn_probability"), "current"))
     psi = drift.prediction_drift(scores, ["pair"])
     # Three one-row tables.
     summary = scoring.scoring_summary(official).withColumn("pair", F.lit(0))
-    return summary.join(F.broadcast(drift.drift_rollup(report)), "pair", "left").join(F.broadcast(psi), "pair", "left").drop("pair")
+    return summary.join(F.broadcast(drift.drift_rollup(report)), "pair", "left").join(F.broadcast(psi), "pair", "left").drop("pair").withColumn("run_id", run["run_id"])
 
 
 @owns_scratch

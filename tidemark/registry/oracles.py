@@ -499,12 +499,13 @@ pf AS (SELECT *, concat_ws(',', CASE WHEN NOT x THEN 'roc_auc' END, CASE WHEN NO
     reason:s=CASE WHEN x AND y AND z THEN 'promoted' ELSE 'blocked: ' || f END""",
     "FROM pf",
 )
-add(
-    "reference_metrics", PAIRED + ", pe AS (SELECT *, year(snapshot_date) % 2 = 0 AS ev FROM pa)",
-    """snapshot_date:d; reference_source:s=CASE WHEN ev THEN 'test_metrics' ELSE 'metrics' END; reference_roc_auc:f=CASE WHEN ev THEN a1 ELSE s1 END;
-    reference_recall:f=CASE WHEN ev THEN a3 ELSE s3 END; reference_brier_score:f=CASE WHEN ev THEN a4 ELSE s4 END""",
-    "FROM pe",
-)
+for _name in ("reference_metrics", "stored_metrics"):
+    add(
+        _name, PAIRED + ", pe AS (SELECT *, year(snapshot_date) % 2 = 0 AS ev FROM pa)",
+        """snapshot_date:d; reference_source:s=CASE WHEN ev THEN 'test_metrics' ELSE 'metrics' END; reference_roc_auc:f=CASE WHEN ev THEN a1 ELSE s1 END;
+        reference_recall:f=CASE WHEN ev THEN a3 ELSE s3 END; reference_brier_score:f=CASE WHEN ev THEN a4 ELSE s4 END""",
+        "FROM pe",
+    )
 SIG = "UNION ALL SELECT snapshot_date, "
 ALERTS = f"""al0 AS (WITH {PAIRED} SELECT * FROM pa),
 al1 AS (WITH {DRIFT} SELECT pair, mb FROM roll),

@@ -500,14 +500,26 @@ def promotion_decision(spark, sf):
     return governance.promotion_decision(_by_role(_evaluated(spark, sf), official="challenger_", shadow="champion_"))
 
 
-@query
-def reference_metrics(spark, sf):
-    """Reference metrics of every cohort: the official ones as test metrics in even years, else the shadow's."""
+def _metadata(spark, sf):
     e = _by_role(_evaluated(spark, sf), official="t_", shadow="m_")
     even = F.year("snapshot_date") % 2 == 0
     pick = lambda p, on: F.struct(*[F.when(on, F.col(p + m)).alias(m) for m in governance.REFERENCE_METRICS])
-    known = e.select("snapshot_date", pick("t_", even).alias("test_metrics"), pick("m_", F.lit(True)).alias("metrics"))
-    return governance.resolve_reference(known).drop("test_metrics", "metrics")
+    return e.select("snapshot_date", pick("t_", even).alias("test_metrics"), pick("m_", F.lit(True)).alias("metrics"))
+
+
+@query
+def reference_metrics(spark, sf):
+    """Reference metrics of every cohort: the official ones as test metrics in even years, else the shadow's."""
+    return governance.resolve_reference(_metadata(spark, sf)).drop("test_metrics", "metrics")
+
+
+@query
+def stored_metrics(spark, sf):
+    """The same through metadata files: JSON records written and read back."""
+    path = _folder(spark, "metadata")
+    history.write_report(_metadata(spark, sf), path, "json")
+    found = governance.resolve_reference(history.read_metadata(spark, path))
+    return found.select("snapshot_date", "reference_source", *[f"reference_{m}" for m in governance.REFERENCE_METRICS])
 
 
 @query

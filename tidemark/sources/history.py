@@ -24,6 +24,9 @@ MANIFEST = T.StructType(
     ]
 )
 
+_METRICS = "struct<roc_auc: double, pr_auc: double, accuracy: double, precision: double, recall: double, f1: double, brier_score: double>"
+METADATA = f"version string, model_type string, snapshot_date date, threshold double, metrics {_METRICS}, validation_metrics {_METRICS}, test_metrics {_METRICS}"
+
 
 def evolve(stored: DataFrame, incoming: DataFrame) -> DataFrame:
     """Old and new rows under the old columns followed by the new ones; absent values are NULL."""
@@ -62,6 +65,22 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
         raise
 
 
+def read_metadata(spark: SparkSession, path: str, lines: bool = True) -> DataFrame:
+    """Metadata and metrics of models as records: JSON lines, or (``lines=False``) files that each hold an object or a list of them.
+
+    Further keys are ignored and absent ones are NULL; a number that JSON does not have (NaN, Infinity) is NULL too. A file that is
+    no JSON raises.
+    """
+    df = spark.read.schema(METADATA).options(multiLine=not lines, mode="FAILFAST", pathGlobFilter="*.json").json(path)
+    number = lambda c: F.when(~F.isnan(c) & (F.abs(c) != float("inf")), c)
+    out = {"threshold": number(F.col("threshold"))}
+    for f in df.schema:
+        if isinstance(f.dataType, T.StructType):
+            clean = F.struct(*[number(F.col(f.name)[m]).alias(m) for m in f.dataType.names])
+            out[f.name] = F.when(F.col(f.name).isNotNull(), clean)
+    return df.withColumns(out)
+
+
 def log_run(df: DataFrame, path: str) -> None:
     """Append run summaries as JSON lines with a default timestamp."""
     if "timestamp" not in df.columns:
@@ -121,6 +140,11 @@ def write_execution(df: DataFrame, path: str, execution_id: str) -> None:
     _replace(df.withColumn("execution_id", F.lit(execution_id)), path, ["snapshot_date", "execution_id"])
 
 
+def write_calibration(df: DataFrame, path: str) -> None:
+    """Calibration rows by prediction set; a set evaluated again replaces its own rows."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date", "prediction_role", "model_version").parquet(path)
+
+
 def write_feature_snapshot(df: DataFrame, path: str) -> None:
     """The features as scored, for audits and later drift baselines. A rerun replaces the cohort's rows."""
     _replace(df, path, ["snapshot_date"])
