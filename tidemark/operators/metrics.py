@@ -35,6 +35,13 @@ def score_table(
     ).agg(F.count_if(hit).alias("pos"), F.count_if(~hit).alias("neg"))
 
 
+def outcome_rows(rows: DataFrame, cohort: Sequence[str], outcome: str, probability: str = "churn_probability") -> DataFrame:
+    """Scores with ``pos`` and ``neg`` for what needs no table of distinct scores: no shuffle."""
+    hit = F.col(outcome) == 1
+    one = lambda c: F.coalesce(c.cast("long"), F.lit(0).cast("long"))
+    return rows.select(*cohort, F.col(probability).cast("double").alias("score"), one(hit).alias("pos"), one(~hit).alias("neg"))
+
+
 def class_counts(scores: DataFrame, cohort: Sequence[str]) -> DataFrame:
     """Confusion matrix and probability sums per cohort."""
     n = F.col("pos") + F.col("neg")
@@ -127,7 +134,7 @@ def threshold_sweep(scores: DataFrame, cohort: Sequence[str], thresholds: Sequen
     """Precision, recall, F1, false-positive rate and Youden's J at each threshold.
 
     A score is reduced to the number of thresholds it reaches; only those few counts per cohort are
-    spread over the thresholds.
+    spread over the thresholds. ``scores`` are a score table or, at one shuffle less, ``outcome_rows``.
     """
     cuts = sorted(float(t) for t in thresholds)
     reached = sum((F.col("score") >= t).cast("int") for t in cuts)

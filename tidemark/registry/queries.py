@@ -418,12 +418,12 @@ def model_evaluation(spark, sf):
 
 @query
 def threshold_sweep(spark, sf):
-    return metrics.threshold_sweep(_scores(spark, sf), COHORT)
+    return metrics.threshold_sweep(metrics.outcome_rows(fr.evaluated(spark, sf), COHORT, LABEL), COHORT)
 
 
 @query
 def best_threshold(spark, sf):
-    return metrics.best_threshold(metrics.threshold_sweep(_scores(spark, sf), COHORT), COHORT)
+    return metrics.best_threshold(metrics.threshold_sweep(metrics.outcome_rows(fr.evaluated(spark, sf), COHORT, LABEL), COHORT), COHORT)
 
 
 @query
