@@ -311,6 +311,31 @@ def test_sinks(spark, tmp_path):
         history.write_report(df, str(tmp_path / "x"), "xml")
 
 
+def test_lines_of_any_width_keep_their_cells(spark, tmp_path):
+    """Only six cells have places; longer and shorter lines are as if every cell had one."""
+    wide = HEAD.strip() + ",Note,More\n"
+    body = '1,A,1,10-01-2010 10:00,1.0,1\n\n\n2,"a, ""b""",1,11-01-2010 10:00,1.0,2,"two\r\nlines, ""x""",m,beyond\n3,C,1,12-01-2010 10:00\n 4 ,D,1,13-01-2010 10:00,1.0,4,,last\n'
+    (tmp_path / "w.csv").write_text("Note only\n" + wide + body, newline="")
+    (tmp_path / "n.csv").write_text(HEAD + body, newline="")
+    schema = ", ".join(f"c{i} string" for i in range(9))
+    seen = spark.read.schema(schema).options(escape='"', multiLine=True).csv(str(tmp_path / "w.csv")).collect()
+    want = sorted(tuple(r)[:8] for r in seen if r.c0 != "Invoice")
+    got = T.scan_raw(spark, str(tmp_path / "w.csv")).select(*T.REQUIRED, "Note", "More").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want)) and len(got) == 5
+    both = T.scan_raw(spark, str(tmp_path)).select(*T.REQUIRED, "Note", "More").collect()
+    assert len(both) == 9 and sum(r.Note is not None for r in both) == 1 and sum(r.More == "last" for r in both) == 1
+
+
+def test_a_batch_is_parsed_once(spark, drops, monkeypatch):
+    """The passes of a micro-batch read a stored table, not the files again."""
+    from tidemark.streaming import ingest
+
+    kept = []
+    monkeypatch.setattr(ingest, "written", lambda df, label: kept.append(label) or T.written(df, label))
+    stream_transactions(spark, str(drops / "in"), *(str(drops / n) for n in ("store", "bad", "state"))).awaitTermination()
+    assert kept[0] == "stream-cells" and kept.count("stream-cells") == 1
+
+
 def test_streaming_load(spark, drops):
     store, bad, state = (str(drops / n) for n in ("store", "bad", "state"))
     run = lambda: stream_transactions(spark, str(drops / "in"), store, bad, state, "2010-01-05").awaitTermination()
