@@ -50,3 +50,25 @@ def test_windows_are_partitioned(spark, name):
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     for spec in re.findall(r"windowspecdefinition\(([^()]*)", plan):
         assert spec.startswith("band#") or not re.match(r"[\w#]+ (ASC|DESC)", spec.strip()), spec
+
+
+def test_partitions_follow_the_input(spark, tmp_path, monkeypatch):
+    """A task's share of a shuffle stays the same however large the tables are; settings that are tighter already stay."""
+    from tidemark import session
+
+    (tmp_path / "t.parquet").write_bytes(b"x" * 1000)
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = [spark.conf.get(n) for n in names]
+    try:
+        monkeypatch.setattr(session, "INPUT_BYTES", 10)
+        for size, count, joined in (("64MB", "100", session.TASK_BYTES), ("1m", "100", 1 << 20), ("8192k", "100", session.TASK_BYTES)):
+            spark.conf.set(names[0], "4")
+            spark.conf.set(names[1], size)
+            session.sized(spark, str(tmp_path / "t.parquet"))
+            assert spark.conf.get(names[0]) == count and session._bytes(spark.conf.get(names[1])) == joined
+        spark.conf.set(names[0], "300")
+        session.sized(spark, str(tmp_path / "t.parquet"))
+        assert spark.conf.get(names[0]) == "300"
+    finally:
+        for n, x in zip(names, before):
+            spark.conf.set(n, x)
