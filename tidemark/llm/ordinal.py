@@ -6,7 +6,8 @@ value: P(grade <= k) = sigmoid(threshold_k - w.x). Grades here are 0 (label qual
 document is selected where that probability reaches a threshold at which at most ``LOST`` of the training rows of
 grade 1 or more are lost.
 
-Fitted on at most ``TRAIN_ROWS`` labelled rows outside the held-out fold; a text has at most ``BUCKETS`` features. Defined
+Fitted on all labelled rows outside the held-out fold, by averaging models (iterations on a shard of about ``SHARD_ROWS``
+rows, weights and cuts averaged over the shards); the threshold is an exact quantile over all of them. A text has at most ``BUCKETS`` features. Defined
 results: null, empty and wordless texts have one feature that says so; without training rows of two grades every
 document gets the shares of the grades (grade 0 without any rows) and is selected by the same threshold; repeated
 rows score alike; extra columns are ignored; an empty table gives an empty result.
@@ -22,10 +23,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import slices, table, words_of
-from tidemark.llm.labelled import held_out, labelled_sample, with_labels
+from tidemark.llm.common import slices, stored, table, words_of
+from tidemark.llm.labelled import held_out, labelled_rows, ranked
 
-TRAIN_ROWS = 6_000
+#: Labelled rows that are fitted together, about; more of them are dealt into shards by a hash of the id.
+SHARD_ROWS = 6_000
 BUCKETS = 1 << 14
 GRADES = 3
 LOST = 0.005
@@ -109,10 +111,39 @@ class CumulativeLink:
         return 1 - 1 / (1 + np.exp(-np.clip(self.cuts[None, :] - z[:, None], -60, 60)))
 
 
-def graded(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, lost: float = LOST) -> DataFrame:
+_FEATURES = "doc_id long, shard int, grade int, i binary, v binary"
+
+
+def _averaged(train: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
+    """Weights and cuts fitted on each shard of the rows, averaged by its rows; None without a shard of two grades."""
+
+    def fitted(group: pa.Table) -> pa.Table:
+        group = group.sort_by("doc_id")
+        y = group.column("grade").to_numpy().astype(np.int64)
+        if len(np.unique(y)) < 2:
+            return pa.table({"shard": pa.array([], pa.int32()), "n": pa.array([], pa.int64()), "model": pa.array([], pa.binary())})
+        row, flat, x = _flat(group)
+        model = CumulativeLink.fit(row, flat, x, y)
+        return pa.table({"shard": group.column("shard")[:1].combine_chunks(), "n": pa.array([len(y)], pa.int64()), "model": pa.array([np.concatenate([model.weights, model.cuts]).tobytes()], pa.binary())})
+
+    models = stored(train.groupBy("shard").applyInArrow(fitted, "shard int, n long, model binary"), "ordinal-models")
+    total, n = np.zeros(BUCKETS + GRADES - 1), 0
+    for r in models.orderBy("shard").toLocalIterator():  # one model of fixed size at a time
+        total, n = total + r.n * np.frombuffer(bytes(r.model)), n + r.n
+    return (total[:BUCKETS] / n, total[BUCKETS:] / n) if n else None
+
+
+def _flat(rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    index = [np.frombuffer(b, "<i4") for b in rows.column("i").to_pylist()]
+    value = [np.frombuffer(b, "<f4") for b in rows.column("v").to_pylist()]
+    return np.repeat(np.arange(len(index)), [len(i) for i in index]), np.concatenate(index).astype(np.int64), np.concatenate(value).astype(float)
+
+
+def graded(docs: DataFrame, labels: DataFrame, shard_rows: int = SHARD_ROWS, lost: float = LOST) -> DataFrame:
     """``(doc_id, expected_grade, tail_probability, selected)`` for every document."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sample = labelled_sample(labels, ["quality", "toxic"], train_rows)
+    known = stored(labelled_rows(labels, ["quality", "toxic"]), "ordinal-labels")
+    shards = max(1, -(-known.count() // shard_rows))
     grade = F.when(F.col("quality") <= 0, 0).when(F.col("toxic") > 0, 1).otherwise(2)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,22 +152,29 @@ def graded(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, los
             for part in slices(batch):
                 found = list(hasher(part.column("text")))
                 yield pa.record_batch(
-                    [part.column("doc_id"), part.column("grade"), pa.array([i.astype("<i4").tobytes() for i, _ in found], pa.binary()), pa.array([v.astype("<f4").tobytes() for _, v in found], pa.binary())],
-                    names=["doc_id", "grade", "i", "v"],
+                    [*(part.column(c) for c in ("doc_id", "shard", "grade")), pa.array([i.astype("<i4").tobytes() for i, _ in found], pa.binary()), pa.array([v.astype("<f4").tobytes() for _, v in found], pa.binary())],
+                    names=["doc_id", "shard", "grade", "i", "v"],
                 )
 
-    train = with_labels(rows, sample).select("doc_id", "text", grade.alias("grade")).mapInArrow(features, "doc_id long, grade int, i binary, v binary").orderBy("doc_id").toArrow()
-    y = train.column("grade").to_numpy().astype(np.int64)
-    index = [np.frombuffer(b, "<i4") for b in train.column("i").to_pylist()]
-    value = [np.frombuffer(b, "<f4") for b in train.column("v").to_pylist()]
-    if len(np.unique(y)) > 1:
-        row = np.repeat(np.arange(len(y)), [len(i) for i in index])
-        flat, x = np.concatenate(index).astype(np.int64), np.concatenate(value).astype(float)
-        model = CumulativeLink.fit(row, flat, x, y)
-        tail = model.tails(np.bincount(row, x * model.weights[flat], minlength=len(y)))[:, 0]
-        threshold = min(0.5, float(np.quantile(tail[y > 0], lost, method="lower")))
+    shard = F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int").alias("shard")
+    labelled = rows.join(known, "doc_id").select("doc_id", shard, grade.cast("int").alias("grade"), "text")
+    train = stored(labelled.mapInArrow(features, _FEATURES), "ordinal-rows")
+    shares = train.agg(F.count("*"), *[F.count_if(F.col("grade") <= k) for k in range(GRADES - 1)]).first()
+    found = _averaged(train)
+    if found:
+        model = CumulativeLink(*found)
+
+        def tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows:
+                    row, flat, x = _flat(batch)
+                    z = np.bincount(row, x * model.weights[flat], minlength=batch.num_rows)
+                    yield pa.record_batch([pa.array(np.zeros(batch.num_rows, np.int32)), pa.array(model.tails(z)[:, 0])], names=["one", "tail"])
+
+        good = stored(train.where("grade > 0").mapInArrow(tails, "one int, tail double"), "ordinal-tails")
+        threshold = min(0.5, ranked(good, ["one"], "tail", lambda n: F.floor((n - 1) * lost)).get((0,), 0.5))
     else:
-        share = np.array([(y <= k).mean() if len(y) else 1.0 for k in range(GRADES - 1)])
+        share = np.array([c / shares[0] if shares[0] else 1.0 for c in shares[1:]])
         share = np.clip(share, 1e-9, 1 - 1e-9)
         model, threshold = CumulativeLink(np.zeros(BUCKETS), np.log(share / (1 - share))), 0.5
 
