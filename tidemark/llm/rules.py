@@ -4,8 +4,8 @@ Statistics are exact over whole texts. Forests split the shares that the rules l
 lines and words, capitals, exclamation marks) at random, one forest over all of them and one over each: documents that
 few splits isolate are anomalies. Each forest has its own threshold, calibrated on labelled rows that pass the base
 rules: beyond the scores of all but ``LOST`` of those with label 1, halfway to those of label 0 that it sets apart, or
-beyond all label 1 rows if it sets none apart. Forests and thresholds are fitted on at most ``TRAIN_ROWS`` labelled rows
-outside the held-out fold.
+beyond all label 1 rows if it sets none apart. All labelled rows outside the held-out fold are scored for the thresholds,
+and each tree draws its rows from all of them.
 
 Defined results: null, empty and wordless texts have zero statistics and fail the base rules; without labelled rows the
 base rules alone decide; repeated rows are judged alike; extra columns are ignored; an empty table gives an empty result.
@@ -17,12 +17,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.llm.common import slices, stored, table, words_of
-from tidemark.llm.labelled import labelled_sample, with_labels
+from tidemark.llm.labelled import labelled_rows, ranked
+from tidemark.operators.ordering import running_totals
 
-TRAIN_ROWS = 20_000
 TREES, PER_TREE = 60, 256
 LOST = 0.0005
 #: Share of the label 0 rows that a forest must set apart for its threshold to be drawn towards the others.
@@ -32,6 +32,7 @@ SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
 
 _COUNTED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_bangs")
+_SHARES = ("word length", "signs", "repeated lines", "repeated words", "capitals", "exclamation marks")
 _KIND = np.zeros(256, np.int64)
 _KIND[list(b" \t\n\x0b\x0c\r")] = 1
 _KIND[0x80:0xC0] = 2  # bytes that continue a character
@@ -101,14 +102,15 @@ def _shares(batch) -> np.ndarray:
 class Forest:
     """Isolation trees as flat arrays: a split's column and value, its two children, and the depth credited to a leaf."""
 
-    def __init__(self, x: np.ndarray, trees: int = TREES, per_tree: int = PER_TREE, seed: int = 7):
+    def __init__(self, x: np.ndarray, trees: int = TREES, per_tree: int = PER_TREE, seed: int = 7, samples: list[np.ndarray] | None = None):
+        """Each tree on ``per_tree`` of the rows ``x``; with ``samples`` on the row numbers it has drawn already."""
         rng = np.random.default_rng(seed)
-        self.per_tree = min(per_tree, len(x))
+        self.per_tree = min(per_tree, len(x)) if samples is None else len(samples[0])
         limit = int(np.ceil(np.log2(max(self.per_tree, 2))))
         self.trees = []
-        for _ in range(trees):
+        for i in range(trees):
             nodes: list[tuple] = []
-            self._grow(x[rng.choice(len(x), self.per_tree, replace=False)], 0, limit, rng, nodes)
+            self._grow(x[rng.choice(len(x), self.per_tree, replace=False) if samples is None else samples[i]], 0, limit, rng, nodes)
             self.trees.append(tuple(np.array(c) for c in zip(*nodes)))
 
     def _grow(self, x, depth, limit, rng, nodes) -> int:
@@ -149,31 +151,71 @@ def _path(n: int) -> float:
 class Judge:
     """Forests over all shares and over each, with a threshold for each forest."""
 
-    def __init__(self, x: np.ndarray, good: np.ndarray, lost: float = LOST):
-        self.forests, self.thresholds = [], []
-        for k, columns in enumerate([list(range(x.shape[1])), *[[c] for c in range(x.shape[1])]]):
-            forest = Forest(x[:, columns], seed=7 + k)
-            score = forest.score(x[:, columns])
-            threshold = np.inf
-            if good.any():
-                threshold = np.quantile(score[good], 1 - lost, method="higher")
-                beyond = score[~good][score[~good] > threshold]
-                apart = len(beyond) > APART * max(1, (~good).sum())
-                threshold = (threshold + np.quantile(beyond, 0.05)) / 2 if apart else score[good].max()
-            self.forests.append((columns, forest))
-            self.thresholds.append(float(threshold))
+    def __init__(self, forests: list[tuple[list[int], Forest]]):
+        self.forests, self.thresholds = forests, [np.inf] * len(forests)
+
+    def scores(self, x: np.ndarray) -> list[np.ndarray]:
+        return [forest.score(x[:, columns]) for columns, forest in self.forests]
 
     def __call__(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Score of the forest over all shares, and whether any forest's threshold is passed."""
-        scores = [forest.score(x[:, columns]) for columns, forest in self.forests]
+        scores = self.scores(x)
         return scores[0], np.any([s > t for s, t in zip(scores, self.thresholds)], axis=0)
 
 
-def quality(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, lost: float = LOST) -> DataFrame:
+_FORESTS = [list(range(len(_SHARES))), *[[c] for c in range(len(_SHARES))]]
+
+
+def _forests(train: DataFrame, n: int) -> list[tuple[list[int], Forest]]:
+    """Every tree draws its ``PER_TREE`` rows, the parameter of isolation forests, from all ``n`` rows; only those drawn reach the driver."""
+    size = min(PER_TREE, n)
+    drawn = [[np.random.default_rng([7, k, i]).choice(n, size, replace=False) for i in range(TREES)] for k in range(len(_FORESTS))]
+    wanted = np.unique(np.concatenate([d for own in drawn for d in own]))
+    below = running_totals(train.select("doc_id", F.lit(0).alias("one"), F.lit(1).alias("n")), ["one"], ["doc_id"], ["n"]).select("doc_id", "n_below")
+    again = F.row_number().over(Window.partitionBy("doc_id").orderBy(*_COUNTED)) - 1
+    placed = train.withColumn("again", again).join(below, "doc_id").withColumn("place", F.col("n_below") + F.col("again"))
+    places = train.sparkSession.createDataFrame(pa.table({"place": wanted.astype(np.int64)}))
+    rows = placed.join(F.broadcast(places), "place").select("place", *_COUNTED).orderBy("place").toArrow()
+    x = _shares(rows)
+    return [(columns, Forest(x[:, columns], seed=7 + k, samples=[np.searchsorted(wanted, d) for d in own])) for k, (columns, own) in enumerate(zip(_FORESTS, drawn))]
+
+
+def _judge(train: DataFrame, lost: float) -> Judge | None:
+    """Fitted on all rows of ``train``; thresholds are exact ranks among all of them."""
+    n = train.count()
+    if not n:
+        return None
+    judge = Judge(_forests(train, n))
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                good = batch.column("quality").to_numpy(zero_copy_only=False) > 0
+                for k, score in enumerate(judge.scores(_shares(batch))):
+                    yield pa.record_batch([pa.array(np.full(len(good), k, np.int32)), pa.array(good), pa.array(score)], names=["forest", "good", "score"])
+
+    scores = stored(train.mapInArrow(scored, "forest int, good boolean, score double"), "rule-scores")
+    high = ranked(scores.where("good"), ["forest"], "score", lambda n: F.ceil((n - 1) * F.lit(1 - lost)))
+    if not high:
+        return judge
+    cut = F.element_at(F.array(*[F.lit(high[(k,)]) for k in range(len(_FORESTS))]), F.col("forest") + 1)
+    odd = scores.where(~F.col("good") & (F.col("score") > cut))
+    first = ranked(odd, ["forest"], "score", lambda n: F.floor((n - 1) * F.lit(0.05)))
+    second = ranked(odd, ["forest"], "score", lambda n: F.ceil((n - 1) * F.lit(0.05)))
+    beyond = F.count_if(~F.col("good") & (F.col("score") > cut)).alias("beyond")
+    for r in scores.groupBy("forest").agg(F.count_if(~F.col("good")).alias("bad"), beyond, F.max(F.when(F.col("good"), F.col("score"))).alias("most")).collect():
+        if r.beyond > APART * max(1, r.bad):
+            low, up = first[(r.forest,)], second[(r.forest,)]
+            judge.thresholds[r.forest] = (high[(r.forest,)] + low + (up - low) * ((r.beyond - 1) * 0.05 % 1)) / 2
+        else:
+            judge.thresholds[r.forest] = r.most
+    return judge
+
+
+def quality(docs: DataFrame, labels: DataFrame, lost: float = LOST) -> DataFrame:
     """Statistics of each document with ``base_failed``, the ``anomaly`` score over all shares, and ``kept``."""
     stats = stored(statistics(docs), "rule-statistics").withColumn("base_failed", base_failed())
-    train = with_labels(stats, labelled_sample(labels, ["quality"], train_rows)).where("not base_failed").orderBy("doc_id").toArrow()
-    judge = Judge(_shares(train), train.column("quality").to_numpy() > 0, lost) if train.num_rows else None
+    judge = _judge(stored(stats.join(labelled_rows(labels, ["quality"]), "doc_id").where("not base_failed"), "rule-rows"), lost)
     names = [f.name for f in stats.schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
