@@ -208,3 +208,21 @@ def test_ordinal_model_learns_from_every_shard(spark):
     finally:
         ordinal._averaged = original
     assert names["rows"] > 300 and names["shards"] > 4
+
+
+def test_ordinal_moves_texts_in_proportion(spark, monkeypatch):
+    """The join that carries texts is the same however few labels there are, and texts of the held-out fold do not enter it."""
+    docs = spark.createDataFrame([(i, f"words of row {i}") for i in range(200)], "doc_id long, text string")
+    marked, plans, original = spark.createDataFrame([(i, i % 2, 0) for i in range(100)], LABELS), {}, ordinal.stored
+
+    def seen(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return original(df, label)
+
+    monkeypatch.setattr(ordinal, "stored", seen)
+    got = ordinal.graded(docs, marked).collect()
+    plan = plans["ordinal-rows"]
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    exchange = plan.index("Exchange hashpartitioning(doc_id")
+    assert "crc32" in plan[exchange:]
+    assert sorted(r.doc_id for r in got) == list(range(200))  # the held-out fold is scored all the same
