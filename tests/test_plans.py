@@ -72,3 +72,22 @@ def test_partitions_follow_the_input(spark, tmp_path, monkeypatch):
     finally:
         for n, x in zip(names, before):
             spark.conf.set(n, x)
+
+
+def test_scans_are_cut_small(spark, tmp_path):
+    """A task that reads order lines sorts what it read for the shuffle, so the size of a split is limited too."""
+    from tidemark import session
+
+    (tmp_path / "t.parquet").write_bytes(b"x" * 1000)
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    try:
+        for size, kept in (("128MB", session.SCAN_BYTES), ("16m", 16 << 20)):
+            spark.conf.set(name, size)
+            session.sized(spark, str(tmp_path / "t.parquet"))
+            assert session._bytes(spark.conf.get(name)) == kept
+        spark.conf.set(name, "128MB")
+        QUERIES["purchase_gaps"](spark, SF)
+        assert session._bytes(spark.conf.get(name)) == session.SCAN_BYTES
+    finally:
+        spark.conf.set(name, before)
