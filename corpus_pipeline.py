@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import small_batches, stored, table
 from tidemark.llm.decontam import without_contaminated
 from tidemark.llm.packing import pack
 from tidemark.llm.privacy import personal_data, redacted
@@ -26,10 +26,12 @@ REJECT = 0.5
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return toxicity(docs, table(spark, sf_dir, "labels"), keep=COLUMNS).where(F.col("score") < REJECT).select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return without_duplicates(docs.select(*COLUMNS), shingle=3, max_distance=3).select(*COLUMNS)
 
 
@@ -45,6 +47,7 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return pack(docs)
 
 

@@ -75,3 +75,29 @@ def test_odd_documents(spark):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def test_batches_of_python_stages_are_small(spark):
+    """What an executor and its worker hold at a time follows bytes and not 10,000 rows; tighter settings stay."""
+    import pyarrow as pa
+
+    from tidemark.llm import common
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.nbytes])], names=["size"])
+
+    text, before = "a plain word " * 2000, spark.conf.get(common._BATCH)
+    docs = cases.frame(spark, [(i, text, "en", "s", len(text)) for i in range(1000)]).coalesce(1)
+    try:
+        for name, stage in corpus_pipeline.STAGES:
+            if name in ("toxicity", "simhash", "packing"):
+                spark.conf.set(common._BATCH, "64m")
+                stage(spark, docs.limit(3), SF)
+                seen = [r[0] for r in docs.select("text").mapInArrow(sizes, "size long").collect()]
+                assert max(seen) < common.SLICE_BYTES and sum(seen) > 1000 * len(text)
+                spark.conf.set(common._BATCH, "1m")
+                stage(spark, docs.limit(3), SF)
+                assert spark.conf.get(common._BATCH) == "1m"
+    finally:
+        spark.conf.set(common._BATCH, before)
