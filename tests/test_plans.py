@@ -91,3 +91,26 @@ def test_scans_are_cut_small(spark, tmp_path):
         assert session._bytes(spark.conf.get(name)) == session.SCAN_BYTES
     finally:
         spark.conf.set(name, before)
+
+
+def test_lines_are_shuffled_as_numbers(spark, tmp_path):
+    """The flag of a line is read before the join: only numbers are shuffled and sorted, and quantities and prices stay as they were."""
+    from tidemark.sources.adapters import SCHEMAS, order_lines, read_table
+
+    orders = [(1, 10, "O", 1.0, "1-URGENT"), (2, 11, "O", 1.0, "2-HIGH")]
+    lines = [(1, 5.0, 10.0, "R"), (1, 4.0, 10.0, "N"), (1, 3.0, 0.0, "R"), (2, 3.0, None, "R"), (2, None, 7.0, "A"), (2, 2.0, 7.0, None), (None, 2.0, 7.0, "R"), (3, 0.0, 7.0, "R")]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string").selectExpr(
+        "*", "timestamp_ntz'1998-01-02' as o_orderdate"
+    ).write.parquet(str(tmp_path / "orders.parquet"))
+    given = spark.createDataFrame(lines, "l_orderkey long, l_quantity double, l_extendedprice double, l_returnflag string")
+    names = [x.split()[0] for x in SCHEMAS["lineitem"].split(", ")]
+    kinds = dict(x.split() for x in SCHEMAS["lineitem"].split(", "))
+    given.selectExpr(*[c if c in given.columns else f"cast(null as {kinds[c]}) as {c}" for c in names]).write.parquet(str(tmp_path / "lineitem.parquet"))
+    assert read_table(spark, str(tmp_path), "lineitem").count() == len(lines)
+
+    df = order_lines(spark, str(tmp_path))
+    got = sorted(((r.Invoice, r.Quantity, r.Price) for r in df.collect()), key=str)
+    assert got == sorted([(1, -5.0, 2.0), (1, 4.0, 2.5), (1, -3.0, 0.0), (2, -3.0, None), (2, None, None), (2, 2.0, 3.5)], key=str)
+    below = df._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")[1]
+    projects = [x for x in below.splitlines() if "Project [" in x]
+    assert projects and not any(re.search(r"[\[,] ?l_returnflag#\d+[,\]]", x) for x in projects)

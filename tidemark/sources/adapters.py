@@ -33,16 +33,20 @@ def order_lines(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     """Order lines as transactions, with further columns of the order; a returned line has a negative quantity."""
     sized(spark, *(f"{sf_dir}/{name}.parquet" for name in ("orders", "lineitem")))
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", *extra)
+    # The sign goes into both numbers before the join, so that a line is shuffled and sorted as three numbers.
+    sign = F.when(F.col("l_returnflag") == "R", -1).otherwise(1)
     lines = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag"
+        "l_orderkey",
+        "l_partkey",
+        (sign * F.col("l_quantity")).alias("quantity"),
+        (sign * F.col("l_extendedprice")).alias("amount"),
     )
-    sign = F.when(F.col("l_returnflag") == "R", -1).otherwise(1)
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("o_orderkey").alias("Invoice"),
         F.col("l_partkey").alias("StockCode"),
-        (sign * F.col("l_quantity")).alias("Quantity"),
+        F.col("quantity").alias("Quantity"),
         F.col("o_orderdate").cast("timestamp_ntz").alias("InvoiceDate"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("Price"),
+        (F.col("amount") / F.col("quantity")).alias("Price"),
         F.col("o_custkey").alias("CustomerID"),
         *extra,
     )
