@@ -381,6 +381,28 @@ def test_stream_drops_copies_by_state(spark, drops, monkeypatch):
     assert sum(r.tx_count for r in S.monthly_volumes(spark, store).collect()) == 6
 
 
+def test_loaded_files_do_not_pile_up(spark, drops):
+    """Landed files go with the batch that loaded them, delivered ones only when asked; copies are still known."""
+    store, bad, state = (str(drops / n) for n in ("store", "bad", "state"))
+
+    def run(**options):
+        stream_deduplicated(spark, str(drops / "in"), store, bad, state, delay="3650 days", **options).awaitTermination()
+        return sorted((r.Invoice, r.StockCode) for r in S.read_curated(spark, store).collect())
+
+    first = [("100", "A"), ("101", "B"), ("200", "A")]
+    names = lambda: sorted(p.name for p in (drops / "in").rglob("*"))
+    delivered = names()
+    assert run() == first and names() == delivered
+    (drops / "in" / "again and + more.csv").write_text(HEAD + JAN + FEB + "202,A,1,01-03-2010 08:00,1.0,3\n")
+    want = sorted([*first, ("202", "A")])
+    assert run(keep_drops=False) == want
+    assert names() == delivered  # what an earlier run has read stays
+    (drops / "in" / "later.csv").write_text(HEAD + JAN + FEB)
+    assert run(keep_drops=False) == want  # by the state, as nothing else is left
+    landed = [r.Invoice for r in spark.read.parquet(f"{state}/landing").collect()]
+    assert "202" not in landed
+
+
 def test_metadata_records(spark, tmp_path):
     (tmp_path / "a.json").write_text('{\n "version": "v1", "threshold": 0.4, "extra": {"x": [1]},\n "test_metrics": {"roc_auc": 0.8, "recall": NaN, "other": "t"}\n}')
     (tmp_path / "b.json").write_text('[{"version": "v2", "metrics": {}}, {"version": "v3", "snapshot_date": "2020-01-31"}]')
