@@ -80,3 +80,10 @@ def test_deciles_match_rank_cuts(spark, n, bins, ties):
     assert [r["actual_churn_rate"] for r in got] == pytest.approx(list(want.y))
     ece = expected_calibration_error(calibration_deciles(df, ["c"], "y", bins=bins), ["c"]).first().ece
     assert ece == pytest.approx(float(((want.p - want.y).abs() * want.n).sum() / n))
+
+
+def test_rows_without_a_value_take_no_place(spark):
+    """They get no row and count neither below the others nor in the total of the group."""
+    df = spark.createDataFrame([("a", 2.0, 1), ("a", 1.0, 1), ("a", 1.0, 3), ("a", None, 7), ("b", None, 5)], "g string, x double, n int")
+    got = {(r.g, r.x): (r.n, r.n_below, r.n_total) for r in running_totals(df, ["g"], ["x"], ["n"]).collect()}
+    assert got == {("a", 1.0): (4, 0, 5), ("a", 2.0): (1, 4, 5)}
